@@ -10,9 +10,6 @@ from tallywork.operators.splits import random_parts
 from tallywork.plans.registry import query
 from tallywork.sources.files import frame_from_rows, read_table
 
-# The tolerance takes the solver to where the closed form below is, well within the digits compared.
-EXACT = {"max_iter": 200, "tol": 1e-14}
-
 
 def text_sizes(spark: SparkSession, folder: str) -> DataFrame:
     """Characters (label) against words (feature) of each document."""
@@ -26,11 +23,12 @@ _SIZES = """
            CAST(n_chars AS DOUBLE) AS y
     FROM documents
 """
-# One feature has a closed form: the correlation shrunk by the penalty, back in units.
+# One feature has a closed form: the correlation shrunk by the penalty over the label's (population)
+# deviation, back in units.
 _LINE = f"""
     WITH sizes AS ({_SIZES}),
     moments AS (
-        SELECT corr(y, x) AS r, stddev_samp(x) AS sx, stddev_samp(y) AS sy, avg(x) AS mx, avg(y) AS my FROM sizes
+        SELECT corr(y, x) AS r, stddev_pop(x) AS sx, stddev_pop(y) AS sy, avg(x) AS mx, avg(y) AS my FROM sizes
     ),
     line AS (
         SELECT slope, my - slope * mx AS intercept
@@ -46,24 +44,24 @@ _LINE = f"""
     "linear_regression_fit",
     f"""
     {_LINE}
-    SELECT 'intercept' AS term, round(intercept, 3) AS value FROM line
-    UNION ALL SELECT 'words', round(slope, 3) FROM line
+    SELECT 'intercept' AS term, round(intercept, 6) AS value FROM line
+    UNION ALL SELECT 'words', round(slope, 6) FROM line
     """,
 )
 def linear_regression_fit(spark, folder):
     examples = text_sizes(spark, folder)
-    model = models.fit_line(examples, **EXACT)
-    return models.line_terms(model, examples, ["words"]).withColumn("value", F.round("value", 3))
+    model = models.fit_line(examples)
+    return models.line_terms(model, examples, ["words"]).withColumn("value", F.round("value", 6))
 
 
 @query(
     "linear_regression_predict",
-    f"{_LINE} SELECT round(intercept + slope * x, 1) AS prediction, y AS label FROM sizes, line",
+    f"{_LINE} SELECT round(intercept + slope * x, 3) AS prediction, y AS label FROM sizes, line",
 )
 def linear_regression_predict(spark, folder):
     examples = text_sizes(spark, folder)
-    scored = models.predict(models.fit_line(examples, **EXACT), examples)
-    return scored.withColumn("prediction", F.round("prediction", 1))
+    scored = models.predict(models.fit_line(examples), examples)
+    return scored.withColumn("prediction", F.round("prediction", 3))
 
 
 @query(
@@ -75,16 +73,16 @@ def linear_regression_predict(spark, folder):
                var_pop(y) AS spread
         FROM sizes, line
     )
-    SELECT 'rmse' AS metric, round(sqrt(mse), 3) AS value FROM sums
-    UNION ALL SELECT 'mse', round(mse, 3) FROM sums
-    UNION ALL SELECT 'r2', round(1 - mse / spread, 3) FROM sums
-    UNION ALL SELECT 'mae', round(mae, 3) FROM sums
+    SELECT 'rmse' AS metric, round(sqrt(mse), 4) AS value FROM sums
+    UNION ALL SELECT 'mse', round(mse, 4) FROM sums
+    UNION ALL SELECT 'r2', round(1 - mse / spread, 4) FROM sums
+    UNION ALL SELECT 'mae', round(mae, 4) FROM sums
     """,
 )
 def linear_regression_metrics(spark, folder):
     examples = text_sizes(spark, folder)
-    scored = models.predict(models.fit_line(examples, **EXACT), examples)
-    return models.regression_metrics(scored).withColumn("value", F.round("value", 3))
+    scored = models.predict(models.fit_line(examples), examples)
+    return models.regression_metrics(scored).withColumn("value", F.round("value", 4))
 
 
 @query("linear_regression_split")

@@ -32,6 +32,19 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def in_file_order(df: DataFrame, name: str = "line") -> DataFrame:
+    """Add a sortable ``name`` that gives the rows of freshly read files in their order there.
+
+    Compares by file, then by block in the file, then by row in the block.
+    """
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    return df.withColumn(name, place)
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A Parquet table of the test data, a single file or a folder of part files."""
     return spark.read.parquet(f"{folder}/{name}.parquet")
