@@ -12,10 +12,9 @@ WORD_BREAKS = {
 }
 
 
-def words(text: Column, mode: str = "ascii") -> Column:
-    """Lower-case words of a text as an array, without empty ones."""
-    parts = F.split(text, WORD_BREAKS[mode])
-    return F.transform(F.filter(parts, lambda w: w != ""), F.lower)
+def split_words(text: Column, mode: str = "ascii") -> Column:
+    """The pieces of a text between word breaks, empty ones among them."""
+    return F.split(text, WORD_BREAKS[mode])
 
 
 def ascii_only(text: Column) -> Column:

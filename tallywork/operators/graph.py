@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallywork.operators.aggregates import with_names
 from tallywork.session import materialise, scratch_path
+from tallywork.sources.adjacency import fields_of
 
 
 def degrees(lines: DataFrame, value: str = "value", count_trailing: bool = False) -> DataFrame:
@@ -15,11 +16,10 @@ def degrees(lines: DataFrame, value: str = "value", count_trailing: bool = False
     ``count_trailing`` counts every blank as a separator, so that a blank at the end of a line
     counts as one more neighbour.
     """
-    fields = F.split(F.trim(F.col(value)), r"\s+")
-    counted = F.split(F.col(value), " ") if count_trailing else fields
+    parsed = fields_of(lines, value, keep=(value,))
+    counted = F.split(F.col(value), " ") if count_trailing else F.col("fields")
     return (
-        lines.select(F.get(fields, F.lit(0)).try_cast("long").alias("id"), (F.size(counted) - 1).alias("named"))
-        .filter(F.col("id").isNotNull())
+        parsed.select(F.get("fields", F.lit(0)).try_cast("long").alias("id"), (F.size(counted) - 1).alias("named"))
         .groupBy("id")
         .agg(F.sum("named").alias("degree"))
     )
@@ -63,32 +63,32 @@ def breadth_first(
     """
     spark = edges.sparkSession
     graph = materialise(edges.groupBy("src", "dst").agg(F.count("*").alias("edges")), "edges")
-    layout = "id long, distance int, hits long"
     root = scratch_path(spark, "search")
+    # The distance is read from the folder name. As a literal in the plan it would make Spark
+    # compile new code in every round.
+    reader = spark.read.schema("id long, hits long, distance int").option("basePath", root)
 
-    rounds = [f"{root}/round-0"]
-    spark.createDataFrame([(source, 0, 0)], layout).write.parquet(rounds[0])
+    rounds = [f"{root}/distance=0"]
+    spark.createDataFrame([(source, 0)], "id long, hits long").write.parquet(rounds[0])
     for distance in range(1, max_rounds + 1):
-        frontier = spark.read.schema(layout).parquet(rounds[-1])
-        seen = spark.read.schema(layout).parquet(*rounds)
+        frontier = reader.parquet(rounds[-1]).select(F.col("id").alias("src"))
         reached = (
-            graph.join(frontier.select(F.col("id").alias("src")), "src")
+            graph.join(frontier, "src")
             .groupBy(F.col("dst").alias("id"))
             .agg(F.sum("edges").alias("hits"))
         )
-        fresh = reached.join(seen.select("id"), "id", "left_anti")
-        rounds.append(f"{root}/round-{distance}")
-        fresh.select("id", F.lit(distance).alias("distance"), "hits").write.parquet(rounds[-1])
+        fresh = reached.join(reader.parquet(*rounds).select("id"), "id", "left_anti")
+        rounds.append(f"{root}/distance={distance}")
+        fresh.select("id", "hits").write.parquet(rounds[-1])
 
         found = (
-            spark.read.schema(layout)
-            .parquet(rounds[-1])
+            reader.parquet(rounds[-1])
             .agg(F.count("*").alias("n"), F.count_if(F.col("id") == F.lit(target)).alias("target"))
             .first()
         )
         if found["n"] == 0 or found["target"] > 0:
             break
-    return spark.read.schema(layout).parquet(*rounds)
+    return reader.parquet(*rounds).select("id", "distance", "hits")
 
 
 def distances(

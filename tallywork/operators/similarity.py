@@ -25,28 +25,26 @@ from tallywork.session import materialise
 BUSY_USER_ITEMS = 10_000
 
 
-def _per_user_item(ratings: DataFrame, user: str, item: str, rating: str) -> DataFrame:
+def _rows(ratings: DataFrame, user: str, item: str, rating: str, rating_over: float | None) -> DataFrame:
+    """(user, item, value) of the rows that count."""
+    rows = ratings.select(
+        F.col(user).alias("user"), F.col(item).alias("item"), F.col(rating).cast("double").alias("value")
+    ).dropna()
+    return rows if rating_over is None else rows.filter(F.col("value") > rating_over)
+
+
+def _per_user_item(rows: DataFrame) -> DataFrame:
     """(user, item, c, s, q): count, sum and sum of squares, one row also where ratings repeat."""
-    value = F.col(rating).cast("double")
-    return (
-        ratings.filter(F.col(rating).isNotNull() & F.col(user).isNotNull() & F.col(item).isNotNull())
-        .groupBy(F.col(user).alias("user"), F.col(item).alias("item"))
-        .agg(
-            F.count("*").alias("c"),
-            F.sum(value).alias("s"),
-            F.sum(value * value).alias("q"),
-        )
+    return rows.groupBy("user", "item").agg(
+        F.count("*").alias("c"),
+        F.sum("value").alias("s"),
+        F.sum(F.col("value") * F.col("value")).alias("q"),
     )
 
 
-def _as_sets(ratings: DataFrame, user: str, item: str, rating: str) -> DataFrame:
+def _as_sets(rows: DataFrame) -> DataFrame:
     """(user, item, c=1): who rated what, for measures on sets."""
-    return (
-        ratings.filter(F.col(rating).isNotNull() & F.col(user).isNotNull() & F.col(item).isNotNull())
-        .select(F.col(user).alias("user"), F.col(item).alias("item"))
-        .distinct()
-        .withColumn("c", F.lit(1).cast("long"))
-    )
+    return rows.select("user", "item").distinct().withColumn("c", F.lit(1).cast("long"))
 
 
 def _products(cosine: bool) -> dict[str, Column]:
@@ -63,9 +61,14 @@ def _add_up(pairs: DataFrame, sums: dict[str, Column]) -> DataFrame:
     return pairs.groupBy("item1", "item2").agg(*[F.sum(part).alias(name) for name, part in sums.items()])
 
 
-def _has_busy_user(ratings: DataFrame, user: str, busy: int) -> bool:
-    """One counting job over the user column."""
-    return not ratings.groupBy(user).count().filter(F.col("count") > busy).isEmpty()
+def _by_user(rows: DataFrame, busy: int) -> tuple[DataFrame, bool]:
+    """The rows, and whether some user has more than ``busy`` of them (one counting job).
+
+    If none has, the rows are brought together by user right away: that one shuffle serves the
+    sums per user and item as well as both sides of the self-join.
+    """
+    skewed = not rows.groupBy("user").count().filter(F.col("count") > busy).isEmpty()
+    return (rows, True) if skewed else (rows.repartition("user"), False)
 
 
 def _pair_sums(rated: DataFrame, pairs_over: int, cosine: bool, busy: int, skewed: bool) -> DataFrame:
@@ -140,10 +143,6 @@ def _grid_pairs(rated: DataFrame, hot: DataFrame, busy: int) -> DataFrame:
     return pairs.withColumns({"item1": F.col("a.item"), "item2": F.col("b.item")})
 
 
-def _rated_over(ratings: DataFrame, rating: str, rating_over: float | None) -> DataFrame:
-    return ratings if rating_over is None else ratings.filter(F.col(rating) > rating_over)
-
-
 def common_raters(
     ratings: DataFrame,
     user: str,
@@ -154,9 +153,8 @@ def common_raters(
     busy: int = BUSY_USER_ITEMS,
 ) -> DataFrame:
     """(item1, item2, n): how many rated both, item1 < item2, n > pairs_over."""
-    ratings = _rated_over(ratings, rating, rating_over)
-    rated = _as_sets(ratings, user, item, rating)
-    return _pair_sums(rated, pairs_over, False, busy, _has_busy_user(ratings, user, busy))
+    rows, skewed = _by_user(_rows(ratings, user, item, rating, rating_over), busy)
+    return _pair_sums(_as_sets(rows), pairs_over, False, busy, skewed)
 
 
 def jaccard_pairs(
@@ -173,11 +171,11 @@ def jaccard_pairs(
 
     Only items with more than ``item_count_over`` users and pairs with more than ``pairs_over``.
     """
-    ratings = _rated_over(ratings, rating, rating_over)
-    rated = _as_sets(ratings, user, item, rating)
+    rows, skewed = _by_user(_rows(ratings, user, item, rating, rating_over), busy)
+    rated = _as_sets(rows)
     counts = rated.groupBy("item").agg(F.count("*").alias("count")).filter(F.col("count") > item_count_over)
     frequent = rated.join(counts.select("item"), "item", "left_semi")
-    pairs = _pair_sums(frequent, pairs_over, False, busy, _has_busy_user(ratings, user, busy))
+    pairs = _pair_sums(frequent, pairs_over, False, busy, skewed)
     return (
         pairs.join(counts.select(F.col("item").alias("item1"), F.col("count").alias("count1")), "item1")
         .join(counts.select(F.col("item").alias("item2"), F.col("count").alias("count2")), "item2")
@@ -201,10 +199,12 @@ def cosine_pairs(
     pairs_over: int = 0,
     busy: int = BUSY_USER_ITEMS,
 ) -> DataFrame:
-    """(item1, item2, n, score): cosine of the two rating vectors over their common users."""
-    ratings = _rated_over(ratings, rating, rating_over)
-    rated = _per_user_item(ratings, user, item, rating)
-    sums = _pair_sums(rated, pairs_over, True, busy, _has_busy_user(ratings, user, busy))
+    """(item1, item2, n, score): cosine of the two rating vectors over their common users.
+
+    A user that rated an item several times counts with every combination of those ratings.
+    """
+    rows, skewed = _by_user(_rows(ratings, user, item, rating, rating_over), busy)
+    sums = _pair_sums(_per_user_item(rows), pairs_over, True, busy, skewed)
     return sums.select("item1", "item2", "n", _cosine())
 
 
@@ -252,21 +252,28 @@ def similar_by_jaccard(
 ) -> DataFrame:
     """Best partners of one item without building the pair table.
 
-    Only the ratings of the item's own users are paired, each with one row: linear in the ratings.
+    The ratings of the item's own users are counted by item, without pairing them with each other:
+    linear in the ratings. User counts are then taken for the items still in question only.
     """
-    rated = _as_sets(_rated_over(ratings, rating, rating_over), user, item, rating)
-    counts = rated.groupBy("item").agg(F.count("*").alias("count")).filter(F.col("count") > item_count_over)
-    own = counts.filter(F.col("item") == target).select(F.col("count").alias("own"))
-    common = (
-        _with_target(rated, target)
-        .groupBy(F.col("b.item").alias("item"))
-        .agg(F.count("*").alias("n"))
-        .filter((F.col("n") > pairs_over) & (F.col("n") > 1))
+    rows = _rows(ratings, user, item, rating, rating_over)
+    own = rows.filter(F.col("item") == target).select("user").distinct()
+    common = materialise(
+        rows.filter(F.col("item") != target)
+        .join(own, "user", "left_semi")
+        .groupBy("item")
+        .agg(F.count_distinct("user").alias("n"))
+        .filter((F.col("n") > pairs_over) & (F.col("n") > 1)),
+        "common",
+    )
+    counts = (
+        rows.join(common, "item")
+        .groupBy("item")
+        .agg(F.count_distinct("user").alias("count"), F.max("n").alias("n"))
+        .filter(F.col("count") > item_count_over)
     )
     scored = (
-        common.join(counts, "item")
-        .withColumn("own", own.scalar())
-        .filter(F.col("own").isNotNull())
+        counts.withColumn("own", own.select(F.count("*")).scalar())
+        .filter(F.col("own") > item_count_over)
         .select("item", (F.col("n") / (F.col("own") + F.col("count") - F.col("n"))).alias("score"), "n")
         .filter(F.col("score") > score_over)
     )
@@ -287,28 +294,29 @@ def similar_by_cosine(
     names_key: str = "movie_id",
     name: str = "title",
 ) -> DataFrame:
-    """Best partners of one item by cosine, as ``similar_by_jaccard`` without the pair table."""
-    rated = _per_user_item(_rated_over(ratings, rating, rating_over), user, item, rating)
-    sums = [F.sum(part).alias(column) for column, part in _products(cosine=True).items()]
+    """Best partners of one item by cosine, without building the pair table.
+
+    Each rating of the item's users adds to the sums of its item: one join, one shuffle by item.
+    """
+    rows = _rows(ratings, user, item, rating, rating_over)
+    own = _per_user_item(rows.filter(F.col("item") == target)).drop("item")
+    value = F.col("value")
     scored = (
-        _with_target(rated, target)
-        .groupBy(F.col("b.item").alias("item"))
-        .agg(*sums)
+        rows.filter(F.col("item") != target)
+        .join(own, "user")
+        .groupBy("item")
+        .agg(
+            F.sum("c").alias("n"),
+            F.sum("q").alias("xx"),
+            F.sum(F.col("c") * value * value).alias("yy"),
+            F.sum(F.col("s") * value).alias("xy"),
+        )
         .select("item", _cosine(), "n")
         .filter((F.col("score") > score_over) & (F.col("n") > pairs_over))
     )
     return _named(_best(scored, k), names, names_key, name)
 
 
-def _with_target(rated: DataFrame, target: object) -> DataFrame:
-    """Rows of the target (``a``) beside the other ratings (``b``) of the same users."""
-    return (
-        rated.filter(F.col("item") == target)
-        .alias("a")
-        .join(rated.filter(F.col("item") != target).alias("b"), F.col("a.user") == F.col("b.user"))
-    )
-
-
 def _named(best: DataFrame, names: DataFrame | None, names_key: str, name: str) -> DataFrame:
     if names is None:
         return best

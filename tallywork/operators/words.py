@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywork.functions.text import ascii_only, words
+from tallywork.functions.text import ascii_only, split_words
 
 
 def word_count(
@@ -15,9 +15,14 @@ def word_count(
 
     ``mode`` tells whether letters outside ASCII belong to a word ("unicode") or end it ("ascii").
     """
-    tokens = lines.select(F.explode(words(F.col(value), mode)).alias("word"))
+    pieces = lines.select(F.explode(split_words(F.col(value), mode)).alias("piece"))
     order = F.asc("n") if ascending else F.desc("n")
-    return tokens.groupBy("word").agg(F.count("*").alias("n")).orderBy(order, "word")
+    return (
+        pieces.filter(F.col("piece") != "")
+        .groupBy(F.lower("piece").alias("word"))
+        .agg(F.count("*").alias("n"))
+        .orderBy(order, "word")
+    )
 
 
 def fold_words(counts: DataFrame) -> DataFrame:

@@ -8,19 +8,18 @@ from pyspark.sql import functions as F
 from tallywork.operators import models
 from tallywork.operators.splits import random_parts
 from tallywork.plans.registry import query
-from tallywork.sources.files import frame_from_rows, read_table
+from tallywork.sources.files import frame_from_rows, read_table, spread
 
 
 def text_sizes(spark: SparkSession, folder: str) -> DataFrame:
     """Characters (label) against words (feature) of each document."""
-    size = F.size(F.split(F.trim(F.regexp_replace("text", r"\s+", " ")), " "))
-    docs = read_table(spark, folder, "documents").select(size.cast("double").alias("words"), "n_chars")
-    return models.assemble(docs, ["words"], "n_chars")
+    docs = spread(read_table(spark, folder, "documents").select("text", "n_chars"))
+    words = F.regexp_count("text", F.lit(r"\S+")).cast("double").alias("words")
+    return models.assemble(docs.select(words, "n_chars"), ["words"], "n_chars")
 
 
 _SIZES = """
-    SELECT CAST(len(string_split(trim(regexp_replace(text, '\\s+', ' ', 'g')), ' ')) AS DOUBLE) AS x,
-           CAST(n_chars AS DOUBLE) AS y
+    SELECT CAST(len(regexp_extract_all(text, '\\S+')) AS DOUBLE) AS x, CAST(n_chars AS DOUBLE) AS y
     FROM documents
 """
 # One feature has a closed form: the correlation shrunk by the penalty over the label's (population)
@@ -93,7 +92,8 @@ def linear_regression_split(spark, folder):
 
 
 def price_examples(spark: SparkSession, folder: str) -> DataFrame:
-    lines = read_table(spark, folder, "lineitem")
+    columns = ["l_quantity", "l_discount", "l_tax", "l_extendedprice"]
+    lines = spread(read_table(spark, folder, "lineitem").select(*columns))
     return models.assemble(lines, ["l_quantity", "l_discount", "l_tax"], "l_extendedprice")
 
 

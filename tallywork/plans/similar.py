@@ -1,4 +1,4 @@
-"""Similarity over the contract tables: orders rate suppliers by the largest quantity."""
+"""Similarity over the contract tables: each line item is an order's rating of a supplier by quantity."""
 
 from __future__ import annotations
 
@@ -12,22 +12,18 @@ from tallywork.sinks import save
 from tallywork.sources.files import read_table
 
 TARGET = 5
-COLUMNS = {"user": "l_orderkey", "item": "l_suppkey", "rating": "rating"}
+COLUMNS = {"user": "l_orderkey", "item": "l_suppkey", "rating": "l_quantity"}
 
 
 def ratings(spark: SparkSession, folder: str) -> DataFrame:
-    return (
-        read_table(spark, folder, "lineitem")
-        .groupBy("l_orderkey", "l_suppkey")
-        .agg(F.max("l_quantity").alias("rating"))
-    )
+    return read_table(spark, folder, "lineitem")
 
 
 def _nine(df: DataFrame) -> DataFrame:
     return df.withColumn("score", F.round("score", 9))
 
 
-_RATINGS = "SELECT l_orderkey AS u, l_suppkey AS i, max(l_quantity) AS r FROM lineitem GROUP BY l_orderkey, l_suppkey"
+_RATINGS = "SELECT l_orderkey AS u, l_suppkey AS i, l_quantity AS r FROM lineitem"
 _COSINE = f"""
     SELECT item1, item2, n, CASE WHEN xx * yy <> 0 THEN xy / (sqrt(xx) * sqrt(yy)) ELSE 0 END AS score
     FROM (
@@ -39,16 +35,24 @@ _COSINE = f"""
 """
 
 
+def _sets(rating_over: int) -> str:
+    return f"SELECT DISTINCT l_orderkey AS u, l_suppkey AS i FROM lineitem WHERE l_quantity > {rating_over}"
+
+
+def _common(rating_over: int) -> str:
+    return f"""
+    SELECT a.i AS item1, b.i AS item2, count(*) AS n
+    FROM ({_sets(rating_over)}) a JOIN ({_sets(rating_over)}) b ON a.u = b.u AND a.i < b.i
+    GROUP BY a.i, b.i
+    """
+
+
 def _jaccard_sql(rating_over: int) -> str:
     return f"""
     SELECT item1, item2, n, c1.c AS count1, c2.c AS count2, n / CAST(c1.c + c2.c - n AS DOUBLE) AS score
-    FROM (
-        SELECT a.i AS item1, b.i AS item2, count(*) AS n
-        FROM ({_RATINGS}) a JOIN ({_RATINGS}) b ON a.u = b.u AND a.i < b.i
-        WHERE a.r > {rating_over} AND b.r > {rating_over} GROUP BY a.i, b.i
-    )
-    JOIN (SELECT i, count(*) AS c FROM ({_RATINGS}) WHERE r > {rating_over} GROUP BY i) c1 ON c1.i = item1
-    JOIN (SELECT i, count(*) AS c FROM ({_RATINGS}) WHERE r > {rating_over} GROUP BY i) c2 ON c2.i = item2
+    FROM ({_common(rating_over)})
+    JOIN (SELECT i, count(*) AS c FROM ({_sets(rating_over)}) GROUP BY i) c1 ON c1.i = item1
+    JOIN (SELECT i, count(*) AS c FROM ({_sets(rating_over)}) GROUP BY i) c2 ON c2.i = item2
     WHERE c1.c > 10 AND c2.c > 10 AND n > 1
     """
 
@@ -63,13 +67,7 @@ def _best_sql(pairs: str, score_over: float, pairs_over: int) -> str:
     """
 
 
-@query(
-    "item_pairs",
-    f"""
-    SELECT a.i AS item1, b.i AS item2, count(*) AS n
-    FROM ({_RATINGS}) a JOIN ({_RATINGS}) b ON a.u = b.u AND a.i < b.i GROUP BY a.i, b.i
-    """,
-)
+@query("item_pairs", _common(0))
 def item_pairs(spark, folder):
     return similarity.common_raters(ratings(spark, folder), **COLUMNS)
 

@@ -9,7 +9,7 @@ from tallywork.functions.logs import parse_logs
 from tallywork.functions.text import ascii_only
 from tallywork.operators.words import fold_words, word_count
 from tallywork.plans.registry import query
-from tallywork.sources.files import read_table
+from tallywork.sources.files import read_table, spread
 from tallywork.streaming.counts import running_counts
 
 
@@ -21,14 +21,18 @@ def _words_sql(breaks: str) -> str:
     """
 
 
+def _texts(spark: SparkSession, folder: str) -> DataFrame:
+    return spread(read_table(spark, folder, "documents").select("text"))
+
+
 @query("word_count_ascii", _words_sql(r"\W+"))
 def word_count_ascii(spark, folder):
-    return word_count(read_table(spark, folder, "documents"), "text")
+    return word_count(_texts(spark, folder), "text")
 
 
 @query("word_count_unicode", _words_sql(r"[^\p{L}\p{N}_]+"))
 def word_count_unicode(spark, folder):
-    return word_count(read_table(spark, folder, "documents"), "text", mode="unicode", ascending=True)
+    return word_count(_texts(spark, folder), "text", mode="unicode", ascending=True)
 
 
 @query(
@@ -41,7 +45,7 @@ def word_count_unicode(spark, folder):
     """,
 )
 def word_count_folded(spark, folder):
-    return fold_words(word_count(read_table(spark, folder, "documents"), "text", mode="unicode"))
+    return fold_words(word_count(_texts(spark, folder), "text", mode="unicode"))
 
 
 @query(
@@ -125,7 +129,7 @@ def parse_sql(offset_sign: str) -> str:
 
 
 def event_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return log_lines(read_table(spark, folder, "events"))
+    return log_lines(spread(read_table(spark, folder, "events").drop("props")))
 
 
 @query("log_parse", parse_sql("-"))

@@ -6,29 +6,42 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# A line counts if its first field is a whole number.
+_HAS_ID = r"^\s*-?\d+(\s|$)"
+
+
+def fields_of(lines: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(fields) of the lines that start with an id, split at white space.
+
+    The test reads the line itself. A test on the split fields would be pushed below the split
+    and make every line be split twice.
+    """
+    return lines.filter(F.col(value).rlike(_HAS_ID)).select(
+        F.split(F.trim(F.col(value)), r"\s+").alias("fields"), *keep
+    )
+
+
 def parse_adjacency(lines: DataFrame, value: str = "value") -> DataFrame:
-    """(id, neighbours) per line. An id may take several lines; blank lines are dropped."""
-    fields = F.split(F.trim(F.col(value)), r"\s+")
-    ids = F.transform(fields, lambda f: f.try_cast("long"))
-    return lines.select(
-        F.get(ids, F.lit(0)).alias("id"),
-        F.slice(ids, 2, F.greatest(F.size(ids) - 1, F.lit(0))).alias("neighbours"),
-    ).filter(F.col("id").isNotNull())
+    """(id, neighbours) per line. An id may take several lines; lines without an id are dropped."""
+    named = F.slice("fields", 2, F.size("fields"))
+    return fields_of(lines, value).select(
+        F.get("fields", F.lit(0)).try_cast("long").alias("id"),
+        F.transform(named, lambda field: field.try_cast("long")).alias("neighbours"),
+    )
 
 
 def edges_of(adjacency: DataFrame) -> DataFrame:
     """(src, dst), one row per neighbour named on a line, so repeats keep their number."""
+    # The outer form keeps Spark from adding a size test that computes the array twice.
     return adjacency.select(
-        F.col("id").alias("src"), F.explode("neighbours").alias("dst")
+        F.col("id").alias("src"), F.explode_outer("neighbours").alias("dst")
     ).filter(F.col("dst").isNotNull())
 
 
 def nodes_of(adjacency: DataFrame) -> DataFrame:
     """Every id that heads a line or is named on one."""
     return (
-        adjacency.select(
-            F.explode(F.concat(F.array("id"), "neighbours")).alias("id")
-        )
+        adjacency.select(F.explode_outer(F.concat(F.array("id"), "neighbours")).alias("id"))
         .filter(F.col("id").isNotNull())
         .distinct()
     )

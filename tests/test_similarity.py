@@ -96,7 +96,7 @@ def test_jaccard_equals_brute_force(spark, busy, limits):
 def test_busy_users_leave_few_pairs_behind(spark):
     """With one huge user and pairs of more than one rater, that user's own pairs are never made."""
     ratings = [(1, i, 1.0) for i in range(200)] + [(2, 0, 1.0), (2, 1, 1.0)]
-    rated = similarity._per_user_item(frame(spark, ratings), "u", "i", "r")
+    rated = similarity._per_user_item(similarity._rows(frame(spark, ratings), "u", "i", "r", None))
     sizes = spark.createDataFrame([(1, 200, 1)], "user long, items long, most long")
     left_out = similarity._busiest(rated, sizes, 1)
     assert left_out.count() == 200
