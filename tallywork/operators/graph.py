@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tallywork.operators.aggregates import with_names
 from tallywork.session import materialise, scratch_path
-from tallywork.sources.adjacency import fields_of
 
 
 def degrees(lines: DataFrame, value: str = "value", count_trailing: bool = False) -> DataFrame:
@@ -16,12 +15,16 @@ def degrees(lines: DataFrame, value: str = "value", count_trailing: bool = False
     ``count_trailing`` counts every blank as a separator, so that a blank at the end of a line
     counts as one more neighbour.
     """
-    parsed = fields_of(lines, value, keep=(value,))
+    fields = F.split(F.trim(F.col(value)), r"\s+").alias("fields")
     counted = F.split(F.col(value), " ") if count_trailing else F.col("fields")
     return (
-        parsed.select(F.get("fields", F.lit(0)).try_cast("long").alias("id"), (F.size(counted) - 1).alias("named"))
+        lines.select(fields, value)
+        .select(F.get("fields", F.lit(0)).try_cast("long").alias("id"), (F.size(counted) - 1).alias("named"))
         .groupBy("id")
-        .agg(F.sum("named").alias("degree"))
+        # Lines without an id are dropped by a count, which Spark does not push below the split.
+        .agg(F.sum("named").alias("degree"), F.count("id").alias("_lines"))
+        .filter(F.col("_lines") > 0)
+        .drop("_lines")
     )
 
 
@@ -41,8 +44,10 @@ def least_connected(
 ) -> DataFrame:
     """Named nodes of the lowest degree that is ``at_least`` so high, by id.
 
-    The lowest degree is a scalar subquery: one value, no join and no trip to the driver.
+    The degrees are used twice, so they are written first. The lowest one is a scalar subquery:
+    one value, no join and no trip to the driver.
     """
+    degree = materialise(degree, "degrees")
     lowest = degree.filter(F.col("degree") >= at_least).select(F.min("degree")).scalar()
     chosen = degree.filter(F.col("degree") == lowest)
     return chosen.join(names.select("id", name), "id").orderBy("id")

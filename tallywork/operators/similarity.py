@@ -173,7 +173,11 @@ def jaccard_pairs(
     """
     rows, skewed = _by_user(_rows(ratings, user, item, rating, rating_over), busy)
     rated = _as_sets(rows)
-    counts = rated.groupBy("item").agg(F.count("*").alias("count")).filter(F.col("count") > item_count_over)
+    # Written because it is used three times; by its size a small one is broadcast, and then the
+    # item filter leaves the rows where they are.
+    counts = materialise(
+        rated.groupBy("item").agg(F.count("*").alias("count")).filter(F.col("count") > item_count_over), "counts"
+    )
     frequent = rated.join(counts.select("item"), "item", "left_semi")
     pairs = _pair_sums(frequent, pairs_over, False, busy, skewed)
     return (
@@ -256,7 +260,7 @@ def similar_by_jaccard(
     linear in the ratings. User counts are then taken for the items still in question only.
     """
     rows = _rows(ratings, user, item, rating, rating_over)
-    own = rows.filter(F.col("item") == target).select("user").distinct()
+    own = materialise(rows.filter(F.col("item") == target).select("user").distinct(), "own-users")
     common = materialise(
         rows.filter(F.col("item") != target)
         .join(own, "user", "left_semi")
@@ -296,10 +300,11 @@ def similar_by_cosine(
 ) -> DataFrame:
     """Best partners of one item by cosine, without building the pair table.
 
-    Each rating of the item's users adds to the sums of its item: one join, one shuffle by item.
+    Each rating of the item's users adds to the sums of its item. If those users are few enough to
+    broadcast, the ratings are not shuffled before they are summed.
     """
     rows = _rows(ratings, user, item, rating, rating_over)
-    own = _per_user_item(rows.filter(F.col("item") == target)).drop("item")
+    own = materialise(_per_user_item(rows.filter(F.col("item") == target)).drop("item"), "own-users")
     value = F.col("value")
     scored = (
         rows.filter(F.col("item") != target)

@@ -8,14 +8,15 @@ from pyspark.sql import functions as F
 from tallywork.operators import models
 from tallywork.operators.splits import random_parts
 from tallywork.plans.registry import query
+from tallywork.session import materialise
 from tallywork.sources.files import frame_from_rows, read_table, spread
 
 
 def text_sizes(spark: SparkSession, folder: str) -> DataFrame:
-    """Characters (label) against words (feature) of each document."""
-    docs = spread(read_table(spark, folder, "documents").select("text", "n_chars"))
+    """Characters (label) against words (feature) of each document, written because fits read it often."""
+    docs = spread(read_table(spark, folder, "documents").select("doc_id", "text", "n_chars"), "doc_id")
     words = F.regexp_count("text", F.lit(r"\S+")).cast("double").alias("words")
-    return models.assemble(docs.select(words, "n_chars"), ["words"], "n_chars")
+    return materialise(models.assemble(docs.select(words, "n_chars"), ["words"], "n_chars"), "sizes")
 
 
 _SIZES = """
@@ -92,8 +93,8 @@ def linear_regression_split(spark, folder):
 
 
 def price_examples(spark: SparkSession, folder: str) -> DataFrame:
-    columns = ["l_quantity", "l_discount", "l_tax", "l_extendedprice"]
-    lines = spread(read_table(spark, folder, "lineitem").select(*columns))
+    columns = ["l_orderkey", "l_quantity", "l_discount", "l_tax", "l_extendedprice"]
+    lines = spread(read_table(spark, folder, "lineitem").select(*columns), "l_orderkey")
     return models.assemble(lines, ["l_quantity", "l_discount", "l_tax"], "l_extendedprice")
 
 

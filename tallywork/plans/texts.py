@@ -22,7 +22,7 @@ def _words_sql(breaks: str) -> str:
 
 
 def _texts(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(read_table(spark, folder, "documents").select("text"))
+    return spread(read_table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
 
 
 @query("word_count_ascii", _words_sql(r"\W+"))
@@ -129,7 +129,7 @@ def parse_sql(offset_sign: str) -> str:
 
 
 def event_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return log_lines(spread(read_table(spark, folder, "events").drop("props")))
+    return log_lines(spread(read_table(spark, folder, "events").drop("props"), "event_id"))
 
 
 @query("log_parse", parse_sql("-"))

@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+_made: list[str] = []
 _local_folder: tempfile.TemporaryDirectory | None = None
 
 
@@ -48,7 +49,21 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the intermediate tables made so far; returns how many paths were there.
+
+    Call it when the results built on them have been saved.
+    """
+    context, dropped = spark.sparkContext, 0
+    while _made:
+        path = context._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        dropped += path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    return dropped
 
 
 def materialise(df, label: str):

@@ -6,27 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-# A line counts if its first field is a whole number.
-_HAS_ID = r"^\s*-?\d+(\s|$)"
-
-
-def fields_of(lines: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
-    """(fields) of the lines that start with an id, split at white space.
+def parse_adjacency(lines: DataFrame, value: str = "value") -> DataFrame:
+    """(id, neighbours) per line, both NULL where a line does not start with a whole number.
 
-    The test reads the line itself. A test on the split fields would be pushed below the split
-    and make every line be split twice.
+    An id may take several lines. There is no filter on the id here: it would be pushed below the
+    split, and each line would be split once for the test and once for the result.
     """
-    return lines.filter(F.col(value).rlike(_HAS_ID)).select(
-        F.split(F.trim(F.col(value)), r"\s+").alias("fields"), *keep
-    )
-
-
-def parse_adjacency(lines: DataFrame, value: str = "value") -> DataFrame:
-    """(id, neighbours) per line. An id may take several lines; lines without an id are dropped."""
-    named = F.slice("fields", 2, F.size("fields"))
-    return fields_of(lines, value).select(
-        F.get("fields", F.lit(0)).try_cast("long").alias("id"),
-        F.transform(named, lambda field: field.try_cast("long")).alias("neighbours"),
+    fields = F.split(F.trim(F.col(value)), r"\s+").alias("fields")
+    node = F.get("fields", F.lit(0)).try_cast("long")
+    named = F.transform(F.slice("fields", 2, F.size("fields")), lambda field: field.try_cast("long"))
+    return lines.select(fields).select(
+        node.alias("id"), F.when(node.isNotNull(), named).alias("neighbours")
     )
 
 

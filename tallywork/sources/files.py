@@ -70,11 +70,11 @@ def frame_from_rows(
     return spark.createDataFrame(list(rows), schema)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows of a few small files spread over all cores, for costly work on each row.
+def spread(df: DataFrame, by: str) -> DataFrame:
+    """Rows of a few small files spread over all cores by a key, for costly work on each row.
 
     A file is cut no finer than its row groups, so a small table may reach a single task. Inputs
     that fill the cores already are left as they are; on a large table nothing is shuffled.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, by) if df.rdd.getNumPartitions() < cores else df

@@ -25,3 +25,12 @@ def test_local_sessions_get_a_folder(spark):
 def test_materialised_tables_keep_their_schema(spark):
     empty = session.materialise(spark.range(0).selectExpr("id", "CAST(id AS STRING) AS s"), "t")
     assert empty.dtypes == [("id", "bigint"), ("s", "string")] and empty.count() == 0
+
+
+def test_scratch_can_be_dropped(spark, monkeypatch):
+    monkeypatch.setattr(session, "_made", [])
+    table = session.materialise(spark.range(5), "t")
+    session.scratch_path(spark, "never-written")
+    assert table.count() == 5
+    assert session.drop_scratch(spark) == 1
+    assert session._made == []

@@ -2,6 +2,7 @@ from pyspark.sql import Row
 
 from conftest import rows
 from tallywork import schemas
+from tallywork.operators.graph import degrees
 from tallywork.sinks import save
 from tallywork.sources import adjacency, files
 
@@ -90,7 +91,7 @@ def test_file_order(spark, tmp_path):
 def test_adjacency(spark):
     lines = spark.createDataFrame([("1 2 3 ",), ("1  2",), ("4",), ("",), ("x 1",), ("5 y 6",)], ["value"])
     parsed = adjacency.parse_adjacency(lines)
-    assert rows(parsed) == [(1, [2, 3]), (1, [2]), (4, []), (5, [None, 6])]
+    assert rows(parsed) == [(1, [2, 3]), (1, [2]), (4, []), (5, [None, 6]), (None, None), (None, None)]
     assert rows(adjacency.edges_of(parsed)) == [(1, 2), (1, 2), (1, 3), (5, 6)]
     assert rows(adjacency.nodes_of(parsed)) == [(1,), (2,), (3,), (4,), (5,), (6,)]
 
@@ -104,3 +105,16 @@ def test_save_sorted(spark, tmp_path):
 
 def test_columns_resolve_in_any_case(spark):
     assert rows(spark.createDataFrame([(1,)], ["userID"]).select("userId")) == [(1,)]
+
+
+def test_lines_are_split_once(spark, tmp_path):
+    (tmp_path / "g").write_text("1 2 3\n2 1\n")
+    parsed = adjacency.parse_adjacency(files.read_lines(spark, str(tmp_path)))
+    for df in (adjacency.edges_of(parsed), adjacency.nodes_of(parsed), degrees(files.read_lines(spark, str(tmp_path)))):
+        assert df._jdf.queryExecution().executedPlan().toString().count("split(") == 1
+
+
+def test_spread_leaves_wide_inputs_alone(spark):
+    assert files.spread(spark.range(0, 100, 1, 2), "id").rdd.getNumPartitions() == 8
+    wide = spark.range(0, 100, 1, 20)
+    assert files.spread(wide, "id") is wide
