@@ -21,10 +21,14 @@ def histogram(df: DataFrame, value: str) -> DataFrame:
 
 def popular(df: DataFrame, key: str, k: int | None = 10) -> DataFrame:
     """Keys with the most rows, ties by key; ``k`` None for all of them."""
-    ranked = df.groupBy(key).agg(F.count("*").alias("n")).orderBy(F.desc("n"), key)
+    ranked = _counts(df, key).orderBy(F.desc("n"), key)
     return ranked if k is None else ranked.limit(k)
 
 
+def _counts(df: DataFrame, key: str) -> DataFrame:
+    return df.groupBy(key).agg(F.count("*").alias("n"))
+
+
 def with_names(df: DataFrame, names: DataFrame, key: str, names_key: str, name: str) -> DataFrame:
     """Add ``name`` by key, NULL where there is none.
 
@@ -38,7 +42,8 @@ def popular_named(
     df: DataFrame, key: str, names: DataFrame, names_key: str, name: str, k: int | None = 10
 ) -> DataFrame:
     """``popular`` with names; only the ``k`` winners meet the names table."""
-    return with_names(popular(df, key, k), names, key, names_key, name).orderBy(F.desc("n"), key)
+    chosen = _counts(df, key) if k is None else popular(df, key, k)
+    return with_names(chosen, names, key, names_key, name).orderBy(F.desc("n"), key)
 
 
 def name_of(names: DataFrame, key: str, wanted: object, name: str) -> DataFrame:

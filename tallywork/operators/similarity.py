@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tallywork.functions.scalars import other_of_pair, ratio_or_zero
 from tallywork.operators.aggregates import with_names
+from tallywork.operators.splits import RANKS_IN_MAP_TASKS
 from tallywork.session import materialise
 
 BUSY_USER_ITEMS = 10_000
@@ -27,9 +28,10 @@ BUSY_USER_ITEMS = 10_000
 
 def _rows(ratings: DataFrame, user: str, item: str, rating: str, rating_over: float | None) -> DataFrame:
     """(user, item, value) of the rows that count."""
-    rows = ratings.select(
+    given = F.col(user).isNotNull() & F.col(item).isNotNull() & F.col(rating).isNotNull()
+    rows = ratings.filter(given).select(
         F.col(user).alias("user"), F.col(item).alias("item"), F.col(rating).cast("double").alias("value")
-    ).dropna()
+    )
     return rows if rating_over is None else rows.filter(F.col("value") > rating_over)
 
 
@@ -109,14 +111,15 @@ def _pair_sums(rated: DataFrame, pairs_over: int, cosine: bool, busy: int, skewe
 def _busiest(rated: DataFrame, hot: DataFrame, pairs_over: int) -> DataFrame:
     """Per item, the busiest users whose common ratings cannot add up to more than ``pairs_over``.
 
-    The rank filter comes first: it works in the map tasks, so no item is gathered whole.
+    The rank filter comes first: it works in the map tasks, so no item is gathered whole. That is
+    so up to ``RANKS_IN_MAP_TASKS``; leaving out fewer users than possible is never wrong.
     """
     by_item = Window.partitionBy("item").orderBy(F.desc("items"), F.desc("user"))
     so_far = by_item.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
         rated.join(hot, "user")
         .withColumn("_rank", F.row_number().over(by_item))
-        .filter(F.col("_rank") <= pairs_over)
+        .filter(F.col("_rank") <= min(pairs_over, RANKS_IN_MAP_TASKS))
         .withColumn("_could_add", F.sum(F.col("c") * F.col("most")).over(so_far))
         .filter(F.col("_could_add") <= pairs_over)
         .select(*rated.columns)

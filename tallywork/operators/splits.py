@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from tallywork.session import materialise
 
+# Up to this rank Spark applies a rank filter in the map tasks, before rows of a group are brought
+# together (its default for spark.sql.optimizer.windowGroupLimitThreshold).
+RANKS_IN_MAP_TASKS = 1000
+
 
 def with_position(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
     """Add ``position`` (from 1) in the order of ``order_by``, and the row count ``total``.
@@ -72,12 +76,21 @@ def holdout_per_user(
     ``order_by`` over all users, become test rows; 0 sets no limit.
 
     Only the two bounding rows per user are looked for. The rank filter is applied in the map
-    tasks already (at most ``stop`` rows per user leave each), so no user is gathered whole.
+    tasks already (at most ``stop`` rows per user leave each), so no user is gathered whole. For
+    ranks that are too high for this, each input partition's share of a user is ranked first.
     """
     place = F.struct(*order_by)
+    rows = df.select(user, place.alias("_at"))
+    if stop > RANKS_IN_MAP_TASKS:
+        share = Window.partitionBy(user, "_part").orderBy("_at")
+        rows = (
+            rows.withColumn("_part", F.spark_partition_id())
+            .withColumn("_rank", F.row_number().over(share))
+            .filter(F.col("_rank") <= stop)
+            .drop("_part", "_rank")
+        )
     ranked = (
-        df.select(user, place.alias("_at"))
-        .withColumn("_rank", F.row_number().over(Window.partitionBy(user).orderBy("_at")))
+        rows.withColumn("_rank", F.row_number().over(Window.partitionBy(user).orderBy("_at")))
         .filter(F.col("_rank") <= stop)
     )
     bounds = (

@@ -98,6 +98,36 @@ def price_examples(spark: SparkSession, folder: str) -> DataFrame:
     return models.assemble(lines, ["l_quantity", "l_discount", "l_tax"], "l_extendedprice")
 
 
+@query(
+    "tree_stump",
+    """
+    WITH features AS (
+        SELECT 'discount' AS name, l_discount AS x, l_extendedprice AS y FROM lineitem
+        UNION ALL SELECT 'tax', l_tax, l_extendedprice FROM lineitem
+    ),
+    per_value AS (SELECT name, x, count(*) AS c, sum(y) AS s FROM features GROUP BY name, x),
+    cuts AS (
+        SELECT sum(c) OVER below AS cl, sum(s) OVER below AS sl,
+               sum(c) OVER (PARTITION BY name) AS c, sum(s) OVER (PARTITION BY name) AS s
+        FROM per_value WINDOW below AS (PARTITION BY name ORDER BY x)
+    ),
+    best AS (
+        SELECT * FROM cuts WHERE cl < c ORDER BY sl * sl / cl + (s - sl) * (s - sl) / (c - cl) DESC LIMIT 1
+    )
+    SELECT round(sl / cl, 3) AS prediction, CAST(cl AS BIGINT) AS n FROM best
+    UNION ALL SELECT round((s - sl) / (c - cl), 3), CAST(c - cl AS BIGINT) FROM best
+    """,
+)
+def tree_stump(spark, folder):
+    """A tree of one split on two features of few values: the two leaf means and their rows."""
+    columns = ["l_orderkey", "l_discount", "l_tax", "l_extendedprice"]
+    lines = spread(read_table(spark, folder, "lineitem").select(*columns), "l_orderkey")
+    examples = models.assemble(lines, ["l_discount", "l_tax"], "l_extendedprice")
+    scored = models.predict(models.fit_tree(examples, maxDepth=1), examples)
+    leaves = scored.groupBy("prediction").agg(F.count("*").alias("n"))
+    return leaves.withColumn("prediction", F.round("prediction", 3))
+
+
 @query("tree_regression")
 def tree_regression(spark, folder):
     training, test = random_parts(price_examples(spark, folder), [0.8, 0.2])

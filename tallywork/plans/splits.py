@@ -76,3 +76,10 @@ def random_split_sizes(spark, folder):
         for name, part in (("first", first), ("second", second))
     ]
     return sizes[0].unionByName(sizes[1])
+
+
+@query("random_split_whole", "SELECT o_custkey, o_orderkey, o_totalprice FROM orders")
+def random_split_whole(spark, folder):
+    """The parts of a random split put together again."""
+    first, second = splits.random_parts(_orders(spark, folder), [0.8, 0.2])
+    return first.unionByName(second)

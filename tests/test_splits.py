@@ -33,8 +33,10 @@ def plain_holdout(data, start, stop, max_test):
     return out
 
 
+@pytest.mark.parametrize("ranks", [1000, 2])
 @pytest.mark.parametrize("start,stop,max_test", [(1, 10, 0), (3, 5, 0), (1, 10, 25), (11, 20, 7)])
-def test_holdout_equals_a_plain_walk(spark, start, stop, max_test):
+def test_holdout_equals_a_plain_walk(spark, monkeypatch, start, stop, max_test, ranks):
+    monkeypatch.setattr(splits, "RANKS_IN_MAP_TASKS", ranks)
     draw = random.Random(3)
     users = [1 if draw.random() < 0.4 else draw.randrange(2, 12) for _ in range(200)]
     data = list(enumerate(users))
