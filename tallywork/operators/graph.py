@@ -35,8 +35,17 @@ def most_connected(degree: DataFrame, names: DataFrame, name: str = "name") -> D
 
 def of_degree(degree: DataFrame, names: DataFrame, wanted: int = 1, name: str = "name") -> DataFrame:
     """Named nodes of exactly the wanted degree, by id."""
-    chosen = degree.filter(F.col("degree") == wanted)
-    return chosen.join(names.select("id", name), "id").orderBy("id")
+    return _named(degree.filter(F.col("degree") == wanted), names, name)
+
+
+def _named(chosen: DataFrame, names: DataFrame, name: str) -> DataFrame:
+    """Nodes that have a name, by id.
+
+    Ids are never NULL here. The null-safe comparison says so without a NOT NULL filter, which
+    Spark would push below the split of the lines.
+    """
+    lookup = names.select(F.col("id").alias("_id"), name)
+    return chosen.join(lookup, F.col("id").eqNullSafe(F.col("_id"))).drop("_id").orderBy("id")
 
 
 def least_connected(
@@ -49,8 +58,7 @@ def least_connected(
     """
     degree = materialise(degree, "degrees")
     lowest = degree.filter(F.col("degree") >= at_least).select(F.min("degree")).scalar()
-    chosen = degree.filter(F.col("degree") == lowest)
-    return chosen.join(names.select("id", name), "id").orderBy("id")
+    return _named(degree.filter(F.col("degree") == lowest), names, name)
 
 
 def breadth_first(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallywork.operators import graph
 from tallywork.plans.registry import query
+from tallywork.session import materialise
 from tallywork.sources.adjacency import edges_of, nodes_of, parse_adjacency
 from tallywork.sources.files import read_table, spread
 
@@ -158,7 +159,7 @@ def least_connected_min(spark, folder):
     """,
 )
 def bfs_distances(spark, folder):
-    adjacency = parse_adjacency(follow_lines(spark, folder))
+    adjacency = materialise(parse_adjacency(follow_lines(spark, folder)), "adjacency")
     return graph.distances(nodes_of(adjacency), edges_of(adjacency), SOURCE)
 
 
