@@ -67,9 +67,9 @@ def _best_sql(pairs: str, score_over: float, pairs_over: int) -> str:
     """
 
 
-@query("item_pairs", _common(0))
+@query("item_pairs", f"SELECT * FROM ({_common(0)}) WHERE n > 1")
 def item_pairs(spark, folder):
-    return similarity.common_raters(ratings(spark, folder), **COLUMNS)
+    return similarity.common_raters(ratings(spark, folder), **COLUMNS, pairs_over=1)
 
 
 @query(
@@ -80,9 +80,13 @@ def similarity_jaccard(spark, folder):
     return _nine(similarity.jaccard_pairs(ratings(spark, folder), **COLUMNS, rating_over=25))
 
 
-@query("similarity_cosine", f"SELECT item1, item2, n, round(score, 9) AS score FROM ({_COSINE})")
+@query(
+    "similarity_cosine",
+    f"SELECT item1, item2, n, round(score, 9) AS score FROM ({_COSINE}) WHERE n > 1",
+)
 def similarity_cosine(spark, folder):
-    return _nine(similarity.cosine_pairs(ratings(spark, folder), **COLUMNS))
+    """Pairs with more than one common user, so that no single user decides the size of the result."""
+    return _nine(similarity.cosine_pairs(ratings(spark, folder), **COLUMNS, pairs_over=1))
 
 
 @query(

@@ -45,7 +45,8 @@ class TableStream:
     """A complete-mode query whose every batch replaces the table at ``latest()``.
 
     A batch goes to a folder of its own, named by batch id, so a batch that is run again after
-    a failure overwrites itself, and readers keep the finished one meanwhile.
+    a failure overwrites itself, and readers keep the finished one meanwhile. The last two
+    finished folders are kept.
     """
 
     def __init__(
@@ -59,7 +60,6 @@ class TableStream:
         self._spark = df.sparkSession
         self._schema = df.schema
         self._path = path or scratch_path(self._spark, name)
-        self._newest: str | None = None
         writer = (
             df.writeStream.outputMode("complete")
             .queryName(name)
@@ -71,15 +71,26 @@ class TableStream:
         self.query = writer.start()
 
     def _write(self, batch: DataFrame, batch_id: int) -> None:
-        folder = f"{self._path}/batch-{batch_id}"
-        batch.write.mode("overwrite").parquet(folder)
-        self._newest = folder
+        batch.write.mode("overwrite").parquet(f"{self._path}/batch-{batch_id}")
+        for folder in self._finished()[:-2]:
+            folder.getFileSystem(self._hadoop_conf()).delete(folder, True)
+
+    def _hadoop_conf(self):
+        return self._spark.sparkContext._jsc.hadoopConfiguration()
+
+    def _finished(self) -> list:
+        """Paths of the finished batches, oldest first."""
+        marks = self._spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self._path}/batch-*/_SUCCESS")
+        found = marks.getFileSystem(self._hadoop_conf()).globStatus(marks) or []
+        folders = [mark.getPath().getParent() for mark in found]
+        return sorted(folders, key=lambda folder: int(folder.getName().removeprefix("batch-")))
 
     def latest(self) -> DataFrame:
-        """The newest finished table, empty before the first batch."""
-        if self._newest is None:
+        """The newest finished table, also one from before a restart; empty before the first batch."""
+        finished = self._finished()
+        if not finished:
             return self._spark.createDataFrame([], self._schema)
-        return self._spark.read.schema(self._schema).parquet(self._newest)
+        return self._spark.read.schema(self._schema).parquet(finished[-1].toString())
 
 
 def run_stream(df: DataFrame, name: str) -> DataFrame:

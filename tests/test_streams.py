@@ -7,7 +7,7 @@ from test_words_logs import LOG
 from tallywork.functions.logs import parse_logs
 from tallywork.sinks import TableStream, run_stream, start_stream
 from tallywork.sources.files import read_lines
-from tallywork.sources.streams import stream_lines
+from tallywork.sources.streams import stream_lines, stream_table
 from tallywork.streaming.counts import running_counts, sliding_counts
 
 
@@ -54,6 +54,10 @@ def test_stream_takes_up_where_it_stopped(spark, tmp_path):
         stream = TableStream(running_counts(stream_lines(spark, str(folder)), "value"), name(), **place)
         stream.query.awaitTermination()
     assert rows(stream.latest()) == [("a", 2), ("b", 1)]
+    stream = TableStream(running_counts(stream_lines(spark, str(folder)), "value"), name(), **place)
+    stream.query.awaitTermination()
+    assert rows(stream.latest()) == [("a", 2), ("b", 1)]
+    assert len(list((tmp_path / "out").iterdir())) == 2
 
 
 def test_stream_equals_batch(spark, tmp_path):
@@ -79,3 +83,14 @@ def test_sliding_windows_by_the_clock(spark, tmp_path):
     got = run_stream(sliding_counts(parse_logs(stream_lines(spark, str(tmp_path)))), name()).collect()
     assert len({r.window_start for r in got}) == 3
     assert sorted(r.endpoint for r in got) == sorted(["/robots.txt", "/a", "/b"] * 3)
+
+
+def test_stream_of_a_table_in_one_file_or_many(spark, tmp_path):
+    table = spark.range(20).withColumn("k", F.col("id") % 3).repartition(3)
+    table.write.parquet(str(tmp_path / "many.parquet"))
+    table.coalesce(1).write.parquet(str(tmp_path / "part"))
+    part = next((tmp_path / "part").glob("part-*.parquet"))
+    (tmp_path / "one.parquet").write_bytes(part.read_bytes())
+    for source in ("many", "one"):
+        counted = run_stream(running_counts(stream_table(spark, str(tmp_path), source), "k"), name())
+        assert rows(counted) == [(0, 7), (1, 7), (2, 6)]
