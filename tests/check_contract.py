@@ -59,7 +59,7 @@ def main() -> None:
     folder = sys.argv[1]
     names = sys.argv[2:] or list(QUERIES)
     spark = build_session(master="local[8]", spark__sql__shuffle__partitions=8, spark__ui__enabled=False,
-                          spark__driver__memory="8g")
+                          spark__ui__showConsoleProgress=False, spark__driver__memory="8g")
     spark.sparkContext.setLogLevel("ERROR")
     connection = open_tables(folder)
     for name in names:

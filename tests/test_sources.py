@@ -8,42 +8,42 @@ from tallywork.sources import adjacency, files
 
 
 def test_comma_file_with_crlf_and_bad_fields(spark, tmp_path):
-    (tmp_path / "f.csv").write_bytes(b"0,Will,33,385\r\n1,Jean-Luc,26,2\r\n2,Hugh,old,221\r\n3,Deanna\r\n")
+    (tmp_path / "f.csv").write_bytes(b"10,Zoe,41,7\r\n11,Abel-Kim,28,90\r\n12,Ida,old,13\r\n13,Omar\r\n")
     assert rows(files.read_delimited(spark, str(tmp_path / "f.csv"), schemas.FRIENDS)) == [
-        (0, "Will", 33, 385),
-        (1, "Jean-Luc", 26, 2),
-        (2, "Hugh", None, 221),
-        (3, "Deanna", None, None),
+        (10, "Zoe", 41, 7),
+        (11, "Abel-Kim", 28, 90),
+        (12, "Ida", None, 13),
+        (13, "Omar", None, None),
     ]
 
 
 def test_tab_file(spark, tmp_path):
-    (tmp_path / "r").write_text("196\t242\t3\t881250949\n186\t302\t3\t891717742\n")
+    (tmp_path / "r").write_text("70\t801\t2\t1500000001\n71\t802\t4\t1500000002\n")
     assert rows(files.read_delimited(spark, str(tmp_path), schemas.RATINGS, sep="\t")) == [
-        (186, 302, 3, 891717742),
-        (196, 242, 3, 881250949),
+        (70, 801, 2, 1500000001),
+        (71, 802, 4, 1500000002),
     ]
 
 
 def test_pipe_file_in_latin1_uses_the_first_two_fields(spark, tmp_path):
-    (tmp_path / "t").write_bytes("1|Café (1995)|01-Jan-1995||u|0|1\n2|Plain|01-Jan-1996||u|1|0\n".encode("latin-1"))
+    (tmp_path / "t").write_bytes("1|Café (2031)|a||b|0|1\n2|Plain|a||b|1|0\n".encode("latin-1"))
     read = files.read_delimited(spark, str(tmp_path), schemas.TITLES, sep="|", encoding="ISO-8859-1")
-    assert rows(read) == [(1, "Café (1995)"), (2, "Plain")]
+    assert rows(read) == [(1, "Café (2031)"), (2, "Plain")]
 
 
 def test_blank_separated_names_with_quotes(spark, tmp_path):
-    (tmp_path / "n").write_text('1 "24-HOUR MAN/EMMANUEL"\n2 "3-D MAN/CHARLES CHAN"\n3 PLAIN\n')
+    (tmp_path / "n").write_text('1 "OLD OAK/TREE"\n2 "7-B HOUSE/ON HILL"\n3 PLAIN\n')
     assert rows(files.read_delimited(spark, str(tmp_path), schemas.NAMES, sep=" ")) == [
-        (1, "24-HOUR MAN/EMMANUEL"),
-        (2, "3-D MAN/CHARLES CHAN"),
+        (1, "OLD OAK/TREE"),
+        (2, "7-B HOUSE/ON HILL"),
         (3, "PLAIN"),
     ]
 
 
 def test_double_colon_file(spark, tmp_path):
-    (tmp_path / "r").write_text("1::1193::5::978300760\n1::661::3.5::978302109\n")
+    (tmp_path / "r").write_text("9::77::5::1500000003\n9::78::3.5::1500000004\n")
     read = files.read_delimited(spark, str(tmp_path), schemas.RATINGS_FRACTIONAL, sep="::")
-    assert rows(read) == [(1, 1193, 5.0, 978300760), (1, 661, 3.5, 978302109)]
+    assert rows(read) == [(9, 77, 5.0, 1500000003), (9, 78, 3.5, 1500000004)]
 
 
 def test_header_with_mark_and_inferred_types(spark, tmp_path):

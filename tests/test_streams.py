@@ -82,7 +82,7 @@ def test_sliding_windows_by_the_clock(spark, tmp_path):
     (tmp_path / "a.log").write_text("\n".join(LOG[:3]) + "\n")
     got = run_stream(sliding_counts(parse_logs(stream_lines(spark, str(tmp_path)))), name()).collect()
     assert len({r.window_start for r in got}) == 3
-    assert sorted(r.endpoint for r in got) == sorted(["/robots.txt", "/a", "/b"] * 3)
+    assert sorted(r.endpoint for r in got) == sorted(["/start", "/a", "/b"] * 3)
 
 
 def test_stream_of_a_table_in_one_file_or_many(spark, tmp_path):

@@ -10,22 +10,22 @@ from tallywork.operators.words import fold_words, word_count
 
 @pytest.fixture(scope="module")
 def lines(spark):
-    return spark.createDataFrame([("Self-Employment: Café, café!",), ("",), ("self ÄÖ --",)], ["value"])
+    return spark.createDataFrame([("Half-Moon: Café, café!",), ("",), ("half ÄÖ --",)], ["value"])
 
 
 def test_ascii_words_end_at_other_letters(lines):
-    assert rows(word_count(lines)) == [("caf", 2), ("employment", 1), ("self", 2)]
+    assert rows(word_count(lines)) == [("caf", 2), ("half", 2), ("moon", 1)]
 
 
 def test_unicode_words(lines):
     counts = word_count(lines, mode="unicode")
     assert [tuple(r) for r in counts.collect()] == [
         ("café", 2),
-        ("self", 2),
-        ("employment", 1),
+        ("half", 2),
+        ("moon", 1),
         ("äö", 1),
     ]
-    assert rows(fold_words(counts)) == [("caf", 2), ("employment", 1), ("self", 2)]
+    assert rows(fold_words(counts)) == [("caf", 2), ("half", 2), ("moon", 1)]
 
 
 def test_rising_order(lines):
@@ -41,9 +41,9 @@ def test_scalars(spark):
 
 
 LOG = [
-    '66.249.75.159 - - [29/Nov/2015:03:50:05 -0000] "GET /robots.txt HTTP/1.1" 200 55',
-    'host.example.org - - [29/Nov/2015:03:50:05 +0100] "GET /a HTTP/1.1" 304 -',
-    'localhost - - [29/Nov/2015:03:50:05 -0700] "GET /b" 404 7',
+    '10.1.2.3 - - [05/Mar/2031:07:08:09 -0000] "GET /start HTTP/1.1" 200 55',
+    'host.example.org - - [05/Mar/2031:07:08:09 +0100] "GET /a HTTP/1.1" 304 -',
+    'localhost - - [05/Mar/2031:07:08:09 -0700] "GET /b" 404 7',
     "not a log line",
     "",
 ]
@@ -52,9 +52,9 @@ LOG = [
 def test_log_fields(spark):
     logs = parse_logs(spark.createDataFrame([(line,) for line in LOG], ["value"]))
     assert [tuple(r) for r in logs.collect()] == [
-        ("66.249.75.159", "29/Nov/2015:03:50:05 -0000", "GET", "/robots.txt", "HTTP/1.1", 200, 55),
+        ("10.1.2.3", "05/Mar/2031:07:08:09 -0000", "GET", "/start", "HTTP/1.1", 200, 55),
         ("host.example.org", "", "GET", "/a", "HTTP/1.1", 304, None),
-        ("", "29/Nov/2015:03:50:05 -0700", "GET", "/b", "", 404, 7),
+        ("", "05/Mar/2031:07:08:09 -0700", "GET", "/b", "", 404, 7),
         ("", "", "", "", "", None, None),
         ("", "", "", "", "", None, None),
     ]
@@ -62,4 +62,4 @@ def test_log_fields(spark):
 
 def test_any_offset(spark):
     logs = parse_logs(spark.createDataFrame([(LOG[1],)], ["value"]), any_offset=True)
-    assert logs.first().timestamp == "29/Nov/2015:03:50:05 +0100"
+    assert logs.first().timestamp == "05/Mar/2031:07:08:09 +0100"
