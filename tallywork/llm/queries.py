@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame
 
-from tallywork.llm import token_counts, url_filter
+from tallywork.llm import quality_rules, token_counts, url_filter
 from tallywork.llm.common import table
 from tallywork.llm.registry import query
 
@@ -22,3 +22,9 @@ def op4_token_counts(spark, folder: str) -> DataFrame:
 def op10_url_filters(spark, folder: str) -> DataFrame:
     """Allow or block for every page's url."""
     return url_filter.judge_urls(table(spark, folder, "pages"), url_filter.parse_rules(URL_RULES))
+
+
+@query("op8_quality_rules")
+def op8_quality_rules(spark, folder: str) -> DataFrame:
+    """Counts, base rules and the repetition verdict of every document."""
+    return quality_rules.judge(table(spark, folder, "documents"))
