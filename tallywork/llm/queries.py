@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
-from tallywork.llm import quality_rules, token_counts, url_filter
-from tallywork.llm.common import table
+from tallywork.llm import quality_rules, token_counts, toxicity, url_filter
+from tallywork.llm.common import held_out, label_sample, table
 from tallywork.llm.registry import query
 
 URL_RULES = "allow org/, block example.org/es/, block example.org/en/1, allow com/fr/, block com/de/"
@@ -28,3 +28,12 @@ def op10_url_filters(spark, folder: str) -> DataFrame:
 def op8_quality_rules(spark, folder: str) -> DataFrame:
     """Counts, base rules and the repetition verdict of every document."""
     return quality_rules.judge(table(spark, folder, "documents"))
+
+
+@query("op3_toxicity")
+def op3_toxicity(spark, folder: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels that are not held out."""
+    docs, settings = table(spark, folder, "documents"), toxicity.Settings()
+    sample = label_sample(docs, table(spark, folder, "labels"), "toxic", settings.bound)
+    scored = toxicity.train(sample, settings).score(docs)
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
