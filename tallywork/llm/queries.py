@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, functions as F
 
-from tallywork.llm import packing, quality_rules, token_counts, toxicity, url_filter
+from tallywork.llm import byte_cnn, packing, quality_rules, token_counts, toxicity, url_filter
 from tallywork.llm.common import held_out, label_sample, table
 from tallywork.llm.registry import query
 
@@ -43,3 +43,12 @@ def op3_toxicity(spark, folder: str) -> DataFrame:
 def op5_best_fit_packing(spark, folder: str) -> DataFrame:
     """Every document's pieces, packed into sequences of 4096 tokens."""
     return packing.pack_documents(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op9_quality_classifier")
+def op9_quality_classifier(spark, folder: str) -> DataFrame:
+    """Quality of every document, learned from the labels that are not held out."""
+    docs, settings = table(spark, folder, "documents"), byte_cnn.Settings()
+    sample = label_sample(docs, table(spark, folder, "labels"), "quality", settings.bound)
+    scored = byte_cnn.train(sample, settings).score(docs)
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
