@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, functions as F
 
-from tallywork.llm import byte_cnn, packing, quality_rules, token_counts, toxicity, url_filter
+from tallywork.llm import byte_bpe, byte_cnn, packing, quality_rules, token_counts, toxicity, url_filter
 from tallywork.llm.common import held_out, label_sample, table
 from tallywork.llm.registry import query
 
@@ -52,3 +52,17 @@ def op9_quality_classifier(spark, folder: str) -> DataFrame:
     sample = label_sample(docs, table(spark, folder, "labels"), "quality", settings.bound)
     scored = byte_cnn.train(sample, settings).score(docs)
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query("op1_byte_bpe")
+def op1_byte_bpe(spark, folder: str) -> DataFrame:
+    """Ids of every document, and the bytes they decode to, as digests."""
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    ids = byte_bpe.encode(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
+    both = byte_bpe.decode(ids, ranks, out="decoded")
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
