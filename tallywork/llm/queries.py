@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, functions as F
 
-from tallywork.llm import byte_bpe, byte_cnn, packing, quality_rules, token_counts, toxicity, url_filter
+from tallywork.llm import byte_bpe, byte_cnn, jaccard_join, packing, quality_rules, token_counts, toxicity, url_filter
 from tallywork.llm.common import held_out, label_sample, table
 from tallywork.llm.registry import query
 
@@ -66,3 +66,9 @@ def op1_byte_bpe(spark, folder: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op7_ngram_jaccard_join")
+def op7_ngram_jaccard_join(spark, folder: str) -> DataFrame:
+    """Components of documents that share nine tenths of their three-word shingles."""
+    return jaccard_join.components(table(spark, folder, "documents"))
