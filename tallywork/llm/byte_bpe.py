@@ -1,10 +1,14 @@
 """Byte-level BPE over whole corpora: every distinct word goes through the merges once.
 
 Texts are cut into words where the vocabulary's pattern always ends a match: before a blank that follows something else.
-A block is what one task reads up to a size in bytes. Its positions stay as numbers of the block's distinct words; only the
-distinct words are shuffled, grouped into bundles by a hash, so that all copies of a word in the corpus meet in one
-task, which encodes it once. The ids go back to the block, which puts them together by position. Frequent words cost no
-more than one row per block, and no group has to fit in memory but a block.
+A block is what one task reads up to a size in bytes. Its positions stay as numbers of the block's distinct words, the
+commonest first; only the distinct words are shuffled, grouped into bundles by a hash, so that all copies of a word in the
+corpus meet in one task, which encodes it once. The ids go back to the block, which puts them together by position.
+Frequent words cost no more than one row per block, and no group has to fit in memory but a block.
+
+Words and positions come from two readings of the documents, as a copy of the positions would take more disk than
+it saves time. A checksum of each block's texts makes the job fail, rather than mix blocks, should the second reading
+differ; tables read the same every time.
 """
 
 from __future__ import annotations
@@ -16,92 +20,114 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
+from xxhash import xxh3_64_intdigest
 
-from tallywork.llm.common import arrow_rows, materialise, partitions
+from tallywork.llm.common import arrow_rows, partitions
 from tallywork.llm.vocabularies import broadcast_file, once, read_ranks, spaced_pieces
 
-BLOCK = 24 << 20
+BLOCK = 40 << 20
 
 
 def _packed(words: list[bytes]) -> bytes:
     """Words with their lengths, compressed."""
-    lengths = np.fromiter(map(len, words), np.uint32, len(words)).tobytes()
-    return zlib.compress(len(words).to_bytes(4, "little") + lengths + b"".join(words), 1)
+    lengths = _numbers(np.fromiter(map(len, words), np.uint32, len(words)))
+    return len(lengths).to_bytes(4, "little") + lengths + zstandard.ZstdCompressor(6).compress(b"".join(words))
 
 
 def _unpacked(raw: bytes) -> list[bytes]:
-    raw = zlib.decompress(raw)
     n = int.from_bytes(raw[:4], "little")
-    ends = 4 + 4 * n + np.cumsum(np.frombuffer(raw, np.uint32, n, 4), dtype=np.int64)
-    return [raw[a:b] for a, b in zip([4 + 4 * n, *ends[:-1].tolist()], ends.tolist())] if n else []
+    ends = np.cumsum(_from_numbers(raw[4 : 4 + n]), dtype=np.int64).tolist()
+    joined = zstandard.ZstdDecompressor().decompress(raw[4 + n :])
+    return [joined[a:b] for a, b in zip([0, *ends], ends)]
 
 
 def _numbers(values: np.ndarray) -> bytes:
     """Numbers below 2^32, compressed by bytes of equal weight."""
+    if not len(values):
+        return b"\0"
     planes = values.astype("<u4").view(np.uint8).reshape(-1, 4).T
-    used = 4 if not len(values) else max(1, (int(values.max()).bit_length() + 7) // 8)
-    return bytes([used]) + zlib.compress(np.ascontiguousarray(planes[:used]).tobytes(), 1)
+    used = max(1, (int(values.max()).bit_length() + 7) // 8)
+    return bytes([used]) + zstandard.ZstdCompressor(6).compress(np.ascontiguousarray(planes[:used]).tobytes())
 
 
 def _from_numbers(raw: bytes) -> np.ndarray:
-    used, flat = raw[0], np.frombuffer(zlib.decompress(raw[1:]), np.uint8)
+    used = raw[0]
+    if not used:
+        return np.zeros(0, np.uint32)
+    flat = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw[1:]), np.uint8)
     planes = np.zeros((4, len(flat) // used), np.uint8)
     planes[:used] = flat.reshape(used, -1)
     return np.ascontiguousarray(planes.T).view("<u4").reshape(-1)
 
 
-def _blocks(docs: DataFrame, bundles: int, block: int) -> DataFrame:
-    """Rows of (block, bundle, first, keys, payload): bundles of distinct words, and positions under bundle -1."""
+#: Rows on their way: ids of a bundle's words (kind 0), which bundle each word is in (1), texts of a block (2).
+_ROW = "block long, kind int, first int, keys array<{}>, sizes binary, payload binary, counts binary, check long"
+
+
+def _blocks(docs: DataFrame, bundles: int, block: int, words: bool) -> DataFrame:
+    """The distinct words of each block in bundles (``words``), or its positions."""
     kind = docs.schema.fields[0].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        from pyspark import TaskContext
-
-        task, made = TaskContext.get().partitionId(), 0
+        task, made = 0, 0
         numbers: dict[str, int] = defaultdict(count().__next__)
-        size, sent = 0, 0
+        chosen: list[tuple[list, np.ndarray, np.ndarray]] = []
+        size, check = 0, 0
 
-        def row(bundle: int, first: int, keys: list | None, payload: bytes, sizes: bytes) -> dict:
+        def row(kind: int, first: int, payload: bytes, keys: list | None = None, sizes: bytes | None = None) -> dict:
             return {
-                "block": [(task << 32) | made], "bundle": [bundle], "first": [first], "keys": [keys],
-                "sizes": [sizes], "payload": [payload],
+                "block": [(task << 32) | made], "kind": [kind], "first": [first], "keys": [keys], "sizes": [sizes],
+                "payload": [payload], "counts": [None], "check": [check - (1 << 63)],
             }
 
         def close() -> Iterator[dict]:
-            groups: dict[int, list[tuple[bytes, int]]] = defaultdict(list)
-            for word, number in numbers.items():
-                raw = word.encode("utf-8")
-                groups[zlib.crc32(raw) % bundles].append((raw, number))
-            for bundle, members in groups.items():
-                members.sort()
-                at = np.array([number for _, number in members])
-                yield row(bundle, 0, None, _packed([raw for raw, _ in members]), _numbers(at))
+            seen = np.zeros(len(numbers), np.int64)
+            for _, _, flat in chosen:
+                seen += np.bincount(flat, minlength=len(numbers))
+            order = np.argsort(-seen, kind="stable")
+            listed = list(numbers)
+            ranked = [listed[i].encode("utf-8") for i in order.tolist()]
+            own = np.fromiter((zlib.crc32(raw) % bundles for raw in ranked), np.uint32, len(ranked))
+            if words:
+                groups: dict[int, list[bytes]] = defaultdict(list)
+                for raw, bundle in zip(ranked, own.tolist()):
+                    groups[bundle].append(raw)
+                for bundle, members in groups.items():
+                    yield row(0, bundle, _packed(members))
+                return
+            rank = np.empty(len(order), np.uint32)
+            rank[order] = np.arange(len(order))
+            yield row(1, 0, _numbers(own))
+            for k, (keys, lengths, flat) in enumerate(chosen):
+                yield row(2, k, _numbers(rank[flat]), keys, _numbers(lengths))
 
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            task = batch.column(2)[0].as_py() if keys else task
             done = 0
             while done < len(texts):
-                chosen, first = [], done
+                pieces, first = [], done
                 while done < len(texts) and size < block:
                     value = texts[done] or ""
-                    chosen.append(list(map(numbers.__getitem__, spaced_pieces(value))))
+                    pieces.append(list(map(numbers.__getitem__, spaced_pieces(value))))
+                    check = xxh3_64_intdigest(value, check)
                     size += len(value) + 32
                     done += 1
-                lengths = np.fromiter(map(len, chosen), np.uint32, len(chosen))
-                flat = np.fromiter((n for c in chosen for n in c), np.uint32, int(lengths.sum()))
-                yield row(-1, sent, keys[first:done], _numbers(flat), _numbers(lengths))
-                sent += 1
+                lengths = np.fromiter(map(len, pieces), np.uint32, len(pieces))
+                flat = np.fromiter((n for p in pieces for n in p), np.uint32, int(lengths.sum()))
+                chosen.append((keys[first:done], lengths, flat))
                 if size >= block:
                     yield from close()
                     numbers.clear()
                     numbers.default_factory = count().__next__
-                    size, sent, made = 0, 0, made + 1
-        if sent:
+                    chosen.clear()
+                    size, check, made = 0, 0, made + 1
+        if chosen:
             yield from close()
 
-    schema = f"block long, bundle int, first int, keys array<{kind}>, sizes binary, payload binary"
-    return arrow_rows(docs, run, schema)
+    return arrow_rows(docs, run, _ROW.format(kind))
 
 
 def _encoder(ranks: dict[bytes, int], pattern: str):
@@ -111,31 +137,29 @@ def _encoder(ranks: dict[bytes, int], pattern: str):
 
 
 def _encoded(bundles: DataFrame, ranks, pattern: str, cached: int) -> DataFrame:
-    """(block, sizes, ids, counts) per bundle row; a task sees all copies of a word and encodes it once."""
+    """Ids and counts in place of each bundle's words; a task sees all copies of a word and encodes it once."""
+    key = dict(bundles.dtypes)["keys"].removeprefix("array<").removesuffix(">")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        encode = once(("ranks", hash(ranks.value), pattern), lambda: _encoder(read_ranks(ranks.value), pattern)).encode_ordinary
+        encoder = once(("ranks", hash(ranks.value), pattern), lambda: _encoder(read_ranks(ranks.value), pattern))
         known: dict[bytes, bytes] = {}
         for batch in batches:
-            block, sizes, payload = (batch.column(i).to_pylist() for i in range(3))
             ids, counts = [], []
-            for raw in payload:
+            for raw in batch.column(5).to_pylist():
                 parts = []
                 for word in _unpacked(raw):
                     found = known.get(word)
                     if found is None:
                         if len(known) >= cached:
                             known.clear()
-                        found = known[word] = np.array(encode(word.decode("utf-8")), "<u4").tobytes()
+                        found = known[word] = np.array(encoder.encode_ordinary(word.decode("utf-8")), "<u4").tobytes()
                     parts.append(found)
                 counts.append(_numbers(np.fromiter(map(len, parts), np.uint32, len(parts)) // 4))
                 ids.append(_numbers(np.frombuffer(b"".join(parts), "<u4")))
-            yield {"block": block, "bundle": [0] * len(block), "first": [0] * len(block), "keys": [None] * len(block),
-                   "sizes": sizes, "payload": ids, "counts": counts}
+            same = {n: batch.column(i) for i, n in enumerate(("block", "kind", "first", "keys", "sizes"))}
+            yield same | {"payload": ids, "counts": counts, "check": batch.column(7)}
 
-    kind = dict(bundles.dtypes)["keys"]
-    schema = f"block long, bundle int, first int, keys {kind}, sizes binary, payload binary, counts binary"
-    return arrow_rows(bundles.select("block", "sizes", "payload"), run, schema)
+    return arrow_rows(bundles, run, _ROW.format(key))
 
 
 def encode(
@@ -156,49 +180,49 @@ def encode(
     ranks = broadcast_file(spark, vocabulary)
     n = partitions(spark)
     # Enough bundles for every task to get several, whatever the cluster; a bundle's share of a block is small.
-    source = docs.select(F.col(doc_id), F.col(text))
-    parts = materialise(_blocks(source, max(256, 4 * n), block), "blocks")
-    words = parts.where("bundle >= 0").select("bundle", "block", "sizes", "payload", "keys").repartition(n, "bundle")
-    back = _encoded(words, ranks, pattern, cached)
-    positions = parts.where("bundle < 0").withColumn("counts", F.lit(None).cast("binary"))
+    bundles = max(256, 4 * n)
+    # The partition as the reading itself counts it, which is the same where the reading is part of a union.
+    source = docs.select(F.col(doc_id), F.col(text), F.spark_partition_id())
     kind = source.schema.fields[0].dataType.simpleString()
-    # Rows of a block follow one another, words first and then its texts in order.
+    back = _encoded(_blocks(source, bundles, block, words=True).repartition(n, "first"), ranks, pattern, cached)
+    # Rows of a block follow one another: its words' ids by bundle, which bundle each word is in, and its texts.
     together = (
-        back.withColumn("bundle", F.lit(0))
-        .unionByName(positions.withColumn("bundle", F.lit(1)))
+        back.unionByName(_blocks(source, bundles, block, words=False))
         .repartition(n, "block")
-        .sortWithinPartitions("block", "bundle", "first")
+        .sortWithinPartitions("block", "kind", "first")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        current, pending, starts, ends, ids = None, [], None, None, None
+        current, parts, table, checks = None, [], None, set()
         for batch in batches:
             rows = zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns)))
-            for own, bundle, _, keys, sizes, payload, counts in rows:
+            for own, kind, _, keys, sizes, payload, counts, check in rows:
                 if own != current:
-                    current, pending, starts = own, [], None
-                if bundle == 0:
-                    pending.append((sizes, payload, counts))
-                    continue
-                if starts is None:
-                    starts, ends, ids = _table(pending)
-                    pending = []
-                yield from _assembled(keys, _from_numbers(sizes), _from_numbers(payload), starts, ends, ids)
+                    current, parts, checks = own, [], set()
+                checks.add(check)
+                if len(checks) > 1:
+                    raise RuntimeError("the documents read differently the second time")
+                if kind == 0:
+                    parts.append((payload, counts))
+                elif kind == 1:
+                    table = _table(parts, _from_numbers(payload))
+                    parts = []
+                else:
+                    yield from _assembled(keys, _from_numbers(sizes), _from_numbers(payload), *table)
 
     return arrow_rows(together, run, f"doc_id {kind}, ids array<int>")
 
 
-def _table(parts: list[tuple[bytes, bytes, bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Where each of a block's words has its ids: starts, ends, and all ids."""
-    numbers = [_from_numbers(n) for n, _, _ in parts]
-    counts = [_from_numbers(c).astype(np.int64) for _, _, c in parts]
-    ids = np.concatenate([_from_numbers(i) for _, i, _ in parts] or [np.zeros(0, np.uint32)]).astype(np.int32)
-    number = np.concatenate(numbers or [np.zeros(0, np.uint32)]).astype(np.int64)
-    count_ = np.concatenate(counts or [np.zeros(0, np.int64)])
-    ends = np.zeros(len(number), np.int64)
-    starts = np.zeros(len(number), np.int64)
-    total = np.cumsum(count_)
-    ends[number], starts[number] = total, total - count_
+def _table(parts: list[tuple[bytes, bytes]], bundles: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where each of a block's words has its ids (starts, ends), and all ids, from the parts in order of bundles."""
+    ids = np.concatenate([_from_numbers(i) for i, _ in parts] or [np.zeros(0, np.uint32)]).astype(np.int32)
+    sizes = np.concatenate([_from_numbers(c) for _, c in parts] or [np.zeros(0, np.uint32)]).astype(np.int64)
+    if len(sizes) != len(bundles):
+        raise RuntimeError("words of a block are missing")
+    order = np.argsort(bundles, kind="stable")
+    total = np.cumsum(sizes)
+    starts, ends = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
+    starts[order], ends[order] = total - sizes, total
     return starts, ends, ids
 
 
