@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, functions as F
 
-from tallywork.llm import byte_bpe, byte_cnn, jaccard_join, packing, quality_rules, token_counts, toxicity, url_filter
+from tallywork.llm import byte_bpe, byte_cnn, embedding_dups, jaccard_join, packing, quality_rules, token_counts, toxicity, url_filter
 from tallywork.llm.common import held_out, label_sample, table
 from tallywork.llm.registry import query
 
@@ -72,3 +72,9 @@ def op1_byte_bpe(spark, folder: str) -> DataFrame:
 def op7_ngram_jaccard_join(spark, folder: str) -> DataFrame:
     """Components of documents that share nine tenths of their three-word shingles."""
     return jaccard_join.components(table(spark, folder, "documents"))
+
+
+@query("op6_embedding_near_dedup")
+def op6_embedding_near_dedup(spark, folder: str) -> DataFrame:
+    """Links and components of vectors of equal labels."""
+    return embedding_dups.near_duplicates(table(spark, folder, "embeddings"))
