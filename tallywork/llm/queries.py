@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, functions as F
 
-from tallywork.llm import byte_bpe, byte_cnn, embedding_dups, jaccard_join, packing, quality_rules, token_counts, toxicity, url_filter
+from tallywork.llm import byte_bpe, byte_cnn, embedding_dups, jaccard_join, packing, quality_rules, substring_dedup, token_counts, toxicity, url_filter
 from tallywork.llm.common import held_out, label_sample, table
 from tallywork.llm.registry import query
 
@@ -78,3 +78,9 @@ def op7_ngram_jaccard_join(spark, folder: str) -> DataFrame:
 def op6_embedding_near_dedup(spark, folder: str) -> DataFrame:
     """Links and components of vectors of equal labels."""
     return embedding_dups.near_duplicates(table(spark, folder, "embeddings"))
+
+
+@query("op2_substring_dedup")
+def op2_substring_dedup(spark, folder: str) -> DataFrame:
+    """The repeated passages of every document that holds any."""
+    return substring_dedup.repeated_spans(table(spark, folder, "documents")).drop("doc")
