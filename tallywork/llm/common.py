@@ -23,12 +23,16 @@ __all__ = [
     "partitions",
     "shingle_hashes",
     "table",
+    "thinned",
     "word_hashes",
 ]
 
 #: Words as the word-based contracts define them: runs of anything but space and \t \n \v \f \r.
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
+#: Rows that ``arrow_rows`` hands on at a time.
+SLICE = 1024
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A table of a test folder."""
@@ -43,12 +47,20 @@ def partitions(spark: SparkSession) -> int:
 def arrow_rows(
     df: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str
 ) -> DataFrame:
-    """``mapInArrow`` for a function that yields a dict of column lists per batch."""
+    """``mapInArrow`` for a function that yields a dict of column lists per batch.
+
+    Batches are handed on in slices, so that a worker holds few rows as Python objects at a time.
+    """
     struct = T._parse_datatype_string(schema)
     arrow = to_arrow_schema(struct)
 
+    def sliced(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE):
+                yield batch.slice(at, SLICE)
+
     def run(batches):
-        for columns in rows(batches):
+        for columns in rows(sliced(batches)):
             arrays = [
                 c if isinstance(c := columns[f.name], pa.Array) else pa.array(c, f.type) for f in arrow
             ]
@@ -57,6 +69,32 @@ def arrow_rows(
     return df.mapInArrow(run, struct)
 
 
+#: Bits of the filter in ``thinned``: at most a quarter of a million rows of 64 bits are broadcast.
+FILTER_BITS = 1 << 24
+
+
+def thinned(rows: DataFrame, key: str, wanted: DataFrame, of: str) -> DataFrame:
+    """``rows`` without most of those whose long ``key`` is not among the ``of`` values of ``wanted``.
+
+    To be called before a join of the two, which then shuffles little of a large side: keys are hashed to a fixed number
+    of bits, which are broadcast and looked up in the map tasks. No row that the join needs is dropped. The more keys are wanted,
+    the more others pass; the join does what the filter leaves.
+    """
+
+    def bit(column: str):
+        return F.pmod(F.xxhash64(F.col(column), F.lit("bit")), F.lit(FILTER_BITS))
+
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("__bit") % 64).cast("int"))
+    words = (
+        wanted.select(bit(of).alias("__bit"))
+        .groupBy(F.floor(F.col("__bit") / 64).alias("__word"))
+        .agg(F.bit_or(one).alias("__bits"))
+    )
+    marked = rows.withColumn("__at", bit(key)).withColumn("__word", F.floor(F.col("__at") / 64))
+    kept = marked.join(F.broadcast(words), "__word").where(F.getbit("__bits", (F.col("__at") % 64).cast("int")) == 1)
+    return kept.select(*[f"`{c}`" for c in rows.columns])
+
+
 def held_out(doc_id) -> F.Column:
     """True where crc32 of the id, written as text, leaves 2 on division by 4 (false for a null id)."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))

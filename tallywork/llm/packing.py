@@ -16,30 +16,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tallywork.llm.common import arrow_rows, materialise
-from tallywork.llm.vocabularies import Vocabulary, broadcast_file, once
+from tallywork.llm.vocabularies import Recent, Vocabulary, broadcast_file, once
 
 #: White space of the vocabulary's pattern where ``str.split`` would also cut at \x1c-\x1f.
 _CONTROLS = re.compile(r"[\x1c-\x1f]")
 _BLANKS = re.compile(r"(?:(?![\x1c-\x1f])\s)+")
 
 
-class _Ids(dict):
-    """Little-endian 32-bit ids of pieces without white space; forgets everything when full."""
+class _Ids(Recent):
+    """Little-endian 32-bit ids of pieces without white space."""
 
     def __init__(self, vocabulary: Vocabulary, limit: int):
-        super().__init__()
-        self.vocabulary, self.limit = vocabulary, limit
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= self.limit:
-            self.clear()
-        ids = self[piece] = np.array(self.vocabulary.ids_of(piece), "<u4").tobytes()
-        return ids
+        super().__init__(vocabulary.ids_of, limit)
+        self.vocabulary = vocabulary
 
     def encode(self, text: str) -> bytes:
         """The ids of a whole text, for a vocabulary that drops white space."""
         if self.vocabulary.special(text):
-            return np.array(self.vocabulary.whole(text), "<u4").tobytes()
+            return self.vocabulary.whole(text)
         if _CONTROLS.search(text):
             return b"".join(self[p] for p in _BLANKS.split(text) if p)
         return b"".join(map(self.__getitem__, text.split()))

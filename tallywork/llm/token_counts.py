@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallywork.llm.common import arrow_rows
-from tallywork.llm.vocabularies import Vocabulary, broadcast_file, once, spaced_pieces
+from tallywork.llm.vocabularies import Recent, Vocabulary, broadcast_file, once, spaced_pieces
 
 
 def frequent_pieces(docs: DataFrame, text: str = "text", frequent: int = 32_768, per_task: int = 8_192) -> list[str]:
@@ -47,19 +47,17 @@ def frequent_pieces(docs: DataFrame, text: str = "text", frequent: int = 32_768,
     return [row.piece for row in best.collect()]
 
 
-class _Lengths(dict):
-    """Token counts of pieces: starts as the broadcast table, and learns the rest."""
+class _Lengths(Recent):
+    """Token counts of pieces: the broadcast table, which stays, and what the worker has learnt."""
 
     def __init__(self, first: list[tuple[str, int]], vocabulary: Vocabulary, limit: int):
-        super().__init__(first)
-        self.first, self.vocabulary, self.limit = first, vocabulary, limit
+        super().__init__(lambda piece: len(vocabulary.ids_of(piece)) // 4, limit + 2 * len(first))
+        self.first, self.vocabulary = first, vocabulary
+        self.update(first)
 
-    def __missing__(self, piece: str) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-            self.update(self.first)
-        n = self[piece] = len(self.vocabulary.ids_of(piece))
-        return n
+    def clear(self) -> None:
+        super().clear()
+        self.update(self.first)
 
 
 def count_tokens(
@@ -69,7 +67,7 @@ def count_tokens(
     keep: list[str | Column] | None = None,
     limit: int = 1024,
     frequent: int = 32_768,
-    cached: int = 1_000_000,
+    cached: int = 800_000,
 ) -> DataFrame:
     """``keep`` columns with n_bytes (UTF-8), n_tokens and over_limit of each row's whole text.
 
@@ -79,7 +77,7 @@ def count_tokens(
     """
     file = broadcast_file(docs.sparkSession, vocabulary)
     own = Vocabulary(file.value, cached)
-    table = [(piece, len(own.ids_of(piece))) for piece in frequent_pieces(docs, text, frequent)]
+    table = [(piece, len(own.ids_of(piece)) // 4) for piece in frequent_pieces(docs, text, frequent)]
     shared = docs.sparkSession.sparkContext.broadcast(table)
     kept = [F.col(c) if isinstance(c, str) else c for c in keep or ["doc_id"]]
     rows = docs.select(*kept, F.coalesce(F.col(text), F.lit("")).alias("__text"))
@@ -92,7 +90,7 @@ def count_tokens(
         for batch in batches:
             texts = batch.column(len(names)).to_pylist()
             tokens = [
-                len(lengths.vocabulary.whole(t))
+                len(lengths.vocabulary.whole(t)) // 4
                 if lengths.vocabulary.special(t)
                 else sum(map(lengths.__getitem__, spaced_pieces(t)))
                 for t in texts

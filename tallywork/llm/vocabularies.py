@@ -8,6 +8,8 @@ from __future__ import annotations
 import base64
 import json
 import re
+from array import array
+from collections.abc import Callable
 
 from pyspark import Broadcast
 from pyspark.sql import SparkSession
@@ -28,6 +30,27 @@ def once(key: tuple, build):
     return _built[key]
 
 
+class Recent(dict):
+    """A bounded cache: asked for a key that it lacks, it computes the value.
+
+    What was used since the last half of the limit was filled stays when the older half is dropped.
+    """
+
+    def __init__(self, compute: Callable, limit: int):
+        super().__init__()
+        self.compute, self.half, self.older = compute, max(1, limit // 2), {}
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.compute(key)
+        if len(self) >= self.half:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 def read_ranks(raw: bytes) -> dict[bytes, int]:
     """Token bytes to rank, from a rank file."""
     return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, raw.splitlines())}
@@ -50,7 +73,7 @@ _CUT_BEFORE_SPACE = re.compile(r"(?<=\S)(?= )")
 class Vocabulary:
     """A ``tokenizers`` vocabulary with the tricks that make single pieces cheap.
 
-    ``ids_of(piece)`` equals the library's ids. A piece of letters and one mark is looked up as
+    ``ids_of(piece)`` gives the library's ids. A piece of letters and one mark is looked up as
     its letters and the mark, so that each stem goes through the merges once, by the library's own model.
     """
 
@@ -64,38 +87,35 @@ class Vocabulary:
         spec = json.loads(raw)
         self.lower = "Lowercase" in json.dumps(spec.get("normalizer"))
         self.letters = str.maketrans(_byte_letters())
-        self.stems: dict[str, list[int]] = {}
-        self.marks: dict[str, list[int]] = {"": []}
-        self.limit = limit
+        self.stems = Recent(self._stem, limit)
+        self.marks: dict[str, bytes] = {"": b""}
 
     def special(self, text: str) -> bool:
         """Whether the text may hold a special string; it then goes to the library as a whole."""
         low = text.lower() if self.lower else text
         return any(marker in low for marker in self.markers)
 
-    def whole(self, text: str) -> list[int]:
-        return self.library.encode(text, add_special_tokens=False).ids
+    def whole(self, text: str) -> bytes:
+        """The library's ids of a text, as native 32-bit numbers."""
+        return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def ids_of(self, piece: str) -> list[int]:
+    def _stem(self, stem: str) -> bytes:
+        spelled = stem.encode("utf-8").decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.library.model.tokenize(spelled)]).tobytes()
+
+    def ids_of(self, piece: str) -> bytes:
+        """The ids of a piece, as native 32-bit numbers."""
         space = " " if piece[:1] == " " else ""
         simple = SIMPLE.fullmatch(piece, len(space))
         if simple is None:
             return self.whole(piece)
         letters, mark = simple.groups()
         stem = letters.lower() if self.lower else space + letters
-        ids = self.stems.get(stem)
-        if ids is None:
-            if len(self.stems) >= self.limit:
-                self.stems.clear()
-            if self.lower and len(stem) != len(letters):
-                ids = self.whole(letters)
-            else:
-                spelled = stem.encode("utf-8").decode("latin-1").translate(self.letters)
-                ids = [t.id for t in self.library.model.tokenize(spelled)]
-            self.stems[stem] = ids
+        if self.lower and len(stem) != len(letters):
+            return self.whole(piece)
         if mark not in self.marks:
             self.marks[mark] = self.whole(mark)
-        return ids + self.marks[mark] if mark else ids
+        return self.stems[stem] + self.marks[mark]
 
 
 def spaced_pieces(text: str) -> list[str]:
