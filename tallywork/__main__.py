@@ -1,6 +1,7 @@
 """Run a job from the shell: python -m tallywork JOB name=value ...
 
-Streams print to the console until stopped; other results are shown.
+Results are shown, or saved where ``out=FOLDER`` is given (``fmt=`` parquet, csv or json; parquet by default). Streams
+print to the console until stopped; with ``checkpoint=FOLDER`` a restarted stream goes on where it was.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ import sys
 
 from tallywork.plans import jobs
 from tallywork.session import build_session
-from tallywork.sinks import start_stream
+from tallywork.sinks import save, start_stream
 
 JOBS = {
     name: job
@@ -27,6 +28,8 @@ def settings_of(job, words: list[str]) -> dict[str, object]:
         kind = inspect.signature(job).parameters[name].annotation
         if kind == "int":
             settings[name] = int(value)
+        elif kind == "float":
+            settings[name] = float(value)
         elif kind == "bool":
             settings[name] = value.lower() in ("1", "true", "yes")
         else:
@@ -38,9 +41,13 @@ def main(words: list[str]) -> None:
     if not words or words[0] not in JOBS:
         sys.exit(f"usage: python -m tallywork JOB name=value ...\njobs: {', '.join(sorted(JOBS))}")
     job = JOBS[words[0]]
-    result = job(build_session(), **settings_of(job, words[1:]))
+    own = dict(w.split("=", 1) for w in words[1:] if w.partition("=")[0] in ("out", "fmt", "checkpoint"))
+    rest = [w for w in words[1:] if w.partition("=")[0] not in own]
+    result = job(build_session(), **settings_of(job, rest))
     if result.isStreaming:
-        start_stream(result, "counts").awaitTermination()
+        start_stream(result, "counts", checkpoint=own.get("checkpoint")).awaitTermination()
+    elif "out" in own:
+        save(result, own["out"], fmt=own.get("fmt", "parquet"))
     else:
         result.show(truncate=False)
 

@@ -20,3 +20,8 @@ def split_words(text: Column, mode: str = "ascii") -> Column:
 def ascii_only(text: Column) -> Column:
     """The text without its non-ASCII characters."""
     return F.regexp_replace(text, r"[^\x00-\x7F]", "")
+
+
+def blank_fields(value: Column) -> Column:
+    """The fields of a line between runs of white space of any kind, also where it begins or ends with some."""
+    return F.split(F.regexp_replace(value, r"^\s+|\s+$", ""), r"\s+")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallywork.functions.text import blank_fields
 from tallywork.operators.aggregates import with_names
 from tallywork.session import materialise, scratch_path
 
@@ -15,7 +16,7 @@ def degrees(lines: DataFrame, value: str = "value", count_trailing: bool = False
     ``count_trailing`` counts every blank as a separator, so that a blank at the end of a line
     counts as one more neighbour.
     """
-    fields = F.split(F.trim(F.col(value)), r"\s+").alias("fields")
+    fields = blank_fields(F.col(value)).alias("fields")
     counted = F.split(F.col(value), " ") if count_trailing else F.col("fields")
     return (
         lines.select(fields, value)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.recommendation import ALS, ALSModel
@@ -16,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywork.operators.aggregates import with_names
+from tallywork.operators.splits import with_position
+from tallywork.session import materialise
 
 
 def assemble(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
@@ -75,6 +78,17 @@ def regression_metrics(scored: DataFrame) -> DataFrame:
     return wide.unpivot([], ["rmse", "mse", "r2", "mae"], "metric", "value")
 
 
+@dataclass(frozen=True)
+class Recommender:
+    """Fitted factors, with the numbers that stand for users and items."""
+
+    model: ALSModel
+    users: DataFrame
+    items: DataFrame
+    user: str
+    item: str
+
+
 def fit_recommender(
     ratings: DataFrame,
     user: str,
@@ -83,26 +97,42 @@ def fit_recommender(
     max_iter: int = 5,
     reg_param: float = 0.01,
     seed: int = 42,
-) -> ALSModel:
-    """Alternating least squares on explicit ratings."""
-    return ALS(
-        maxIter=max_iter, regParam=reg_param, userCol=user, itemCol=item, ratingCol=rating, seed=seed
-    ).fit(ratings)
+) -> Recommender:
+    """Alternating least squares on explicit ratings.
+
+    Spark's ALS takes ids of 32 bits only, so users and items are numbered first, in the order of their ids (fewer
+    than 2^31 of each). Rows without a user, item or rating are left out.
+    """
+    given = ratings.select(user, item, F.col(rating).cast("float").alias(rating)).dropna()
+    users, items = _numbered(given, user, "_user"), _numbered(given, item, "_item")
+    rows = given.join(users, user).join(items, item).select("_user", "_item", rating)
+    als = ALS(maxIter=max_iter, regParam=reg_param, userCol="_user", itemCol="_item", ratingCol=rating, seed=seed)
+    return Recommender(als.fit(rows), users, items, user, item)
+
+
+def _numbered(rows: DataFrame, column: str, number: str) -> DataFrame:
+    """(column, number) of its distinct values."""
+    placed = with_position(rows.select(column).distinct(), [column])
+    return materialise(placed.select(column, F.col("position").cast("int").alias(number)), "numbered")
 
 
 def recommend(
-    model: ALSModel,
+    model: Recommender,
     users: DataFrame,
     names: DataFrame,
     names_key: str,
     name: str,
     k: int = 10,
 ) -> DataFrame:
-    """(user, item, rating, name): the ``k`` best items of each given user."""
-    user, item = model.getUserCol(), model.getItemCol()
+    """(user, item, rating, name): the ``k`` best items of each given user; unknown users have none."""
+    user, item = model.user, model.item
+    asked = users.select(user).distinct().join(model.users, user)
     best = (
-        model.recommendForUserSubset(users, k)
-        .select(user, F.explode("recommendations").alias("_r"))
-        .select(user, f"_r.{item}", "_r.rating")
+        model.model.recommendForUserSubset(asked.select("_user"), k)
+        .select("_user", F.explode("recommendations").alias("_r"))
+        .select("_user", "_r._item", "_r.rating")
+        .join(asked, "_user")
+        .join(model.items, "_item")
+        .select(user, item, "rating")
     )
     return with_names(best, names, item, names_key, name).orderBy(user, F.desc("rating"), item)

@@ -2,25 +2,20 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def sql_over(df: DataFrame, statement: str, view: str = "people") -> DataFrame:
-    """Run SQL in which ``{view}`` stands for ``df``.
-
-    The view gets a name of its own, so two calls in one session do not replace each other.
-    """
-    name = f"{view}_{uuid.uuid4().hex}"
-    df.createOrReplaceTempView(name)
-    return df.sparkSession.sql(statement.replace("{" + view + "}", name))
+def sql_over(df: DataFrame, statement: str, view: str = "people", **values: object) -> DataFrame:
+    """Run SQL in which ``{view}`` stands for ``df`` and ``:name`` for a value; no view is left behind."""
+    return df.sparkSession.sql(statement, args=values or None, **{view: df})
 
 
 def in_range(df: DataFrame, column: str, low: float, high: float) -> DataFrame:
     """Rows whose column lies in [low, high], by SQL."""
-    return sql_over(df, f"SELECT * FROM {{people}} WHERE `{column}` >= {low} AND `{column}` <= {high}")
+    return sql_over(
+        df, f"SELECT * FROM {{people}} WHERE `{column}` >= :low AND `{column}` <= :high", low=low, high=high
+    )
 
 
 def below(df: DataFrame, column: str, bound: float) -> DataFrame:

@@ -8,9 +8,8 @@ Three things keep it in hand, none of which changes a result:
   leave out its ``pairs_over`` busiest users while pairs are looked for: a pair whose common users
   are all left out by one of its items has too few of them anyway. What the left-out users add is
   joined back for the pairs that were found. This is the prefix filter of set-similarity joins.
-* Rows of busy users that remain are spread over a grid of groups of at most ``busy`` rows a side.
-
-Where no user has more than ``busy`` items, none of this is needed and the plain join runs.
+* Rows of users with more than ``busy`` items are cut into a grid of groups of about ``busy`` rows a side, in the same
+  plan as the others.
 """
 
 from __future__ import annotations
@@ -23,7 +22,7 @@ from tallywork.operators.aggregates import with_names
 from tallywork.operators.splits import RANKS_IN_MAP_TASKS
 from tallywork.session import materialise
 
-BUSY_USER_ITEMS = 10_000
+BUSY_USER_ITEMS = 1_000
 
 
 def _rows(ratings: DataFrame, user: str, item: str, rating: str, rating_over: float | None) -> DataFrame:
@@ -51,11 +50,11 @@ def _as_sets(rows: DataFrame) -> DataFrame:
 
 def _products(cosine: bool) -> dict[str, Column]:
     """What one common user adds to a pair; sides are ``a`` (item1) and ``b`` (item2)."""
-    sums = {"n": F.col("a.c") * F.col("b.c")}
+    sums = {"n": F.col("a_c") * F.col("b_c")}
     if cosine:
-        sums["xx"] = F.col("a.q") * F.col("b.c")
-        sums["yy"] = F.col("a.c") * F.col("b.q")
-        sums["xy"] = F.col("a.s") * F.col("b.s")
+        sums["xx"] = F.col("a_q") * F.col("b_c")
+        sums["yy"] = F.col("a_c") * F.col("b_q")
+        sums["xy"] = F.col("a_s") * F.col("b_s")
     return sums
 
 
@@ -63,51 +62,59 @@ def _add_up(pairs: DataFrame, sums: dict[str, Column]) -> DataFrame:
     return pairs.groupBy("item1", "item2").agg(*[F.sum(part).alias(name) for name, part in sums.items()])
 
 
-def _by_user(rows: DataFrame, busy: int) -> tuple[DataFrame, bool]:
-    """The rows, and whether some user has more than ``busy`` of them (one counting job).
-
-    If none has, the rows are brought together by user right away: that one shuffle serves the
-    sums per user and item as well as both sides of the self-join.
-    """
-    skewed = not rows.groupBy("user").count().filter(F.col("count") > busy).isEmpty()
-    return (rows, True) if skewed else (rows.repartition("user"), False)
-
-
-def _pair_sums(rated: DataFrame, pairs_over: int, cosine: bool, busy: int, skewed: bool) -> DataFrame:
+def _pair_sums(rated: DataFrame, pairs_over: int, cosine: bool, busy: int) -> DataFrame:
     """(item1, item2, n[, xx, yy, xy]) with item1 < item2 and n > pairs_over."""
     sums = _products(cosine)
-    if not skewed:
-        pairs = rated.alias("a").join(
-            rated.alias("b"),
-            (F.col("a.user") == F.col("b.user")) & (F.col("a.item") < F.col("b.item")),
-        )
-        pairs = pairs.withColumns({"item1": F.col("a.item"), "item2": F.col("b.item")})
-        return _add_up(pairs, sums).filter(F.col("n") > pairs_over)
-
-    rated = materialise(rated, "rated")
     sizes = rated.groupBy("user").agg(F.count("*").alias("items"), F.max("c").alias("most"))
-    hot = materialise(sizes.filter(F.col("items") > busy), "busy-users")
-    if pairs_over == 0:
-        return _add_up(_grid_pairs(rated, hot, busy), sums)
+    hot = sizes.filter(F.col("items") > busy)
+    if pairs_over:
+        # Written: the left-out users are looked for among the busy ones, if there are any.
+        hot = materialise(hot, "busy-users")
+    if pairs_over == 0 or hot.isEmpty():
+        found = _add_up(_all_pairs(rated, hot, busy), sums)
+        return found.filter(F.col("n") > pairs_over) if pairs_over else found
 
+    rated = materialise(rated, "rated")
     left_out = materialise(_busiest(rated, hot, pairs_over), "left-out")
     kept = materialise(rated.join(left_out, ["user", "item"], "left_anti"), "kept")
-    found = materialise(_add_up(_grid_pairs(kept, hot, busy), sums), "found")
+    found = materialise(_add_up(_all_pairs(kept, hot, busy), sums), "found")
 
     # A common user counts once: where item1 left it out, or else where only item2 did.
     ids = found.select("item1", "item2")
     first = (
         ids.join(left_out.alias("a"), F.col("item1") == F.col("a.item"))
         .join(rated.alias("b"), (F.col("a.user") == F.col("b.user")) & (F.col("item2") == F.col("b.item")))
+        .select("item1", "item2", *_sides(rated))
     )
     second = (
         ids.join(left_out.alias("b"), F.col("item2") == F.col("b.item"))
         .join(kept.alias("a"), (F.col("a.user") == F.col("b.user")) & (F.col("item1") == F.col("a.item")))
+        .select("item1", "item2", *_sides(rated))
     )
     totals = found.unionByName(_add_up(first, sums)).unionByName(_add_up(second, sums))
     return _add_up(totals, {name: F.col(name) for name in sums}).filter(F.col("n") > pairs_over)
 
 
+def _all_pairs(rated: DataFrame, hot: DataFrame, busy: int) -> DataFrame:
+    """The self-join by user: users of up to ``busy`` items in one group each, the others in a grid of groups.
+
+    Both kinds are in one plan. There are few busy users (at most the rows over ``busy``), so that their ids are mostly
+    broadcast, and rows of the others are shuffled once for both sides of the join.
+    """
+    rest = rated.join(hot.select("user"), "user", "left_anti")
+    plain = rest.alias("a").join(
+        rest.alias("b"),
+        (F.col("a.user") == F.col("b.user")) & (F.col("a.item") < F.col("b.item")),
+    )
+    ids = [F.col("a.item").alias("item1"), F.col("b.item").alias("item2")]
+    return plain.select(*ids, *_sides(rated)).union(_grid_pairs(rated, hot, busy).select(*ids, *_sides(rated)))
+
+
+def _sides(rated: DataFrame) -> list[Column]:
+    """What both sides of a pair bring, as a_c, b_c and so on."""
+    return [F.col(f"{side}.{c}").alias(f"{side}_{c}") for side in "ab" for c in rated.columns[2:]]
+
+
 def _busiest(rated: DataFrame, hot: DataFrame, pairs_over: int) -> DataFrame:
     """Per item, the busiest users whose common ratings cannot add up to more than ``pairs_over``.
 
@@ -127,23 +134,22 @@ def _busiest(rated: DataFrame, hot: DataFrame, pairs_over: int) -> DataFrame:
 
 
 def _grid_pairs(rated: DataFrame, hot: DataFrame, busy: int) -> DataFrame:
-    """The self-join, with the rows of each busy user in a grid of smaller groups."""
-    cells = F.coalesce(F.ceil(F.col("items") / busy), F.lit(1)).cast("int")
-    spread = (
-        rated.join(hot.select("user", "items"), "user", "left")
+    """The self-join of busy users, with the rows of each in a grid of groups of about ``busy``."""
+    cells = F.ceil(F.col("items") / busy).cast("int")
+    cut = (
+        rated.join(hot.select("user", "items"), "user")
         .withColumn("_cells", cells)
         .withColumn("_mine", F.pmod(F.xxhash64("item"), F.col("_cells")).cast("int"))
         .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_cells") - 1)))
         .drop("items", "_cells")
     )
-    pairs = spread.alias("a").join(
-        spread.alias("b"),
+    return cut.alias("a").join(
+        cut.alias("b"),
         (F.col("a.user") == F.col("b.user"))
         & (F.col("a._mine") == F.col("b._other"))
         & (F.col("a._other") == F.col("b._mine"))
         & (F.col("a.item") < F.col("b.item")),
     )
-    return pairs.withColumns({"item1": F.col("a.item"), "item2": F.col("b.item")})
 
 
 def common_raters(
@@ -156,8 +162,7 @@ def common_raters(
     busy: int = BUSY_USER_ITEMS,
 ) -> DataFrame:
     """(item1, item2, n): how many rated both, item1 < item2, n > pairs_over."""
-    rows, skewed = _by_user(_rows(ratings, user, item, rating, rating_over), busy)
-    return _pair_sums(_as_sets(rows), pairs_over, False, busy, skewed)
+    return _pair_sums(_as_sets(_rows(ratings, user, item, rating, rating_over)), pairs_over, False, busy)
 
 
 def jaccard_pairs(
@@ -174,15 +179,14 @@ def jaccard_pairs(
 
     Only items with more than ``item_count_over`` users and pairs with more than ``pairs_over``.
     """
-    rows, skewed = _by_user(_rows(ratings, user, item, rating, rating_over), busy)
-    rated = _as_sets(rows)
+    rated = _as_sets(_rows(ratings, user, item, rating, rating_over))
     # Written because it is used three times; by its size a small one is broadcast, and then the
     # item filter leaves the rows where they are.
     counts = materialise(
         rated.groupBy("item").agg(F.count("*").alias("count")).filter(F.col("count") > item_count_over), "counts"
     )
     frequent = rated.join(counts.select("item"), "item", "left_semi")
-    pairs = _pair_sums(frequent, pairs_over, False, busy, skewed)
+    pairs = _pair_sums(frequent, pairs_over, False, busy)
     return (
         pairs.join(counts.select(F.col("item").alias("item1"), F.col("count").alias("count1")), "item1")
         .join(counts.select(F.col("item").alias("item2"), F.col("count").alias("count2")), "item2")
@@ -210,8 +214,8 @@ def cosine_pairs(
 
     A user that rated an item several times counts with every combination of those ratings.
     """
-    rows, skewed = _by_user(_rows(ratings, user, item, rating, rating_over), busy)
-    sums = _pair_sums(_per_user_item(rows), pairs_over, True, busy, skewed)
+    rows = _rows(ratings, user, item, rating, rating_over)
+    sums = _pair_sums(_per_user_item(rows), pairs_over, True, busy)
     return sums.select("item1", "item2", "n", _cosine())
 
 
@@ -223,6 +227,18 @@ def _best(scored: DataFrame, k: int) -> DataFrame:
     return scored.orderBy(F.desc("score"), F.desc("n"), "item").limit(k)
 
 
+def top_partners_per_item(pairs: DataFrame, k: int = 10) -> DataFrame:
+    """(item, partner, n, score, rank): the ``k`` best partners of every item of a pair table.
+
+    Ties go to more common users, then to the smaller partner. The rank filter works in the map tasks (for k up to
+    ``RANKS_IN_MAP_TASKS``), so what is shuffled is at most k rows per item and task.
+    """
+    one = pairs.select(F.col("item1").alias("item"), F.col("item2").alias("partner"), "n", "score")
+    other = pairs.select(F.col("item2").alias("item"), F.col("item1").alias("partner"), "n", "score")
+    best = Window.partitionBy("item").orderBy(F.desc("score"), F.desc("n"), "partner")
+    return one.union(other).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+
+
 def similar_in_table(
     pairs: DataFrame,
     target: object,

@@ -110,6 +110,19 @@ def holdout_per_user(
     return marked
 
 
-def random_parts(df: DataFrame, weights: Sequence[float], seed: int = 42) -> list[DataFrame]:
-    """Random split in the given proportions."""
-    return df.randomSplit(list(weights), seed)
+def random_parts(df: DataFrame, weights: Sequence[float], key: Sequence[str], seed: int = 42) -> list[DataFrame]:
+    """Random split in the given proportions, by a hash of the ``key`` columns and the seed.
+
+    A row's part depends on nothing else, so parts never overlap and are the same however the rows lie. The leading 32
+    bits of an MD5 are a number in [0, 1); any other engine with MD5 can tell the parts as well. Rows of equal keys
+    go together; a NULL counts as an empty text.
+    """
+    digest = F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key], F.lit(str(seed))))
+    at = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
+    marked = df.withColumn("_at", at)
+    total, parts, low = float(sum(weights)), [], 0
+    for k in range(len(weights)):
+        high = round(sum(weights[: k + 1]) / total * (1 << 32))
+        parts.append(marked.filter((F.col("_at") >= low) & (F.col("_at") < high)).drop("_at"))
+        low = high
+    return parts

@@ -9,27 +9,26 @@ from tallywork.operators import graph
 from tallywork.plans.registry import query
 from tallywork.session import materialise
 from tallywork.sources.adjacency import edges_of, nodes_of, parse_adjacency
-from tallywork.sources.files import read_table, spread
+from tallywork.sources.files import read_table
 
 SOURCE, TARGET = 8, 3
 
 
-def _line_items(spark: SparkSession, folder: str, by: str) -> DataFrame:
-    items = read_table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_returnflag")
-    return spread(items, by)
+def _line_items(spark: SparkSession, folder: str) -> DataFrame:
+    return read_table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_returnflag")
 
 
 def part_lines(spark: SparkSession, folder: str) -> DataFrame:
     """A line per line item: part, supplier and, if returned, the order. Parts repeat."""
     returned = F.when(F.col("l_returnflag") == "R", F.col("l_orderkey").cast("string"))
-    return _line_items(spark, folder, "l_partkey").select(
+    return _line_items(spark, folder).select(
         F.concat_ws(" ", F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"), returned).alias("value")
     )
 
 
 def order_lines(spark: SparkSession, folder: str) -> DataFrame:
     """A line per line item: order and part, with a blank at the end."""
-    return _line_items(spark, folder, "l_orderkey").select(
+    return _line_items(spark, folder).select(
         F.concat(F.col("l_orderkey").cast("string"), F.lit(" "), F.col("l_partkey").cast("string"), F.lit(" ")).alias(
             "value"
         )

@@ -103,19 +103,41 @@ def people_older(spark, friends: str, by: int = 10) -> DataFrame:
     return queries.shifted(files.read_with_header(spark, friends), "name", "age", by)
 
 
+def _given(**settings: object) -> dict[str, object]:
+    """The settings that were given; the others keep the operator's own defaults."""
+    return {name: value for name, value in settings.items() if value is not None}
+
+
 def similar_items(
-    spark, ratings: str, titles: str, item: int, measure: str = "jaccard", sep: str = "\t"
-) -> DataFrame:
-    """The ten best partners of an item; ``sep`` "::" for the fractional layout."""
+    spark, ratings: str, titles: str, item: int, measure: str = "jaccard", sep: str = "\t",
+    rating_over: float = None, score_over: float = None, pairs_over: float = None, item_count_over: int = None,
+    k: int = 10,
+) -> DataFrame:
+    """The ``k`` best partners of an item; ``sep`` "::" for the fractional layout.
+
+    The thresholds are the measure's own where none is given; ``item_count_over`` is for Jaccard only.
+    """
     find = {"jaccard": similarity.similar_by_jaccard, "cosine": similarity.similar_by_cosine}[measure]
     names = _titles(spark, titles, sep="|" if sep == "\t" else sep)
-    return find(_ratings(spark, ratings, sep), item, "user_id", "movie_id", "rating", names=names)
+    given = _given(
+        rating_over=rating_over, score_over=score_over, pairs_over=pairs_over, item_count_over=item_count_over, k=k
+    )
+    return find(_ratings(spark, ratings, sep), item, "user_id", "movie_id", "rating", names=names, **given)
 
 
-def item_pairs(spark, ratings: str, measure: str = "cosine", sep: str = "\t") -> DataFrame:
-    """The whole pair table, to be saved."""
+def item_pairs(
+    spark, ratings: str, measure: str = "cosine", sep: str = "\t",
+    rating_over: float = None, pairs_over: int = None, item_count_over: int = None,
+) -> DataFrame:
+    """The whole pair table, to be saved; thresholds as in ``similar_items``."""
     find = {"jaccard": similarity.jaccard_pairs, "cosine": similarity.cosine_pairs}[measure]
-    return find(_ratings(spark, ratings, sep), "user_id", "movie_id", "rating")
+    given = _given(rating_over=rating_over, pairs_over=pairs_over, item_count_over=item_count_over)
+    return find(_ratings(spark, ratings, sep), "user_id", "movie_id", "rating", **given)
+
+
+def top_partners(spark, ratings: str, k: int = 10, measure: str = "cosine", sep: str = "\t") -> DataFrame:
+    """The ``k`` best partners of every item, to be saved."""
+    return similarity.top_partners_per_item(item_pairs(spark, ratings, measure, sep), k)
 
 
 def recommendations(spark, ratings: str, titles: str, user: int, k: int = 10) -> DataFrame:
@@ -127,18 +149,19 @@ def recommendations(spark, ratings: str, titles: str, user: int, k: int = 10) ->
 def line_predictions(spark, examples: str, seed: int = 42) -> DataFrame:
     """Trained on one half of the rows, (prediction, label) of the other half."""
     rows = files.read_delimited(spark, examples, schemas.REGRESSION)
-    training, test = splits.random_parts(models.assemble(rows, ["feature"], "label"), [0.5, 0.5], seed)
+    parts = splits.random_parts(rows, [0.5, 0.5], ["label", "feature"], seed)
+    training, test = (models.assemble(part, ["feature"], "label") for part in parts)
     return models.predict(models.fit_line(training), test)
 
 
+# Columns of the file.
 PRICE_FEATURES = ["HouseAge", "DistanceToMRT", "NumberConvenienceStores"]
 
 
 def _price_predictions(spark: SparkSession, houses: str, seed: int) -> DataFrame:
     rows = files.read_with_header(spark, houses).select(*PRICE_FEATURES, "PriceOfUnitArea")
-    training, test = splits.random_parts(
-        models.assemble(rows, PRICE_FEATURES, "PriceOfUnitArea"), [0.8, 0.2], seed
-    )
+    parts = splits.random_parts(rows, [0.8, 0.2], rows.columns, seed)
+    training, test = (materialise(models.assemble(p, PRICE_FEATURES, "PriceOfUnitArea"), "examples") for p in parts)
     return models.predict(models.fit_tree(training), test)
 
 

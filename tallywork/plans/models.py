@@ -9,26 +9,44 @@ from tallywork.operators import models
 from tallywork.operators.splits import random_parts
 from tallywork.plans.registry import query
 from tallywork.session import materialise
-from tallywork.sources.files import frame_from_rows, read_table, spread
+from tallywork.sources.files import frame_from_rows, read_table
 
 
-def text_sizes(spark: SparkSession, folder: str) -> DataFrame:
-    """Characters (label) against words (feature) of each document, written because fits read it often."""
-    docs = spread(read_table(spark, folder, "documents").select("doc_id", "text", "n_chars"), "doc_id")
+def word_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """(doc_id, words, n_chars) of each document, written because fits read it often."""
+    docs = read_table(spark, folder, "documents")
     words = F.regexp_count("text", F.lit(r"\S+")).cast("double").alias("words")
-    return materialise(models.assemble(docs.select(words, "n_chars"), ["words"], "n_chars"), "sizes")
+    return materialise(docs.select("doc_id", words, "n_chars"), "sizes")
+
+
+def _line_examples(counts: DataFrame) -> DataFrame:
+    return models.assemble(counts, ["words"], "n_chars")
+
+
+def text_sizes(spark: SparkSession, folder: str) -> DataFrame:
+    """Characters (label) against words (feature) of each document."""
+    return _line_examples(word_counts(spark, folder))
 
 
 _SIZES = """
-    SELECT CAST(len(regexp_extract_all(text, '\\S+')) AS DOUBLE) AS x, CAST(n_chars AS DOUBLE) AS y
+    SELECT CAST(len(regexp_extract_all(text, '\\S+')) AS DOUBLE) AS x, CAST(n_chars AS DOUBLE) AS y, doc_id
     FROM documents
 """
+
+
+def split_sql(key: str, seed: int = 42) -> str:
+    """The place in [0, 2^32) by which a random split of that key and seed decides."""
+    return f"CAST(('0x' || substr(md5(concat_ws('|', {key}, '{seed}')), 1, 8)) AS BIGINT)"
+
+
 # One feature has a closed form: the correlation shrunk by the penalty over the label's (population)
 # deviation, back in units.
-_LINE = f"""
+_HALF = f"{split_sql('doc_id')} < 2147483648"
+_LINE_OF = f"""
     WITH sizes AS ({_SIZES}),
     moments AS (
         SELECT corr(y, x) AS r, stddev_pop(x) AS sx, stddev_pop(y) AS sy, avg(x) AS mx, avg(y) AS my FROM sizes
+        WHERE %s
     ),
     line AS (
         SELECT slope, my - slope * mx AS intercept
@@ -38,6 +56,7 @@ _LINE = f"""
         )
     )
 """
+_LINE = _LINE_OF % "true"
 
 
 @query(
@@ -85,58 +104,91 @@ def linear_regression_metrics(spark, folder):
     return models.regression_metrics(scored).withColumn("value", F.round("value", 4))
 
 
-@query("linear_regression_split")
+@query(
+    "linear_regression_split",
+    f"""
+    {_LINE_OF % _HALF}
+    SELECT round(intercept + slope * x, 3) AS prediction, y AS label FROM sizes, line WHERE NOT ({_HALF})
+    """,
+)
 def linear_regression_split(spark, folder):
     """Trained with the default settings on one half, (prediction, label) of the other half."""
-    training, test = random_parts(text_sizes(spark, folder), [0.5, 0.5])
-    return models.predict(models.fit_line(training), test)
+    training, test = random_parts(word_counts(spark, folder), [0.5, 0.5], ["doc_id"])
+    model = models.fit_line(_line_examples(training))
+    return models.predict(model, _line_examples(test)).withColumn("prediction", F.round("prediction", 3))
 
 
-def price_examples(spark: SparkSession, folder: str) -> DataFrame:
-    columns = ["l_orderkey", "l_quantity", "l_discount", "l_tax", "l_extendedprice"]
-    lines = spread(read_table(spark, folder, "lineitem").select(*columns), "l_orderkey")
-    return models.assemble(lines, ["l_quantity", "l_discount", "l_tax"], "l_extendedprice")
+PRICE_FEATURES = ["l_quantity", "l_discount", "l_tax"]
 
 
-@query(
-    "tree_stump",
-    """
+def price_parts(spark: SparkSession, folder: str, features: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Examples of four fifths of the line items, and of the rest; split by key before they are assembled."""
+    lines = read_table(spark, folder, "lineitem")
+    parts = random_parts(lines, [0.8, 0.2], ["l_orderkey", "l_linenumber"])
+    training, test = (materialise(models.assemble(p, features, "l_extendedprice"), "examples") for p in parts)
+    return training, test
+
+
+_STUMP = """
     WITH features AS (
-        SELECT 'discount' AS name, l_discount AS x, l_extendedprice AS y FROM lineitem
-        UNION ALL SELECT 'tax', l_tax, l_extendedprice FROM lineitem
+        SELECT 'discount' AS name, l_discount AS x, l_extendedprice AS y FROM lineitem WHERE %s
+        UNION ALL SELECT 'tax', l_tax, l_extendedprice FROM lineitem WHERE %s
     ),
     per_value AS (SELECT name, x, count(*) AS c, sum(y) AS s FROM features GROUP BY name, x),
     cuts AS (
-        SELECT sum(c) OVER below AS cl, sum(s) OVER below AS sl,
+        SELECT name, x, sum(c) OVER below AS cl, sum(s) OVER below AS sl,
                sum(c) OVER (PARTITION BY name) AS c, sum(s) OVER (PARTITION BY name) AS s
         FROM per_value WINDOW below AS (PARTITION BY name ORDER BY x)
     ),
     best AS (
         SELECT * FROM cuts WHERE cl < c ORDER BY sl * sl / cl + (s - sl) * (s - sl) / (c - cl) DESC LIMIT 1
     )
+"""
+_TRAINED = f"{split_sql('l_orderkey, l_linenumber')} < {round(0.8 * (1 << 32))}"
+
+
+@query(
+    "tree_stump",
+    f"""
+    {_STUMP % ("true", "true")}
     SELECT round(sl / cl, 3) AS prediction, CAST(cl AS BIGINT) AS n FROM best
     UNION ALL SELECT round((s - sl) / (c - cl), 3), CAST(c - cl AS BIGINT) FROM best
     """,
 )
 def tree_stump(spark, folder):
     """A tree of one split on two features of few values: the two leaf means and their rows."""
-    columns = ["l_orderkey", "l_discount", "l_tax", "l_extendedprice"]
-    lines = spread(read_table(spark, folder, "lineitem").select(*columns), "l_orderkey")
-    examples = models.assemble(lines, ["l_discount", "l_tax"], "l_extendedprice")
+    lines = read_table(spark, folder, "lineitem")
+    examples = materialise(models.assemble(lines, ["l_discount", "l_tax"], "l_extendedprice"), "examples")
     scored = models.predict(models.fit_tree(examples, maxDepth=1), examples)
     leaves = scored.groupBy("prediction").agg(F.count("*").alias("n"))
     return leaves.withColumn("prediction", F.round("prediction", 3))
 
 
+@query(
+    "tree_stump_split",
+    f"""
+    {_STUMP % (_TRAINED, _TRAINED)}
+    SELECT round(CASE WHEN (CASE name WHEN 'tax' THEN l_tax ELSE l_discount END) <= x THEN sl / cl
+                      ELSE (s - sl) / (c - cl) END, 3) AS prediction, l_extendedprice AS label
+    FROM lineitem, best WHERE NOT ({_TRAINED})
+    """,
+)
+def tree_stump_split(spark, folder):
+    """A tree of one split, trained on four fifths of the rows; (prediction, label) of the rest."""
+    training, test = price_parts(spark, folder, ["l_discount", "l_tax"])
+    scored = models.predict(models.fit_tree(training, maxDepth=1), test)
+    return scored.withColumn("prediction", F.round("prediction", 3))
+
+
 @query("tree_regression")
 def tree_regression(spark, folder):
-    training, test = random_parts(price_examples(spark, folder), [0.8, 0.2])
+    training, test = price_parts(spark, folder, PRICE_FEATURES)
     return models.predict(models.fit_tree(training), test)
 
 
 @query("tree_metrics")
 def tree_metrics(spark, folder):
-    training, test = random_parts(price_examples(spark, folder), [0.8, 0.2])
+    training, test = price_parts(spark, folder, PRICE_FEATURES)
     return models.regression_metrics(models.predict(models.fit_tree(training), test))
 
 

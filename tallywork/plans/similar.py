@@ -67,9 +67,9 @@ def _best_sql(pairs: str, score_over: float, pairs_over: int) -> str:
     """
 
 
-@query("item_pairs", f"SELECT * FROM ({_common(0)}) WHERE n > 1")
+@query("item_pairs", _common(0))
 def item_pairs(spark, folder):
-    return similarity.common_raters(ratings(spark, folder), **COLUMNS, pairs_over=1)
+    return similarity.common_raters(ratings(spark, folder), **COLUMNS)
 
 
 @query(
@@ -82,11 +82,20 @@ def similarity_jaccard(spark, folder):
 
 @query(
     "similarity_cosine",
-    f"SELECT item1, item2, n, round(score, 9) AS score FROM ({_COSINE}) WHERE n > 1",
+    f"SELECT item1, item2, n, round(score, 9) AS score FROM ({_COSINE})",
 )
 def similarity_cosine(spark, folder):
-    """Pairs with more than one common user, so that no single user decides the size of the result."""
-    return _nine(similarity.cosine_pairs(ratings(spark, folder), **COLUMNS, pairs_over=1))
+    """Every pair with a common user."""
+    return _nine(similarity.cosine_pairs(ratings(spark, folder), **COLUMNS))
+
+
+@query(
+    "similarity_cosine_over_20",
+    f"SELECT item1, item2, n, round(score, 9) AS score FROM ({_COSINE}) WHERE n > 20",
+)
+def similarity_cosine_over_20(spark, folder):
+    """Pairs with more than 20 common users."""
+    return _nine(similarity.cosine_pairs(ratings(spark, folder), **COLUMNS, pairs_over=20))
 
 
 @query(
@@ -97,6 +106,25 @@ def similarity_cosine_frequent(spark, folder):
     return _nine(similarity.cosine_pairs(ratings(spark, folder), **COLUMNS, pairs_over=5))
 
 
+@query(
+    "top_partners",
+    f"""
+    WITH pairs AS (SELECT item1, item2, n, round(score, 9) AS score FROM ({_COSINE})),
+    sides AS (
+        SELECT item1 AS item, item2 AS partner, n, score FROM pairs
+        UNION ALL SELECT item2, item1, n, score FROM pairs
+    )
+    SELECT * FROM (
+        SELECT *, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, n DESC, partner) AS INTEGER) AS rank
+        FROM sides
+    ) WHERE rank <= 10
+    """,
+)
+def top_partners(spark, folder):
+    """The ten best partners of every item, by rounded scores so that ties are the same everywhere."""
+    return similarity.top_partners_per_item(_nine(similarity.cosine_pairs(ratings(spark, folder), **COLUMNS)))
+
+
 def _names(spark: SparkSession, folder: str) -> dict:
     return {"names": read_table(spark, folder, "supplier"), "names_key": "s_suppkey", "name": "s_name"}
 
@@ -120,11 +148,11 @@ def similar_items_cosine(spark, folder):
     )
 
 
-@query("similar_items_saved", _best_sql(f"SELECT * FROM ({_COSINE}) WHERE n > 1", 0.5, 1))
+@query("similar_items_saved", _best_sql(_COSINE, 0.5, 1))
 def similar_items_saved(spark, folder):
     """Save the pair table sorted by pair, then ask the saved table for the best partners."""
     path = scratch_path(spark, "pairs")
-    pairs = similarity.cosine_pairs(ratings(spark, folder), **COLUMNS, pairs_over=1)
+    pairs = similarity.cosine_pairs(ratings(spark, folder), **COLUMNS)
     save(pairs, path, sort_by=("item1", "item2"))
     return _nine(
         similarity.similar_in_table(

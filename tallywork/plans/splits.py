@@ -67,10 +67,17 @@ def holdout_limited(spark, folder):
     return splits.holdout_per_user(_orders(spark, folder), "o_custkey", ["o_orderkey"], max_test=1000)
 
 
-@query("random_split_sizes")
+@query(
+    "random_split_sizes",
+    """
+    SELECT CASE WHEN CAST(('0x' || substr(md5(concat_ws('|', o_orderkey, '42')), 1, 8)) AS BIGINT) < 2147483648
+           THEN 'first' ELSE 'second' END AS part, count(*) AS n
+    FROM orders GROUP BY 1
+    """,
+)
 def random_split_sizes(spark, folder):
     """Rows in each part of a seeded 50/50 split."""
-    first, second = splits.random_parts(_orders(spark, folder), [0.5, 0.5])
+    first, second = splits.random_parts(_orders(spark, folder), [0.5, 0.5], ["o_orderkey"])
     sizes = [
         part.agg(F.count("*").alias("n")).select(F.lit(name).alias("part"), "n")
         for name, part in (("first", first), ("second", second))
@@ -81,5 +88,5 @@ def random_split_sizes(spark, folder):
 @query("random_split_whole", "SELECT o_custkey, o_orderkey, o_totalprice FROM orders")
 def random_split_whole(spark, folder):
     """The parts of a random split put together again."""
-    first, second = splits.random_parts(_orders(spark, folder), [0.8, 0.2])
+    first, second = splits.random_parts(_orders(spark, folder), [0.8, 0.2], ["o_orderkey"])
     return first.unionByName(second)

@@ -9,7 +9,7 @@ from tallywork.functions.logs import parse_logs
 from tallywork.functions.text import ascii_only
 from tallywork.operators.words import fold_words, word_count
 from tallywork.plans.registry import query
-from tallywork.sources.files import read_table, spread
+from tallywork.sources.files import read_table
 from tallywork.streaming.counts import running_counts
 
 
@@ -22,7 +22,7 @@ def _words_sql(breaks: str) -> str:
 
 
 def _texts(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(read_table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
+    return read_table(spark, folder, "documents").select("doc_id", "text")
 
 
 @query("word_count_ascii", _words_sql(r"\W+"))
@@ -129,7 +129,7 @@ def parse_sql(offset_sign: str) -> str:
 
 
 def event_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return log_lines(spread(read_table(spark, folder, "events").drop("props"), "event_id"))
+    return log_lines(read_table(spark, folder, "events").drop("props"))
 
 
 @query("log_parse", parse_sql("-"))

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from urllib.parse import urlsplit
 
 from pyspark.sql import SparkSession
 
@@ -32,21 +35,30 @@ def build_session(app: str = "tallywork", master: str | None = None, **conf: obj
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
+    """The folder every executor can reach: ``spark.checkpoint.dir``, or what ``setCheckpointDir`` was given.
 
-    Only a local-mode session may go without the setting; it then gets a temporary folder.
+    Only a local-mode session may go without; it then gets a temporary folder. Where executors run on other hosts, a
+    folder of a local file system is refused: each host would write to its own disk, and reads would miss rows.
     """
     global _local_folder
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    local = spark.sparkContext.master.startswith("local")
     if named:
+        if not local and _scheme(spark, named) == "file":
+            raise RuntimeError(f"{named} is a local folder; set spark.checkpoint.dir to one that all executors share")
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not local:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     if _local_folder is None:
         _local_folder = tempfile.TemporaryDirectory(prefix="tallywork-", ignore_cleanup_errors=True)
     return _local_folder.name
 
 
+def _scheme(spark: SparkSession, path: str) -> str:
+    """The kind of file system a path is in; that of ``fs.defaultFS`` where it names none."""
+    return urlsplit(path).scheme or urlsplit(spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS")).scheme
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder."""
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
@@ -54,6 +66,21 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediate tables made inside the block when it ends; those made before it stay.
+
+    Results built on them must be saved inside the block.
+    """
+    global _made
+    before, _made = _made, []
+    try:
+        yield
+    finally:
+        drop_scratch(spark)
+        _made = before
+
+
 def drop_scratch(spark: SparkSession) -> int:
     """Delete the intermediate tables made so far; returns how many paths were there.
 

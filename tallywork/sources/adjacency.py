@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallywork.functions.text import blank_fields
+
 
 def parse_adjacency(lines: DataFrame, value: str = "value") -> DataFrame:
     """(id, neighbours) per line, both NULL where a line does not start with a whole number.
@@ -12,7 +14,7 @@ def parse_adjacency(lines: DataFrame, value: str = "value") -> DataFrame:
     An id may take several lines. There is no filter on the id here: it would be pushed below the
     split, and each line would be split once for the test and once for the result.
     """
-    fields = F.split(F.trim(F.col(value)), r"\s+").alias("fields")
+    fields = blank_fields(F.col(value)).alias("fields")
     node = F.get("fields", F.lit(0)).try_cast("long")
     named = F.transform(F.slice("fields", 2, F.size("fields")), lambda field: field.try_cast("long"))
     return lines.select(fields).select(

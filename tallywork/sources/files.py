@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tallywork.functions.text import blank_fields
+
 
 def read_delimited(
     spark: SparkSession,
@@ -20,11 +22,12 @@ def read_delimited(
     return spark.read.schema(schema).option("sep", sep).option("encoding", encoding).csv(path)
 
 
-def read_with_header(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """File with a header row; column types come from the data, at the price of a second read."""
-    return (
-        spark.read.option("header", True).option("inferSchema", True).option("sep", sep).csv(path)
-    )
+def read_with_header(
+    spark: SparkSession, path: str, sep: str = ",", schema: StructType | str | None = None
+) -> DataFrame:
+    """File with a header row. Without a schema the types come from the data, at the price of a second read."""
+    reader = spark.read.option("header", True).option("sep", sep)
+    return (reader.option("inferSchema", True) if schema is None else reader.schema(schema)).csv(path)
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -60,7 +63,7 @@ def split_fields(
 
 def blank_field(index: int, value: str = "value") -> Column:
     """The field at ``index`` of a line split at white space, NULL where the line is shorter."""
-    return F.get(F.split(F.trim(F.col(value)), r"\s+"), F.lit(index))
+    return F.get(blank_fields(F.col(value)), F.lit(index))
 
 
 def frame_from_rows(
@@ -69,12 +72,3 @@ def frame_from_rows(
     """Small driver-side rows as a DataFrame: Row objects, or tuples with names or a schema."""
     return spark.createDataFrame(list(rows), schema)
 
-
-def spread(df: DataFrame, by: str) -> DataFrame:
-    """Rows of a few small files spread over all cores by a key, for costly work on each row.
-
-    A file is cut no finer than its row groups, so a small table may reach a single task. Inputs
-    that fill the cores already are left as they are; on a large table nothing is shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, by) if df.rdd.getNumPartitions() < cores else df

@@ -5,7 +5,7 @@ from tallywork import session
 
 class Conf:
     def __init__(self, master, folder=None):
-        self.sparkContext = type("Context", (), {"master": master})
+        self.sparkContext = type("Context", (), {"master": master, "getCheckpointDir": staticmethod(lambda: None)})
         self.conf = type("Settings", (), {"get": staticmethod(lambda key, default=None: folder or default)})
 
 
@@ -18,6 +18,24 @@ def test_a_cluster_must_name_a_folder():
         session.shared_folder(Conf("yarn"))
 
 
+def test_a_local_folder_is_refused_on_a_cluster():
+    with pytest.raises(RuntimeError, match="local folder"):
+        session.shared_folder(Conf("spark://x", "file:///tmp/x"))
+    assert session.shared_folder(Conf("local-cluster[2,1,1024]", "file:///tmp/x")) == "file:///tmp/x"
+
+
+def test_scratch_blocks_delete_their_own_tables(spark, monkeypatch):
+    monkeypatch.setattr(session, "_made", [])
+    before = session.materialise(spark.range(3), "t")
+    with session.scratch(spark):
+        inside = session.materialise(spark.range(5), "t")
+        assert inside.count() == 5
+    assert before.count() == 3 and len(session._made) == 1
+    with pytest.raises(Exception):
+        inside.count()
+    session.drop_scratch(spark)
+
+
 def test_local_sessions_get_a_folder(spark):
     assert session.scratch_path(spark, "x") != session.scratch_path(spark, "x")
 

@@ -101,11 +101,29 @@ def test_busy_users_leave_few_pairs_behind(spark):
     left_out = similarity._busiest(rated, sizes, 1)
     assert left_out.count() == 200
     kept = rated.join(left_out, ["user", "item"], "left_anti")
-    assert similarity._grid_pairs(kept, sizes, 10).count() == 1
+    assert similarity._all_pairs(kept, sizes, 10).count() == 1
     got = similarity.cosine_pairs(frame(spark, ratings), **COLUMNS, pairs_over=1, busy=10)
     assert by_pair(got) == {(0, 1): (2, pytest.approx(1.0))}
 
 
+def test_groups_of_busy_users_are_bounded(spark):
+    """A user of 400 items at ``busy`` 50 meets itself in groups of about 50 by 50."""
+    rated = similarity._as_sets(similarity._rows(frame(spark, [(1, i, 1.0) for i in range(400)]), "u", "i", "r", None))
+    sizes = spark.createDataFrame([(1, 400, 1)], "user long, items long, most long")
+    pairs = similarity._grid_pairs(rated, sizes, 50)
+    groups = pairs.groupBy("a._mine", "a._other").count().collect()
+    assert sum(r["count"] for r in groups) == 400 * 399 // 2
+    assert len(groups) == 64 and max(r["count"] for r in groups) <= 80 * 80
+
+
+def test_top_partners(spark):
+    pairs = spark.createDataFrame(
+        [(1, 2, 5, 0.5), (1, 3, 9, 0.5), (2, 3, 1, 0.9)], "item1 long, item2 long, n long, score double"
+    )
+    got = [(r.item, r.partner, r["rank"]) for r in similarity.top_partners_per_item(pairs, 1).orderBy("item").collect()]
+    assert got == [(1, 3, 1), (2, 3, 1), (3, 2, 1)]
+
+
 def test_zero_ratings_score_zero(spark):
     got = similarity.cosine_pairs(frame(spark, [(1, 1, 0.0), (1, 2, 3.0)]), **COLUMNS)
     assert by_pair(got) == {(1, 2): (1, 0.0)}

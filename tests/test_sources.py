@@ -114,7 +114,16 @@ def test_lines_are_split_once(spark, tmp_path):
         assert df._jdf.queryExecution().executedPlan().toString().count("split(") == 1
 
 
-def test_spread_leaves_wide_inputs_alone(spark):
-    assert files.spread(spark.range(0, 100, 1, 2), "id").rdd.getNumPartitions() == 8
-    wide = spark.range(0, 100, 1, 20)
-    assert files.spread(wide, "id") is wide
+def test_white_space_of_any_kind_around_fields(spark, tmp_path):
+    (tmp_path / "g").write_text("5 6\t\n\t7 8\n\t1\t2\n")
+    lines = files.read_lines(spark, str(tmp_path))
+    assert rows(adjacency.edges_of(adjacency.parse_adjacency(lines))) == [(1, 2), (5, 6), (7, 8)]
+    assert rows(degrees(lines)) == [(1, 1), (5, 1), (7, 1)]
+    assert rows(lines.select(files.blank_field(2))) == [(None,), (None,), (None,)]
+    assert rows(lines.select(files.blank_field(0))) == [("1",), ("5",), ("7",)]
+
+
+def test_header_with_a_schema_reads_once(spark, tmp_path):
+    (tmp_path / "h.csv").write_text("a,b\n1,x\n")
+    read = files.read_with_header(spark, str(tmp_path / "h.csv"), schema="a long, b string")
+    assert read.dtypes == [("a", "bigint"), ("b", "string")] and rows(read) == [(1, "x")]

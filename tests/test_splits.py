@@ -53,7 +53,17 @@ def test_holdout_ranks_in_the_map_tasks(spark, tmp_path):
 
 
 def test_random_parts(spark):
-    first, second = splits.random_parts(spark.range(1000), [0.5, 0.5], seed=1)
+    first, second = splits.random_parts(spark.range(1000), [0.5, 0.5], ["id"], seed=1)
     assert first.count() + second.count() == 1000
     assert first.intersect(second).count() == 0
     assert 400 < first.count() < 600
+
+
+def test_random_parts_do_not_follow_the_layout(spark):
+    parts = [
+        [r.id for r in splits.random_parts(spark.range(500).repartition(n), [0.3, 0.7], ["id"])[0].orderBy("id").collect()]
+        for n in (2, 8)
+    ]
+    assert parts[0] == parts[1]
+    other = splits.random_parts(spark.range(500), [0.3, 0.7], ["id"], seed=7)[0]
+    assert sorted(r.id for r in other.collect()) != parts[0]
