@@ -52,7 +52,7 @@ def _named(chosen: DataFrame, names: DataFrame, name: str) -> DataFrame:
 def least_connected(
     degree: DataFrame, names: DataFrame, at_least: int = 0, name: str = "name"
 ) -> DataFrame:
-    """Named nodes of the lowest degree that is ``at_least`` so high, by id.
+    """Named nodes of the lowest degree of all nodes (not of those of one neighbour) that is ``at_least`` so high, by id.
 
     The degrees are used twice, so they are written first. The lowest one is a scalar subquery:
     one value, no join and no trip to the driver.
@@ -63,18 +63,26 @@ def least_connected(
 
 
 def breadth_first(
-    edges: DataFrame, source: int, target: int | None = None, max_rounds: int = 10
+    edges: DataFrame, source: int, target: int | None = None, max_rounds: int | None = 10
 ) -> DataFrame:
-    """(id, distance, hits) of the nodes within ``max_rounds`` steps of ``source``.
+    """(id, distance, hits) of the nodes within ``max_rounds`` steps of ``source``; None searches to the end.
 
     ``hits`` is how many edges led to the node in the round that found it, repeated edges
-    counted each time. With a ``target`` the search ends in the round that finds it.
+    counted each time. With a ``target`` the search ends in the round that finds it. A target that is the source
+    itself is found at distance 0 with no hits; ``separation`` tells when an edge first leads back to it.
 
     Each round is one job that writes its new nodes to the shared folder; nothing is kept in
     executors. The next round joins that table with the edges: its size on disk decides between
     a broadcast and a shuffle, and a hub that makes a shuffle partition large is split by the
     adaptive skew join. Counts per reached node are added up before they are shuffled.
     """
+    return _search(edges, source, target, max_rounds)[0]
+
+
+def _search(
+    edges: DataFrame, source: int, target: int | None, max_rounds: int | None
+) -> tuple[DataFrame, DataFrame, bool]:
+    """The nodes found, the written edges, and whether the last round still found new nodes that lead on."""
     spark = edges.sparkSession
     graph = materialise(edges.groupBy("src", "dst").agg(F.count("*").alias("edges")), "edges")
     root = scratch_path(spark, "search")
@@ -84,7 +92,9 @@ def breadth_first(
 
     rounds = [f"{root}/distance=0"]
     spark.createDataFrame([(source, 0)], "id long, hits long").write.parquet(rounds[0])
-    for distance in range(1, max_rounds + 1):
+    distance, open_ = 0, True
+    while open_ and (max_rounds is None or distance < max_rounds) and not (target == source and distance == 0):
+        distance += 1
         frontier = reader.parquet(rounds[-1]).select(F.col("id").alias("src"))
         reached = (
             graph.join(frontier, "src")
@@ -100,21 +110,37 @@ def breadth_first(
             .agg(F.count("*").alias("n"), F.count_if(F.col("id") == F.lit(target)).alias("target"))
             .first()
         )
-        if found["n"] == 0 or found["target"] > 0:
+        open_ = found["n"] > 0
+        if found["target"] > 0:
             break
-    return reader.parquet(*rounds).select("id", "distance", "hits")
+    return reader.parquet(*rounds).select("id", "distance", "hits"), graph, open_
 
 
 def distances(
-    nodes: DataFrame, edges: DataFrame, source: int, max_rounds: int = 10
+    nodes: DataFrame, edges: DataFrame, source: int, max_rounds: int | None = 10
 ) -> DataFrame:
-    """(id, distance) of every node, NULL where the search does not come."""
-    reached = breadth_first(edges, source, max_rounds=max_rounds)
-    return nodes.select("id").join(reached.select("id", "distance"), "id", "left")
+    """(id, distance, open) of every node.
+
+    The distance is NULL where the search does not come. ``open`` is true where that may be for want of rounds only:
+    the last one allowed still found new nodes. With ``max_rounds=None`` NULL means that no path leads there.
+    """
+    reached, _, open_ = _search(edges, source, None, max_rounds)
+    joined = nodes.select("id").join(reached.select("id", "distance"), "id", "left")
+    return joined.withColumn("open", F.col("distance").isNull() & F.lit(open_))
 
 
 def separation(
-    edges: DataFrame, source: int, target: int, max_rounds: int = 10
+    edges: DataFrame, source: int, target: int, max_rounds: int | None = 10
 ) -> DataFrame:
-    """(id, distance, hits) of the target: one row, none if it is not reached."""
-    return breadth_first(edges, source, target, max_rounds).filter(F.col("id") == target)
+    """(id, distance, hits) of the target: one row, none if it is not reached.
+
+    Where the target is the source, the distance is that of the shortest way back to it, with the edges that close it
+    as hits: one round more than the nearest node with an edge to the source.
+    """
+    if source != target:
+        return breadth_first(edges, source, target, max_rounds).filter(F.col("id") == target)
+    limit = None if max_rounds is None else max_rounds - 1
+    reached, graph, _ = _search(edges, source, None, limit)
+    back = graph.filter(F.col("dst") == target).select(F.col("src").alias("id"), "edges").join(reached, "id")
+    ways = back.groupBy("distance").agg(F.sum("edges").alias("hits")).orderBy("distance").limit(1)
+    return ways.select(F.lit(target).cast("long").alias("id"), (F.col("distance") + 1).alias("distance"), "hits")

@@ -104,6 +104,14 @@ def adjacency_nodes(spark, folder):
     return nodes_of(parse_adjacency(part_lines(spark, folder)))
 
 
+@query("tabbed_degree", "SELECT o_orderkey AS id, CAST(2 AS BIGINT) AS degree FROM orders")
+def tabbed_degree(spark, folder):
+    """Lines that begin, end and are separated by tabs and blanks."""
+    orders = read_table(spark, folder, "orders")
+    key, customer = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")
+    return graph.degrees(orders.select(F.concat(F.lit("\t "), key, F.lit(" \t"), customer, F.lit("\t"), customer, F.lit("\t")).alias("value")))
+
+
 @query("node_degree", _PART_DEGREE)
 def node_degree(spark, folder):
     return graph.degrees(part_lines(spark, folder))
@@ -159,7 +167,21 @@ def least_connected_min(spark, folder):
 )
 def bfs_distances(spark, folder):
     adjacency = materialise(parse_adjacency(follow_lines(spark, folder)), "adjacency")
-    return graph.distances(nodes_of(adjacency), edges_of(adjacency), SOURCE)
+    return graph.distances(nodes_of(adjacency), edges_of(adjacency), SOURCE).drop("open")
+
+
+@query(
+    "bfs_all_distances",
+    f"""
+    {_SEARCH.replace("distance < 10", "distance < 30")}
+    SELECT users.user_id AS id, found.distance, false AS open
+    FROM (SELECT DISTINCT user_id FROM events) users LEFT JOIN found ON found.id = users.user_id
+    """,
+)
+def bfs_all_distances(spark, folder):
+    """The search to its end; on these tables that is far below the SQL's 30 rounds."""
+    adjacency = materialise(parse_adjacency(follow_lines(spark, folder)), "adjacency")
+    return graph.distances(nodes_of(adjacency), edges_of(adjacency), SOURCE, max_rounds=None)
 
 
 @query(

@@ -39,7 +39,7 @@ def test_search_counts_repeated_edges_of_the_first_round_only(spark):
     assert rows(graph.separation(edges, 1, 4)) == [(4, 2, 4)]
     assert rows(graph.separation(edges, 1, 9)) == []
     nodes = nodes_of(parse_adjacency(lines))
-    assert (9, None) in rows(graph.distances(nodes, edges, 1))
+    assert (9, None, False) in rows(graph.distances(nodes, edges, 1))
 
 
 def test_search_stops_at_the_round_limit(spark):
@@ -69,3 +69,20 @@ def test_search_equals_plain_search(spark, seed, hub):
     edges.append((0, 7))
     got = graph.breadth_first(spark.createDataFrame(edges, ["src", "dst"]), 0)
     assert sorted(tuple(r) for r in got.collect()) == plain_search(edges, 0)
+
+
+def test_search_to_the_end_and_open_frontiers(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(15)], ["src", "dst"])
+    nodes = spark.range(17)
+    full = rows(graph.distances(nodes, edges, 0, max_rounds=None))
+    assert full[12] == (12, 12, False) or (12, 12, False) in full
+    assert (16, None, False) in full
+    cut = rows(graph.distances(nodes, edges, 0, max_rounds=10))
+    assert (12, None, True) in cut and (10, 10, False) in cut
+
+
+def test_way_back_to_the_source(spark):
+    edges = spark.createDataFrame([(1, 2), (2, 1), (2, 1), (1, 3), (3, 1)], ["src", "dst"])
+    assert rows(graph.separation(edges, 1, 1)) == [(1, 2, 3)]
+    assert rows(graph.separation(spark.createDataFrame([(1, 2)], ["src", "dst"]), 1, 1)) == []
+    assert rows(graph.separation(spark.createDataFrame([(1, 1)], ["src", "dst"]), 1, 1)) == [(1, 1, 1)]
