@@ -64,10 +64,13 @@ def average_by_key(df: DataFrame, key: str, value: str, scale: int | None = None
 
 
 def spend_by_customer(
-    df: DataFrame, customer: str, amount: str, ascending: bool = False
+    df: DataFrame, customer: str, amount: str, ascending: bool = False, scale: int = 2
 ) -> DataFrame:
-    """Total per customer as a decimal, largest first unless ``ascending``."""
-    totals = df.groupBy(customer).agg(F.sum(exact(F.col(amount))).alias("total_spent"))
+    """Total per customer as a decimal, largest first unless ``ascending``.
+
+    Each amount is rounded to ``scale`` decimals before it is added.
+    """
+    totals = df.groupBy(customer).agg(F.sum(exact(F.col(amount), scale)).alias("total_spent"))
     order = F.asc("total_spent") if ascending else F.desc("total_spent")
     return totals.orderBy(order, customer)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallywork.functions import logs
 from tallywork.functions.logs import parse_logs
 from tallywork.functions.text import ascii_only
 from tallywork.operators.words import fold_words, word_count
@@ -114,16 +115,18 @@ LINES_SQL = """
 """
 
 
-def parse_sql(offset_sign: str) -> str:
-    return rf"""
-    SELECT event_id,
-           regexp_extract(line, '(^\S+\.[\S+\.]+\S+)\s', 1) AS host,
-           regexp_extract(line, '\[(\d{{2}}/\w{{3}}/\d{{4}}:\d{{2}}:\d{{2}}:\d{{2}} {offset_sign}\d{{4}})]', 1) AS timestamp,
-           regexp_extract(line, '"(\S+)\s(\S+)\s*(\S*)"', 1) AS method,
-           regexp_extract(line, '"(\S+)\s(\S+)\s*(\S*)"', 2) AS endpoint,
-           regexp_extract(line, '"(\S+)\s(\S+)\s*(\S*)"', 3) AS protocol,
-           TRY_CAST(regexp_extract(line, '\s(\d{{3}})\s', 1) AS INTEGER) AS status,
-           TRY_CAST(regexp_extract(line, '\s(\d+)$', 1) AS INTEGER) AS content_size
+def parse_sql(any_offset: bool) -> str:
+    """The same fields by the same patterns."""
+
+    def part(pattern: str, group: int = 1) -> str:
+        return f"regexp_extract(line, '{pattern}', {group})"
+
+    return f"""
+    SELECT event_id, {part(logs.HOST)} AS host,
+           {part(logs.TIME_ANY_OFFSET if any_offset else logs.TIME)} AS timestamp,
+           {part(logs.REQUEST, 1)} AS method, {part(logs.REQUEST, 2)} AS endpoint, {part(logs.REQUEST, 3)} AS protocol,
+           TRY_CAST({part(logs.STATUS)} AS INTEGER) AS status,
+           TRY_CAST({part(logs.CONTENT_SIZE)} AS INTEGER) AS content_size
     FROM ({LINES_SQL})
     """
 
@@ -132,17 +135,17 @@ def event_lines(spark: SparkSession, folder: str) -> DataFrame:
     return log_lines(read_table(spark, folder, "events").drop("props"))
 
 
-@query("log_parse", parse_sql("-"))
+@query("log_parse", parse_sql(False))
 def log_parse(spark, folder):
     return parse_logs(event_lines(spark, folder), keep=("event_id",))
 
 
-@query("log_parse_any_offset", parse_sql("[+-]"))
+@query("log_parse_any_offset", parse_sql(True))
 def log_parse_any_offset(spark, folder):
     return parse_logs(event_lines(spark, folder), any_offset=True, keep=("event_id",))
 
 
-STATUS_SQL = f"SELECT status, count(*) AS n FROM ({parse_sql('-')}) GROUP BY status"
+STATUS_SQL = f"SELECT status, count(*) AS n FROM ({parse_sql(False)}) GROUP BY status"
 
 
 @query("log_status_counts", STATUS_SQL)
@@ -152,7 +155,7 @@ def log_status_counts(spark, folder):
 
 @query(
     "log_endpoint_counts",
-    f"SELECT endpoint, count(*) AS n FROM ({parse_sql('-')}) GROUP BY endpoint",
+    f"SELECT endpoint, count(*) AS n FROM ({parse_sql(False)}) GROUP BY endpoint",
 )
 def log_endpoint_counts(spark, folder):
     return running_counts(parse_logs(event_lines(spark, folder)), "endpoint")

@@ -1,4 +1,4 @@
-"""Column layouts of the supported input files."""
+"""Column layouts of the supported input files. The names, types and order of the files' columns."""
 
 from pyspark.sql import types as T
 

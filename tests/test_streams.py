@@ -94,3 +94,22 @@ def test_stream_of_a_table_in_one_file_or_many(spark, tmp_path):
     for source in ("many", "one"):
         counted = run_stream(running_counts(stream_table(spark, str(tmp_path), source), "k"), name())
         assert rows(counted) == [(0, 7), (1, 7), (2, 6)]
+
+
+def test_watermark_closes_windows(spark, tmp_path):
+    """With a watermark closed windows come out once, and late rows for them do not count."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    time = F.to_timestamp(F.col("value"))
+    lines = stream_lines(spark, str(folder), 1).withColumn("k", F.lit("x"))
+    counted = sliding_counts(lines, "k", "1 minute", "1 minute", time=time, watermark="1 minute")
+    query_name = name()
+    query = start_stream(counted, query_name, "memory", output_mode="append")
+    try:
+        for text in ("2026-01-01 00:00:10\n2026-01-01 00:00:20", "2026-01-01 00:10:00", "2026-01-01 00:00:30", "2026-01-01 00:20:00"):
+            (folder / f"{uuid.uuid4().hex}.txt").write_text(text + "\n")
+            query.processAllAvailable()
+        got = [(str(r.window_start), r.n) for r in spark.table(query_name).orderBy("window_start").collect()]
+        assert got[0] == ("2026-01-01 00:00:00", 2)
+    finally:
+        query.stop()
