@@ -201,3 +201,25 @@ def als_recommend(spark, folder):
     model = models.fit_recommender(ratings, "o_custkey", "l_suppkey", "l_quantity")
     users = frame_from_rows(spark, [(8,)], ["o_custkey"])
     return models.recommend(model, users, read_table(spark, folder, "supplier"), "s_suppkey", "s_name")
+
+
+@query(
+    "als_recommend_checks",
+    """
+    SELECT least(10, count(DISTINCT l_suppkey)) AS items, least(10, count(DISTINCT l_suppkey)) AS named,
+           least(10, count(DISTINCT l_suppkey)) AS finite
+    FROM lineitem
+    """,
+)
+def als_recommend_checks(spark, folder):
+    """Of the recommendations: distinct items that the tables know, those with the right name, finite ratings."""
+    best = als_recommend(spark, folder)
+    known = read_table(spark, folder, "lineitem").select(F.col("l_suppkey").alias("_item")).distinct()
+    names = read_table(spark, folder, "supplier").select(F.col("s_suppkey").alias("_key"), F.col("s_name").alias("_name"))
+    joined = best.join(known, F.col("l_suppkey") == F.col("_item")).join(names, F.col("l_suppkey") == F.col("_key"))
+    finite = F.col("rating").isNotNull() & ~F.isnan("rating") & (F.abs("rating") != float("inf"))
+    return joined.agg(
+        F.count_distinct("l_suppkey").alias("items"),
+        F.count_if(F.col("s_name") == F.col("_name")).alias("named"),
+        F.count_if(finite).alias("finite"),
+    )

@@ -50,3 +50,16 @@ def test_recommendations_follow_taste(spark):
     assert sorted(r.i for r in got) == [1, 3, 5, 7, 9, 11]
     assert {r.i: r.title for r in got}[11] is None
     assert [r.rating for r in got] == sorted((r.rating for r in got), reverse=True)
+
+
+def test_recommendations_find_planted_tastes_with_long_ids(spark):
+    """Two groups of users, each fond of one half of the items; ids are beyond 32 bits."""
+    far = 1 << 40
+    ratings = [
+        (far + u, far + i, 5.0 if (u < 10) == (i < 6) else 1.0) for u in range(20) for i in range(12) if (u + i) % 5
+    ]
+    frame = spark.createDataFrame(ratings, "u long, i long, r double")
+    names = spark.createDataFrame([(far + i, f"n{i}") for i in range(12)], "i long, name string")
+    model = models.fit_recommender(frame, "u", "i", "r")
+    got = models.recommend(model, spark.createDataFrame([(far + 3,), (7,)], "u long"), names, "i", "name", 4).collect()
+    assert len(got) == 4 and all(r.u == far + 3 and r.i < far + 6 and r.name == f"n{r.i - far}" for r in got)
