@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tallywork.llm.cells import Groups, search_cells
-from tallywork.llm.common import WORDS, arrow_rows, materialise, mix, shingle_hashes, word_hashes
+from tallywork.llm.common import WORDS, arrow_rows, materialise, mix, shingle_hashes, thinned, word_hashes
 from tallywork.llm.components import connected_components
 
 _TOKENS = re.compile(r"[^\x20\x09-\x0D]+|\n")
@@ -74,26 +74,48 @@ def _ends(starts: np.ndarray, n: int) -> np.ndarray:
     return np.append(starts[1:], n).astype(np.int64) if len(starts) else starts
 
 
-def band_keys(words: np.ndarray, starts: np.ndarray, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """The numbers of the paragraphs that have a shingle, and their keys, one column per band."""
+@dataclass
+class Banded:
+    """Paragraphs of a text that have a shingle: their numbers and ends, all shingles of the text, a key per band."""
+
+    numbers: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    shingles: np.ndarray
+    keys: np.ndarray
+
+    def members(self, k: int, width: int) -> np.ndarray:
+        """The sorted set of shingles of the k-th of these paragraphs."""
+        return np.unique(self.shingles[self.starts[k] : self.ends[k] - width + 1])
+
+
+def banded(text: str | None, settings: Settings) -> Banded:
+    """The keys of a whole text's paragraphs."""
+    words, starts = paragraphs(text, settings.around)
     ends = _ends(starts, len(words))
     some = np.flatnonzero(ends - starts >= settings.width)
     found = shingle_hashes(words, settings.width)
     keys = np.zeros((len(some), settings.bands), np.uint64)
-    if not len(some):
-        return some, keys
-    # Shingles that cross the end of a paragraph are between the ranges that count.
-    edges = np.column_stack([starts[some], ends[some] - settings.width + 1]).reshape(-1)
-    for band in range(settings.bands):
-        spread = mix(found ^ mix(np.array([band + 1], np.uint64)))
-        lows = np.minimum.reduceat(np.append(spread, np.iinfo(np.uint64).max), edges)[::2]
-        keys[:, band] = mix(lows + np.uint64(band))
-    return some, keys
-
-
-def members_of(words: np.ndarray, start: int, end: int, width: int) -> np.ndarray:
-    """The sorted set of shingles of a paragraph."""
-    return np.unique(shingle_hashes(words[start:end], width))
+    starts, ends = starts[some], ends[some]
+    if len(some):
+        # Shingles that cross the end of a paragraph are between the ranges that count.
+        edges = np.column_stack([starts, ends - settings.width + 1]).reshape(-1)
+        for band in range(settings.bands):
+            spread = mix(found ^ mix(np.array([band + 1], np.uint64)))
+            lows = np.minimum.reduceat(np.append(spread, np.iinfo(np.uint64).max), edges)[::2]
+            keys[:, band] = mix(lows + np.uint64(band))
+    return Banded(some, starts, ends, found, keys)
+
+
+def may_run(numbers: list[int], words: list[int], settings: Settings) -> bool:
+    """Whether paragraphs of these numbers could make a run that is long enough, with short ones in between."""
+    total, last = 0, None
+    for number, size in sorted(set(zip(numbers, words))):
+        total = size if last is None or number > last + 2 else total + size + (number > last + 1) * settings.width
+        if total >= settings.least:
+            return True
+        last = number
+    return False
 
 
 def exact_jaccard(settings: Settings, names: list[bytes], sides: list[int], sets: list[np.ndarray]) -> Iterator[tuple[bytes, bytes]]:
@@ -134,41 +156,65 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            out = []
-            for value in batch.column(1).to_pylist():
-                words, starts = paragraphs(value, settings.around)
-                out.append(band_keys(words, starts, settings)[1].reshape(-1).view(np.int64))
-            yield {"doc": batch.column(0), "keys": out}
-
-    keys = materialise(arrow_rows(source.select("doc", "text"), keyed, "doc long, keys array<long>"), "keys")
+            out = [banded(value, settings) for value in batch.column(1).to_pylist()]
+            yield {
+                "doc": batch.column(0),
+                "keys": [b.keys.reshape(-1).view(np.int64) for b in out],
+                "numbers": [b.numbers for b in out],
+                "words": [b.ends - b.starts for b in out],
+            }
+
+    schema = "doc long, keys array<long>, numbers array<int>, words array<int>"
+    keys = materialise(arrow_rows(source.select("doc", "text"), keyed, schema), "keys")
     pairs = keys.select(F.explode("keys").alias("key"), "doc")
     shared = pairs.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high")
     shared = materialise(shared.select("key"), "shared")
-    wanted = pairs.join(shared, "key").groupBy("doc").agg(F.collect_set("key").alias("wanted"))
-    # Texts of documents that share a key; what follows reads these only.
-    texts = materialise(source.dropDuplicates(["doc"]).join(wanted, "doc"), "texts")
+    at = F.expr(f"int(pos div {settings.bands})")
+    placed = keys.select("doc", "numbers", "words", F.posexplode("keys").alias("pos", "key")).select(
+        "doc", "key", F.get("numbers", at).alias("number"), F.get("words", at).alias("words")
+    )
+    hits = thinned(placed, "key", shared, "key").join(shared, "key")
+    per_doc = hits.groupBy("doc").agg(F.collect_list(F.struct("number", "words", "key")).alias("hits"))
+
+    def eligible(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            out: dict[str, list] = {"doc": [], "wanted": []}
+            for doc, found in zip(*(batch.column(i).to_pylist() for i in range(2))):
+                if may_run([h["number"] for h in found], [h["words"] for h in found], settings):
+                    out["doc"].append(doc)
+                    out["wanted"].append(list({h["key"] for h in found}))
+            yield out
+
+    wanted = materialise(arrow_rows(per_doc.select("doc", "hits"), eligible, "doc long, wanted array<long>"), "wanted")
+    # Texts of documents whose shared paragraphs may make a run; what follows reads these only.
+    texts = materialise(thinned(source, "doc", wanted, "doc").dropDuplicates(["doc"]).join(wanted, "doc"), "texts")
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             out: dict[str, list] = {c: [] for c in ("doc", "doc_id", "paragraph", "sig", "keys", "set")}
             for doc, key, value, want in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                words, starts = paragraphs(value, settings.around)
-                ends = _ends(starts, len(words))
-                some, found = band_keys(words, starts, settings)
-                hit = np.isin(found.view(np.int64), np.array(want, np.int64))
+                found = banded(value, settings)
+                own = found.keys.view(np.int64)
+                hit = np.isin(own, np.array(want, np.int64))
                 for k in np.flatnonzero(hit.any(axis=1)).tolist():
-                    members = members_of(words, starts[some[k]], ends[some[k]], settings.width)
+                    members = found.members(k, settings.width).tobytes()
                     out["doc"].append(doc)
                     out["doc_id"].append(key)
-                    out["paragraph"].append(int(some[k]))
-                    out["sig"].append(hashlib.blake2b(members.tobytes(), digest_size=16).digest())
-                    out["keys"].append(found[k].view(np.int64)[hit[k]].tolist())
-                    out["set"].append(members.tobytes())
+                    out["paragraph"].append(int(found.numbers[k]))
+                    out["sig"].append(hashlib.blake2b(members, digest_size=16).digest())
+                    out["keys"].append(own[k][hit[k]].tolist())
+                    out["set"].append(members)
             yield out
 
     schema = f"doc long, doc_id {kind}, paragraph int, sig binary, keys array<long>, set binary"
     parts = materialise(arrow_rows(texts.select("doc", "doc_id", "text", "wanted"), candidates, schema), "paragraphs")
-    members = parts.select(F.explode("keys").alias("cluster"), F.col("sig").alias("item"), "set")
+    # Equal paragraphs need no comparison; keys of several different ones do.
+    several = parts.select(F.explode("keys").alias("key"), "sig").groupBy("key").agg(
+        F.min("sig").alias("low"), F.max("sig").alias("high")
+    )
+    several = materialise(several.where("low < high").select("key"), "several")
+    members = parts.select(F.explode("keys").alias("key"), F.col("sig").alias("item"), "set")
+    members = thinned(members, "key", several, "key").join(several, "key").withColumnRenamed("key", "cluster")
     links = search_cells(members, lambda *cell: exact_jaccard(settings, *cell))
     roots = connected_components(links).select(F.col("node").alias("sig"), F.col("component").alias("root"))
     placed = parts.select("doc", "doc_id", "paragraph", "sig").join(materialise(roots, "roots"), "sig", "left")
