@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tallywork.llm.cells import Groups, search_cells
-from tallywork.llm.common import WORDS, arrow_rows, materialise, mix, shingle_hashes, word_hashes
+from tallywork.llm.common import WORDS, arrow_rows, materialise, mix, shingle_hashes, thinned, word_hashes
 from tallywork.llm.components import connected_components
 
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -242,7 +242,7 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", join: Join
     pairs = rows.where("n > 0").select(F.explode("keys").alias("key"), "item")
     shared = pairs.groupBy("key").agg(F.min("item").alias("low"), F.max("item").alias("high")).where("low < high")
     shared = materialise(shared.select("key", "low"), "shared")
-    near = pairs.join(shared, "key").where("item != low").select(F.col("item").alias("a"), F.col("low").alias("b"))
+    near = thinned(pairs, "key", shared, "key").join(shared, "key").where("item != low").select(F.col("item").alias("a"), F.col("low").alias("b"))
     clusters = materialise(connected_components(near.distinct()), "clusters")
     # One row of the documents stands for all that have its set.
     first = rows.where("n > 0").groupBy("sig").agg(
@@ -250,7 +250,7 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", join: Join
     )
     chosen = first.select("sig", F.col("r.doc_id").alias("id"), F.col("r.hash").alias("own"), F.col("r.item").alias("node"))
     chosen = materialise(chosen.join(clusters, "node").select("sig", "id", "own", F.col("component").alias("cluster")), "chosen")
-    texts = hashed.join(chosen, (F.col("hash") == F.col("own")) & F.col("doc_id").eqNullSafe(F.col("id")))
+    texts = thinned(hashed, "hash", chosen, "own").join(chosen, (F.col("hash") == F.col("own")) & F.col("doc_id").eqNullSafe(F.col("id")))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
