@@ -1,11 +1,12 @@
-"""Passages that repeat across documents, found by MinHash banding of paragraphs and removed from all but one.
-
-A paragraph is a part of a line between two cuts; cuts are line ends and the places where a hash of two neighbouring words is
-the lowest of its surroundings, so that a passage is cut alike wherever it stands, also inside a longer line. Bands of
-one minimum each (``bands`` says how many reach the recall asked for) bring paragraphs together; those that collide are
-verified by the exact Jaccard similarity of their five-word shingles, and linked paragraphs form components. Each
-component stays in the document of the smallest id and goes from the others, if with its neighbours it makes a run of at least
-``least`` repeated words.
+"""Passages that repeat across documents, found by their words and as near paragraphs, and removed from all but one document.
+
+Two kinds of parts are looked up across documents. Seeds are windows of words whose hash is the lowest of some ``around + 1``
+neighbouring windows, whatever the lines: two texts that share ``least`` words in a row always share a seed inside them.
+Paragraphs are lines, lines of few words taken together, and blocks between blank lines; bands of one minimum each (``bands``
+says how many reach the recall asked for) bring them together, and those that collide are verified by the exact Jaccard
+similarity of their five-word shingles and form components. A seed or component stays in the document of the smallest id and goes
+from the others. From a seed the texts are compared outwards with the document that keeps it, up to where they differ.
+What is marked so goes if it makes a run of at least ``least`` words.
 """
 
 from __future__ import annotations
@@ -31,13 +32,13 @@ _TOKENS = re.compile(r"[^\x20\x09-\x0D]+|\n")
 class Settings:
     """``width``: words of a shingle. ``similar``: least Jaccard similarity. ``recall``: of a pair just that similar.
 
-    ``around``: words on either side of a cut that it must be the lowest of. ``least``: words of a run that is removed.
+    ``around``: neighbours of which a seed is the lowest. ``least``: words of a run that is removed.
     """
 
     width: int = 5
     similar: float = 0.8
     recall: float = 0.95
-    around: int = 6
+    around: int = 8
     least: int = 16
 
     @property
@@ -45,77 +46,79 @@ class Settings:
         """Bands of one minimum each such that a pair of similarity ``similar`` collides with probability ``recall``."""
         return max(1, math.ceil(math.log(1 - self.recall) / math.log(1 - self.similar)))
 
+    @property
+    def seed(self) -> int:
+        """Words of a seed; with ``around`` neighbours they are ``least`` words."""
+        return max(self.width, self.least - self.around)
+
 
-def paragraphs(text: str | None, around: int) -> tuple[np.ndarray, np.ndarray]:
-    """The hashes of a whole text's words, and where paragraphs begin (in words)."""
+def paragraphs(text: str | None, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of a whole text's words, and (first word, word after the last) of its paragraphs of ``width`` words or more."""
     tokens = word_hashes(_TOKENS.findall(text or ""))
     line_end = tokens == word_hashes(["\n"])[0]
     words = tokens[~line_end]
     n = len(words)
-    if not n:
-        return words, np.zeros(0, np.int64)
-    cut = np.zeros(n, bool)
-    cut[0] = True
-    after = (np.cumsum(~line_end))[line_end]  # words before each line end
-    cut[after[after < n]] = True
-    # The hash of a place is that of the words on both its sides; places at the ends have none.
-    place = np.full(n + 2 * around + 1, np.iinfo(np.uint64).max, np.uint64)
-    place[around + 1 : around + n] = mix(words[:-1] * np.uint64(0x9E3779B97F4A7C15) + words[1:])
-    own = place[around : around + n]
-    lowest = np.ones(n, bool)
-    for d in range(1, around + 1):
-        lowest &= (own < place[around - d : around - d + n]) & (own <= place[around + d : around + d + n])
-    # A cut needs its surroundings whole, so that it does not depend on where a text begins or ends.
-    cut[around + 1 : n - around] |= lowest[around + 1 : n - around]
-    return words, np.flatnonzero(cut)
-
-
-def _ends(starts: np.ndarray, n: int) -> np.ndarray:
-    return np.append(starts[1:], n).astype(np.int64) if len(starts) else starts
+    after = np.cumsum(~line_end)[line_end]  # words before each line end
+    found = set()
+    blocks = [0, *np.unique(after[1:][after[1:] == after[:-1]]).tolist(), n]
+    found.update(zip(blocks, blocks[1:]))
+    lines = [*np.unique(after).tolist(), n]
+    start = before = 0
+    for end in lines:
+        if end - before >= width:  # short lines before a long one do not join it
+            found.update([(before, end), (start, before)])
+            start = end
+        elif end - start >= width:
+            found.add((start, end))
+            start = end
+        before = end
+    found = sorted((a, b) for a, b in found if b - a >= width)
+    return words, np.array(found, np.int64).reshape(-1, 2)
+
+
+def seeds(words: np.ndarray, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """Where a text's seeds begin (in words), and their keys."""
+    found = mix(shingle_hashes(words, settings.seed) ^ np.uint64(0x5EED))
+    if not len(found):
+        return np.zeros(0, np.int64), found
+    windows = min(settings.around + 1, len(found))
+    # The minimum of every row of neighbours; a seed is the largest of the minima of those that it is in.
+    lows = np.lib.stride_tricks.sliding_window_view(found, windows).min(axis=1)
+    edge = np.zeros(windows - 1, np.uint64)
+    highest = np.lib.stride_tricks.sliding_window_view(np.concatenate([edge, lows, edge]), windows).max(axis=1)
+    at = np.flatnonzero(found == highest)
+    return at, found[at]
 
 
 @dataclass
 class Banded:
-    """Paragraphs of a text that have a shingle: their numbers and ends, all shingles of the text, a key per band."""
+    """A text's words, its paragraphs with all shingles and a key per band, its seeds and their keys."""
 
-    numbers: np.ndarray
-    starts: np.ndarray
-    ends: np.ndarray
+    words: np.ndarray
+    spans: np.ndarray
     shingles: np.ndarray
     keys: np.ndarray
+    seeds: np.ndarray
+    seed_keys: np.ndarray
 
     def members(self, k: int, width: int) -> np.ndarray:
-        """The sorted set of shingles of the k-th of these paragraphs."""
-        return np.unique(self.shingles[self.starts[k] : self.ends[k] - width + 1])
+        """The sorted set of shingles of the k-th paragraph."""
+        return np.unique(self.shingles[self.spans[k, 0] : self.spans[k, 1] - width + 1])
 
 
 def banded(text: str | None, settings: Settings) -> Banded:
-    """The keys of a whole text's paragraphs."""
-    words, starts = paragraphs(text, settings.around)
-    ends = _ends(starts, len(words))
-    some = np.flatnonzero(ends - starts >= settings.width)
+    """The keys of a whole text's paragraphs and seeds."""
+    words, spans = paragraphs(text, settings.width)
     found = shingle_hashes(words, settings.width)
-    keys = np.zeros((len(some), settings.bands), np.uint64)
-    starts, ends = starts[some], ends[some]
-    if len(some):
-        # Shingles that cross the end of a paragraph are between the ranges that count.
-        edges = np.column_stack([starts, ends - settings.width + 1]).reshape(-1)
+    keys = np.zeros((len(spans), settings.bands), np.uint64)
+    if len(spans):
+        # Of the ranges, every other one is a paragraph's.
+        edges = (spans - np.array([0, settings.width - 1])).reshape(-1)
         for band in range(settings.bands):
             spread = mix(found ^ mix(np.array([band + 1], np.uint64)))
             lows = np.minimum.reduceat(np.append(spread, np.iinfo(np.uint64).max), edges)[::2]
             keys[:, band] = mix(lows + np.uint64(band))
-    return Banded(some, starts, ends, found, keys)
-
-
-def may_run(numbers: list[int], words: list[int], settings: Settings) -> bool:
-    """Whether paragraphs of these numbers could make a run that is long enough, with short ones in between."""
-    total, last = 0, None
-    for number, size in sorted(set(zip(numbers, words))):
-        total = size if last is None or number > last + 2 else total + size + (number > last + 1) * settings.width
-        if total >= settings.least:
-            return True
-        last = number
-    return False
+    return Banded(words, spans, found, keys, *seeds(words, settings))
 
 
 def exact_jaccard(settings: Settings, names: list[bytes], sides: list[int], sets: list[np.ndarray]) -> Iterator[tuple[bytes, bytes]]:
@@ -143,10 +146,11 @@ def _marked(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
-    """A row per run of repeated paragraphs of one fate in a document.
+    """A row per run of repeated words of one fate in a document.
 
     Columns: doc (a hash of id and text), doc_id, start and end (in characters; the end is where the next word begins),
-    n_words, component_id (the smallest doc_id that holds the run's first paragraph), n_docs (documents holding that) and removed.
+    n_words, component_id, n_docs and removed. n_docs are the documents that hold the seed or paragraph at the run's first word (of
+    several the one that most hold), component_id is the smallest doc_id of these.
     A passage counts as repeated where at least two documents hold it; repeats inside one document are left alone. Rows
     of the same id and text are one document and have their spans once. Null and empty texts have none. Rows
     without an id take part, but come after all others when the one to keep is chosen.
@@ -157,57 +161,60 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             out = [banded(value, settings) for value in batch.column(1).to_pylist()]
-            yield {
-                "doc": batch.column(0),
-                "keys": [b.keys.reshape(-1).view(np.int64) for b in out],
-                "numbers": [b.numbers for b in out],
-                "words": [b.ends - b.starts for b in out],
-            }
-
-    schema = "doc long, keys array<long>, numbers array<int>, words array<int>"
-    keys = materialise(arrow_rows(source.select("doc", "text"), keyed, schema), "keys")
+            own = [np.unique(np.append(b.keys.reshape(-1), b.seed_keys)).view(np.int64) for b in out]
+            yield {"doc": batch.column(0), "keys": own}
+
+    keys = materialise(arrow_rows(source.select("doc", "text"), keyed, "doc long, keys array<long>"), "keys")
     pairs = keys.select(F.explode("keys").alias("key"), "doc")
     shared = pairs.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high")
     shared = materialise(shared.select("key"), "shared")
-    at = F.expr(f"int(pos div {settings.bands})")
-    placed = keys.select("doc", "numbers", "words", F.posexplode("keys").alias("pos", "key")).select(
-        "doc", "key", F.get("numbers", at).alias("number"), F.get("words", at).alias("words")
-    )
-    hits = thinned(placed, "key", shared, "key").join(shared, "key")
-    per_doc = hits.groupBy("doc").agg(F.collect_list(F.struct("number", "words", "key")).alias("hits"))
-
-    def eligible(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        for batch in batches:
-            out: dict[str, list] = {"doc": [], "wanted": []}
-            for doc, found in zip(*(batch.column(i).to_pylist() for i in range(2))):
-                if may_run([h["number"] for h in found], [h["words"] for h in found], settings):
-                    out["doc"].append(doc)
-                    out["wanted"].append(list({h["key"] for h in found}))
-            yield out
-
-    wanted = materialise(arrow_rows(per_doc.select("doc", "hits"), eligible, "doc long, wanted array<long>"), "wanted")
-    # Texts of documents whose shared paragraphs may make a run; what follows reads these only.
-    texts = materialise(thinned(source, "doc", wanted, "doc").dropDuplicates(["doc"]).join(wanted, "doc"), "texts")
+    hits = thinned(pairs, "key", shared, "key").join(shared, "key")
+    wanted = materialise(hits.groupBy("doc").agg(F.collect_set("key").alias("wanted")), "wanted")
+    # All documents that share a key are read again, so that every holder of a passage counts.
+    texts = thinned(source, "doc", wanted, "doc").dropDuplicates(["doc"]).join(wanted, "doc")
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            out: dict[str, list] = {c: [] for c in ("doc", "doc_id", "paragraph", "sig", "keys", "set")}
+            out: dict[str, list] = {c: [] for c in ("doc", "doc_id", "start", "end", "sig", "keys", "set", "before", "after")}
             for doc, key, value, want in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 found = banded(value, settings)
+                want = np.array(want, np.int64)
                 own = found.keys.view(np.int64)
-                hit = np.isin(own, np.array(want, np.int64))
+                hit = np.isin(own, want)
                 for k in np.flatnonzero(hit.any(axis=1)).tolist():
                     members = found.members(k, settings.width).tobytes()
-                    out["doc"].append(doc)
-                    out["doc_id"].append(key)
-                    out["paragraph"].append(int(found.numbers[k]))
+                    out["start"].append(int(found.spans[k, 0]))
+                    out["end"].append(int(found.spans[k, 1]))
                     out["sig"].append(hashlib.blake2b(members, digest_size=16).digest())
                     out["keys"].append(own[k][hit[k]].tolist())
                     out["set"].append(members)
+                    out["before"].append([])
+                    out["after"].append([])
+                near = found.words.view(np.int64)
+                shown = np.isin(found.seed_keys.view(np.int64), want)
+                for at, sig in zip(found.seeds[shown].tolist(), found.seed_keys[shown]):
+                    end = at + settings.seed
+                    out["start"].append(at)
+                    out["end"].append(end)
+                    out["sig"].append(sig.tobytes())
+                    out["keys"].append([])
+                    out["set"].append(None)
+                    # Outwards from the seed; a stretch that goes on for longer has another seed there.
+                    out["before"].append(near[max(0, at - settings.around) : at][::-1])
+                    out["after"].append(near[end : end + settings.around])
+                more = len(out["start"]) - len(out["doc"])
+                out["doc"] += [doc] * more
+                out["doc_id"] += [key] * more
+                if len(out["doc"]) > 16_384:
+                    yield out
+                    out = {c: [] for c in out}
             yield out
 
-    schema = f"doc long, doc_id {kind}, paragraph int, sig binary, keys array<long>, set binary"
-    parts = materialise(arrow_rows(texts.select("doc", "doc_id", "text", "wanted"), candidates, schema), "paragraphs")
+    schema = (
+        f"doc long, doc_id {kind}, start int, `end` int, sig binary, keys array<long>, set binary, "
+        "before array<long>, after array<long>"
+    )
+    parts = materialise(arrow_rows(texts.select("doc", "doc_id", "text", "wanted"), candidates, schema), "parts")
     # Equal paragraphs need no comparison; keys of several different ones do.
     several = parts.select(F.explode("keys").alias("key"), "sig").groupBy("key").agg(
         F.min("sig").alias("low"), F.max("sig").alias("high")
@@ -217,65 +224,103 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     members = thinned(members, "key", several, "key").join(several, "key").withColumnRenamed("key", "cluster")
     links = search_cells(members, lambda *cell: exact_jaccard(settings, *cell))
     roots = connected_components(links).select(F.col("node").alias("sig"), F.col("component").alias("root"))
-    placed = parts.select("doc", "doc_id", "paragraph", "sig").join(materialise(roots, "roots"), "sig", "left")
-    placed = placed.select("doc", "doc_id", "paragraph", F.coalesce("root", "sig").alias("root"))
+    placed = parts.join(materialise(roots, "roots"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
     # Ids first, then rows without one; equal ids by their texts' hashes.
     rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("doc").alias("doc"))
-    holders = placed.select("root", "doc", rank.alias("rank")).distinct()
-    components = holders.groupBy("root").agg(F.min("rank").alias("first"), F.count("*").alias("n_docs")).where("n_docs > 1")
-    chosen = placed.join(materialise(components, "components"), "root").select(
+    placed = materialise(placed.select("root", "doc", rank.alias("rank"), "start", "end", "before", "after"), "placed")
+    # A holder shows its first occurrence. Others are compared with the first holder, and that one with the last.
+    shown = placed.groupBy("root", "doc").agg(F.min(F.struct("rank", "start", "before", "after")).alias("s"))
+    components = (
+        shown.groupBy("root")
+        .agg(F.min("s").alias("first"), F.max("s").alias("last"), F.count("*").alias("n_docs"))
+        .where("n_docs > 1")
+    )
+    joined = placed.join(materialise(components, "components"), "root").withColumn(
+        "removed", F.col("doc") != F.col("first.rank.doc")
+    )
+
+    def equal(side: str):
+        """How many words are equal outwards."""
+        other = F.when(F.col("removed"), F.col(f"first.{side}")).otherwise(F.col(f"last.{side}"))
+        same = F.zip_with(F.col(side), other, lambda a, b: F.coalesce(a == b, F.lit(False)))
+        at = F.array_position(same, F.lit(False))
+        return F.when(at == 0, F.size(side)).otherwise(at - 1).cast("int")
+
+    marks = joined.select(
         "doc",
         F.struct(
-            "paragraph",
-            (F.col("doc") != F.col("first.doc")).alias("removed"),
-            F.col("first.id").alias("component_id"),
+            (F.col("start") - equal("before")).alias("start"),
+            (F.col("end") + equal("after")).alias("end"),
+            "removed",
+            F.col("first.rank.doc").alias("keeper"),
+            F.col("first.rank.id").alias("component_id"),
             "n_docs",
         ).alias("p"),
     )
-    per_doc = chosen.groupBy("doc").agg(F.sort_array(F.collect_set("p")).alias("found"))
+    per_doc = marks.groupBy("doc").agg(F.sort_array(F.collect_set("p")).alias("found"))
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            out: dict[str, list] = {"doc": [], "found": []}
+            for doc, found in zip(*(batch.column(i).to_pylist() for i in range(2))):
+                if spans := list(_runs(found, settings)):
+                    out["doc"].append(doc)
+                    out["found"].append(spans)
+            yield out
+
+    schema = (
+        "doc long, found array<struct<start: int, `end`: int, removed: boolean, keeper: long, "
+        f"component_id: {kind}, n_docs: long>>"
+    )
+    # Only texts with runs are read again, for the places of words.
+    held = materialise(arrow_rows(per_doc, runs, schema), "runs")
+    texts = thinned(source, "doc", held, "doc").dropDuplicates(["doc"]).join(held, "doc")
+
+    def located(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             out: dict[str, list] = {c: [] for c in ("doc", "doc_id", "start", "end", "n_words", "component_id", "n_docs", "removed")}
             for doc, key, value, found in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                for first, last, at in _runs(value, found, settings):
-                    spans = at["spans"]
+                places = [m.start() for m in WORDS.finditer(value)] + [len(value)]
+                for run in found:
                     out["doc"].append(doc)
                     out["doc_id"].append(key)
-                    out["start"].append(spans[first])
-                    out["end"].append(spans[last])
-                    out["n_words"].append(last - first)
-                    out["component_id"].append(at["component_id"])
-                    out["n_docs"].append(at["n_docs"])
-                    out["removed"].append(at["removed"])
+                    out["start"].append(places[run["start"]])
+                    out["end"].append(places[run["end"]])
+                    out["n_words"].append(run["end"] - run["start"])
+                    for column in ("component_id", "n_docs", "removed"):
+                        out[column].append(run[column])
             yield out
 
     schema = f"doc long, doc_id {kind}, start long, `end` long, n_words long, component_id {kind}, n_docs long, removed boolean"
-    return arrow_rows(texts.select("doc", "doc_id", "text").join(per_doc, "doc"), runs, schema)
-
-
-def _runs(text: str, found: list[dict], settings: Settings) -> Iterator[tuple[int, int, dict]]:
-    """(first word, word after the last, what is said of them) per stretch of one fate inside long enough runs."""
-    words, starts = paragraphs(text, settings.around)
-    ends = _ends(starts, len(words))
-    spans = [m.start() for m in WORDS.finditer(text)] + [len(text)]
-    marks: dict[int, dict] = {p["paragraph"]: p for p in found}
-    # A paragraph too short for a shingle belongs to a run that surrounds it.
-    for k in range(1, len(starts) - 1):
-        if k not in marks and ends[k] - starts[k] < settings.width and k - 1 in marks and k + 1 in marks:
-            marks[k] = marks[k - 1]
-    ordered = sorted(marks)
-    while ordered:
-        run = [ordered.pop(0)]
-        while ordered and ordered[0] == run[-1] + 1:
-            run.append(ordered.pop(0))
-        if ends[run[-1]] - starts[run[0]] < settings.least:
+    return arrow_rows(texts.select("doc", "doc_id", "text", "found"), located, schema)
+
+
+def _runs(found: list[dict], settings: Settings) -> Iterator[dict]:
+    """Stretches of one fate inside long enough runs of the marks, which are in order of their starts.
+
+    A word that one mark removes and another keeps goes. Fewer than ``width`` words between marks of one keeper and fate go with
+    them: they are edits inside a passage.
+    """
+    fate = np.zeros(max(p["end"] for p in found) + 1, np.int8)  # 1: kept, 2: removed
+    marks, reached = list(found), {}
+    for p in found:
+        side = (p["keeper"], p["removed"])
+        last = reached.get(side, p["start"])
+        if 0 < p["start"] - last < settings.width:
+            marks.append(p | {"start": last, "end": p["start"]})
+        reached[side] = max(last, p["end"])
+    for removed in (False, True):
+        for p in marks:
+            if p["removed"] == removed:
+                fate[p["start"] : p["end"]] = 1 + removed
+    turns = np.flatnonzero(np.diff(np.append(np.int8(0), (fate > 0).astype(np.int8))))
+    for first, end in zip(turns[::2].tolist(), turns[1::2].tolist()):
+        if end - first < settings.least:
             continue
-        first = 0
-        for k in range(1, len(run) + 1):
-            if k == len(run) or marks[run[k]]["removed"] != marks[run[first]]["removed"]:
-                yield int(starts[run[first]]), int(ends[run[k - 1]]), marks[run[first]] | {"spans": spans}
-                first = k
+        inner = (first + 1 + np.flatnonzero(np.diff(fate[first:end]))).tolist()
+        for a, b in zip([first, *inner], [*inner, end]):
+            own = (p for p in marks if p["start"] <= a < p["end"] and p["removed"] == (fate[a] == 2))
+            yield max(own, key=lambda p: p["n_docs"]) | {"start": a, "end": b}
 
 
 def remove_repeats(

@@ -188,6 +188,33 @@ def test_near_paragraphs_are_linked(spark):
     assert got == [(1, False, 60), (2, True, 60)]
 
 
+def fresh(tag):
+    """Words that no other text holds."""
+    return lambda n, rows=iter(range(10**6)): " ".join(f"{tag}{next(rows)}" for _ in range(n))
+
+
+def edited(text, times):
+    words = text.split(" ")
+    for k in range(times):
+        words[(2 * k + 1) * len(words) // (2 * times)] = f"edit{k}"
+    return " ".join(words)
+
+
+def test_edited_and_wrapped_passages_go(spark):
+    own, rows, want = fresh("e"), [], {}
+    for n, times in ((60, 1), (200, 4), (100, 0)):
+        passage = own(n)
+        words = edited(passage, times).split(" ")
+        wrapped = "\n".join(" ".join(words[i : i + 9]) for i in range(0, n, 9))
+        for copy in (passage, " ".join(words), wrapped):
+            head, tail = own(30), own(30)
+            want[len(rows)] = f"{head}\n{passage}\n{tail}" if copy is passage else f"{head}\n{tail}"
+            rows.append((len(rows), f"{head}\n{copy}\n{tail}"))
+    assert {r.doc_id: r.text for r in substring_dedup.remove_repeats(docs_of(spark, rows)).collect()} == {
+        d: want[d] for d, _ in rows
+    }
+
+
 def test_substring_odd_and_no_rows(spark, odd_docs, no_docs):
     new = substring_dedup.remove_repeats(odd_docs)
     assert new.schema == odd_docs.schema and new.count() == odd_docs.count()
