@@ -215,6 +215,23 @@ def test_edited_and_wrapped_passages_go(spark):
     }
 
 
+def test_all_holders_count(spark):
+    own = fresh("h")
+    one, two, hot, passage = own(10), own(10), own(10), own(40)
+    rows = [(1, f"{own(30)}\n{one}\n{own(30)}"), (2, f"{own(30)}\n{two}\n{own(30)}"), (3, f"{own(30)}\n{one}\n{two}\n{own(30)}")]
+    rows += [(d, f"{own(30)}\n{hot}\n{own(30)}") for d in range(10, 20)]
+    rows += [(d, f"{own(30)}\n{hot}\n{passage}\n{own(30)}") for d in (20, 21)]
+    found = substring_dedup.repeated_spans(docs_of(spark, rows)).collect()
+    got = sorted((r.doc_id, r.start, r.n_words, r.component_id, r.n_docs, r.removed) for r in found)
+    at = {d: t.index("\n") + 1 for d, t in rows}
+    assert got == [
+        (3, at[3], 20, 1, 2, True),
+        (20, at[20], 10, 10, 12, True),
+        (20, at[20] + len(hot) + 1, 40, 20, 2, False),
+        (21, at[21], 50, 10, 12, True),
+    ]
+
+
 def test_substring_odd_and_no_rows(spark, odd_docs, no_docs):
     new = substring_dedup.remove_repeats(odd_docs)
     assert new.schema == odd_docs.schema and new.count() == odd_docs.count()
