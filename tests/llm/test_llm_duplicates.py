@@ -232,6 +232,15 @@ def test_all_holders_count(spark):
     ]
 
 
+def test_short_lines_are_found(spark):
+    own, rng = fresh("s"), random.Random(9)
+    lines = "\n".join(own(rng.randint(1, 4)) for _ in range(30))
+    rows = [(d, f"{own(30)}\n{lines}\n{own(30)}") for d in (1, 2)]
+    got = sorted((r.doc_id, r.n_words, r.removed) for r in substring_dedup.repeated_spans(docs_of(spark, rows)).collect())
+    n = len(lines.split())
+    assert n > 50 and got == [(1, n, False), (2, n, True)]
+
+
 def test_substring_odd_and_no_rows(spark, odd_docs, no_docs):
     new = substring_dedup.remove_repeats(odd_docs)
     assert new.schema == odd_docs.schema and new.count() == odd_docs.count()
