@@ -241,6 +241,18 @@ def test_short_lines_are_found(spark):
     assert n > 50 and got == [(1, n, False), (2, n, True)]
 
 
+def test_passages_go_to_their_ends(spark):
+    own, rows, want = fresh("p"), [], {}
+    for k in range(300):
+        passage = own((16, 51, 60)[k % 3])
+        for copy in range(2):
+            head, tail = own(20), own(20)
+            want[len(rows)] = f"{head} {passage} {tail}" if copy == 0 else f"{head} {tail}"
+            rows.append((len(rows), f"{head} {passage} {tail}"))
+    got = {r.doc_id: r.text for r in substring_dedup.remove_repeats(docs_of(spark, rows)).collect()}
+    assert got == want
+
+
 def test_substring_odd_and_no_rows(spark, odd_docs, no_docs):
     new = substring_dedup.remove_repeats(odd_docs)
     assert new.schema == odd_docs.schema and new.count() == odd_docs.count()
