@@ -15,6 +15,9 @@ from tallywork.llm.common import label_sample, materialise, table
 #: SQL cannot express trained scores, components and packing; tests compare with a brute-force version.
 ORACLE_SQL: str | None = None
 
+#: Near-duplicates share eight tenths of their five-word shingles.
+NEAR = jaccard_join.Join(width=5, over=80)
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
@@ -30,7 +33,7 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one of the smallest id, of each group of near-duplicates."""
-    return jaccard_join.keep_one(docs)
+    return jaccard_join.keep_one(docs, join=NEAR)
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -329,6 +329,16 @@ def test_graph_recall():
     assert (np.diff(score, axis=1) <= 0).all()
 
 
+def test_pipeline_drops_near_copies(spark):
+    """200 words with four edits: 0.815 on five words, 0.886 on three."""
+    import corpus_pipeline
+
+    base = fresh("n")(200)
+    docs = docs_of(spark, [(1, base), (2, edited(base, 4)), (3, edited(base, 8))])
+    kept = corpus_pipeline.distinct(spark, docs, "")
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3]
+
+
 def test_pipeline(spark, tmp_path):
     """The stages against what plain Python says of the same documents."""
     import corpus_pipeline
