@@ -27,14 +27,15 @@ from tallywork.llm.hnsw import Graph
 class Settings:
     """Links are cosines of at least ``least``. A graph holds about ``shard`` vectors.
 
-    ``beam``: width to begin with; ``audited``: queries per cell that are checked by brute force; ``recall``: what the
-    audit must reach before the search is accepted.
+    ``beam``: width to begin with; ``audited``: queries that are checked by brute force at a time, until they have ``links``
+    true links or none is left; ``recall``: what the audit must reach before the search is accepted.
     """
 
     least: float = 0.98
     shard: int = 16_384
     beam: int = 32
     audited: int = 128
+    links: int = 128
     recall: float = 0.99
 
 
@@ -46,7 +47,7 @@ def cell_links(left: np.ndarray, right: np.ndarray | None, settings: Settings) -
     queries = left if right is None else right
     left_norm, query_norm = np.linalg.norm(left, axis=1), np.linalg.norm(queries, axis=1)
     # The graph works on unit vectors in single precision; the slack is far above its error.
-    graph = Graph((left / left_norm[:, None]).astype(np.float32))
+    unit = (left / left_norm[:, None]).astype(np.float32)
     asked = (queries / query_norm[:, None]).astype(np.float32)
     slack = np.float32(settings.least - 1e-4)
 
@@ -54,28 +55,63 @@ def cell_links(left: np.ndarray, right: np.ndarray | None, settings: Settings) -
         ids = ids[ids != q] if right is None else ids
         return ids[left[ids] @ queries[q] / (left_norm[ids] * query_norm[q]) >= settings.least]
 
-    audit = np.unique(np.linspace(0, len(queries) - 1, settings.audited).astype(np.int64))
-    truth = {q: exact(q, np.flatnonzero(graph.vectors @ asked[q] >= slack)) for q in audit.tolist()}
-    wanted = sum(map(len, truth.values()))
+    truth: dict[int, np.ndarray] = {}
+    order = np.random.default_rng(1).permutation(len(queries))
+
+    def audit(among: np.ndarray) -> list[int]:
+        """Those of some queries that are checked, once they have enough true links or all are."""
+        mask = np.zeros(len(queries), bool)
+        mask[among] = True
+        checked = [q for q in truth if mask[q]]
+        real = sum(len(truth[q]) for q in checked)
+        mask[checked] = False
+        fresh = order[mask[order]]
+        for at in range(0, len(fresh), settings.audited):
+            if real >= settings.links:
+                break
+            batch = fresh[at : at + settings.audited]
+            near = asked[batch] @ unit.T >= slack
+            for k, q in enumerate(batch.tolist()):
+                truth[q] = exact(q, np.flatnonzero(near[k]))
+                real += len(truth[q])
+            checked += batch.tolist()
+        return checked
+
     todo, beam = np.arange(len(queries)), min(settings.beam, len(left))
+    if len(audit(todo)) == len(queries):
+        yield from truth.items()
+        return
+    graph = Graph(unit)
     while len(todo):
         ids, score = graph.search(asked[todo], beam)
         near = score >= slack
         full = near.all(axis=1) & (beam < len(left))
         row_of = {int(q): k for k, q in enumerate(todo)}
-        checked = [q for q in truth if q in row_of and not full[row_of[q]]]
+        checked = audit(todo[~full])
         found = {q: exact(q, ids[row_of[q]][near[row_of[q]]]) for q in checked}
         hit = sum(len(np.intersect1d(found[q], truth[q])) for q in checked)
         real = sum(len(truth[q]) for q in checked)
-        poor = wanted and real and hit < settings.recall * real and beam < len(left)
+        poor = len(checked) < (~full).sum() and hit < settings.recall * real and beam < len(left)
         if not poor:
             for k in np.flatnonzero(~full).tolist():
                 q = int(todo[k])
-                yield q, found[q] if q in found else exact(q, ids[k][near[k]])
+                yield q, truth[q] if q in truth else exact(q, ids[k][near[k]])
             todo = todo[full]
         beam = min(2 * beam, len(left))
 
 
+def both_ends(seen: np.ndarray, copies: np.ndarray, block: int = 256) -> np.ndarray:
+    """Links of each item, from a square of packed bits in which a link may stand for one of its ends only."""
+    n = len(copies)
+    out = np.zeros(n, np.int64)
+    for at in range(0, n, block):
+        own = np.unpackbits(seen[at : at + block], axis=1)[:, :n]
+        other = np.unpackbits(seen[:, at // 8 : (at + block) // 8], axis=1)[:, : len(own)].T
+        for k, row in enumerate(own | other):
+            out[at + k] = copies[row.view(bool)].sum()
+    return out
+
+
 def near_duplicates(
     vectors: DataFrame,
     vec_id: str = "vec_id",
@@ -139,15 +175,22 @@ def near_duplicates(
                 continue
             links = np.zeros(len(cell), np.int64)
             groups, forest = Groups(len(cell)), []
+            seen = np.zeros((len(left), -(-len(left) // 8)) if i == j else 0, np.uint8)
             for q, found in cell_links(matrix[left], None if i == j else matrix[right], settings):
                 own, others = (left if i == j else right)[q], left[found]
-                links[own] += copies[others].sum()
-                if i != j:
+                if i == j:
+                    row = np.zeros(len(left), bool)
+                    row[found] = True
+                    seen[q] = np.packbits(row)
+                else:
+                    links[own] += copies[others].sum()
                     links[others] += copies[own]
                 for other in others.tolist():
                     if groups.root(own) != groups.root(other):
                         groups.join(own, other)
                         forest.append((nodes[own], nodes[other]))
+            if i == j:
+                links[left] = both_ends(seen, copies[left])
             some = np.flatnonzero(links)
             yield {"a": nodes[some], "b": [None] * len(some), "links": links[some]}
             yield {"a": [a for a, _ in forest], "b": [b for _, b in forest], "links": [0] * len(forest)}

@@ -312,6 +312,25 @@ def test_near_vectors(spark, shard):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got)
 
 
+def test_rare_links_are_audited():
+    """A beam of one misses links; that no query of the first audit has one must not hide it."""
+    rng = np.random.default_rng(8)
+    left = rng.standard_normal((900, 16))
+    pairs = [(5 + 80 * k, 41 + 80 * k) for k in range(10)]
+    for a, b in pairs:
+        left[b] = left[a] + 0.01
+    settings = embedding_dups.Settings(beam=1, audited=4)
+    got = {(q, int(r)) for q, found in embedding_dups.cell_links(left, None, settings) for r in found}
+    assert got == {p for a, b in pairs for p in ((a, b), (b, a))}
+
+
+def test_links_count_for_both_ends():
+    rng = np.random.default_rng(9)
+    one = rng.random((611, 611)) < 0.01
+    copies = rng.integers(1, 4, 611)
+    assert (embedding_dups.both_ends(np.packbits(one, axis=1), copies) == (one | one.T) @ copies).all()
+
+
 def test_vectors_no_rows(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert embedding_dups.near_duplicates(none).collect() == []
