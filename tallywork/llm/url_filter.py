@@ -101,40 +101,38 @@ def features(url: Column, host: Column, path: Column) -> dict[str, Column]:
     }
 
 
-#: The suffixes whose statistics are kept: the last label of a host, as many as this at most.
-SUFFIXES = 256
-
-
 def suffix_of(host: Column) -> Column:
     return F.regexp_extract(host, r"([^.]*)$", 1)
 
 
 @dataclass
 class UrlModel:
-    """Trees, and how often each suffix was blocked among the labelled URLs."""
+    """Trees, and how often each suffix was blocked among the labelled URLs: (__suffix, __rate, __weight)."""
 
     trees: object
-    suffixes: dict[str, tuple[float, float]]
-    base: tuple[float, float]
+    suffixes: DataFrame
+    mean: float
 
     def score(self, urls: DataFrame, url: str, host: str, path: str, out: str) -> DataFrame:
         """Adds ``out``, the probability of a block."""
         columns = features(F.col(url), F.col(host), F.col(path))
-        columns |= _suffix_columns(F.col(host), self.suffixes, self.base)
+        columns |= _suffix_columns(self.mean)
         assembler = VectorAssembler(inputCols=[f"__f_{c}" for c in columns], outputCol="__features")
-        ready = urls.withColumns({f"__f_{name}": c.cast("double") for name, c in columns.items()})
+        known = _with_suffixes(urls, F.col(host), self.suffixes)
+        ready = known.withColumns({f"__f_{name}": c.cast("double") for name, c in columns.items()})
         scored = self.trees.transform(assembler.transform(ready))
         return scored.select(*urls.columns, vector_to_array("probability")[1].alias(out))
 
 
-def _suffix_columns(host: Column, suffixes: dict[str, tuple[float, float]], base: tuple[float, float]) -> dict[str, Column]:
-    rate, weight = F.lit(base[0]), F.lit(base[1])
-    suffix = suffix_of(host)
-    if suffixes:
-        known = F.create_map(*[F.lit(x) for k, v in suffixes.items() for x in (k, v[0])])
-        counts = F.create_map(*[F.lit(x) for k, v in suffixes.items() for x in (k, v[1])])
-        rate, weight = F.coalesce(known[suffix], rate), F.coalesce(counts[suffix], weight)
-    return {"suffix_rate": rate, "suffix_weight": weight}
+def _with_suffixes(urls: DataFrame, host: Column, suffixes: DataFrame) -> DataFrame:
+    return urls.withColumn("__suffix", suffix_of(host)).join(suffixes, "__suffix", "left")
+
+
+def _suffix_columns(mean: float) -> dict[str, Column]:
+    return {
+        "suffix_rate": F.coalesce("__rate", F.lit(mean)),
+        "suffix_weight": F.coalesce("__weight", F.lit(0.0)),
+    }
 
 
 def train(
@@ -148,40 +146,44 @@ def train(
 ) -> UrlModel | None:
     """Trees fitted on (url, label 0/1) rows, 1 meaning block; None if there are fewer than two labels.
 
-    At most about ``bound`` labelled rows are used, chosen by a hash of the url; suffix statistics are over all rows.
+    Each label's distinct urls are sampled by themselves, by a hash of the url: of all together about ``bound``, and of either
+    label an eighth of that if it has as many. A row weighs what it stands for. Suffix statistics are over all rows.
     """
     rows = labelled.select(F.col(url).alias("url"), F.col(label).cast("double").alias("label"))
     rows = rows.where(F.col("url").isNotNull() & F.col("label").isin(0.0, 1.0))
-    rows = rows.select("*", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    counted = (
-        rows.groupBy(suffix_of(F.col("host")).alias("suffix"))
-        .agg(F.count("*").alias("n"), F.sum("label").alias("blocked"))
-        .orderBy(F.desc("n"), "suffix")
-        .limit(SUFFIXES)
-        .collect()
-    )
-    n, blocked = rows.agg(F.count("*"), F.sum("label")).first()
-    if not n or blocked in (0.0, float(n)):
+    rows = materialise(rows.groupBy("url", "label").agg(F.count("*").alias("copies")), "labelled")
+    counts = {r.label: (r.n, r.rows) for r in rows.groupBy("label").agg(F.count("*").alias("n"), F.sum("copies").alias("rows")).collect()}
+    if len(counts) < 2:
         return None
-    mean = blocked / n
+    n = sum(c for _, c in counts.values())
+    mean = counts[1.0][1] / n
+    rows = rows.select("*", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     # Rates are drawn towards the mean, so a suffix that is rarely seen says little.
-    suffixes = {r.suffix: ((r.blocked + 20 * mean) / (r.n + 20), r.n / n) for r in counted}
-    base = (mean, 0.0)
-    share = min(1.0, bound / n)
-    rank = F.pmod(F.xxhash64("url", F.lit("sample")), F.lit(1 << 30))
-    columns = features(F.col("url"), F.col("host"), F.col("path")) | _suffix_columns(F.col("host"), suffixes, base)
-    sample = rows.where(rank < int(share * (1 << 30))).select(
-        "label", *[c.cast("double").alias(f"__f_{name}") for name, c in columns.items()]
+    times = F.sum("copies")
+    suffixes = rows.groupBy(suffix_of(F.col("host")).alias("__suffix")).agg(
+        ((F.sum(F.col("copies") * F.col("label")) + 20 * mean) / (times + 20)).alias("__rate"), (times / n).alias("__weight")
+    )
+    suffixes = materialise(suffixes, "suffixes")
+    distinct = sum(c for c, _ in counts.values())
+    sample = None
+    for kind, (own, _) in counts.items():
+        taken = own if distinct <= bound else min(own, max(1, bound // 8, bound * own // distinct))
+        chosen = rows.where(F.col("label") == kind)
+        if taken < own:
+            chosen = chosen.orderBy(F.xxhash64("url", F.lit("sample")), "url").limit(taken)
+        chosen = chosen.withColumn("__stands", F.col("copies") * F.lit(own / taken))
+        sample = chosen if sample is None else sample.union(chosen)
+    columns = features(F.col("url"), F.col("host"), F.col("path")) | _suffix_columns(mean)
+    sample = _with_suffixes(sample, F.col("host"), suffixes).select(
+        "label", "__stands", *[c.cast("double").alias(f"__f_{name}") for name, c in columns.items()]
     )
     # Written once and read in few parts: every round of boosting reads it again.
     sample = materialise(sample.coalesce(8), "labelled-urls")
-    if sample.select("label").distinct().count() < 2:
-        return None
     ready = VectorAssembler(inputCols=[f"__f_{c}" for c in columns], outputCol="__features").transform(sample)
     trees = GBTClassifier(
-        featuresCol="__features", labelCol="label", maxIter=rounds, maxDepth=depth, stepSize=0.3, seed=seed
+        featuresCol="__features", labelCol="label", weightCol="__stands", maxIter=rounds, maxDepth=depth, stepSize=0.3, seed=seed
     )
-    return UrlModel(trees.fit(ready), suffixes, base)
+    return UrlModel(trees.fit(ready), suffixes, mean)
 
 
 def judge_urls(

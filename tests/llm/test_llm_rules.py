@@ -200,3 +200,14 @@ def test_trees_learn_from_labels(spark):
     test = labelled.where("page_id % 4 = 0")
     got = url_filter.judge_urls(test, [], labelled=labelled.where("page_id % 4 != 0"), keep=["page_id"]).collect()
     assert np.mean([(r.verdict == "block") == bool(r.page_id % 2) for r in got]) > 0.95
+
+
+def test_urls_with_few_blocked_and_many_suffixes(spark):
+    """One blocked url among many allowed ones is learnt beyond the bound, copies or not; all suffixes are known."""
+    rows = [(f"http://a{i}.s{i % 400}/x", 0) for i in range(1200)] + [("http://999-999-999.bad/?q=1&r=2&s=3", 1)] * 50
+    labelled = spark.createDataFrame(rows, "url string, label int")
+    model = url_filter.train(labelled, bound=100, rounds=2, depth=2)
+    assert model is not None and model.suffixes.count() == 401
+    pages = spark.createDataFrame([(1, "http://a3.s3/x"), (2, "http://999-999-999.bad/?q=1&r=2&s=3")], "page_id long, url string")
+    got = url_filter.judge_urls(pages, [], labelled=labelled, bound=100).collect()
+    assert {r.page_id: r.verdict for r in got} == {1: "allow", 2: "block"}
