@@ -69,20 +69,28 @@ def arrow_rows(
     return df.mapInArrow(run, struct)
 
 
-#: Bits of the filter in ``thinned``: at most a quarter of a million rows of 64 bits are broadcast.
-FILTER_BITS = 1 << 24
+#: Most bits of the filter in ``thinned``: two million rows of 64 bits are broadcast at most.
+FILTER_BITS = 1 << 27
+
+
+def filter_bits(wanted: int) -> int:
+    """Bits for so many keys: eight each, up to the most there are; 0 if even those would be full."""
+    return min(FILTER_BITS, max(1 << 16, 1 << (8 * wanted).bit_length())) if wanted <= FILTER_BITS else 0
 
 
 def thinned(rows: DataFrame, key: str, wanted: DataFrame, of: str) -> DataFrame:
     """``rows`` without most of those whose long ``key`` is not among the ``of`` values of ``wanted``.
 
-    To be called before a join of the two, which then shuffles little of a large side: keys are hashed to a fixed number
-    of bits, which are broadcast and looked up in the map tasks. No row that the join needs is dropped. The more keys are wanted,
-    the more others pass; the join does what the filter leaves.
+    To be called before a join of the two, which then shuffles little of a large side: keys are hashed to some bits for each of
+    them, which are broadcast and looked up in the map tasks. No row that the join needs is dropped. ``wanted`` should be a written
+    table, as it is counted first. With more keys than ``FILTER_BITS`` all rows pass; the join does what the filter leaves.
     """
+    bits = filter_bits(wanted.count())
+    if not bits:
+        return rows
 
     def bit(column: str):
-        return F.pmod(F.xxhash64(F.col(column), F.lit("bit")), F.lit(FILTER_BITS))
+        return F.pmod(F.xxhash64(F.col(column), F.lit("bit")), F.lit(bits))
 
     one = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("__bit") % 64).cast("int"))
     words = (

@@ -7,7 +7,7 @@ import pytest
 from brute import components, jaccard_components, shingle_set
 from pyspark.sql import functions as F
 
-from tallywork.llm import cells, embedding_dups, jaccard_join, substring_dedup
+from tallywork.llm import cells, common, embedding_dups, jaccard_join, substring_dedup
 from tallywork.llm.components import connected_components
 from tallywork.llm.hnsw import Graph
 
@@ -105,6 +105,15 @@ def test_cells_cut_clusters(spark):
     assert len(links) == len({frozenset((bytes(r.a), bytes(r.b))) for r in links}) == 60 * 59 // 2
 
 
+def test_filter_grows_with_its_keys(spark):
+    assert common.filter_bits(10) == 1 << 16
+    assert common.filter_bits(5_000_000) >= 8 * 5_000_000
+    assert common.filter_bits(common.FILTER_BITS + 1) == 0
+    rows, wanted = spark.range(200_000), spark.range(0, 200_000, 50).select(F.col("id").alias("of"))
+    kept = {r.id for r in common.thinned(rows, "id", wanted, "of").collect()}
+    assert set(range(0, 200_000, 50)) <= kept and len(kept) < 40_000
+
+
 def test_ngram_join(spark):
     rows = near_texts()
     found = jaccard_join.components(docs_of(spark, rows), join=jaccard_join.Join(seen=3, frequent=50))
@@ -315,10 +324,10 @@ def test_near_vectors(spark, shard):
 def test_rare_links_are_audited():
     """A beam of one misses links; that no query of the first audit has one must not hide it."""
     rng = np.random.default_rng(8)
-    left = rng.standard_normal((900, 16))
-    pairs = [(5 + 80 * k, 41 + 80 * k) for k in range(10)]
+    left = rng.standard_normal((3000, 128))
+    pairs = [(5 + 80 * k, 41 + 80 * k) for k in range(20)]
     for a, b in pairs:
-        left[b] = left[a] + 0.01
+        left[b] = left[a] + 0.15 * rng.standard_normal(128)
     settings = embedding_dups.Settings(beam=1, audited=4)
     got = {(q, int(r)) for q, found in embedding_dups.cell_links(left, None, settings) for r in found}
     assert got == {p for a, b in pairs for p in ((a, b), (b, a))}
