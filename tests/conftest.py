@@ -21,8 +21,3 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def rows(df):
-    """Rows as sorted tuples."""
-    return sorted((tuple(row) for row in df.collect()), key=repr)

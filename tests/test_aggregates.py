@@ -2,7 +2,7 @@ from decimal import Decimal
 
 import pytest
 
-from conftest import rows
+from helpers import rows
 from tallywork.operators import aggregates, queries
 
 

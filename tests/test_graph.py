@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from conftest import rows
+from helpers import rows
 from tallywork.operators import graph
 from tallywork.sources.adjacency import edges_of, nodes_of, parse_adjacency
 

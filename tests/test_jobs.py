@@ -4,7 +4,7 @@ from decimal import Decimal
 
 import pytest
 
-from conftest import rows
+from helpers import rows
 from tallywork import __main__ as shell
 from tallywork.plans import jobs
 from tallywork.sinks import run_stream

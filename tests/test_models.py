@@ -3,7 +3,7 @@ import math
 import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
 
-from conftest import rows
+from helpers import rows
 from tallywork.operators import models
 
 

@@ -4,7 +4,7 @@ from pathlib import Path
 
 import pytest
 
-from __spark_entry__ import queries
+from tallywork.plans.contract import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -15,16 +15,16 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - {"als_recommend"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"als_recommend"}))
 def test_no_python_worker_and_no_product(spark, name):
-    text = plan(queries()[name](spark, FOLDER))
+    text = plan(QUERIES[name](spark, FOLDER))
     for bad in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert bad not in text
 
 
 @pytest.mark.parametrize("name", ["popular_items", "popular_items_named", "most_connected", "similar_items_cosine"])
 def test_top_k_is_kept_per_task(spark, name):
-    assert "TakeOrderedAndProject" in plan(queries()[name](spark, FOLDER))
+    assert "TakeOrderedAndProject" in plan(QUERIES[name](spark, FOLDER))
 
 
 @pytest.mark.parametrize(
@@ -38,7 +38,7 @@ def test_top_k_is_kept_per_task(spark, name):
     ],
 )
 def test_filters_and_columns_reach_the_scan(spark, name, pushed, read):
-    text = queries()[name](spark, FOLDER)._jdf.queryExecution().explainString(
+    text = QUERIES[name](spark, FOLDER)._jdf.queryExecution().explainString(
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     )
     assert pushed in text
@@ -46,4 +46,4 @@ def test_filters_and_columns_reach_the_scan(spark, name, pushed, read):
 
 
 def test_one_scan_for_both_extremes(spark):
-    assert plan(queries()["min_max_by_key"](spark, FOLDER)).count("FileScan") == 1
+    assert plan(QUERIES["min_max_by_key"](spark, FOLDER)).count("FileScan") == 1

@@ -1,6 +1,6 @@
 from pyspark.sql import Row
 
-from conftest import rows
+from helpers import rows
 from tallywork import schemas
 from tallywork.operators.graph import degrees
 from tallywork.sinks import save

@@ -2,7 +2,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from test_words_logs import LOG
 from tallywork.functions.logs import parse_logs
 from tallywork.sinks import TableStream, run_stream, start_stream

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from tallywork.functions.logs import parse_logs
 from tallywork.functions.scalars import other_of_pair, ratio_or_zero
 from tallywork.functions.text import ascii_only
