@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, functions as F
 
-from tallywork.llm import byte_bpe, byte_cnn, embedding_dups, jaccard_join, packing, quality_rules, substring_dedup, token_counts, toxicity, url_filter
+from tallywork.llm import byte_bpe, byte_cnn, embedding_dups, hard_negatives, jaccard_join, packing, quality_rules, substring_dedup, token_counts, toxicity, url_filter
 from tallywork.llm.common import held_out, label_sample, table
 from tallywork.llm.registry import query
 
@@ -84,3 +84,37 @@ def op6_embedding_near_dedup(spark, folder: str) -> DataFrame:
 def op2_substring_dedup(spark, folder: str) -> DataFrame:
     """The repeated passages of every document that holds any."""
     return substring_dedup.repeated_spans(table(spark, folder, "documents")).drop("doc")
+
+
+HARD_NEGATIVES = """
+WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, a.label AS own, r.vec_id, r.label,
+    list_dot_product(a.v, r.v)::BIGINT AS score
+  FROM usable a JOIN usable r ON a.vec_id <> r.vec_id
+  WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, own, vec_id AS positive_id, score AS positive_score FROM scored WHERE label = own
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id,
+  row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id)::INT AS rank,
+  s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id
+WHERE s.label <> p.own AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) <= 10
+"""
+
+
+@query("op11_hard_negatives", HARD_NEGATIVES)
+def op11_hard_negatives(spark, folder: str) -> DataFrame:
+    """For every anchor and positive, the best rows of other labels in the window below the positive's score."""
+    rows = hard_negatives.from_embeddings(table(spark, folder, "embeddings"))
+    moved = F.when(F.coalesce(F.col("vec_id") % 7 == 0, F.lit(False)), (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.withColumn("label", moved)
+    return hard_negatives.mine(rows, rows.where("vec_id % 100 = 0"))
