@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, functions as F
 
-from tallywork.llm import byte_bpe, byte_cnn, embedding_dups, hard_negatives, jaccard_join, packing, quality_rules, substring_dedup, token_counts, toxicity, url_filter
+from tallywork.llm import byte_bpe, byte_cnn, embedding_dups, hard_negatives, jaccard_join, packing, quality_rules, substring_dedup, tier_packing, token_counts, toxicity, url_filter
 from tallywork.llm.common import held_out, label_sample, table
 from tallywork.llm.registry import query
 
@@ -118,3 +118,14 @@ def op11_hard_negatives(spark, folder: str) -> DataFrame:
     moved = F.when(F.coalesce(F.col("vec_id") % 7 == 0, F.lit(False)), (F.col("label") + 1) % 10).otherwise(F.col("label"))
     rows = rows.withColumn("label", moved)
     return hard_negatives.mine(rows, rows.where("vec_id % 100 = 0"))
+
+
+@query("op12_tier_packing")
+def op12_tier_packing(spark, folder: str) -> DataFrame:
+    """Every document's pieces in full windows of 1024 tokens or a smaller power of two."""
+    pieces = tier_packing.pack_documents(
+        table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), pattern=public_tokenizers.PATTERN
+    )
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "window", "step_group", "step_at"
+    )
