@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, functions as F
 
-from tallywork.llm import byte_bpe, byte_cnn, embedding_dups, hard_negatives, jaccard_join, packing, quality_rules, substring_dedup, tier_packing, token_counts, toxicity, url_filter
+from tallywork.llm import byte_bpe, byte_cnn, collocations, embedding_dups, hard_negatives, jaccard_join, packing, quality_rules, substring_dedup, tier_packing, token_counts, toxicity, url_filter
 from tallywork.llm.common import held_out, label_sample, table
 from tallywork.llm.registry import query
 
@@ -129,3 +129,52 @@ def op12_tier_packing(spark, folder: str) -> DataFrame:
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "window", "step_group", "step_at"
     )
+
+
+COLLOCATIONS = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), sequences AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), placed AS (
+  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM sequences
+), f1 AS (
+  SELECT lang, w[i] AS w1, count(*) AS f FROM placed GROUP BY ALL
+), f2 AS (
+  SELECT lang, w[i] AS w1, w[i + 1] AS w2, count(*) AS f FROM placed WHERE i < len(w) GROUP BY ALL
+), f3 AS (
+  SELECT lang, w[i] AS w1, w[i + 1] AS w2, w[i + 2] AS w3, count(*) AS f FROM placed WHERE i < len(w) - 1 GROUP BY ALL HAVING count(*) >= 10
+), totals AS (
+  SELECT lang, sum(f)::BIGINT AS n FROM f1 GROUP BY lang
+), held AS (
+  SELECT lang, w1, w2, max(f) AS longer
+  FROM (SELECT lang, w1, w2, f FROM f3 UNION ALL SELECT lang, w2, w3, f FROM f3) GROUP BY ALL
+), cuts AS (
+  SELECT p.lang, p.w1 || ' ' || p.w2 AS phrase, p.f AS a, 1 AS k, l.f AS l, r.f AS r
+  FROM f2 p JOIN f1 l ON l.lang = p.lang AND l.w1 = p.w1 JOIN f1 r ON r.lang = p.lang AND r.w1 = p.w2
+  LEFT JOIN held h ON h.lang = p.lang AND h.w1 = p.w1 AND h.w2 = p.w2
+  WHERE p.f >= 10 AND (h.longer IS NULL OR 100 * h.longer < 50 * p.f)
+  UNION ALL
+  SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.f, 1, l.f, r.f
+  FROM f3 t JOIN f1 l ON l.lang = t.lang AND l.w1 = t.w1 JOIN f2 r ON r.lang = t.lang AND r.w1 = t.w2 AND r.w2 = t.w3
+  UNION ALL
+  SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.f, 2, l.f, r.f
+  FROM f3 t JOIN f2 l ON l.lang = t.lang AND l.w1 = t.w1 AND l.w2 = t.w2 JOIN f1 r ON r.lang = t.lang AND r.w1 = t.w3
+), scored AS (
+  SELECT *, (a::HUGEINT * a * 1000000 // (l::HUGEINT * r))::BIGINT AS score FROM cuts
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM lowest JOIN totals USING (lang)
+QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000
+"""
+
+
+@query("op13_collocations", COLLOCATIONS)
+def op13_collocations(spark, folder: str) -> DataFrame:
+    """Each language's best phrases of two and three words."""
+    return collocations.phrases(table(spark, folder, "documents"))
