@@ -17,14 +17,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywork.operators.aggregates import with_names
-from tallywork.operators.splits import with_position
+from tallywork.operators.recommendations import best_items, inner
+from tallywork.operators.splits import numbered
 from tallywork.session import materialise
 
 
-def assemble(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
-    """(features, label): the feature columns as one vector."""
+def assemble(df: DataFrame, features: Sequence[str], label: str, *keep: str) -> DataFrame:
+    """(features, label) and what to ``keep``: the feature columns as one vector."""
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-    return assembler.transform(df).select("features", F.col(label).cast("double").alias("label"))
+    return assembler.transform(df).select("features", F.col(label).cast("double").alias("label"), *keep)
 
 
 def fit_line(
@@ -100,8 +101,8 @@ def fit_recommender(
 ) -> Recommender:
     """Alternating least squares on explicit ratings.
 
-    Spark's ALS takes ids of 32 bits only, so users and items are numbered first, in the order of their ids (fewer
-    than 2^31 of each). Rows without a user, item or rating are left out.
+    Spark's ALS takes ids of 32 bits only, so users and items are numbered first (fewer than 2^31 of each).
+    Rows without a user, item or rating are left out.
     """
     given = ratings.select(user, item, F.col(rating).cast("float").alias(rating)).dropna()
     users, items = _numbered(given, user, "_user"), _numbered(given, item, "_item")
@@ -111,9 +112,33 @@ def fit_recommender(
 
 
 def _numbered(rows: DataFrame, column: str, number: str) -> DataFrame:
-    """(column, number) of its distinct values."""
-    placed = with_position(rows.select(column).distinct(), [column])
-    return materialise(placed.select(column, F.col("position").cast("int").alias(number)), "numbered")
+    """(column, number) of its distinct values; which has which number does not matter."""
+    found = numbered(rows.select(column).distinct())
+    return materialise(found.select(column, (F.col("position") - 1).cast("int").alias(number)), "numbered")
+
+
+def normal_residuals(model: Recommender, ratings: DataFrame, rating: str, reg_param: float = 0.01) -> DataFrame:
+    """(user, n, residual) per user: how far its factors are from solving the normal equations of the last half-step.
+
+    A fit ends with the users' factors u given the items' v: (sum of v v' + reg n) u = sum of r v over the user's n ratings.
+    ``residual`` is the largest difference of the two sides over all factors, as a share of the largest sum of |r v|.
+    Both sides are summed by user in one pass; with u known, v (v'u - r) is added up and no matrix is formed.
+    """
+    user, item, rank = model.user, model.item, model.model.rank
+    given = ratings.select(user, item, F.col(rating).cast("float").alias("_r")).dropna()
+    u = model.model.userFactors.toDF("_user", "_u").join(model.users, "_user").select(user, "_u")
+    v = model.model.itemFactors.toDF("_item", "_v").join(model.items, "_item").select(item, "_v")
+    miss = inner("_u", "_v", rank) - F.col("_r")
+    rows = given.join(v, item).join(u, user).withColumn("_miss", miss)
+    sums = rows.groupBy(user).agg(
+        F.count("*").alias("n"),
+        F.first("_u").alias("_u"),
+        *[F.sum(F.col("_miss") * F.col("_v")[k]).alias(f"_s{k}") for k in range(rank)],
+        *[F.sum(F.abs(F.col("_r") * F.col("_v")[k])).alias(f"_b{k}") for k in range(rank)],
+    )
+    gaps = [F.abs(F.col(f"_s{k}") + F.col("n") * reg_param * F.col("_u")[k]) for k in range(rank)]
+    whole = F.greatest(*[F.col(f"_b{k}") for k in range(rank)], F.lit(1e-30))
+    return sums.select(user, "n", (F.greatest(*gaps) / whole).alias("residual"))
 
 
 def recommend(
@@ -127,12 +152,12 @@ def recommend(
     """(user, item, rating, name): the ``k`` best items of each given user; unknown users have none."""
     user, item = model.user, model.item
     asked = users.select(user).distinct().join(model.users, user)
-    best = (
-        model.model.recommendForUserSubset(asked.select("_user"), k)
-        .select("_user", F.explode("recommendations").alias("_r"))
-        .select("_user", "_r._item", "_r.rating")
-        .join(asked, "_user")
-        .join(model.items, "_item")
-        .select(user, item, "rating")
+    asked = asked.join(model.model.userFactors.toDF("_user", "_u"), "_user")
+    asked = asked.select(F.col(user).alias("user"), F.col("_u").alias("u"))
+    offered = model.model.itemFactors.toDF("_item", "_v").join(model.items, "_item")
+    offered = offered.select(F.col(item).alias("item"), F.col("_v").alias("v"))
+    best = best_items(asked, offered, model.model.rank, k)
+    found = best.select(
+        F.col("user").alias(user), F.col("item").alias(item), F.col("score").cast("float").alias("rating")
     )
-    return with_names(best, names, item, names_key, name).orderBy(user, F.desc("rating"), item)
+    return with_names(found, names, item, names_key, name).orderBy(user, F.desc("rating"), item)

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallywork.operators import models
-from tallywork.operators.splits import random_parts
+from tallywork.operators import models, trees
+from tallywork.operators.splits import random_parts, with_part
 from tallywork.plans.registry import query
 from tallywork.session import materialise
 from tallywork.sources.files import frame_from_rows, read_table
@@ -122,10 +122,10 @@ PRICE_FEATURES = ["l_quantity", "l_discount", "l_tax"]
 
 
 def price_parts(spark: SparkSession, folder: str, features: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Examples of four fifths of the line items, and of the rest; split by key before they are assembled."""
-    lines = read_table(spark, folder, "lineitem")
-    parts = random_parts(lines, [0.8, 0.2], ["l_orderkey", "l_linenumber"])
-    training, test = (materialise(models.assemble(p, features, "l_extendedprice"), "examples") for p in parts)
+    """Examples of four fifths of the line items, and of the rest; split by key and written once, with the part of each."""
+    lines = with_part(read_table(spark, folder, "lineitem"), [0.8, 0.2], ["l_orderkey", "l_linenumber"])
+    rows = materialise(models.assemble(lines, features, "l_extendedprice", "part"), "examples")
+    training, test = (rows.where(F.col("part") == k).drop("part") for k in range(2))
     return training, test
 
 
@@ -180,6 +180,80 @@ def tree_stump_split(spark, folder):
     return scored.withColumn("prediction", F.round("prediction", 3))
 
 
+GROWN = 5
+_SPLIT_FEATURES = {"discount": "l_discount", "tax": "l_tax", "line": "l_linenumber"}
+
+
+def _grown_sql(depth: int) -> str:
+    """The tree by SQL, level by level: each node takes the cut that leaves the least squares of the rows' distances to the means."""
+    values = " ".join(f"WHEN '{name}' THEN {column}" for name, column in _SPLIT_FEATURES.items())
+    ctes = ["level0 AS (SELECT *, l_extendedprice AS y, CAST(1 AS BIGINT) AS node FROM lineitem)"]
+    for level in range(depth):
+        long = " UNION ALL ".join(
+            f"SELECT node, {k} AS f, '{name}' AS feature, CAST({column} AS DOUBLE) AS x, y FROM level{level}"
+            for k, (name, column) in enumerate(_SPLIT_FEATURES.items())
+        )
+        ctes += [
+            f"per{level} AS (SELECT node, f, feature, x, count(*) AS c, sum(y) AS s FROM ({long}) GROUP BY ALL)",
+            f"""cuts{level} AS (
+                SELECT node, f, feature, x, sum(c) OVER below AS cl, sum(s) OVER below AS sl,
+                       sum(c) OVER (PARTITION BY node, f) AS c, sum(s) OVER (PARTITION BY node, f) AS s
+                FROM per{level} WINDOW below AS (PARTITION BY node, f ORDER BY x)
+            )""",
+            f"""best{level} AS (
+                SELECT * FROM cuts{level} WHERE cl < c
+                QUALIFY row_number() OVER (
+                    PARTITION BY node ORDER BY sl * sl / cl + (s - sl) * (s - sl) / (c - cl) DESC, f, x
+                ) = 1
+            )""",
+            f"""level{level + 1} AS (
+                SELECT r.* EXCLUDE (node), CASE WHEN b.node IS NULL THEN r.node
+                    WHEN CASE b.feature {values} END <= b.x THEN 2 * r.node ELSE 2 * r.node + 1 END AS node
+                FROM level{level} r LEFT JOIN best{level} b ON b.node = r.node
+            )""",
+        ]
+    return "WITH " + ", ".join(ctes)
+
+
+def _grown(spark, folder):
+    columns = list(_SPLIT_FEATURES.values())
+    rows = read_table(spark, folder, "lineitem").select(*columns, "l_extendedprice")
+    examples = materialise(models.assemble(rows, columns, "l_extendedprice"), "examples")
+    return rows, trees.tree_of(models.fit_tree(examples, maxDepth=GROWN)), columns
+
+
+@query(
+    "tree_leaves",
+    f"""
+    {_grown_sql(GROWN)}
+    SELECT node AS leaf, count(*) AS n, round(avg(y), 3) AS prediction, round(avg(y), 3) AS mean FROM level{GROWN} GROUP BY node
+    """,
+)
+def tree_leaves(spark, folder):
+    """The leaves of a tree of depth five, by place: rows, what the model predicts, and the mean of the rows."""
+    rows, tree, columns = _grown(spark, folder)
+    found = trees.leaves(rows, tree, columns, "l_extendedprice")
+    return found.withColumn("prediction", F.round("prediction", 3)).withColumn("mean", F.round("mean", 3))
+
+
+@query(
+    "tree_splits",
+    f"""
+    {_grown_sql(GROWN)}
+    """
+    + " UNION ALL ".join(
+        f"SELECT node, feature, CAST(cl AS BIGINT) AS below, CAST(c - cl AS BIGINT) AS above FROM best{level}"
+        for level in range(GROWN)
+    ),
+)
+def tree_splits(spark, folder):
+    """The splits of that tree: which feature, and the rows on either side."""
+    rows, tree, columns = _grown(spark, folder)
+    names = {column: name for name, column in _SPLIT_FEATURES.items()}
+    named = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    return trees.splits(rows, tree, columns).withColumn("feature", named[F.col("feature")])
+
+
 @query("tree_regression")
 def tree_regression(spark, folder):
     training, test = price_parts(spark, folder, PRICE_FEATURES)
@@ -192,17 +266,56 @@ def tree_metrics(spark, folder):
     return models.regression_metrics(models.predict(models.fit_tree(training), test))
 
 
+def _ordered_from(spark: SparkSession, folder: str) -> DataFrame:
+    """What customers ordered from which supplier, as ratings."""
+    lines = read_table(spark, folder, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity")
+    orders = read_table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+
+
 @query("als_recommend")
 def als_recommend(spark, folder):
     """Ten suppliers for customer 8, trained on what all customers ordered from whom."""
-    lines = read_table(spark, folder, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity")
-    orders = read_table(spark, folder, "orders").select("o_orderkey", "o_custkey")
-    ratings = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    model = models.fit_recommender(ratings, "o_custkey", "l_suppkey", "l_quantity")
+    model = models.fit_recommender(_ordered_from(spark, folder), "o_custkey", "l_suppkey", "l_quantity")
     users = frame_from_rows(spark, [(8,)], ["o_custkey"])
     return models.recommend(model, users, read_table(spark, folder, "supplier"), "s_suppkey", "s_name")
 
 
+@query(
+    "als_recommend_many",
+    """
+    WITH asked AS (SELECT DISTINCT o_custkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_custkey % 10 = 0)
+    SELECT o_custkey, least(10, (SELECT count(DISTINCT l_suppkey) FROM lineitem)) AS items, CAST(0 AS BIGINT) AS rising FROM asked
+    """,
+)
+def als_recommend_many(spark, folder):
+    """Ten suppliers for each tenth customer: per customer how many came out, and how often a rating is above the one before."""
+    ratings = materialise(_ordered_from(spark, folder), "ratings")
+    model = models.fit_recommender(ratings, "o_custkey", "l_suppkey", "l_quantity")
+    users = ratings.select("o_custkey").where("o_custkey % 10 = 0")
+    best = models.recommend(model, users, read_table(spark, folder, "supplier"), "s_suppkey", "s_name")
+    before = F.lag("rating").over(Window.partitionBy("o_custkey").orderBy(F.desc("rating"), "l_suppkey"))
+    return best.withColumn("rose", (F.col("rating") > before).cast("int")).groupBy("o_custkey").agg(
+        F.count_distinct("l_suppkey").alias("items"), F.coalesce(F.sum("rose"), F.lit(0)).alias("rising")
+    )
+
+
+@query(
+    "als_residual",
+    """
+    SELECT count(DISTINCT o_custkey) AS users, count(*) AS ratings, CAST(0 AS DOUBLE) AS residual
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+    """,
+)
+def als_residual(spark, folder):
+    """Users and ratings of the fit, and how far the worst user's factors are from solving their normal equations."""
+    ratings = materialise(_ordered_from(spark, folder), "ratings")
+    model = models.fit_recommender(ratings, "o_custkey", "l_suppkey", "l_quantity")
+    return models.normal_residuals(model, ratings, "l_quantity").agg(
+        F.count("*").alias("users"), F.sum("n").alias("ratings"), F.round(F.max("residual"), 3).alias("residual")
+    )
+
+
 @query(
     "als_recommend_checks",
     """

@@ -1,10 +1,13 @@
 import math
+import random
 
 import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.sql import functions as F
 
 from helpers import rows
-from tallywork.operators import models
+from tallywork.operators import models, trees
+from tallywork.operators.recommendations import best_items
 
 
 def test_line_equals_the_closed_form(spark):
@@ -63,3 +66,67 @@ def test_recommendations_find_planted_tastes_with_long_ids(spark):
     model = models.fit_recommender(frame, "u", "i", "r")
     got = models.recommend(model, spark.createDataFrame([(far + 3,), (7,)], "u long"), names, "i", "name", 4).collect()
     assert len(got) == 4 and all(r.u == far + 3 and r.i < far + 6 and r.name == f"n{r.i - far}" for r in got)
+
+
+@pytest.mark.parametrize("first,growth,part", [(256, 8, 4096), (3, 2, 4), (1, 1, 1)])
+def test_best_items_equal_the_full_product(spark, first, growth, part):
+    """Factors of very different norms, equal items, zero vectors and a user without a vector."""
+    rng = random.Random(7)
+    items = [(i, [rng.gauss(0, 1) * 4 ** rng.randint(-3, 1) for _ in range(3)]) for i in range(60)]
+    items += [(100 + i, list(items[i][1])) for i in range(20)] + [(200, [0.0] * 3), (201, None)]
+    users = [(u, [rng.gauss(0, 1) for _ in range(3)]) for u in range(15)] + [(50, [0.0] * 3), (51, None)]
+    expected = set()
+    for user, u in users:
+        if u is None:
+            continue
+        scored = [(-sum(a * b for a, b in zip(u, v)), item) for item, v in items if v is not None]
+        expected |= {(user, item) for _, item in sorted((round(s, 12) + 0.0, item) for s, item in scored)[:5]}
+    got = best_items(
+        spark.createDataFrame(users, "user int, u array<double>"),
+        spark.createDataFrame(items, "item int, v array<double>"), 3, 5, first, growth, part,
+    ).collect()
+    assert {(r.user, r.item) for r in got} == expected and len(got) == len(expected)
+
+
+def test_best_items_of_nothing(spark):
+    none, some = spark.createDataFrame([], "item int, v array<double>"), spark.createDataFrame([(1, [1.0])], "user int, u array<double>")
+    assert best_items(some, none, 1).collect() == []
+    assert best_items(some.where("user = 0"), none.union(some), 1).collect() == []
+
+
+def test_fitted_users_solve_their_equations(spark):
+    rng = random.Random(3)
+    rows_ = [(rng.randrange(40), rng.randrange(25), rng.randint(1, 5)) for _ in range(900)]
+    frame = spark.createDataFrame([*rows_, (None, 1, 2), (1, None, 2)], "u int, i int, r int")
+    model = models.fit_recommender(frame, "u", "i", "r")
+    found = models.normal_residuals(model, frame, "r").collect()
+    assert sum(r.n for r in found) == 900 and max(r.residual for r in found) < 1e-4
+    # With another penalty the equations are not those that were solved.
+    assert max(r.residual for r in models.normal_residuals(model, frame, "r", 0.5).collect()) > 1e-2
+
+
+def test_a_tree_as_columns_equals_the_model(spark):
+    rng = random.Random(5)
+    data = [(rng.random() * 9, float(rng.randint(0, 40)), rng.choice([0.0, 1.0]), rng.random()) for _ in range(800)]
+    frame = spark.createDataFrame([(*r, 5 * r[0] + r[1] * r[2] + r[3]) for r in data], "a double, b double, c double, d double, y double")
+    columns = ["a", "b", "c", "d"]
+    model = models.fit_tree(models.assemble(frame, columns, "y"), maxDepth=7)
+    tree = trees.tree_of(model)
+    scored = model.transform(models.assemble(frame, columns, "y", *columns))
+    assert scored.where(trees.prediction_of(tree, columns) != F.col("prediction")).count() == 0
+    found = trees.leaves(frame, tree, columns, "y").collect()
+    assert len(found) == model.numNodes - len(trees.inner_nodes(tree)) and sum(r.n for r in found) == 800
+    assert all(r.prediction == pytest.approx(r.mean) for r in found)
+    splits = {r.node: r for r in trees.splits(frame, tree, columns).collect()}
+    assert set(splits) == {n.place for n in trees.inner_nodes(tree)} and splits[1].below + splits[1].above == 800
+    for node in trees.inner_nodes(tree):
+        for child, n in ((node.left, splits[node.place].below), (node.right, splits[node.place].above)):
+            if child.left is not None:
+                assert splits[child.place].below + splits[child.place].above == n
+
+
+def test_a_tree_of_one_leaf(spark):
+    frame = spark.createDataFrame([(1.0, 2.0), (2.0, 2.0)], "x double, y double")
+    tree = trees.tree_of(models.fit_tree(models.assemble(frame, ["x"], "y")))
+    assert rows(trees.leaves(frame, tree, ["x"], "y")) == [(1, 2, 2.0, 2.0)]
+    assert trees.splits(frame, tree, ["x"]).collect() == []

@@ -15,7 +15,7 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"als_recommend"}))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_worker_and_no_product(spark, name):
     text = plan(QUERIES[name](spark, FOLDER))
     for bad in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import rows
 from tallywork.operators import splits
@@ -16,6 +17,27 @@ def test_folds_are_contiguous_disjoint_and_even(spark, n, k):
     assert [r.fold for r in got] == expected
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_folds_by_several_columns_with_ties_and_nulls(spark, seed):
+    """A third of the rows share one value, some have none; the second column tells rows apart."""
+    draw = random.Random(seed)
+    data = [(draw.choice([None, 7.0, 7.0, draw.random() * 20, float("nan")]), i, "x") for i in range(900)]
+    df = spark.createDataFrame(data, "a double, b int, kept string").repartition(5)
+    for order_by in (["a", "b"], ["kept", "b"]):
+        got = splits.assign_folds(df, order_by, 7)
+        assert got.columns == ["a", "b", "kept", "fold"]
+        expected = [fold + 1 for fold in range(7) for _ in range(900 // 7 + (fold < 900 % 7))]
+        assert [r.fold for r in got.orderBy(*order_by).collect()] == expected
+
+
+def test_folds_move_no_rows(spark):
+    df = spark.range(1000).withColumn("wide", F.lit("x"))
+    text = splits.assign_folds(df, ["id"])._jdf.queryExecution().executedPlan().toString()
+    main = text.split("Subqueries")[0]
+    assert "Sort" not in main.splitlines()[0] and "Exchange" not in main.split("ReusedSubquery")[0].split("Subquery")[0]
+    assert splits.assign_folds(df.limit(0), ["id"]).collect() == []
+
+
 def test_fold_pair(spark):
     folds = splits.assign_folds(spark.range(10), ["id"], 5)
     base, test = splits.fold_pair(folds, 2)
