@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from helpers import rows
 from test_words_logs import LOG
 from tallywork.functions.logs import parse_logs
-from tallywork.sinks import TableStream, run_stream, start_stream
+from tallywork.sinks import AppendStream, TableStream, UpsertStream, run_stream, start_stream
 from tallywork.sources.files import read_lines
 from tallywork.sources.streams import stream_lines, stream_table
 from tallywork.streaming.counts import running_counts, sliding_counts
@@ -113,3 +113,72 @@ def test_watermark_closes_windows(spark, tmp_path):
         assert got[0] == ("2026-01-01 00:00:00", 2)
     finally:
         query.stop()
+
+
+def files_of(folder):
+    return {str(p): p.read_bytes() for p in folder.rglob("part-*")}
+
+
+def test_upserts_write_changed_keys_and_equal_the_whole_table(spark, tmp_path):
+    folder, out = tmp_path / "in", tmp_path / "out"
+    folder.mkdir()
+    place = {"path": str(out), "checkpoint": str(tmp_path / "log"), "once": True}
+    expected = {}
+    for k, keys in enumerate(["aab", "b", "c", "ca", "d", "d"]):
+        (folder / f"{k}.txt").write_text("\n".join(keys) + "\n")
+        for key in keys:
+            expected[key] = expected.get(key, 0) + 1
+        stream = UpsertStream(running_counts(stream_lines(spark, str(folder)), "value"), name(), ["value"], 3, **place)
+        stream.query.awaitTermination()
+        assert rows(stream.latest()) == sorted(expected.items())
+        assert rows(spark.read.parquet(str(out / f"batch-{k}")).select("value")) == sorted((c,) for c in set(keys))
+    # Batches 0 to 2 went into the table of batch 2, 3 to 5 into that of batch 5; the former are gone.
+    assert sorted(p.name for p in out.iterdir()) == ["batch-3", "batch-4", "batch-5", "table-2", "table-5"]
+
+
+def test_replayed_upserts_change_nothing(spark, tmp_path):
+    folder, out = tmp_path / "in", tmp_path / "out"
+    folder.mkdir()
+    (folder / "a.txt").write_text("a\nb\n")
+    counts = running_counts(stream_lines(spark, str(folder)), "value")
+    stream = UpsertStream(counts, name(), ["value"], 2, path=str(out), once=True)
+    stream.query.awaitTermination()
+    batch = spark.createDataFrame([("a", 1), ("b", 1)], "value string, n long")
+    stream._write(batch, 0)
+    assert rows(stream.latest()) == [("a", 1), ("b", 1)]
+    stream._write(spark.createDataFrame([("b", 5)], "value string, n long"), 1)
+    assert rows(stream.latest()) == [("a", 1), ("b", 5)] and (out / "table-1").exists()
+    before = files_of(out)
+    stream._write(batch, 1)
+    stream._write(batch, 0)
+    assert files_of(out) == before and rows(stream.latest()) == [("a", 1), ("b", 5)]
+
+
+def test_upserts_keep_nulls_apart(spark, tmp_path):
+    (tmp_path / "a.log").write_text("\n".join(LOG[:4]) + "\n")
+    counts = running_counts(parse_logs(stream_lines(spark, str(tmp_path))))
+    assert rows(run_stream(counts, name(), ["status"])) == rows(run_stream(counts, name()))
+
+
+def test_closed_windows_come_once_and_late_rows_are_told(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    time = F.to_timestamp(F.col("value"))
+    lines = stream_lines(spark, str(folder), 1).withColumn("k", F.lit("x"))
+    counted = sliding_counts(lines, "k", "1 minute", "1 minute", time=time, watermark="1 minute")
+    place = {"path": str(tmp_path / "out"), "checkpoint": str(tmp_path / "log")}
+    stream = AppendStream(counted, name(), **place)
+    try:
+        for text in ("2026-01-01 00:00:10\n2026-01-01 00:00:20", "2026-01-01 00:10:00", "2026-01-01 00:00:30"):
+            (folder / f"{uuid.uuid4().hex}.txt").write_text(text + "\n")
+            stream.query.processAllAvailable()
+        assert [(str(r.window_start), r.n) for r in stream.closed().collect()] == [("2026-01-01 00:00:00", 2)]
+        assert stream.late() == 1
+    finally:
+        stream.query.stop()
+    # After a restart the closed window is still there, and the open one closes.
+    (folder / "last.txt").write_text("2026-01-01 01:00:00\n")
+    stream = AppendStream(counted, name(), **place, once=True)
+    stream.query.awaitTermination()
+    got = sorted((str(r.window_start), r.n) for r in stream.closed().collect())
+    assert got == [("2026-01-01 00:00:00", 2), ("2026-01-01 00:10:00", 1)]
