@@ -14,13 +14,14 @@ Three things keep it in hand, none of which changes a result:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallywork.functions.scalars import other_of_pair, ratio_or_zero
 from tallywork.operators.aggregates import with_names
 from tallywork.operators.splits import RANKS_IN_MAP_TASKS
 from tallywork.session import materialise
+from tallywork.sinks import look_up, save_for_lookup
 
 BUSY_USER_ITEMS = 1_000
 
@@ -64,17 +65,17 @@ def _add_up(pairs: DataFrame, sums: dict[str, Column]) -> DataFrame:
 
 def _pair_sums(rated: DataFrame, pairs_over: int, cosine: bool, busy: int) -> DataFrame:
     """(item1, item2, n[, xx, yy, xy]) with item1 < item2 and n > pairs_over."""
+    # Written once: what follows reads both sides of the self-join from it.
+    rated = materialise(rated, "rated")
     sums = _products(cosine)
     sizes = rated.groupBy("user").agg(F.count("*").alias("items"), F.max("c").alias("most"))
-    hot = sizes.filter(F.col("items") > busy)
-    if pairs_over:
-        # Written: the left-out users are looked for among the busy ones, if there are any.
-        hot = materialise(hot, "busy-users")
-    if pairs_over == 0 or hot.isEmpty():
-        found = _add_up(_all_pairs(rated, hot, busy), sums)
+    hot = materialise(sizes.filter(F.col("items") > busy), "busy-users")
+    if hot.isEmpty():
+        found = _add_up(_plain_pairs(rated), sums)
         return found.filter(F.col("n") > pairs_over) if pairs_over else found
+    if pairs_over == 0:
+        return _add_up(_all_pairs(rated, hot, busy), sums)
 
-    rated = materialise(rated, "rated")
     left_out = materialise(_busiest(rated, hot, pairs_over), "left-out")
     kept = materialise(rated.join(left_out, ["user", "item"], "left_anti"), "kept")
     found = materialise(_add_up(_all_pairs(kept, hot, busy), sums), "found")
@@ -95,6 +96,15 @@ def _pair_sums(rated: DataFrame, pairs_over: int, cosine: bool, busy: int) -> Da
     return _add_up(totals, {name: F.col(name) for name in sums}).filter(F.col("n") > pairs_over)
 
 
+def _plain_pairs(rated: DataFrame) -> DataFrame:
+    """The self-join by user."""
+    pairs = rated.alias("a").join(
+        rated.alias("b"),
+        (F.col("a.user") == F.col("b.user")) & (F.col("a.item") < F.col("b.item")),
+    )
+    return pairs.select(F.col("a.item").alias("item1"), F.col("b.item").alias("item2"), *_sides(rated))
+
+
 def _all_pairs(rated: DataFrame, hot: DataFrame, busy: int) -> DataFrame:
     """The self-join by user: users of up to ``busy`` items in one group each, the others in a grid of groups.
 
@@ -102,12 +112,8 @@ def _all_pairs(rated: DataFrame, hot: DataFrame, busy: int) -> DataFrame:
     broadcast, and rows of the others are shuffled once for both sides of the join.
     """
     rest = rated.join(hot.select("user"), "user", "left_anti")
-    plain = rest.alias("a").join(
-        rest.alias("b"),
-        (F.col("a.user") == F.col("b.user")) & (F.col("a.item") < F.col("b.item")),
-    )
     ids = [F.col("a.item").alias("item1"), F.col("b.item").alias("item2")]
-    return plain.select(*ids, *_sides(rated)).union(_grid_pairs(rated, hot, busy).select(*ids, *_sides(rated)))
+    return _plain_pairs(rest).union(_grid_pairs(rated, hot, busy).select(*ids, *_sides(rated)))
 
 
 def _sides(rated: DataFrame) -> list[Column]:
@@ -227,16 +233,41 @@ def _best(scored: DataFrame, k: int) -> DataFrame:
     return scored.orderBy(F.desc("score"), F.desc("n"), "item").limit(k)
 
 
+def both_directions(pairs: DataFrame) -> DataFrame:
+    """(item, partner, n, score): every pair once from either item."""
+    one = pairs.select(F.col("item1").alias("item"), F.col("item2").alias("partner"), "n", "score")
+    return one.union(pairs.select(F.col("item2").alias("item"), F.col("item1").alias("partner"), "n", "score"))
+
+
 def top_partners_per_item(pairs: DataFrame, k: int = 10) -> DataFrame:
     """(item, partner, n, score, rank): the ``k`` best partners of every item of a pair table.
 
     Ties go to more common users, then to the smaller partner. The rank filter works in the map tasks (for k up to
     ``RANKS_IN_MAP_TASKS``), so what is shuffled is at most k rows per item and task.
     """
-    one = pairs.select(F.col("item1").alias("item"), F.col("item2").alias("partner"), "n", "score")
-    other = pairs.select(F.col("item2").alias("item"), F.col("item1").alias("partner"), "n", "score")
     best = Window.partitionBy("item").orderBy(F.desc("score"), F.desc("n"), "partner")
-    return one.union(other).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    return both_directions(pairs).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+
+
+def save_pairs(pairs: DataFrame, path: str, buckets: int = 64) -> None:
+    """Save a pair table in both directions, laid out for ``similar_in_saved``."""
+    save_for_lookup(both_directions(pairs), path, "item", buckets, [F.desc("score")])
+
+
+def similar_in_saved(
+    spark: SparkSession,
+    path: str,
+    target: object,
+    score_over: float,
+    pairs_over: float = 50,
+    k: int = 10,
+    names: DataFrame | None = None,
+    names_key: str = "movie_id",
+    name: str = "title",
+) -> DataFrame:
+    """Best partners of one item from a table of ``save_pairs``, of which only the item's folder is read."""
+    own = look_up(spark, path, "item", target).filter((F.col("score") > score_over) & (F.col("n") > pairs_over))
+    return _named(_best(own.select(F.col("partner").alias("item"), "score", "n"), k), names, names_key, name)
 
 
 def similar_in_table(

@@ -150,6 +150,16 @@ def similar_items_cosine(spark, folder):
 
 @query("similar_items_saved", _best_sql(_COSINE, 0.5, 1))
 def similar_items_saved(spark, folder):
+    """Save the pair table laid out by item, then ask the saved table for the best partners."""
+    path = scratch_path(spark, "pairs")
+    similarity.save_pairs(similarity.cosine_pairs(ratings(spark, folder), **COLUMNS), path)
+    return _nine(
+        similarity.similar_in_saved(spark, path, TARGET, score_over=0.5, pairs_over=1, **_names(spark, folder))
+    )
+
+
+@query("similar_items_sorted", _best_sql(_COSINE, 0.5, 1))
+def similar_items_sorted(spark, folder):
     """Save the pair table sorted by pair, then ask the saved table for the best partners."""
     path = scratch_path(spark, "pairs")
     pairs = similarity.cosine_pairs(ratings(spark, folder), **COLUMNS)

@@ -169,3 +169,26 @@ def test_an_item_with_too_few_users_has_no_partners(spark):
     ratings = frame(spark, [(u, i, 5.0) for u in range(20) for i in (1, 2)] + [(1, 3, 5.0), (2, 3, 5.0)])
     got = similarity.similar_by_jaccard(ratings, 3, **COLUMNS, pairs_over=1, score_over=0.0)
     assert got.collect() == []
+
+
+def test_a_saved_table_reads_one_folder(spark, tmp_path):
+    ratings = frame(spark, skewed_ratings(5))
+    pairs = similarity.cosine_pairs(ratings, **COLUMNS)
+    path = str(tmp_path / "pairs")
+    similarity.save_pairs(pairs, path, buckets=8)
+    for target in (7, 3, 999):
+        found = similarity.similar_in_saved(spark, path, target, 0.5, 1)
+        assert found.collect() == similarity.similar_in_table(pairs, target, 0.5, 1).collect()
+        text = found._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        )
+        assert "PartitionFilters" in text and "substring_index" in text.split("PartitionFilters")[1].split("\n")[0]
+        assert len({f.rsplit("/", 2)[1] for f in found.inputFiles()}) <= 8
+    read = spark.read.parquet(path).where("item = 7").select("_bucket").distinct().collect()
+    assert len(read) == 1 and read[0][0].endswith("-8")
+
+
+def test_inputs_are_read_from_one_written_table(spark):
+    """Without busy users there is no anti-join and no grid in the plan."""
+    text = similarity.cosine_pairs(frame(spark, skewed_ratings(5)), **COLUMNS)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" not in text and "Union" not in text and "sequence" not in text
