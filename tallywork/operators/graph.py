@@ -138,9 +138,79 @@ def separation(
     as hits: one round more than the nearest node with an edge to the source.
     """
     if source != target:
-        return breadth_first(edges, source, target, max_rounds).filter(F.col("id") == target)
+        return meet(edges, source, target, max_rounds)[0]
     limit = None if max_rounds is None else max_rounds - 1
     reached, graph, _ = _search(edges, source, None, limit)
     back = graph.filter(F.col("dst") == target).select(F.col("src").alias("id"), "edges").join(reached, "id")
     ways = back.groupBy("distance").agg(F.sum("edges").alias("hits")).orderBy("distance").limit(1)
     return ways.select(F.lit(target).cast("long").alias("id"), (F.col("distance") + 1).alias("distance"), "hits")
+
+
+def meet(
+    edges: DataFrame, source: int, target: int, max_rounds: int | None = 10
+) -> tuple[DataFrame, int]:
+    """(id, distance, hits) of the target as in ``separation``, and how many edges the search joined.
+
+    The search goes on from both ends, each round from the end whose last nodes have fewer edges, until a new node is among the last
+    ones of the other end. The hits are the edges into the target from nodes one step nearer to the source: they are
+    found by going on from where the ends met, over nodes of the other end's search only.
+
+    A round writes its new nodes with the number of their edges onwards; the sum tells what the next round from this end joins.
+    """
+    spark = edges.sparkSession
+    graph = materialise(edges.groupBy("src", "dst").agg(F.count("*").alias("edges")), "edges")
+    near = _End(spark, graph.select(F.col("src").alias("from"), F.col("dst").alias("to")), source)
+    far = _End(spark, graph.select(F.col("dst").alias("from"), F.col("src").alias("to")), target)
+    joined, met = 0, None
+    while max_rounds is None or near.rounds + far.rounds < max_rounds:
+        if not (near.width and far.width):
+            break
+        grown, other = (near, far) if near.width <= far.width else (far, near)
+        joined += grown.width
+        grown.grow()
+        common = grown.last().join(other.last().select("id"), "id", "left_semi").select("id")
+        if not common.isEmpty():
+            met = materialise(common, "met")
+            break
+    if met is None:
+        return spark.createDataFrame([], "id long, distance int, hits long"), joined
+    distance = near.rounds + far.rounds
+    if far.rounds == 0:
+        before = near.level(near.rounds - 1)
+    else:
+        before = met
+        for level in range(far.rounds - 1, 0, -1):
+            step = graph.join(before.select(F.col("id").alias("src")), "src").select(F.col("dst").alias("id")).distinct()
+            before = step.join(far.level(level).select("id"), "id", "left_semi")
+    into = graph.filter(F.col("dst") == target).join(before.select(F.col("id").alias("src")), "src", "left_semi")
+    found = into.agg(F.sum("edges").alias("hits"))
+    return found.select(F.lit(target).cast("long").alias("id"), F.lit(distance).alias("distance"), "hits"), joined
+
+
+class _End:
+    """One end of a search: written nodes by round, and the number of edges onwards from the last ones."""
+
+    def __init__(self, spark, arcs: DataFrame, start: int) -> None:
+        self._arcs = arcs
+        self._degrees = materialise(arcs.groupBy(F.col("from").alias("id")).agg(F.count("*").alias("onwards")), "degrees")
+        self._root = scratch_path(spark, "end")
+        self._reader = spark.read.schema("id long, onwards long, distance int").option("basePath", self._root)
+        self.rounds = -1
+        self._write(spark.createDataFrame([(start,)], "id long"))
+
+    def _write(self, fresh: DataFrame) -> None:
+        self.rounds += 1
+        counted = fresh.join(self._degrees, "id", "left").select("id", F.coalesce("onwards", F.lit(0).cast("long")).alias("onwards"))
+        counted.write.parquet(f"{self._root}/distance={self.rounds}")
+        self.width = self.last().agg(F.sum("onwards")).first()[0] or 0
+
+    def level(self, number: int) -> DataFrame:
+        return self._reader.parquet(f"{self._root}/distance={number}")
+
+    def last(self) -> DataFrame:
+        return self.level(self.rounds)
+
+    def grow(self) -> None:
+        reached = self._arcs.join(self.last().select(F.col("id").alias("from")), "from").select(F.col("to").alias("id"))
+        seen = self._reader.parquet(*[f"{self._root}/distance={k}" for k in range(self.rounds + 1)])
+        self._write(reached.distinct().join(seen.select("id"), "id", "left_anti"))

@@ -86,3 +86,25 @@ def test_way_back_to_the_source(spark):
     assert rows(graph.separation(edges, 1, 1)) == [(1, 2, 3)]
     assert rows(graph.separation(spark.createDataFrame([(1, 2)], ["src", "dst"]), 1, 1)) == []
     assert rows(graph.separation(spark.createDataFrame([(1, 1)], ["src", "dst"]), 1, 1)) == [(1, 1, 1)]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_search_from_both_ends_equals_plain_search(spark, seed):
+    draw = random.Random(seed)
+    edges = [(draw.randrange(50), draw.randrange(50)) for _ in range(draw.choice([60, 90, 140]))]
+    edges += [(0, draw.randrange(50)) for _ in range(3)] + edges[:10]
+    frame = spark.createDataFrame(edges, ["src", "dst"])
+    plain = {node: (node, *rest) for node, *rest in plain_search(edges, 0)}
+    for target in draw.sample(range(1, 50), 3):
+        assert rows(graph.separation(frame, 0, target)) == ([plain[target]] if target in plain else [])
+
+
+def test_search_from_both_ends_joins_fewer_edges(spark):
+    """A hub near the source: from the other end the way is narrow."""
+    edges = [(0, 1), *((1, k) for k in range(10, 400)), *((k, k + 400) for k in range(10, 400)), (450, 2), (2, 3), (3, 4)]
+    found, joined = graph.meet(spark.createDataFrame(edges, ["src", "dst"]), 0, 4)
+    assert rows(found) == [(4, 6, 1)] and joined < 10
+    found, joined = graph.meet(spark.createDataFrame(edges, ["src", "dst"]), 0, 9)
+    assert rows(found) == [] and joined == 0
+    assert rows(graph.separation(spark.createDataFrame(edges, ["src", "dst"]), 0, 4, max_rounds=5)) == []
+    assert rows(graph.separation(spark.createDataFrame(edges, ["src", "dst"]), 0, 4, max_rounds=None)) == [(4, 6, 1)]
