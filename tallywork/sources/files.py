@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallywork.functions.text import blank_fields
+from tallywork.session import materialise, scratch_path
 
 
 def read_delimited(
@@ -23,11 +24,47 @@ def read_delimited(
 
 
 def read_with_header(
-    spark: SparkSession, path: str, sep: str = ",", schema: StructType | str | None = None
+    spark: SparkSession, path: str, sep: str = ",", schema: StructType | str | None = None, sample: int = 1_000
 ) -> DataFrame:
-    """File with a header row. Without a schema the types come from the data, at the price of a second read."""
-    reader = spark.read.option("header", True).option("sep", sep)
-    return (reader.option("inferSchema", True) if schema is None else reader.schema(schema)).csv(path)
+    """File with a header row. Without a schema the types are those that all values fit, as ``typed_copy`` finds them."""
+    if schema is None:
+        return typed_copy(spark, path, sep, sample)
+    return spark.read.option("header", True).option("sep", sep).schema(schema).csv(path)
+
+
+def typed_copy(spark: SparkSession, path: str, sep: str = ",", sample: int = 1_000) -> DataFrame:
+    """A written, typed copy of a file with a header row, made in one read if the first ``sample`` lines show the types.
+
+    The types that Spark infers for those lines are taken for the read of the file. Lines that do not fit are kept
+    whole beside the copy; some of them (up to ``sample``) then join the lines that types are inferred from, and the file is read again, until
+    the types stay as they are. A column without any value among the lines is tried as whole numbers first.
+    """
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    first = lines.first()
+    if first is None:
+        return spark.read.option("header", True).csv(path)
+    header = first[0]
+    known = [row[0] for row in lines.limit(sample + 1).collect() if row[0] != header]
+    reader = spark.read.option("header", True).option("sep", sep).option("columnNameOfCorruptRecord", "_line")
+    kinds = _kinds(spark, header, known, sep)
+    while True:
+        copy = materialise(reader.schema(f"{kinds}, _line string").csv(path), "typed")
+        odd = copy.filter(F.col("_line").isNotNull()).select("_line").limit(sample).collect()
+        known += [row[0] for row in odd]
+        before, kinds = kinds, _kinds(spark, header, known, sep) if odd else kinds
+        if kinds == before:
+            return copy.drop("_line")
+
+
+def _kinds(spark: SparkSession, header: str, lines: list[str], sep: str) -> str:
+    """The columns with the types that Spark infers from some lines."""
+    path = scratch_path(spark, "lines")
+    spark.createDataFrame([(line,) for line in [header, *lines]], "value string").coalesce(1).write.text(path)
+    read = spark.read.option("header", True).option("sep", sep).option("inferSchema", True).csv(path)
+    some = read.agg(*[F.count(F.col(f"`{c}`")).alias(str(i)) for i, c in enumerate(read.columns)]).first()
+    return ", ".join(
+        f"`{f.name}` {f.dataType.simpleString() if some[i] else 'int'}" for i, f in enumerate(read.schema.fields)
+    )
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import Row
 
 from helpers import rows
@@ -53,6 +54,25 @@ def test_header_with_mark_and_inferred_types(spark, tmp_path):
     assert rows(read.select("No", "HouseAge")) == [(1, 32.0), (2, 19.5)]
 
 
+@pytest.mark.parametrize("sample", [1000, 2])
+def test_types_of_a_sample_are_widened(spark, tmp_path, sample):
+    """The same types and rows as inference from all rows, also where the first lines do not show them."""
+    plain = [f"{i},{i},{i},,{i % 2 == 0},2026-01-{i % 28 + 1:02d},x{i}" for i in range(50)]
+    odd = ["7,1.5,a,3,true,2026-01-01 10:00:00,y", "3000000000,2,b,4,maybe,never,z", "1,2", '8,"9",c,,,,"q,r"', "1,2,3,4,5,6,7,8"]
+    (tmp_path / "f.csv").write_text("\n".join(["a,b,c,d,e,f,g", *plain, *odd, ""]))
+    expected = spark.read.option("header", True).option("inferSchema", True).csv(str(tmp_path / "f.csv"))
+    got = files.read_with_header(spark, str(tmp_path / "f.csv"), sample=sample)
+    assert got.dtypes == expected.dtypes
+    assert rows(got) == rows(expected)
+
+
+def test_types_of_odd_files(spark, tmp_path):
+    (tmp_path / "empty.csv").write_text("")
+    assert files.read_with_header(spark, str(tmp_path / "empty.csv")).columns == []
+    (tmp_path / "head.csv").write_text("a,b\n")
+    assert files.read_with_header(spark, str(tmp_path / "head.csv")).columns == ["a", "b"]
+
+
 def test_header_with_other_delimiter(spark, tmp_path):
     (tmp_path / "h.csv").write_text("a;b\n1;x\n")
     assert rows(files.read_with_header(spark, str(tmp_path / "h.csv"), sep=";")) == [(1, "x")]
