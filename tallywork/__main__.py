@@ -1,7 +1,8 @@
 """Run a job from the shell: python -m tallywork JOB name=value ...
 
 Results are shown, or saved where ``out=FOLDER`` is given (``fmt=`` parquet, csv or json; parquet by default). Streams
-print to the console until stopped; with ``checkpoint=FOLDER`` a restarted stream goes on where it was.
+go on until stopped: to the console, or to a table in ``out=FOLDER``; with ``checkpoint=FOLDER`` a restarted stream goes on where it
+was. With ``watermark=`` only windows that are closed come out, each once.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ import sys
 
 from tallywork.plans import jobs
 from tallywork.session import build_session
-from tallywork.sinks import save, start_stream
+from tallywork.sinks import AppendStream, TableStream, save, start_stream
 
 JOBS = {
     name: job
@@ -45,7 +46,14 @@ def main(words: list[str]) -> None:
     rest = [w for w in words[1:] if w.partition("=")[0] not in own]
     result = job(build_session(), **settings_of(job, rest))
     if result.isStreaming:
-        start_stream(result, "counts", checkpoint=own.get("checkpoint")).awaitTermination()
+        bounded = "watermark" in dict(w.split("=", 1) for w in rest)
+        if "out" in own:
+            sink = AppendStream if bounded else TableStream
+            query = sink(result, "counts", own["out"], own.get("checkpoint")).query
+        else:
+            mode = "append" if bounded else "complete"
+            query = start_stream(result, "counts", output_mode=mode, checkpoint=own.get("checkpoint"))
+        query.awaitTermination()
     elif "out" in own:
         save(result, own["out"], fmt=own.get("fmt", "parquet"))
     else:

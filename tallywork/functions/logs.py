@@ -22,16 +22,20 @@ def parse_logs(
     ``any_offset`` also takes times east of Greenwich. ``keep`` names columns to carry along.
     """
 
-    def part(pattern: str, group: int = 1):
-        return F.regexp_extract(value, pattern, group)
+    def part(pattern: str):
+        return F.regexp_extract(value, pattern, 1)
+
+    # The request is looked for once. Its parts hold no white space, so what matched splits into them.
+    found = F.regexp_extract(value, REQUEST, 0)
+    request = F.split(F.substring(found, F.lit(2), F.length(found) - 2), r"\s+")
 
     return lines.select(
         *keep,
         part(HOST).alias("host"),
         part(TIME_ANY_OFFSET if any_offset else TIME).alias("timestamp"),
-        part(REQUEST, 1).alias("method"),
-        part(REQUEST, 2).alias("endpoint"),
-        part(REQUEST, 3).alias("protocol"),
+        F.coalesce(F.get(request, F.lit(0)), F.lit("")).alias("method"),
+        F.coalesce(F.get(request, F.lit(1)), F.lit("")).alias("endpoint"),
+        F.coalesce(F.get(request, F.lit(2)), F.lit("")).alias("protocol"),
         part(STATUS).try_cast("int").alias("status"),
         part(CONTENT_SIZE).try_cast("int").alias("content_size"),
     )

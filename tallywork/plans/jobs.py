@@ -140,10 +140,16 @@ def top_partners(spark, ratings: str, k: int = 10, measure: str = "cosine", sep:
     return similarity.top_partners_per_item(item_pairs(spark, ratings, measure, sep), k)
 
 
-def recommendations(spark, ratings: str, titles: str, user: int, k: int = 10) -> DataFrame:
+def recommendations(spark, ratings: str, titles: str, user: int = None, users: str = None, k: int = 10) -> DataFrame:
+    """The ``k`` best items of one ``user``, or of all in a file of ``users``, an id a line."""
+    if (user is None) == (users is None):
+        raise ValueError("give user= or users=")
     model = models.fit_recommender(_ratings(spark, ratings), "user_id", "movie_id", "rating")
-    users = files.frame_from_rows(spark, [(user,)], ["user_id"])
-    return models.recommend(model, users, _titles(spark, titles), "movie_id", "title", k)
+    if users is None:
+        asked = files.frame_from_rows(spark, [(user,)], ["user_id"])
+    else:
+        asked = spark.read.text(users).select(F.trim("value").try_cast("long").alias("user_id")).dropna()
+    return models.recommend(model, asked, _titles(spark, titles), "movie_id", "title", k)
 
 
 def line_predictions(spark, examples: str, seed: int = 42) -> DataFrame:
@@ -179,14 +185,20 @@ def status_stream(spark, folder: str) -> DataFrame:
     return running_counts(parse_logs(stream_lines(spark, folder)))
 
 
-def endpoint_stream(spark, folder: str, size: str = "30 seconds", slide: str = "10 seconds") -> DataFrame:
-    """A streaming DataFrame: hand it to a sink."""
-    return sliding_counts(parse_logs(stream_lines(spark, folder)), size=size, slide=slide)
+def endpoint_stream(
+    spark, folder: str, size: str = "30 seconds", slide: str = "10 seconds", watermark: str = None
+) -> DataFrame:
+    """A streaming DataFrame: hand it to a sink. With a ``watermark`` that is to be one for closed windows (append mode).
+
+    Times are those of processing; what a watermark closes is then final, as no line comes in late.
+    """
+    lines = parse_logs(stream_lines(spark, folder))
+    return sliding_counts(lines, size=size, slide=slide, watermark=watermark)
 
 
 def rating_folds(spark, ratings: str, k: int = 5) -> DataFrame:
     """The ratings in file order, cut into ``k`` folds."""
-    rows = files.in_file_order(_ratings(spark, ratings))
+    rows = materialise(files.in_file_order(_ratings(spark, ratings)), "ratings")
     return splits.assign_folds(rows, ["line"], k).drop("line")
 
 
