@@ -6,7 +6,7 @@ shortest rests are held back as filler: strung together, they are cut to what th
 windows of its own, the last few of them ever smaller powers of two. Windows of a tier are dealt evenly to step groups of about
 the same number of tokens.
 
-All this is planned on the driver over counts by length (at most as many as the largest window has tokens), never over
+All this is planned on the driver over counts by length (no more of them than the largest window has tokens), never over
 documents; rests then find their place by their rank within their length.
 """
 
@@ -240,24 +240,33 @@ def pack_documents(
     bases = per_task.select("length", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     counts = {r.length: r.n for r in per_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     own = plan(counts, window, shortest)
-    # Full pieces come before or after the rest by rank alone; their bases are one row per task.
+    groups = {}
+    for _, number, size, _ in own.windows:
+        groups[size] = groups.get(size, 0) + number
+    groups = {size: max(1, -(-number * size // step_tokens)) for size, number in groups.items()}
+    rests = rows.where(F.col("length") < window).join(bases.where(F.col("length") < window), ["length", "task"])
+    rests = rests.select("doc_id", "start", "length", "doc_tokens", "ids", (F.col("rank") + F.col("base")).alias("rank"))
+    placed = _placed(rests, own, counts, groups)
+    # Full pieces are the first windows of a plan, in order of rank. Their bases are one row per task.
     full = rows.where(F.col("length") == window).join(
         F.broadcast(bases.where(F.col("length") == window).select("task", "base")), "task"
     )
-    rests = rows.where(F.col("length") < window).join(bases.where(F.col("length") < window), ["length", "task"])
-    names = ["doc_id", "start", "length", "doc_tokens", "ids"]
-    placed = _placed(full.select(*names, (F.col("rank") + F.col("base")).alias("rank")), own, counts, step_tokens)
-    return placed.union(_placed(rests.select(*names, (F.col("rank") + F.col("base")).alias("rank")), own, counts, step_tokens))
+    sequence = F.col("rank") + F.col("base")
+    group = F.pmod(sequence, F.lit(groups.get(window, 1)))
+    return placed.union(
+        full.select(
+            "doc_id", "start", "length", "ids", "doc_tokens", sequence.alias("sequence_id"), F.lit(0).cast("long").alias("offset"),
+            F.lit(window).alias("window"), group.alias("step_group"), ((group + 0.5) / groups.get(window, 1)).cast("double").alias("step_at"),
+        )
+    )
 
 
-def _placed(rows: DataFrame, own: Plan, counts: dict[int, int], step_tokens: int) -> DataFrame:
-    """Rows by rank within their length to their windows; filler is cut where the plan says."""
+def _placed(rows: DataFrame, own: Plan, counts: dict[int, int], groups: dict[int, int]) -> DataFrame:
+    """Rests by rank within their length to their windows; filler is cut where the plan says."""
     steps = np.array(sorted(own.steps), np.int64).reshape(-1, 6)
     gaps = np.array(own.gaps, np.int64).reshape(-1, 4)
     windows = np.array(own.windows, np.int64).reshape(-1, 4)
-    sizes = {int(s): int(windows[windows[:, 2] == s, 1].sum()) for s in np.unique(windows[:, 2])}
-    # Groups of each window length, and where the filler of each length begins in the string.
-    groups = {s: max(1, -(-n * s // step_tokens)) for s, n in sizes.items()}
+    # Where the filler of each length begins in the string.
     begins, at = {}, 0
     for length in sorted(n for n in counts if n <= own.filler):
         begins[length], at = at, at + length * counts[length]
@@ -297,13 +306,13 @@ def _placed(rows: DataFrame, own: Plan, counts: dict[int, int], step_tokens: int
         windows, groups = shared.value[2:4]
         row = windows[np.searchsorted(windows[:, 0], sequence, side="right") - 1]
         number = np.array([groups[s] for s in row[:, 2].tolist()], np.int64)
-        group = (row[:, 3] + sequence - row[:, 0]) % np.maximum(1, number)
+        group = (row[:, 3] + sequence - row[:, 0]) % number
         return {c: pieces.column(i) for i, c in enumerate(("doc_id", "start", "length", "doc_tokens", "ids"))} | {
             "sequence_id": sequence,
             "offset": offset,
             "window": row[:, 2],
             "step_group": group,
-            "step_at": (group + 0.5) / np.maximum(1, number),
+            "step_at": (group + 0.5) / number,
         }
 
     schema = (
