@@ -7,7 +7,7 @@ Pairs that are frequent enough are ranked by frequency in turn and take the plac
 id make the tiles of three words.
 
 Ids by rank are for the most frequent words (pairs) only, at most ``words`` (``pairs``), which are broadcast. All others that are
-frequent enough have a hash for an id and are counted as rows of coordinates; which words that are is told by a filter of
+frequent enough have a hash for an id and are counted as sorted coordinates, dealt by a hash; which words that are is told by a filter of
 bounded size, and what it lets through wrongly falls out in the end. Words whose hashes clash are given ids by rank.
 """
 
@@ -23,10 +23,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 from xxhash import xxh64_intdigest
 
 from tallywork.llm.common import arrow_rows, materialise, mix, partitions
-from tallywork.llm.vocabularies import Recent
 
-#: Letters to lower case, marks and line ends that end a piece, tabs as blanks.
-_TABLE = {c: chr(c + 32) for c in range(65, 91)} | {ord(c): "\n" for c in ".,;:!?\n\x0b\x0c\r"} | {9: " "}
+#: For the bytes of a text: letters to lower case, marks and line ends that end a piece, tabs as blanks.
+_TABLE = bytes.maketrans(bytes(range(65, 91)) + b".,;:!?\x0b\x0c\r\t", bytes(range(97, 123)) + b"\n" * 9 + b" ")
 
 #: What stands for the end of a piece and for an empty string among ids.
 END, NONE = 1 << 62, (1 << 62) + 1
@@ -40,7 +39,8 @@ class Settings:
     """``least``: occurrences of a candidate. ``inside``: hundredths of a candidate's occurrences inside a longer one that drop it.
 
     ``top``: phrases of a language that are returned. ``words``, ``pairs``: ids by rank at most. ``letters``: bytes of a word that
-    may have one. ``buffer``: pairs that a task counts at a time. ``bits``: of a filter at most.
+    may have one. ``buffer``: pairs that a task counts at a time. ``bits``: of a filter at most. ``shares``: of a language's phrases that
+    are ranked apart first.
     """
 
     least: int = 10
@@ -49,8 +49,9 @@ class Settings:
     words: int = 1 << 17
     pairs: int = 1 << 18
     letters: int = 64
-    buffer: int = 1 << 22
+    buffer: int = 3 << 19
     bits: int = 1 << 24
+    shares: int = 32
 
 
 def _edges(rows: int) -> np.ndarray:
@@ -93,7 +94,7 @@ def tile_counts(tiles: Tiles, codes: np.ndarray) -> Iterator[tuple[int, np.ndarr
     full = most * 8 >= area
     dense = full[tile]
     inner = codes[dense]
-    inner = inner[np.argsort(inner >> BITS, kind="stable")]
+    inner = inner[np.argsort((inner >> BITS).astype(np.uint16 if len(most) < 1 << 16 else np.int64), kind="stable")]
     ends = np.cumsum(most * full)
     for t in np.flatnonzero(full & (most > 0)).tolist():
         counts = np.bincount(inner[ends[t] - most[t] : ends[t]] & ((1 << BITS) - 1), minlength=int(area[t]))
@@ -146,9 +147,9 @@ class _Sums:
         return cells[kept], counts[kept]
 
 
-def word_id(seed: int, word: str) -> int:
+def word_id(seed: int, word: bytes) -> int:
     """The negative 64-bit hash that stands for a word; ``seed`` is that of its language."""
-    return (xxh64_intdigest(word.encode("utf-8"), seed) | 1 << 63) - (1 << 64)
+    return (xxh64_intdigest(word, seed) | 1 << 63) - (1 << 64)
 
 
 def lang_seed(lang: str) -> int:
@@ -198,79 +199,72 @@ class _Shared:
     skipped: frozenset
 
 
-class _Ids(Recent):
-    """The ids of a language's words; unknown ones are looked up in the filter."""
+class _Ids(dict):
+    """The ids of a language's words; those without one by rank are looked up in the filter each time."""
 
-    def __init__(self, lang: str, first: dict[str, int], shared: _Shared):
-        super().__init__(self.other, 1 << 17)
-        self.lang, self.shared = lang, shared
-        self.first = first | {"": NONE, "\n": END}
-        self.seed = lang_seed(lang)
+    def __init__(self, lang: str, first: dict[bytes, int], shared: _Shared):
+        super().__init__(first | {b"": NONE, b"\n": END})
+        self.lang, self.shared, self.seed = lang, shared, lang_seed(lang)
 
-    def __missing__(self, word: str) -> int:
-        value = self.first.get(word)
-        if value is not None:
-            return value
-        return super().__missing__(word) if len(word) <= 64 else self.other(word)
-
-    def other(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         value = word_id(self.seed, word)
         words = self.shared.tail
         place = value & (64 * len(words) - 1)
-        if not int(words[place >> 6]) >> (place & 63) & 1 or (self.lang, word) in self.shared.skipped:
+        if not int(words[place >> 6]) >> (place & 63) & 1:
             return END
-        return value
+        return END if self.shared.skipped and (self.lang, word.decode("utf-8")) in self.shared.skipped else value
 
 
 class _Lookup:
     """Ids of all languages' words."""
 
     def __init__(self, shared: _Shared):
-        self.shared, self.own = shared, {}
-        self.heads: dict[str, dict[str, int]] = {}
-        langs, words = shared.head["lang"].to_pylist(), shared.head["word"].to_pylist()
-        for k, (lang, word) in enumerate(zip(langs, words)):
-            self.heads.setdefault(lang, {})[word] = k
+        self.shared, self.others = shared, {}
+        heads: dict[str, dict[bytes, int]] = {}
+        for k, (lang, word) in enumerate(zip(shared.head["lang"].to_pylist(), shared.head["word"].cast("binary").to_pylist())):
+            heads.setdefault(lang, {})[word] = k
+        self.heads = {lang: _Ids(lang, first, shared) for lang, first in heads.items()}
 
     def of(self, lang: str) -> _Ids:
-        if lang not in self.own:
-            if len(self.own) > 256:
-                self.own.clear()
-            self.own[lang] = _Ids(lang, self.heads.get(lang, {}), self.shared)
-        return self.own[lang]
+        found = self.heads.get(lang) or self.others.get(lang)
+        if found is None:
+            if len(self.others) > 256:
+                self.others.clear()
+            found = self.others[lang] = _Ids(lang, {}, self.shared)
+        return found
 
 
-def _tokens(text: str) -> list[str]:
+def _tokens(text: bytes) -> list[bytes]:
     """Words, ends of pieces (as line ends) and empty strings of a text."""
-    return text.translate(_TABLE).replace("\n", " \n ").split(" ")
+    return text.translate(_TABLE).replace(b"\n", b" \n ").split(b" ")
 
 
-def _joined(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[tuple[str, str]]:
+def _joined(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[tuple[str, bytes]]:
     """(lang, texts of that language joined), some at a time."""
-    held: dict[str, list[str]] = {}
+    held: dict[str, list[bytes]] = {}
     size = 0
     for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
             held.setdefault(lang, []).append(text)
             size += len(text) + 1
             if size > most:
                 for key, texts in held.items():
-                    yield key, "\n".join(texts)
+                    yield key, b"\n".join(texts)
                 held, size = {}, 0
     for key, texts in held.items():
-        yield key, "\n".join(texts)
+        yield key, b"\n".join(texts)
 
 
-def count_words(texts: DataFrame, most: int = 1 << 23) -> DataFrame:
-    """(lang, word, n) of all words of (lang, text); tasks count first and hand on what they hold at ``most`` letters."""
+def count_words(texts: DataFrame, most: int = 3 << 22) -> DataFrame:
+    """(lang, word, n) of all words of (lang, text); tasks count first and hand on what they hold at about ``most`` bytes of different words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        held: dict[str, dict[str, int]] = {}
+        held: dict[str, dict[bytes, int]] = {}
         sums: dict[str, list[np.ndarray]] = {}
         size = 0
 
         class Numbers(dict):
-            def __missing__(self, word: str) -> int:
+            def __missing__(self, word: bytes) -> int:
                 nonlocal size
                 size += len(word) + 32
                 value = self[word] = len(self)
@@ -280,7 +274,7 @@ def count_words(texts: DataFrame, most: int = 1 << 23) -> DataFrame:
             nonlocal size
             for lang, numbers in held.items():
                 counts = sums[lang]
-                words = [w for w in numbers if w not in ("", "\n")]
+                words = [w for w in numbers if w not in (b"", b"\n")]
                 n = counts[[numbers[w] for w in words]]
                 for at in range(0, len(words), 1 << 16):
                     some = words[at : at + (1 << 16)]
@@ -306,36 +300,77 @@ def count_words(texts: DataFrame, most: int = 1 << 23) -> DataFrame:
     return counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
-def _summed(counted: DataFrame, tiles: Tiles, least: int, decode, schema: str) -> DataFrame:
-    """Tiles added up over all tasks; ``decode(left, right)`` gives the columns before n."""
+def _summed(counted: DataFrame, tiles: Tiles, width: int, least: int, decode) -> DataFrame:
+    """Tiles and coordinates added up over all tasks: the id columns and n. ``decode(left, right)`` gives the ids of cells."""
     dealt = counted.repartition(partitions(counted.sparkSession), "tile").sortWithinPartitions("tile")
+    names = [f"id{k + 1}" for k in range(width)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         tile, sums = None, None
 
         def told() -> Iterator[dict]:
-            if sums is not None:
+            if sums is None:
+                return
+            if tile >= 0:
                 cells, counts = sums.found(least)
-                if len(cells):
-                    yield decode(*tiles.ids(tile, cells)) | {"n": counts}
+                ids = decode(*tiles.ids(tile, cells)) if len(cells) else None
+            else:
+                ids, counts = sums.found(least)
+            if len(counts):
+                yield dict(zip(names, ids)) | {"n": counts}
 
         for batch in batches:
             for own, cells, counts in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 if own != tile:
                     yield from told()
-                    tile, sums = own, _Sums(tiles.area(own))
-                sums.add(np.cumsum(_unpacked(cells)), _unpacked(counts))
+                    tile, sums = own, _Sums(tiles.area(own)) if own >= 0 else _Coordinates(width)
+                sums.add(np.cumsum(_unpacked(cells)) if own >= 0 else np.frombuffer(cells, "<i8").reshape(width, -1), _unpacked(counts))
         yield from told()
 
-    return arrow_rows(dealt, run, schema)
+    return arrow_rows(dealt, run, ", ".join(f"{c} long" for c in names) + ", n long")
+
+
+def added(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different columns of ``values`` in order, and the sums of their counts."""
+    order = np.lexsort(values[::-1])
+    values, counts = values[:, order], counts[order]
+    first = np.flatnonzero(np.append(True, (values[:, 1:] != values[:, :-1]).any(axis=0)))
+    return values[:, first], np.add.reduceat(counts, first)
 
 
-def _counted(texts: DataFrame, tiles: Tiles, width: int, positions, settings: Settings) -> DataFrame:
-    """tile, cells, counts rows of tiles, and id rows (tile null) of what has no ids by rank.
+class _Coordinates:
+    """Adds up the counts of sorted coordinates, whenever twice as many wait as there are."""
 
-    ``positions(ids)`` gives (left, right) of the pairs with ids by rank, and the id columns of the others.
+    def __init__(self, width: int):
+        self.values, self.counts = np.zeros((width, 0), np.int64), np.zeros(0, np.int64)
+        self.waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        self.size = 0
+
+    def add(self, values: np.ndarray, counts: np.ndarray) -> None:
+        self.waiting.append((values, counts))
+        self.size += len(counts)
+        if self.size > max(1 << 16, 2 * len(self.counts)):
+            self.merge()
+
+    def merge(self) -> None:
+        if self.size:
+            values = np.concatenate([self.values, *(v for v, _ in self.waiting)], axis=1)
+            self.values, self.counts = added(values, np.concatenate([self.counts, *(n for _, n in self.waiting)]))
+            self.waiting, self.size = [], 0
+
+    def found(self, least: int) -> tuple[np.ndarray, np.ndarray]:
+        self.merge()
+        kept = self.counts >= least
+        return self.values[:, kept], self.counts[kept]
+
+
+def _counted(texts: DataFrame, tiles: Tiles, positions, settings: Settings) -> DataFrame:
+    """Written (tile, cells, counts): the counts of each tile, by task, and of coordinates in tiles below 0 by a hash.
+
+    ``positions()`` gives (left, right) of the pairs with ids by rank, and the id columns of the others. There are so many tiles of
+    coordinates that a task that adds up has some of them.
     """
-    names = [f"id{k + 1}" for k in range(width)]
+    dealt = 16 * partitions(texts.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         codes: list[np.ndarray] = []
@@ -353,15 +388,22 @@ def _counted(texts: DataFrame, tiles: Tiles, width: int, positions, settings: Se
                 out["counts"].append(_packed(counts))
                 size += len(cells)
                 if size > 1 << 20:
-                    yield out | {c: [None] * len(out["tile"]) for c in [*names, "n"]}
+                    yield out
                     out, size = {c: [] for c in out}, 0
-            yield out | {c: [None] * len(out["tile"]) for c in [*names, "n"]}
+            yield out
             if rest:
                 values = np.concatenate(rest, axis=1)
-                values = values[:, np.lexsort(values[::-1])]
-                first = np.flatnonzero(np.append(True, (values[:, 1:] != values[:, :-1]).any(axis=0)))
-                empty = {c: [None] * len(first) for c in out}
-                yield empty | dict(zip(names, values[:, first])) | {"n": np.diff(np.append(first, values.shape[1]))}
+                values, counts = added(values, np.ones(values.shape[1], np.int64))
+                tile = _mixed(values[0], values[1]) % dealt
+                order = np.argsort(tile, kind="stable")
+                values, counts, tile = values[:, order], counts[order], tile[order]
+                ends = np.append(np.flatnonzero(tile[1:] != tile[:-1]) + 1, len(tile))
+                starts = np.append(0, ends[:-1])
+                yield {
+                    "tile": -1 - tile[starts],
+                    "cells": [np.ascontiguousarray(values[:, a:b]).astype("<i8").tobytes() for a, b in zip(starts, ends)],
+                    "counts": [_packed(counts[a:b]) for a, b in zip(starts, ends)],
+                }
             codes, rest, held = [], [], 0
 
         for lang, text in _joined(batches):
@@ -377,8 +419,7 @@ def _counted(texts: DataFrame, tiles: Tiles, width: int, positions, settings: Se
         if held:
             yield from told()
 
-    schema = "tile long, cells binary, counts binary, " + ", ".join(f"{c} long" for c in names) + ", n long"
-    return materialise(arrow_rows(texts.select("lang", "text"), run, schema), "tiles")
+    return materialise(arrow_rows(texts.select("lang", "text"), run, "tile long, cells binary, counts binary"), "tiles")
 
 
 #: A worker keeps the ids of the last table of words only.
@@ -394,7 +435,7 @@ class _Two:
             _lookups[shared.name] = _Lookup(shared)
         self.lookup = _lookups[shared.name]
 
-    def ids(self, lang: str, tokens: list[str]) -> np.ndarray:
+    def ids(self, lang: str, tokens: list[bytes]) -> np.ndarray:
         found = np.fromiter(map(self.lookup.of(lang).__getitem__, tokens), np.int64, len(tokens))
         return found[found != NONE]
 
@@ -435,15 +476,6 @@ class _Three(_Two):
         return rank[some], ids[some + 2], np.stack([ids[others], ids[others + 1], ids[others + 2]])
 
 
-def _together(tiled: DataFrame, tiles: Tiles, width: int, least: int, decode) -> DataFrame:
-    """id1.., n of all pairs or triples that occur often enough: from tiles and from rows of ids."""
-    names = [f"id{k + 1}" for k in range(width)]
-    schema = ", ".join(f"{c} long" for c in names) + ", n long"
-    dense = _summed(tiled.where("tile is not null").select("tile", "cells", "counts"), tiles, least, decode, schema)
-    sparse = tiled.where("tile is null").groupBy(*names).agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    return dense.union(sparse)
-
-
 def phrases(
     docs: DataFrame, text: str = "text", lang: str = "lang", unknown: str = "und", settings: Settings = Settings()
 ) -> DataFrame:
@@ -490,8 +522,9 @@ def phrases(
     skipped = frozenset((r.lang, r.word) for r in clashing if r.n < settings.least)
     shared = spark.sparkContext.broadcast(_Shared(uuid.uuid4().hex, head, tail, skipped))
     tiles = Tiles(len(head), len(head))
-    two = _counted(texts, tiles, 2, lambda: _Two(shared.value), settings)
-    pairs = _together(two, tiles, 2, settings.least, lambda left, right: {"id1": left, "id2": right})
+    two = _counted(texts, tiles, lambda: _Two(shared.value), settings)
+    pairs = _summed(two, tiles, 2, settings.least, lambda left, right: (left, right))
+    pairs = materialise(pairs, "counted")
     # What the filter let through wrongly is no frequent word, and goes.
     valid = names.where("far").select("id")
     for side in ("id1", "id2"):
@@ -515,13 +548,13 @@ def phrases(
     tail_pairs = _filter(materialise(arrow_rows(far, mixed, "key long"), "far"), "key", settings.bits)
     recursion = spark.sparkContext.broadcast((ranks, tail_pairs))
     tiles = Tiles(len(ranks), len(head))
-    three = _counted(texts, tiles, 3, lambda: _Three(shared.value, *recursion.value), settings)
+    three = _counted(texts, tiles, lambda: _Three(shared.value, *recursion.value), settings)
 
-    def decode(pair: np.ndarray, word: np.ndarray) -> dict:
+    def decode(pair: np.ndarray, word: np.ndarray) -> tuple:
         own = recursion.value[0][pair]
-        return {"id1": own >> 32, "id2": own & 0xFFFFFFFF, "id3": word}
+        return own >> 32, own & 0xFFFFFFFF, word
 
-    triples = materialise(_together(three, tiles, 3, settings.least, decode), "triples")
+    triples = materialise(_summed(three, tiles, 3, settings.least, decode), "triples")
     return _best(names, total, pairs, triples, settings)
 
 
@@ -561,8 +594,11 @@ def _best(names: DataFrame, total: DataFrame, pairs: DataFrame, triples: DataFra
         F.when(later, F.col("n3")).otherwise(F.col("p23")).alias("r"),
         F.least("s1", "s2").alias("score"),
     )
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = two.union(three).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= settings.top)
+    order = (F.desc("score"), F.desc("a"), "phrase")
+    # The best of each share of a language first, so that a language with very many phrases is not ranked in one task.
+    share = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(settings.shares))).orderBy(*order)
+    best = two.union(three).withColumn("rank", F.row_number().over(share)).where(F.col("rank") <= settings.top)
+    best = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= settings.top)
     return best.join(total, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", F.col("total").alias("n"), "score"
     )
