@@ -1,10 +1,12 @@
 """Near-duplicate vectors by small-world graphs, one per shard of a label.
 
-Equal vectors are one item. Items of a label (and length) are dealt to shards of bounded size; every shard gets a graph,
-and the items of all shards of the label query it (each two shards meet once, as the cosine is symmetric). A search's beam is
-widened for all queries until a brute-force audit of some of them finds its recall high enough, and for single queries as
-long as all that the beam holds are links. What a search finds is verified in double precision. Tasks report each
-item's number of links and a forest of the links, never all pairs of a group.
+Equal vectors are one item. Items of a label (and length) are dealt to shards of bounded size. Every shard gets a graph, which is built
+once and written, and the items of all shards of the label query it (each two shards meet once, as the cosine is symmetric).
+Before a graph is queried, audits tell how wide its beam must be: some of the queries, and near copies of the shard's own vectors, planted
+so that there are links to be found whatever the data, are compared with the whole shard by brute force; the beam is
+widened until the graph finds enough of their links. It is widened further for single queries as long as all that the beam holds are
+links. What a search finds is verified in double precision. Tasks report each item's number of links and a forest of
+the links, never all pairs of a group.
 """
 
 from __future__ import annotations
@@ -27,77 +29,86 @@ from tallywork.llm.hnsw import Graph
 class Settings:
     """Links are cosines of at least ``least``. A graph holds about ``shard`` vectors.
 
-    ``beam``: width to begin with; ``audited``: queries that are checked by brute force at a time, until they have ``links``
-    true links or none is left; ``recall``: what the audit must reach before the search is accepted.
+    ``beam``: width to begin with; ``audited``, ``planted``: queries and planted near copies that are compared with the whole shard;
+    ``recall``: the share of their links that a search must find before its beam is accepted.
     """
 
     least: float = 0.98
-    shard: int = 16_384
+    shard: int = 4_096
     beam: int = 32
-    audited: int = 128
-    links: int = 128
+    audited: int = 64
+    planted: int = 64
     recall: float = 0.99
 
 
-def cell_links(left: np.ndarray, right: np.ndarray | None, settings: Settings) -> Iterator[tuple[int, np.ndarray]]:
+#: Cosines in single precision that may be links in double precision; far above the error.
+SLACK = 1e-4
+
+
+def units(vectors: np.ndarray) -> np.ndarray:
+    """Vectors of length one in single precision, for graphs."""
+    return (vectors / np.linalg.norm(vectors, axis=1)[:, None]).astype(np.float32)
+
+
+def planted_copies(unit: np.ndarray, count: int, least: float) -> np.ndarray:
+    """Near copies of some of the vectors, with cosines from ``least`` to 1."""
+    random = np.random.default_rng(7)
+    base = unit[random.integers(0, len(unit), count)]
+    away = random.normal(size=base.shape).astype(np.float32)
+    away -= (away * base).sum(axis=1)[:, None] * base
+    length = np.linalg.norm(away, axis=1)[:, None]
+    away = np.where(length > 1e-6, away / np.maximum(length, 1e-6), 0)
+    cosine = random.uniform(least, 1, (count, 1)).astype(np.float32)
+    made = cosine * base + np.sqrt(1 - cosine * cosine) * away
+    return (made / np.linalg.norm(made, axis=1)[:, None]).astype(np.float32)
+
+
+def audited_beam(graph: Graph, asked: np.ndarray, settings: Settings) -> tuple[int, float]:
+    """The beam whose recall over audited and planted queries is high enough, and that recall.
+
+    Queries whose beam holds nothing but links are left out: they are widened by themselves later.
+    """
+    unit = graph.vectors
+    some = np.random.default_rng(1).permutation(len(asked))[: settings.audited]
+    queries = np.concatenate([asked[some], planted_copies(unit, settings.planted, settings.least)])
+    slack = np.float32(settings.least - SLACK)
+    truth = (queries @ unit.T >= slack).sum(axis=1)
+    beam = min(settings.beam, len(unit))
+    while True:
+        _, score = graph.search(queries, beam)
+        found = (score >= slack).sum(axis=1)
+        open_ = (found == beam) & (beam < len(unit))
+        real, hit = int(truth[~open_].sum()), int(np.minimum(found, truth)[~open_].sum())
+        recall = hit / real if real else 1.0
+        if recall >= settings.recall or beam == len(unit):
+            return beam, recall
+        beam = min(2 * beam, len(unit))
+
+
+def cell_links(
+    graph: Graph, left: np.ndarray, right: np.ndarray | None, beam: int, settings: Settings
+) -> Iterator[tuple[int, np.ndarray]]:
     """(query, its links) of a cell: the rows of ``right`` against the graph of ``left``, or ``left`` against itself.
 
     Vectors are in double precision, neither zero nor with a component that isn't finite.
     """
     queries = left if right is None else right
     left_norm, query_norm = np.linalg.norm(left, axis=1), np.linalg.norm(queries, axis=1)
-    # The graph works on unit vectors in single precision; the slack is far above its error.
-    unit = (left / left_norm[:, None]).astype(np.float32)
-    asked = (queries / query_norm[:, None]).astype(np.float32)
-    slack = np.float32(settings.least - 1e-4)
+    asked = graph.vectors if right is None else units(right)
+    slack = np.float32(settings.least - SLACK)
 
     def exact(q: int, ids: np.ndarray) -> np.ndarray:
         ids = ids[ids != q] if right is None else ids
         return ids[left[ids] @ queries[q] / (left_norm[ids] * query_norm[q]) >= settings.least]
 
-    truth: dict[int, np.ndarray] = {}
-    order = np.random.default_rng(1).permutation(len(queries))
-
-    def audit(among: np.ndarray) -> list[int]:
-        """Those of some queries that are checked, once they have enough true links or all are."""
-        mask = np.zeros(len(queries), bool)
-        mask[among] = True
-        checked = [q for q in truth if mask[q]]
-        real = sum(len(truth[q]) for q in checked)
-        mask[checked] = False
-        fresh = order[mask[order]]
-        for at in range(0, len(fresh), settings.audited):
-            if real >= settings.links:
-                break
-            batch = fresh[at : at + settings.audited]
-            near = asked[batch] @ unit.T >= slack
-            for k, q in enumerate(batch.tolist()):
-                truth[q] = exact(q, np.flatnonzero(near[k]))
-                real += len(truth[q])
-            checked += batch.tolist()
-        return checked
-
-    todo, beam = np.arange(len(queries)), min(settings.beam, len(left))
-    if len(audit(todo)) == len(queries):
-        yield from truth.items()
-        return
-    graph = Graph(unit)
+    todo = np.arange(len(queries))
     while len(todo):
         ids, score = graph.search(asked[todo], beam)
         near = score >= slack
         full = near.all(axis=1) & (beam < len(left))
-        row_of = {int(q): k for k, q in enumerate(todo)}
-        checked = audit(todo[~full])
-        found = {q: exact(q, ids[row_of[q]][near[row_of[q]]]) for q in checked}
-        hit = sum(len(np.intersect1d(found[q], truth[q])) for q in checked)
-        real = sum(len(truth[q]) for q in checked)
-        poor = len(checked) < (~full).sum() and hit < settings.recall * real and beam < len(left)
-        if not poor:
-            for k in np.flatnonzero(~full).tolist():
-                q = int(todo[k])
-                yield q, truth[q] if q in truth else exact(q, ids[k][near[k]])
-            todo = todo[full]
-        beam = min(2 * beam, len(left))
+        for k in np.flatnonzero(~full & near.any(axis=1)).tolist():
+            yield int(todo[k]), exact(int(todo[k]), ids[k][near[k]])
+        todo, beam = todo[full], min(2 * beam, len(left))
 
 
 def both_ends(seen: np.ndarray, copies: np.ndarray, block: int = 256) -> np.ndarray:
@@ -112,20 +123,20 @@ def both_ends(seen: np.ndarray, copies: np.ndarray, block: int = 256) -> np.ndar
     return out
 
 
-def near_duplicates(
-    vectors: DataFrame,
-    vec_id: str = "vec_id",
-    embedding: str = "embedding",
-    label: str = "label",
-    settings: Settings = Settings(),
-) -> DataFrame:
-    """(vec_id, n_links, component_id, kept) of each row.
+@dataclass
+class Found:
+    """``rows``: (vec_id, node, ...) of all rows, ``items``: (node, copies) of different vectors.
 
-    Rows are compared only where labels are equal and not null and vectors equally long. Vectors that are null, empty or zero,
-    or hold a null or a component that isn't finite, link with nothing. Equal vectors of a label link with each other
-    (repeated rows too) and share what they link with. component_id is the smallest vec_id that links reach, kept
-    whether it is the row's own; rows without a vec_id take part, and are kept only if nothing else is reached.
+    ``searched``: (a, links) per item of a search, (a, b) per link of its forest, (shard, other, beam, recall) per search.
     """
+
+    rows: DataFrame
+    items: DataFrame
+    searched: DataFrame
+
+
+def find(vectors: DataFrame, vec_id: str, embedding: str, label: str, settings: Settings) -> Found:
+    """All searches of all shards."""
     source = vectors.select(F.col(vec_id).alias("vec_id"), F.col(embedding).alias("v"), F.col(label).alias("label"))
     value = F.col("v").cast("array<double>")
     # Of NULLs, NaN and infinities, none survives the comparison; exists() is null where only nulls are met.
@@ -139,75 +150,121 @@ def near_duplicates(
     )
     items = materialise(items, "items")
     sizes = items.groupBy("label", "size").agg(F.ceil(F.count("*") / settings.shard).cast("int").alias("shards"))
-    placed = items.join(materialise(sizes, "sizes"), ["label", "size"]).withColumn(
-        "own", F.pmod(F.xxhash64("node", F.lit("shard")), F.col("shards")).cast("int")
-    )
-    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
-    cells = met.select(
-        F.xxhash64("label", "size").alias("group"),
-        F.least("own", "other").alias("i"),
-        F.greatest("own", "other").alias("j"),
-        (F.col("own") > F.col("other")).cast("int").alias("side"),
-        "node",
-        "copies",
-        "v",
+    own = F.pmod(F.xxhash64("node", F.lit("shard")), F.col("shards")).cast("int")
+    placed = items.join(materialise(sizes, "sizes"), ["label", "size"]).select(
+        F.xxhash64("label", "size").alias("group"), own.alias("shard"), "shards", "node", "copies", "v"
     )
     n = partitions(vectors.sparkSession)
-    dealt = cells.repartition(n, "group", "i", "j").sortWithinPartitions("group", "i", "j", "side", "node")
+    dealt = placed.repartition(n, "group", "shard").sortWithinPartitions("group", "shard", "node")
 
-    def members(batches: Iterator[pa.RecordBatch]):
+    def members(batches: Iterator[pa.RecordBatch], keys: int):
+        """(heads..., vector) per row; the vector is the last column."""
         for batch in batches:
-            columns = [batch.column(k).to_pylist() for k in range(6)]
-            lists = batch.column(6)
+            columns = [batch.column(k).to_pylist() for k in range(keys)]
+            lists = batch.column(keys)
             flat, offsets = lists.values.to_numpy(zero_copy_only=False), np.asarray(lists.offsets)
             for k, head in enumerate(zip(*columns)):
                 yield *head, flat[offsets[k] : offsets[k + 1]]
 
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        names = ("group", "shard", "shards", "node", "copies")
+        for _, group in groupby(members(batches, 5), key=lambda r: r[:2]):
+            held = list(group)
+            matrix = np.array([r[5] for r in held])
+            near = Graph(units(matrix)).rows()
+            for at in range(0, len(held), 1024):
+                some = held[at : at + 1024]
+                yield {c: [r[k] for r in some] for k, c in enumerate(names)} | {
+                    "near": near[at : at + 1024],
+                    "v": [r[5] for r in some],
+                }
+
+    schema = "group long, shard int, shards int, node long, copies long, near binary, v array<double>"
+    graphs = materialise(arrow_rows(dealt, build, schema), "graphs")
+    # A graph meets the queries of its own shard and of those after it; in its own cell its vectors are the queries.
+    kept = graphs.withColumn("other", F.explode(F.sequence(F.col("shard"), F.col("shards") - 1)))
+    asking = graphs.where("shard > 0").withColumn("i", F.explode(F.sequence(F.lit(0), F.col("shard") - 1)))
+    cells = kept.select("group", F.col("shard").alias("i"), F.col("other").alias("j"), F.lit(0).alias("side"), "node", "copies", "near", "v").union(
+        asking.select("group", "i", F.col("shard").alias("j"), F.lit(1).alias("side"), "node", "copies", F.lit(None).cast("binary").alias("near"), "v")
+    )
+    dealt = cells.repartition(n, "group", "i", "j").sortWithinPartitions("group", "i", "j", "side", "node")
+
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        for _, group in groupby(members(batches), key=lambda r: r[:3]):
+        none = {"a": None, "b": None, "links": None, "shard": None, "other": None, "beam": None, "recall": None}
+        for (_, i, j), group in groupby(members(batches, 7), key=lambda r: r[:3]):
             cell = list(group)
-            sides = np.array([r[3] for r in cell])
             nodes, copies = np.array([r[4] for r in cell], np.int64), np.array([r[5] for r in cell], np.int64)
-            matrix = np.array([r[6] for r in cell])
-            left, right = np.flatnonzero(sides == 0), np.flatnonzero(sides == 1)
-            i, j = cell[0][1:3]
-            if not len(left) or (i != j and not len(right)):
+            size = sum(r[3] == 0 for r in cell)
+            left, right = np.array([r[7] for r in cell[:size]]), np.array([r[7] for r in cell[size:]])
+            if not size or (i != j and not len(right)):
                 continue
+            graph = Graph.of_rows(units(left), [r[6] for r in cell[:size]])
+            beam, recall = audited_beam(graph, graph.vectors if i == j else units(right), settings)
+            yield {c: [v] for c, v in (none | {"shard": int(i), "other": int(j), "beam": beam, "recall": recall}).items()}
             links = np.zeros(len(cell), np.int64)
             groups, forest = Groups(len(cell)), []
-            seen = np.zeros((len(left), -(-len(left) // 8)) if i == j else 0, np.uint8)
-            for q, found in cell_links(matrix[left], None if i == j else matrix[right], settings):
-                own, others = (left if i == j else right)[q], left[found]
+            seen = np.zeros((size, -(-size // 8)) if i == j else 0, np.uint8)
+            for q, found in cell_links(graph, left, None if i == j else right, beam, settings):
+                own = q if i == j else size + q
                 if i == j:
-                    row = np.zeros(len(left), bool)
+                    row = np.zeros(size, bool)
                     row[found] = True
                     seen[q] = np.packbits(row)
                 else:
-                    links[own] += copies[others].sum()
-                    links[others] += copies[own]
-                for other in others.tolist():
+                    links[own] += copies[found].sum()
+                    links[found] += copies[own]
+                for other in found.tolist():
                     if groups.root(own) != groups.root(other):
                         groups.join(own, other)
                         forest.append((nodes[own], nodes[other]))
             if i == j:
-                links[left] = both_ends(seen, copies[left])
+                links[:size] = both_ends(seen, copies[:size])
             some = np.flatnonzero(links)
-            yield {"a": nodes[some], "b": [None] * len(some), "links": links[some]}
-            yield {"a": [a for a, _ in forest], "b": [b for _, b in forest], "links": [0] * len(forest)}
+            yield {c: [None] * len(some) for c in none} | {"a": nodes[some], "links": links[some]}
+            yield {c: [None] * len(forest) for c in none} | {"a": [a for a, _ in forest], "b": [b for _, b in forest]}
+
+    schema = "a long, b long, links long, shard int, other int, beam int, recall double"
+    return Found(rows, items.select("node", "copies"), materialise(arrow_rows(dealt, search, schema), "searched"))
+
+
+def audits(found: Found) -> DataFrame:
+    """(shard, other, beam, recall) per search of a shard's graph by a shard's vectors."""
+    return found.searched.where("recall is not null").select("shard", "other", "beam", "recall")
+
+
+def near_duplicates(
+    vectors: DataFrame,
+    vec_id: str = "vec_id",
+    embedding: str = "embedding",
+    label: str = "label",
+    settings: Settings = Settings(),
+) -> DataFrame:
+    """(vec_id, n_links, component_id, kept) of each row.
+
+    Rows are compared only where labels are equal and not null and vectors equally long. Vectors that are null, empty or zero,
+    or hold a null or a component that isn't finite, link with nothing. Equal vectors of a label link with each other
+    (repeated rows too) and share what they link with. component_id is the smallest vec_id that links reach, kept
+    whether it is the row's own; rows without a vec_id take part, and are kept only if nothing else is reached. Other columns
+    are left alone, whatever their names; an empty table gives no rows.
+    """
+    return linked(find(vectors, vec_id, embedding, label, settings))
+
 
-    found = materialise(arrow_rows(dealt, search, "a long, b long, links long"), "found")
-    counts = materialise(found.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links")), "counts")
-    roots = materialise(connected_components(found.where("b is not null")), "roots")
-    copies = items.select("node", (F.col("copies") - 1).alias("same"))
+def linked(found: Found) -> DataFrame:
+    """The result of ``near_duplicates`` from the searches."""
+    rows, searched = found.rows, found.searched
+    counts = searched.where("links is not null").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
+    roots = materialise(connected_components(searched.where("b is not null")), "roots")
+    copies = found.items.select("node", (F.col("copies") - 1).alias("same"))
     known = (
         rows.where("node is not null")
         .select("vec_id", "node")
         .join(copies, "node")
-        .join(counts, "node", "left")
+        .join(materialise(counts, "counts"), "node", "left")
         .join(roots, "node", "left")
         .select("vec_id", (F.col("same") + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "node").alias("root"))
     )
     lowest = materialise(known.groupBy("root").agg(F.min("vec_id").alias("component_id")), "lowest")
-    linked = known.join(lowest, "root").select("vec_id", "n_links", "component_id")
+    full = known.join(lowest, "root").select("vec_id", "n_links", "component_id")
     alone = rows.where("node is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    return linked.union(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+    return full.union(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

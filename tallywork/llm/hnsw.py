@@ -16,7 +16,7 @@ class Graph:
         self.vectors, self.links, self.beam = vectors, links, beam
         n = len(vectors)
         random = np.random.default_rng(seed)
-        level = np.floor(-np.log(1 - random.random(n)) / np.log(links)).astype(np.int64)
+        level = self.level = np.floor(-np.log(1 - random.random(n)) / np.log(links)).astype(np.int64)
         #: Per layer from the bottom: neighbours of each vector, -1 where there are fewer.
         self.layers: list[np.ndarray] = []
         self.tops = np.flatnonzero(level == level.max()) if n else np.zeros(0, np.int64)
@@ -36,6 +36,29 @@ class Graph:
             layers.append(table)
         self.layers = layers[::-1]
 
+    @classmethod
+    def of_rows(cls, vectors: np.ndarray, near: list[bytes], links: int = 12) -> Graph:
+        """The graph that ``rows`` gave."""
+        graph = cls.__new__(cls)
+        graph.vectors, graph.links = vectors, links
+        levels = np.array([(len(b) // 4 - 2 * links) // links for b in near], np.int64)
+        graph.tops = np.flatnonzero(levels == levels.max()) if len(near) else np.zeros(0, np.int64)
+        graph.layers = []
+        for at in range(int(levels.max()) + 1 if len(near) else 0):
+            first, width = (0, 2 * links) if at == 0 else (2 * links + (at - 1) * links, links)
+            table = np.full((len(near), width), -1, np.int32)
+            own = np.flatnonzero(levels >= at)
+            table[own] = np.frombuffer(b"".join(near[k][4 * first : 4 * (first + width)] for k in own), "<i4").reshape(-1, width)
+            graph.layers.append(table)
+        return graph
+
+    def rows(self) -> list[bytes]:
+        """The neighbours of each vector in the layers that it is in, the lowest first, as 32-bit numbers."""
+        return [
+            b"".join(table[k].astype("<i4").tobytes() for table in self.layers[: level + 1])
+            for k, level in enumerate(self.level.tolist())
+        ]
+
     @staticmethod
     def _chunks(nodes: np.ndarray, batch: int):
         """The first chunk is linked by itself; later ones are never larger than half of what is there."""

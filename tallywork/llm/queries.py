@@ -30,6 +30,35 @@ def op8_quality_rules(spark, folder: str) -> DataFrame:
     return quality_rules.judge(table(spark, folder, "documents"))
 
 
+BASE_RULES = r"""
+WITH words AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), windows AS (
+  SELECT r, i, w[i:i + 2] AS three FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM words)
+), repeated AS (
+  SELECT r, unnest([i, i + 1, i + 2]) AS place FROM windows QUALIFY count(*) OVER (PARTITION BY r, three) > 1
+), repeats AS (
+  SELECT r, count(DISTINCT place) AS n FROM repeated GROUP BY r
+), lines AS (
+  SELECT r, count(*) - count(DISTINCT line) AS n
+  FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM words) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r
+), counts AS (
+  SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols,
+    coalesce(lines.n, 0) AS n_dup_lines, coalesce(repeats.n, 0) AS n_repeat_words
+  FROM words LEFT JOIN lines USING (r) LEFT JOIN repeats USING (r)
+)
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts
+"""
+
+
+@query("base_rules", BASE_RULES)
+def base_rules(spark, folder: str) -> DataFrame:
+    """What ``op8_quality_rules`` counts and what its base rules make of it, beside the SQL for both."""
+    counts = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    return quality_rules.judge(table(spark, folder, "documents")).select(*counts)
+
+
 @query("op3_toxicity")
 def op3_toxicity(spark, folder: str) -> DataFrame:
     """Toxicity of every document, learned from the labels that are not held out."""
@@ -68,13 +97,58 @@ def op1_byte_bpe(spark, folder: str) -> DataFrame:
     )
 
 
-@query("op7_ngram_jaccard_join")
+#: Components by the smallest id that links reach, from nodes(id) and links(a, b).
+_REACHED = """
+, ends AS (SELECT a, b FROM links UNION SELECT b, a FROM links)
+, reached(id, other) AS (
+  SELECT id, id FROM nodes UNION SELECT r.id, ends.b FROM reached r JOIN ends ON ends.a = r.other
+), components AS (SELECT id, min(other) AS component_id FROM reached GROUP BY id)
+"""
+
+NGRAM_JOIN = rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id AS id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) END AS s
+  FROM words
+), nodes AS (SELECT id, len(s) AS n, s FROM sets),
+members AS (SELECT id, n, unnest(s) AS shingle FROM nodes),
+frequent AS (SELECT shingle FROM members GROUP BY shingle HAVING count(*) > 1),
+shared AS (SELECT id, n, shingle FROM members JOIN frequent USING (shingle)),
+links AS (
+  SELECT x.id AS a, y.id AS b FROM shared x JOIN shared y ON x.shingle = y.shingle AND x.id < y.id
+  WHERE 100 * least(x.n, y.n) >= 90 * greatest(x.n, y.n)
+  GROUP BY x.id, y.id, x.n, y.n HAVING 100 * count(*) >= 90 * (x.n + y.n - count(*))
+) {_REACHED}
+SELECT n.id AS doc_id, CAST(n.n AS BIGINT) AS n_shingles, c.component_id FROM nodes n JOIN components c ON c.id = n.id
+"""
+
+NEAR_VECTORS = f"""
+WITH RECURSIVE nodes AS (
+  SELECT vec_id AS id, label, embedding::DOUBLE[] AS v,
+    label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS usable
+  FROM embeddings
+), lengths AS (SELECT *, sqrt(list_dot_product(v, v)) AS length FROM nodes WHERE usable),
+links AS (
+  SELECT x.id AS a, y.id AS b FROM lengths x JOIN lengths y ON x.label = y.label AND len(x.v) = len(y.v) AND x.id < y.id
+  WHERE list_dot_product(x.v, y.v) / (x.length * y.length) >= 0.98
+) {_REACHED}
+SELECT n.id AS vec_id, (SELECT count(*) FROM ends WHERE ends.a = n.id) AS n_links, c.component_id, n.id = c.component_id AS kept
+FROM nodes n JOIN components c ON c.id = n.id
+"""
+
+
+@query("op7_ngram_jaccard_join", NGRAM_JOIN)
 def op7_ngram_jaccard_join(spark, folder: str) -> DataFrame:
     """Components of documents that share nine tenths of their three-word shingles."""
     return jaccard_join.components(table(spark, folder, "documents"))
 
 
-@query("op6_embedding_near_dedup")
+@query("op6_embedding_near_dedup", NEAR_VECTORS)
 def op6_embedding_near_dedup(spark, folder: str) -> DataFrame:
     """Links and components of vectors of equal labels."""
     return embedding_dups.near_duplicates(table(spark, folder, "embeddings"))

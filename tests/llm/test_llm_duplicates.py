@@ -191,7 +191,7 @@ def test_near_paragraphs_are_linked(spark):
     line = [f"w{rng.randrange(10**6)}" for _ in range(60)]
     other = line[:59] + ["changed"]
     settings = substring_dedup.Settings(around=40)  # lines are the paragraphs
-    assert settings.bands == 2
+    assert settings.bands == 4
     docs = docs_of(spark, [(1, " ".join(line)), (2, " ".join(other)), (3, " ".join(f"x{i}" for i in range(60)))])
     got = sorted((r.doc_id, r.removed, r.n_words) for r in substring_dedup.repeated_spans(docs, settings=settings).collect())
     assert got == [(1, False, 60), (2, True, 60)]
@@ -321,16 +321,51 @@ def test_near_vectors(spark, shard):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got)
 
 
-def test_rare_links_are_audited():
-    """A beam of one misses links; that no query of the first audit has one must not hide it."""
+def test_beams_widen_until_audits_pass():
+    """A beam of one misses links; that next to no query has one must not hide it: planted copies show it."""
     rng = np.random.default_rng(8)
     left = rng.standard_normal((3000, 128))
     pairs = [(5 + 80 * k, 41 + 80 * k) for k in range(20)]
     for a, b in pairs:
         left[b] = left[a] + 0.15 * rng.standard_normal(128)
     settings = embedding_dups.Settings(beam=1, audited=4)
-    got = {(q, int(r)) for q, found in embedding_dups.cell_links(left, None, settings) for r in found}
-    assert got == {p for a, b in pairs for p in ((a, b), (b, a))}
+    built = Graph(embedding_dups.units(left), links=4, beam=8)
+    graph = Graph.of_rows(built.vectors, built.rows(), links=4)
+    assert all((x == y).all() for x, y in zip(graph.layers, built.layers)) and (graph.tops == built.tops).all()
+    beam, recall = embedding_dups.audited_beam(graph, graph.vectors, settings)
+    assert beam > 1 and recall >= settings.recall
+    got = {(q, int(r)) for q, found in embedding_dups.cell_links(graph, left, None, beam, settings) for r in found}
+    want = {p for a, b in pairs for p in ((a, b), (b, a))}
+    assert got <= want and len(got) >= 0.9 * len(want)
+
+
+def test_planted_copies_are_near():
+    rng = np.random.default_rng(2)
+    unit = embedding_dups.units(rng.standard_normal((50, 16)))
+    made = embedding_dups.planted_copies(unit, 200, 0.98)
+    best = (made @ unit.T).max(axis=1)
+    assert (best >= 0.98 - 1e-5).all() and (best < 1 + 1e-5).all() and best.min() < 0.985
+    assert embedding_dups.planted_copies(np.ones((1, 1), np.float32), 5, 0.98).shape == (5, 1)
+
+
+def test_graphs_are_built_once_a_shard_and_searched_by_all(spark):
+    """Links in many shards of one label, and recall per search."""
+    rng = np.random.default_rng(3)
+    base = rng.standard_normal((900, 24))
+    copies = base[rng.integers(0, 900, 600)] + 0.05 * rng.standard_normal((600, 24))
+    rows = [(i, v.tolist(), 1, 0.5) for i, v in enumerate(np.concatenate([base, copies]))]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int, recall double").repartition(4)
+    settings = embedding_dups.Settings(shard=300)
+    found = embedding_dups.find(frame, "vec_id", "embedding", "label", settings)
+    audits = embedding_dups.audits(found).collect()
+    shards = 1 + max(r.other for r in audits)
+    assert shards == 5 and {(r.shard, r.other) for r in audits} == {(i, j) for j in range(shards) for i in range(j + 1)}
+    assert len(audits) == shards * (shards + 1) // 2 and all(r.recall >= settings.recall for r in audits)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dups.linked(found).collect()}
+    want = {i: (n, c) for i, n, c in brute_vectors([(i, v, l) for i, v, l, _ in rows])}
+    assert sum(n for n, _ in want.values()) > 600
+    assert sum(n for n, _ in got.values()) >= 0.99 * sum(n for n, _ in want.values())
+    assert sum(got[i] == want[i] for i in want) >= 0.98 * len(want)
 
 
 def test_links_count_for_both_ends():
