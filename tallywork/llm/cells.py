@@ -20,17 +20,22 @@ from tallywork.llm.common import arrow_rows, materialise, partitions
 Search = Callable[[list[bytes], list[int], list[np.ndarray]], Iterator[tuple[bytes, bytes]]]
 
 
-def search_cells(members: DataFrame, search: Search, items: int = 96, weight: int = 400_000) -> DataFrame:
+def search_cells(
+    members: DataFrame, search: Search, items: int = 96, weight: int = 400_000, sizes: DataFrame | None = None
+) -> DataFrame:
     """Links (a, b) that ``search`` finds between members of a cluster.
 
     ``members`` has (cluster long, item binary, set binary), the set as sorted unsigned 64-bit numbers. A block holds
     about ``items`` items and ``weight`` numbers; a single larger set is a block of its own. Repeated members count once.
+    ``sizes``, where it is known, gives (cluster, n, w) of all clusters: different members and their numbers. Members are not
+    written in that case, and repeated ones are left out where they meet.
     """
     n = partitions(members.sparkSession)
-    members = materialise(members.dropDuplicates(["cluster", "item"]), "members")
-    sizes = members.groupBy("cluster").agg(F.count("*").alias("__n"), F.sum(F.length("set") / 8).alias("__w"))
-    blocks = F.greatest(F.ceil(F.col("__n") / items), F.ceil(F.col("__w") / weight)).cast("int")
-    sizes = materialise(sizes.where("__n > 1").select("cluster", blocks.alias("__blocks")), "sizes")
+    if sizes is None:
+        members = materialise(members.dropDuplicates(["cluster", "item"]), "members")
+        sizes = members.groupBy("cluster").agg(F.count("*").alias("n"), F.sum(F.length("set") / 8).alias("w"))
+    blocks = F.greatest(F.ceil(F.col("n") / items), F.ceil(F.col("w") / weight)).cast("int")
+    sizes = materialise(sizes.where("n > 1").select("cluster", blocks.alias("__blocks")), "sizes")
     own = F.pmod(F.xxhash64("item"), F.col("__blocks")).cast("int")
     placed = members.join(sizes, "cluster").select("*", own.alias("__own"))
     met = placed.select("*", F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1)).alias("__other"))
@@ -50,7 +55,8 @@ def search_cells(members: DataFrame, search: Search, items: int = 96, weight: in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for _, group in groupby(rows(batches), key=lambda r: r[:3]):
-            cell = list(group)
+            # In order of items, so that repeated ones follow each other and are not gathered.
+            cell = [next(same) for _, same in groupby(group, key=lambda r: r[4])]
             sets = [np.frombuffer(r[5], np.uint64) for r in cell]
             links = list(search([r[4] for r in cell], [r[3] for r in cell], sets))
             if links:

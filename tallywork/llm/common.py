@@ -16,6 +16,7 @@ from tallywork.session import materialise
 __all__ = [
     "WORDS",
     "arrow_rows",
+    "drop",
     "held_out",
     "label_sample",
     "materialise",
@@ -34,6 +35,15 @@ WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 SLICE = 1024
 
 
+def drop(*written: DataFrame) -> None:
+    """Delete the files of tables that ``materialise`` gave, once nothing reads them any more."""
+    for own in written:
+        context = own.sparkSession.sparkContext
+        for folder in {file.rsplit("/", 1)[0] for file in own.inputFiles()}:
+            path = context._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A table of a test folder."""
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -129,14 +139,16 @@ def label_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int) ->
 
 
 class _Hashes(dict):
-    """Word to a 64-bit hash; forgets everything when it has grown to its limit."""
+    """Word to a 64-bit hash; forgets everything when it has grown to its limit, and does not remember long words."""
 
-    LIMIT = 1_000_000
+    LIMIT, LETTERS = 200_000, 64
 
-    def __missing__(self, word: str) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        value = self[word] = xxh3_64_intdigest(word)
+    def __missing__(self, word: str | bytes) -> int:
+        value = xxh3_64_intdigest(word)
+        if len(word) <= self.LETTERS:
+            if len(self) >= self.LIMIT:
+                self.clear()
+            self[word] = value
         return value
 
 
@@ -152,8 +164,8 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
-def word_hashes(words: list[str]) -> np.ndarray:
-    """A 64-bit hash per word."""
+def word_hashes(words: list[str] | list[bytes]) -> np.ndarray:
+    """A 64-bit hash per word; that of a text is the one of its UTF-8 bytes."""
     return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
 
 

@@ -24,17 +24,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tallywork.llm.cells import Groups, search_cells
-from tallywork.llm.common import WORDS, arrow_rows, materialise, mix, shingle_hashes, thinned, word_hashes
+from tallywork.llm.common import arrow_rows, drop, materialise, mix, shingle_hashes, thinned, word_hashes
 from tallywork.llm.components import connected_components
 
-_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
 @dataclass(frozen=True)
 class Join:
     """Similarity of at least ``over`` / ``under`` on windows of ``width`` words (75/100 or more).
 
-    ``frequent``: number of shingles that count as frequent at most; ``seen``: documents that must hold one.
+    ``frequent``: number of shingles that count as frequent at most; ``seen``: occurrences that make one so.
     """
 
     width: int = 3
@@ -44,14 +44,36 @@ class Join:
     seen: int = 24
 
 
+def lower_words(text: str | None) -> list[bytes]:
+    """The words of a text, A-Z in lower case, as UTF-8; bytes split at the blanks that the contract names."""
+    return (text or "").encode().translate(_LOWER).split()
+
+
 def shingles(text: str | None, width: int) -> np.ndarray:
     """The sorted set of a text's windows of ``width`` words; fewer words are one window; none, an empty set."""
-    words = WORDS.findall((text or "").translate(_LOWER))
+    words = lower_words(text)
     if not words:
         return np.zeros(0, np.uint64)
     return np.unique(shingle_hashes(word_hashes(words), min(width, len(words))))
 
 
+def shingle_sets(texts: list[str | None], width: int) -> list[np.ndarray]:
+    """``shingles`` of each text; the windows of all texts are hashed together."""
+    words = [lower_words(text) for text in texts]
+    sizes = np.array([len(w) for w in words], np.int64)
+    hashes = word_hashes([w for own in words for w in own])
+    windows = shingle_hashes(hashes, width)
+    out, at = [], 0
+    for n in sizes.tolist():
+        if n >= width:
+            own = np.sort(windows[at : at + n - width + 1])
+            out.append(own[np.append(True, own[1:] != own[:-1])])
+        else:  # one window of all words, or none
+            out.append(shingle_hashes(hashes[at : at + n], n) if n else np.zeros(0, np.uint64))
+        at += n
+    return out
+
+
 def signature(members: np.ndarray) -> bytes:
     """128 bits that stand for a set."""
     return hashlib.blake2b(members.tobytes(), digest_size=16).digest()
@@ -88,7 +110,7 @@ def _parts(members: np.ndarray, family: int, differences: int, salt: int) -> tup
     count = 1 if differences == 0 else differences + 3 + differences // 64
     name = (family << 8) | salt
     spread = mix(members + np.uint64(name * 0x9E3779B97F4A7C15 % (1 << 64)))
-    part = ((spread >> np.uint64(32)) % np.uint64(count)).astype(np.int64)
+    part = ((spread >> np.uint64(32)) % np.uint64(count)).astype(np.uint16 if count <= 1 << 16 else np.int64)
     order = np.argsort(part, kind="stable")
     part, spread = part[order], mix(spread[order])
     first = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, np.int64)
@@ -120,37 +142,61 @@ def keys(members: np.ndarray, frequent: np.ndarray, join: Join) -> np.ndarray:
     return np.concatenate(out)
 
 
-def frequent_shingles(docs: DataFrame, text: str, join: Join, per_task: int = 16_384) -> np.ndarray:
-    """The sorted shingles that most documents hold, from the tasks' most frequent ones; at most ``join.frequent``."""
+class _Counts:
+    """How often each of very many numbers was met, for those met most often; bounded in memory."""
+
+    def __init__(self, most: int):
+        self.most, self.held, self.counts = most, np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.waiting, self.size, self.least = [], 0, 1
+
+    def add(self, values: np.ndarray) -> None:
+        self.waiting.append(values)
+        self.size += len(values)
+        if self.size > self.most:
+            self.merge()
+
+    def merge(self) -> None:
+        """Add up; when too many are held, those met least often go, and the bound rises for as long as it must."""
+        if not self.size:
+            return
+        fresh, n = np.unique(np.concatenate(self.waiting), return_counts=True)
+        self.waiting, self.size = [], 0
+        if len(self.held):
+            at = np.minimum(np.searchsorted(self.held, fresh), len(self.held) - 1)
+            old = self.held[at] == fresh
+            self.counts[at[old]] += n[old]
+            fresh, n = fresh[~old], n[~old]
+        where = np.searchsorted(self.held, fresh)
+        self.held, self.counts = np.insert(self.held, where, fresh), np.insert(self.counts, where, n)
+        while len(self.held) > self.most:
+            self.least += 1
+            kept = self.counts >= self.least
+            self.held, self.counts = self.held[kept], self.counts[kept]
+
+
+def frequent_shingles(docs: DataFrame, text: str, join: Join, per_task: int = 16_384, most: int = 1 << 20) -> np.ndarray:
+    """The sorted shingles that occur most often, from the tasks' most frequent ones; at most ``join.frequent``.
+
+    A task counts all occurrences and holds ``most`` shingles and as many waiting ones. What is missed here, or met often in a few
+    documents only, makes the search slower and never loses a pair.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        held, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        waiting, size = [], 0
-
-        def merge():
-            nonlocal held, counts, waiting, size
-            values = np.concatenate([held, *waiting])
-            weights = np.concatenate([counts, np.ones(len(values) - len(held), np.int64)])
-            order = np.argsort(values, kind="stable")
-            values, weights = values[order], weights[order]
-            first = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
-            held, counts = values[first], np.add.reduceat(weights, first)
-            if len(held) > 2_000_000:
-                kept = counts > 1
-                held, counts = held[kept], counts[kept]
-            waiting, size = [], 0
-
+        counts = _Counts(most)
         for batch in batches:
-            for value in batch.column(0).to_pylist():
-                waiting.append(shingles(value, join.width))
-                size += len(waiting[-1])
-                if size > 1_000_000:
-                    merge()
-        if size:
-            merge()
-        top = np.argsort(-counts, kind="stable")[:per_task]
-        top = top[counts[top] > 1]
-        yield {"shingle": held[top].view(np.int64), "n": counts[top]}
+            words = [lower_words(value) for value in batch.column(0).to_pylist()]
+            sizes = np.array([len(w) for w in words], np.int64)
+            found = shingle_hashes(word_hashes([w for own in words for w in own]), join.width)
+            # Windows that begin in the last words of a text reach into the next one.
+            ends = np.cumsum(sizes)[:, None] - np.arange(1, join.width)
+            inside = np.ones(len(found), bool)
+            ends = ends[(ends >= 0) & (ends < len(found))]
+            inside[ends] = False
+            counts.add(found[inside])
+        counts.merge()
+        top = np.argsort(-counts.counts, kind="stable")[:per_task]
+        top = top[counts.counts[top] > 1]
+        yield {"shingle": counts.held[top].view(np.int64), "n": counts.counts[top]}
 
     counted = arrow_rows(docs.select(F.col(text)), run, "shingle long, n long")
     total = counted.groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= join.seen)
@@ -217,27 +263,38 @@ class Found:
     linked: DataFrame
 
 
-def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", join: Join = Join()) -> Found:
-    """Sizes and signatures of all rows, and the components of linked sets."""
-    source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    frequent = source.sparkSession.sparkContext.broadcast(frequent_shingles(source, "text", join))
-    kind = source.schema["doc_id"].dataType.simpleString()
+def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", join: Join = Join(), keep: bool = False) -> Found:
+    """Sizes and signatures of all rows, and the components of linked sets.
+
+    With ``keep`` the rows have all columns of ``docs`` as c0, c1 and so on, and ``row``, which tells them apart.
+    """
+    names = docs.columns
+    own = [f"c{i}" for i in range(len(names))] if keep else []
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    named = plain.select(
+        F.col(f"c{names.index(doc_id)}").alias("doc_id"), F.col(f"c{names.index(text)}").alias("text"), *own
+    ).withColumn("hash", F.xxhash64("text"))
+    frequent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(named, "text", join))
+    carried = ["doc_id", "hash", *own]
+    fields = {f.name: f.dataType.simpleString() for f in named.schema.fields}
 
     def sized(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            out: dict[str, list] = {"n": [], "sig": [], "item": [], "keys": []}
-            for value in batch.column(2).to_pylist():
-                members = shingles(value, join.width)
-                sig = signature(members) if len(members) else None
-                out["n"].append(len(members))
-                out["sig"].append(sig)
-                out["item"].append(int.from_bytes(sig[:8], "little", signed=True) if sig else None)
-                out["keys"].append(keys(members, frequent.value, join).view(np.int64))
-            yield out | {"doc_id": batch.column(0), "hash": batch.column(1)}
-
-    hashed = source.select("doc_id", F.xxhash64("text").alias("hash"), "text")
-    schema = f"doc_id {kind}, hash long, n long, sig binary, item long, keys array<long>"
-    rows = materialise(arrow_rows(hashed, sized, schema), "sets")
+            sets = shingle_sets(batch.column(0).to_pylist(), join.width)
+            sigs = [signature(members) if len(members) else None for members in sets]
+            yield {c: batch.column(i + 1) for i, c in enumerate(carried)} | {
+                "n": [len(members) for members in sets],
+                "sig": sigs,
+                "item": [int.from_bytes(sig[:8], "little", signed=True) if sig else None for sig in sigs],
+                "keys": [keys(members, frequent.value, join).view(np.int64) for members in sets],
+            }
+
+    schema = ", ".join(f"{c} {fields[c]}" for c in carried) + ", n long, sig binary, item long, keys array<long>"
+    rows = arrow_rows(named.select("text", *carried), sized, schema)
+    # Written once, so that row numbers stay what they are.
+    rows = materialise(rows.withColumn("row", F.monotonically_increasing_id()) if keep else rows, "sets")
+    # Of written rows the text is read again, else of the documents.
+    hashed = rows.select("doc_id", "hash", F.col(f"c{names.index(text)}").alias("text")) if keep else named
     # Items that share a key are in one cluster: all point at the smallest of the key.
     pairs = rows.where("n > 0").select(F.explode("keys").alias("key"), "item")
     shared = pairs.groupBy("key").agg(F.min("item").alias("low"), F.max("item").alias("high")).where("low < high")
@@ -246,10 +303,12 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", join: Join
     clusters = materialise(connected_components(near.distinct()), "clusters")
     # One row of the documents stands for all that have its set.
     first = rows.where("n > 0").groupBy("sig").agg(
-        F.min_by(F.struct("doc_id", "hash", "item"), F.struct("doc_id", "hash")).alias("r")
+        F.min_by(F.struct("doc_id", "hash", "item", "n"), F.struct("doc_id", "hash")).alias("r")
     )
-    chosen = first.select("sig", F.col("r.doc_id").alias("id"), F.col("r.hash").alias("own"), F.col("r.item").alias("node"))
-    chosen = materialise(chosen.join(clusters, "node").select("sig", "id", "own", F.col("component").alias("cluster")), "chosen")
+    chosen = first.select("sig", "r.n", F.col("r.doc_id").alias("id"), F.col("r.hash").alias("own"), F.col("r.item").alias("node"))
+    chosen = materialise(chosen.join(clusters, "node").select("sig", "id", "own", "n", F.col("component").alias("cluster")), "chosen")
+    drop(shared, clusters)
+    sizes = chosen.groupBy("cluster").agg(F.sum("n").alias("w"), F.count("*").alias("n"))
     texts = thinned(hashed, "hash", chosen, "own").join(chosen, (F.col("hash") == F.col("own")) & F.col("doc_id").eqNullSafe(F.col("id")))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -264,7 +323,7 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", join: Join
             yield out
 
     members = arrow_rows(texts.select("cluster", "sig", "text"), sets, "cluster long, item binary, set binary")
-    links = search_cells(members, lambda *cell: divide_skip(join, *cell))
+    links = search_cells(members, lambda *cell: divide_skip(join, *cell), sizes=sizes)
     roots = connected_components(links).select(F.col("node").alias("sig"), F.col("component").alias("root"))
     return Found(rows, materialise(roots, "roots"))
 
@@ -290,26 +349,13 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", join:
     """The rows of ``docs`` but for those that duplicate another: of each component the smallest doc_id stays.
 
     Of repeated rows one stays; rows with an id go before rows without. Texts without words all stay. Columns keep
-    their names and values, whatever they are.
+    their names and values, whatever they are. The documents are written once, with their keys.
     """
-    at, names = docs.columns.index(text), docs.columns
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-
-    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        for batch in batches:
-            sets = [shingles(t, join.width) for t in batch.column(at).to_pylist()]
-            yield {name: batch.column(i) for i, name in enumerate(names)} | {
-                "__sig": [signature(s) if len(s) else None for s in sets]
-            }
-
-    # Written once, so that row numbers stay what they are.
-    numbered = arrow_rows(docs, signed, f"{schema}, __sig binary").withColumn("__row", F.monotonically_increasing_id())
-    numbered = materialise(numbered, "numbered")
-    found = find(docs, doc_id, text, join)
-    linked = found.linked.select(F.col("sig").alias("__sig"), F.col("root").alias("__root"))
-    full = numbered.where("__sig is not null").select(F.col(doc_id).alias("__id"), "__sig", "__row")
-    rooted = full.join(linked, "__sig", "left").select("__id", "__row", F.coalesce("__root", "__sig").alias("__root"))
-    order = F.struct(F.col("__id").isNull(), "__id", "__row")
-    best = rooted.groupBy("__root").agg(F.min_by("__row", order).alias("__row")).select("__row")
-    empty = numbered.where("__sig is null").select(*[f"`{n}`" for n in names])
-    return numbered.join(materialise(best, "kept"), "__row", "left_semi").select(*[f"`{n}`" for n in names]).union(empty)
+    found = find(docs, doc_id, text, join, keep=True)
+    own = [f"c{i}" for i in range(len(docs.columns))]
+    full = found.rows.where("n > 0").select("doc_id", "sig", "row")
+    rooted = full.join(found.linked, "sig", "left").select("doc_id", "row", F.coalesce("root", "sig").alias("root"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+    best = rooted.groupBy("root").agg(F.min_by("row", order).alias("row")).select("row")
+    kept = found.rows.join(materialise(best, "kept"), "row", "left_semi").select(*own)
+    return kept.union(found.rows.where("n = 0").select(*own)).toDF(*docs.columns)
