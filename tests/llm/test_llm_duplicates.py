@@ -88,6 +88,27 @@ def test_divide_skip_equals_brute_force():
         assert components(names, links) == components(names, real)
 
 
+@pytest.mark.parametrize("two", [False, True])
+def test_exact_jaccard_equals_brute_force(two):
+    rng = np.random.default_rng(12)
+    settings = substring_dedup.Settings()
+    for n in (1, 2, 3, 25):
+        base = np.unique(rng.integers(0, 1 << 63, 60).astype(np.uint64))
+        sets = []
+        for _ in range(n):
+            kept = base[rng.random(len(base)) < rng.choice([0.5, 0.93, 1.0])]
+            sets.append(np.unique(np.concatenate([kept, rng.integers(0, 1 << 63, int(rng.integers(0, 9))).astype(np.uint64)])))
+        names, sides = list(range(n)), [i % 2 if two else 0 for i in range(n)]
+        counts = substring_dedup.overlaps(sets, columns=16)
+        assert all(counts[i, j] == len(np.intersect1d(sets[i], sets[j])) for i in names for j in names if i != j)
+        real = [
+            (i, j) for i in names for j in range(i)
+            if (not two or sides[i] != sides[j]) and len(np.intersect1d(sets[i], sets[j])) >= 0.8 * len(np.union1d(sets[i], sets[j]))
+        ]
+        links = list(substring_dedup.exact_jaccard(settings, names, sides, sets))
+        assert set(links) <= set(real) and components(names, links) == components(names, real)
+
+
 def test_cells_cut_clusters(spark):
     """Every pair of a cluster meets once, in cells of bounded size."""
     sets = [(1, bytes([i]), np.array([i], np.uint64).tobytes()) for i in range(60)] + [(2, b"x", b""), (2, b"x", b"")]
@@ -439,3 +460,61 @@ def test_pipeline(spark, tmp_path):
     assert [passage in after[400 + i] for i in range(3)] == [True, False, False]
     assert {r.doc_id for r in kept.collect()} == counts[3]
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == kept.count()
+
+
+def shared_windows(texts, width=16):
+    """Windows of so many words that more than one text holds, and who holds them."""
+    holders = {}
+    for d, text in texts.items():
+        words = text.split()
+        for i in range(len(words) - width + 1):
+            holders.setdefault(tuple(words[i : i + width]), set()).add(d)
+    return {w: ds for w, ds in holders.items() if len(ds) > 1}
+
+
+def test_no_shared_window_stays_and_none_is_lost(spark):
+    """Copies, edited copies, passages inside lines, wrapped ones, stock phrases and repeated words."""
+    rng, rows = random.Random(21), []
+    words = [f"w{i}" for i in range(4000)]
+
+    def prose(n):
+        return [rng.choice(words) for _ in range(n)]
+
+    def lines(own):
+        return "\n".join(" ".join(own[i : i + 12]) for i in range(0, len(own), 12))
+
+    passages, stock = [prose(rng.choice([16, 30, 55, 120])) for _ in range(12)], prose(9)
+    for d in range(90):
+        own = prose(rng.choice([30, 120, 300]))
+        for passage in rng.sample(passages, rng.choice([0, 1, 2])):
+            at = rng.randrange(len(own))
+            own[at:at] = passage
+        if d % 4 == 0:
+            at = rng.randrange(len(own))
+            own[at:at] = stock
+        rows.append((d, lines(own)))
+    for d in range(20):
+        own = rows[d][1].split()
+        for _ in range(rng.choice([0, 1, 4])):
+            own[rng.randrange(len(own))] = "edit"
+        rows.append((100 + d, rng.choice([lines, " ".join])(own)))
+    rows += [(200 + d, "the " * (40 + d)) for d in range(4)] + [(210 + d, "la di " * (30 + d)) for d in range(3)]
+    before = dict(rows)
+    after = {r.doc_id: r.text for r in substring_dedup.remove_repeats(docs_of(spark, rows)).collect()}
+    shared = shared_windows(before)
+    # What a document has now and had before, window by window: none is in two documents, and none is in no document.
+    held = {}
+    for d, text in after.items():
+        old = {tuple(before[d].split()[i : i + 16]) for i in range(len(before[d].split()) - 15)}
+        new = text.split()
+        for i in range(len(new) - 15):
+            if (window := tuple(new[i : i + 16])) in old and window in shared:
+                held.setdefault(window, set()).add(d)
+    assert len(shared) > 500 and not {w: ds for w, ds in held.items() if len(ds) > 1}
+    # Windows of passages, and of copied documents without passages and stock phrases, stay in one; others may lie across the
+    # ends of what goes, as a stock phrase does inside a longer run.
+    inside = {tuple(p[i : i + 16]) for p in passages for i in range(len(p) - 15)}
+    own = {d: {w for w, ds in shared.items() if d in ds} for d in range(20) if d % 4}
+    inside |= set().union(*(ws for d, ws in own.items() if all(shared[w] == {d, 100 + d} for w in ws)))
+    assert len(inside & set(shared)) > 500 and not [w for w in inside & set(shared) if w not in held]
+    assert all(after[d] == before[d] for d in before if not any(d in ds for ds in shared.values()))
