@@ -23,7 +23,8 @@ from tallywork.llm.common import arrow_rows
 class Settings:
     """``chunk`` and ``overlap`` in bytes; ``width``: bytes under a filter, which moves by half of it.
 
-    ``bound``: labelled texts used at most (about); the training task holds them as bytes.
+    ``rounds``: passes over the texts, and as many more as make ``steps`` steps where there are few of them. ``bound``: labelled
+    texts used at most (about); the training task holds them as bytes.
     """
 
     chunk: int = 512
@@ -33,6 +34,7 @@ class Settings:
     width: int = 16
     hidden: int = 24
     rounds: int = 6
+    steps: int = 600
     batch: int = 32
     rate: float = 0.004
     bound: int = 6_000
@@ -178,13 +180,15 @@ def gradients(p: Parameters, chunks: np.ndarray, sizes: np.ndarray, labels: np.n
 
 
 def fit(texts: list[str | None], labels: np.ndarray, settings: Settings = Settings()) -> Parameters:
-    """Parameters after ``rounds`` passes of Adam over the texts, in an order that follows from the seed."""
+    """Parameters after passes of Adam over the texts, in an order that follows from the seed."""
     p = start(settings)
     first = {k: np.zeros_like(v) for k, v in p.items()}
     second = {k: np.zeros_like(v) for k, v in p.items()}
     random, step = np.random.default_rng(settings.seed), 0
-    steps = max(1, settings.rounds * -(-len(texts) // settings.batch))
-    for _ in range(settings.rounds):
+    per_round = -(-len(texts) // settings.batch)
+    rounds = max(settings.rounds, -(-settings.steps // max(1, per_round)))
+    steps = max(1, rounds * per_round)
+    for _ in range(rounds):
         order = random.permutation(len(texts))
         for at in range(0, len(order), settings.batch):
             some = order[at : at + settings.batch]
