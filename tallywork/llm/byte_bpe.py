@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 from xxhash import xxh3_64_intdigest
 
 from tallywork.llm.common import arrow_rows, partitions
-from tallywork.llm.vocabularies import broadcast_file, once, read_ranks, spaced_pieces
+from tallywork.llm.vocabularies import LONG, broadcast_file, once, read_ranks, spaced_pieces
 
 BLOCK = 40 << 20
 
@@ -150,9 +150,11 @@ def _encoded(bundles: DataFrame, ranks, pattern: str, cached: int) -> DataFrame:
                 for word in _unpacked(raw):
                     found = known.get(word)
                     if found is None:
-                        if len(known) >= cached:
-                            known.clear()
-                        found = known[word] = np.array(encoder.encode_ordinary(word.decode("utf-8")), "<u4").tobytes()
+                        found = np.array(encoder.encode_ordinary(word.decode("utf-8")), "<u4").tobytes()
+                        if len(word) <= LONG:
+                            if len(known) >= cached:
+                                known.clear()
+                            known[word] = found
                     parts.append(found)
                 counts.append(_numbers(np.fromiter(map(len, parts), np.uint32, len(parts)) // 4))
                 ids.append(_numbers(np.frombuffer(b"".join(parts), "<u4")))

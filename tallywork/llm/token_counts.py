@@ -19,14 +19,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallywork.llm.common import arrow_rows
-from tallywork.llm.vocabularies import Recent, Vocabulary, broadcast_file, once, spaced_pieces
+from tallywork.llm.vocabularies import LONG, Recent, Vocabulary, broadcast_file, once, spaced_pieces
 
 
 def frequent_pieces(docs: DataFrame, text: str = "text", frequent: int = 32_768, per_task: int = 8_192) -> list[str]:
     """The pieces that occur most often in all documents, by the sums of the tasks' most frequent ones.
 
     Each task counts all its pieces (dropping single occurrences whenever it holds a million) and reports its
-    ``per_task`` highest counts. A piece missed here costs a few encodings more, never a wrong count.
+    ``per_task`` highest counts, without long pieces. A piece missed here costs a few encodings more, never a wrong count.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -34,7 +34,10 @@ def frequent_pieces(docs: DataFrame, text: str = "text", frequent: int = 32_768,
         for batch in batches:
             for value in batch.column(0).to_pylist():
                 if value:
-                    seen.update(spaced_pieces(value))
+                    pieces = spaced_pieces(value)
+                    if max(map(len, pieces)) > LONG:
+                        pieces = [p for p in pieces if len(p) <= LONG]
+                    seen.update(pieces)
             if len(seen) > 1_000_000:
                 seen = Counter({k: n for k, n in seen.items() if n > 1})
                 if len(seen) > 1_000_000:

@@ -30,10 +30,15 @@ def once(key: tuple, build):
     return _built[key]
 
 
+#: Pieces longer than this are encoded each time; caches of pieces are bounded in bytes by it.
+LONG = 64
+
+
 class Recent(dict):
-    """A bounded cache: asked for a key that it lacks, it computes the value.
+    """A bounded cache of pieces: asked for one that it lacks, it computes the value.
 
-    What was used since the last half of the limit was filled stays when the older half is dropped.
+    What was used since the last half of the limit was filled stays when the older half is dropped. Long pieces, such as whole
+    texts of languages without blanks, are not kept.
     """
 
     def __init__(self, compute: Callable, limit: int):
@@ -44,6 +49,8 @@ class Recent(dict):
         value = self.older.get(key)
         if value is None:
             value = self.compute(key)
+        if len(key) > LONG:
+            return value
         if len(self) >= self.half:
             self.older = dict(self)
             self.clear()

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tallywork.llm import byte_bpe, packing, token_counts
-from tallywork.llm.vocabularies import Recent, Vocabulary, spaced_pieces
+from tallywork.llm.vocabularies import LONG, Recent, Vocabulary, spaced_pieces
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
@@ -48,9 +48,18 @@ def test_recent_keeps_its_bound():
     asked = []
     cache = Recent(lambda k: asked.append(k) or k * 2, 10)
     for k in list(range(100)) + [99, 99]:
-        assert cache[k] == k * 2
+        assert cache[str(k)] == str(k) * 2
     assert len(cache) + len(cache.older) <= 11
-    assert asked == list(range(100))
+    assert asked == [str(k) for k in range(100)]
+    # Long pieces, as texts without blanks are, are computed each time.
+    long = "x" * 20_000
+    assert cache[long] == cache[long] == long * 2 and asked[-2:] == [long, long]
+    assert max(map(len, [*cache, *cache.older])) <= LONG
+
+
+def test_frequent_pieces_are_short(spark):
+    docs = spark.createDataFrame([(i, "y" * 5_000 + " a b") for i in range(6)], "doc_id long, text string")
+    assert sorted(token_counts.frequent_pieces(docs)) == [" a", " b"]
 
 
 def test_encode_and_decode(spark, odd_docs, tik):
