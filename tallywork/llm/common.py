@@ -17,6 +17,7 @@ __all__ = [
     "WORDS",
     "arrow_rows",
     "drop",
+    "forget",
     "held_out",
     "label_sample",
     "materialise",
@@ -141,7 +142,7 @@ def label_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int) ->
 class _Hashes(dict):
     """Word to a 64-bit hash; forgets everything when it has grown to its limit, and does not remember long words."""
 
-    LIMIT, LETTERS = 200_000, 64
+    LIMIT, LETTERS = 100_000, 64
 
     def __missing__(self, word: str | bytes) -> int:
         value = xxh3_64_intdigest(word)
@@ -155,6 +156,12 @@ class _Hashes(dict):
 _hashes = _Hashes()
 
 
+def forget() -> None:
+    """Give back what a worker holds between tasks: hashes of words, and memory that Arrow keeps for later."""
+    _hashes.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def mix(values: np.ndarray) -> np.ndarray:
     """Spread the bits of unsigned 64-bit values (a bijection)."""
     values = values ^ (values >> np.uint64(30))

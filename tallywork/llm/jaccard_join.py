@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tallywork.llm.cells import Groups, search_cells
-from tallywork.llm.common import arrow_rows, drop, materialise, mix, shingle_hashes, thinned, word_hashes
+from tallywork.llm.common import arrow_rows, drop, forget, materialise, mix, shingle_hashes, thinned, word_hashes
 from tallywork.llm.components import connected_components
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -142,6 +142,13 @@ def keys(members: np.ndarray, frequent: np.ndarray, join: Join) -> np.ndarray:
     return np.concatenate(out)
 
 
+def parted(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Batches of fewer rows, whose words are held as objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 class _Counts:
     """How often each of very many numbers was met, for those met most often; bounded in memory."""
 
@@ -174,7 +181,7 @@ class _Counts:
             self.held, self.counts = self.held[kept], self.counts[kept]
 
 
-def frequent_shingles(docs: DataFrame, text: str, join: Join, per_task: int = 16_384, most: int = 1 << 20) -> np.ndarray:
+def frequent_shingles(docs: DataFrame, text: str, join: Join, per_task: int = 16_384, most: int = 1 << 19) -> np.ndarray:
     """The sorted shingles that occur most often, from the tasks' most frequent ones; at most ``join.frequent``.
 
     A task counts all occurrences and holds ``most`` shingles and as many waiting ones. What is missed here, or met often in a few
@@ -183,7 +190,7 @@ def frequent_shingles(docs: DataFrame, text: str, join: Join, per_task: int = 16
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         counts = _Counts(most)
-        for batch in batches:
+        for batch in parted(batches):
             words = [lower_words(value) for value in batch.column(0).to_pylist()]
             sizes = np.array([len(w) for w in words], np.int64)
             found = shingle_hashes(word_hashes([w for own in words for w in own]), join.width)
@@ -197,6 +204,7 @@ def frequent_shingles(docs: DataFrame, text: str, join: Join, per_task: int = 16
         top = np.argsort(-counts.counts, kind="stable")[:per_task]
         top = top[counts.counts[top] > 1]
         yield {"shingle": counts.held[top].view(np.int64), "n": counts.counts[top]}
+        forget()
 
     counted = arrow_rows(docs.select(F.col(text)), run, "shingle long, n long")
     total = counted.groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= join.seen)
@@ -279,7 +287,7 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", join: Join
     fields = {f.name: f.dataType.simpleString() for f in named.schema.fields}
 
     def sized(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        for batch in batches:
+        for batch in parted(batches):
             sets = shingle_sets(batch.column(0).to_pylist(), join.width)
             sigs = [signature(members) if len(members) else None for members in sets]
             yield {c: batch.column(i + 1) for i, c in enumerate(carried)} | {
@@ -288,6 +296,7 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", join: Join
                 "item": [int.from_bytes(sig[:8], "little", signed=True) if sig else None for sig in sigs],
                 "keys": [keys(members, frequent.value, join).view(np.int64) for members in sets],
             }
+        forget()
 
     schema = ", ".join(f"{c} {fields[c]}" for c in carried) + ", n long, sig binary, item long, keys array<long>"
     rows = arrow_rows(named.select("text", *carried), sized, schema)
