@@ -378,16 +378,19 @@ def _seed_marks(parts: DataFrame, gone: DataFrame, settings: Settings) -> DataFr
 
 
 def _chained(found: list[dict]) -> Iterator[dict]:
-    """Marks of a document, in order, with those that follow each other here and in the partner taken together.
+    """Marks of a document, in order, with those that follow each other here taken together, if one partner has them all.
 
-    Of their numbers of documents the largest is kept.
+    A stretch begins where its first mark does and ends where its last one does, here and in the partner. Marks that lie in the partner
+    otherwise than the one before, as repeated words do, must touch it; else a word between them may differ. Of their numbers of documents
+    the largest is kept.
     """
     open_: dict[tuple, dict] = {}
     for mark in found:
-        side = (mark["partner"], mark["removed"], mark["keeper"], mark["p_start"] - mark["start"])
+        side = (mark["partner"], mark["removed"], mark["keeper"])
         last = open_.get(side)
-        if last is not None and mark["start"] <= last["end"] + 1 and mark["p_end"] - mark["end"] == last["p_end"] - last["end"]:
-            last["end"], last["p_end"] = max(last["end"], mark["end"]), max(last["p_end"], mark["p_end"])
+        if last is not None and mark["start"] <= last["end"] + (mark["p_end"] - mark["end"] == last["p_end"] - last["end"]):
+            if mark["end"] > last["end"]:
+                last["end"], last["p_end"] = mark["end"], mark["p_end"]
             last["n_docs"] = max(last["n_docs"], mark["n_docs"])
             continue
         if last is not None:
