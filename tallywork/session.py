@@ -6,11 +6,13 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from pathlib import Path
 from urllib.parse import urlsplit
 
 from pyspark.sql import SparkSession
 
 _made: list[str] = []
+_proven: set[tuple[str, str]] = set()
 _local_folder: tempfile.TemporaryDirectory | None = None
 
 
@@ -35,23 +37,48 @@ def build_session(app: str = "tallywork", master: str | None = None, **conf: obj
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir``, or what ``setCheckpointDir`` was given.
+    """The folder every executor can reach: ``spark.checkpoint.dir``, or what ``setCheckpointDir`` was given, or the warehouse.
 
     Only a local-mode session may go without; it then gets a temporary folder. Where executors run on other hosts, a
-    folder of a local file system is refused: each host would write to its own disk, and reads would miss rows.
+    folder of a local file system may be a mounted one that all share, or each host's own disk, of which reads would miss
+    rows. Tasks write rows to it once; it is refused unless all of them come back.
     """
     global _local_folder
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     local = spark.sparkContext.master.startswith("local")
+    if not local:
+        named = named or spark.conf.get("spark.sql.warehouse.dir", None)
+        if not named:
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        if _scheme(spark, named) == "file":
+            _prove(spark, named.rstrip("/"))
     if named:
-        if not local and _scheme(spark, named) == "file":
-            raise RuntimeError(f"{named} is a local folder; set spark.checkpoint.dir to one that all executors share")
         return named.rstrip("/")
-    if not local:
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     if _local_folder is None:
         _local_folder = tempfile.TemporaryDirectory(prefix="tallywork-", ignore_cleanup_errors=True)
-    return _local_folder.name
+    return Path(_local_folder.name).as_uri()
+
+
+def _prove(spark: SparkSession, folder: str) -> None:
+    """Refuse a folder of a local file system that the executors do not share; asked once per application and folder."""
+    refused = f"{folder} is a local folder that not all executors share; set spark.checkpoint.dir to one that they do"
+    try:
+        if (spark.sparkContext.applicationId, folder) in _proven:
+            return
+        rows = 2 * spark.sparkContext.defaultParallelism
+        back = _rows_back(spark, f"{folder}/proof-{uuid.uuid4().hex}", rows)
+    except Exception as error:
+        raise RuntimeError(refused) from error
+    if back != rows:
+        raise RuntimeError(refused)
+    _proven.add((spark.sparkContext.applicationId, folder))
+
+
+def _rows_back(spark: SparkSession, path: str, rows: int) -> int:
+    """How many of the rows that as many tasks write are read again."""
+    _made.append(path)
+    spark.range(0, rows, 1, rows).write.parquet(path)
+    return spark.read.schema("id long").parquet(path).count()
 
 
 def _scheme(spark: SparkSession, path: str) -> str:

@@ -24,6 +24,46 @@ def test_a_local_folder_is_refused_on_a_cluster():
     assert session.shared_folder(Conf("local-cluster[2,1,1024]", "file:///tmp/x")) == "file:///tmp/x"
 
 
+class Cluster(Conf):
+    """A running session that says its master is not local, with one setting."""
+
+    def __init__(self, spark, key, folder):
+        super().__init__("spark://x")
+        own, self.range, self.read = spark.sparkContext, spark.range, spark.read
+        self.conf = type("Settings", (), {"get": staticmethod(lambda k, default=None: folder if k == key else default)})
+        for name in ("applicationId", "defaultParallelism", "_jsc"):
+            setattr(self.sparkContext, name, getattr(own, name))
+
+
+@pytest.fixture
+def unproven(spark, monkeypatch):
+    monkeypatch.setattr(session, "_made", [])
+    monkeypatch.setattr(session, "_proven", set())
+    yield spark
+    session.drop_scratch(spark)
+
+
+@pytest.mark.parametrize("key", ["spark.checkpoint.dir", "spark.sql.warehouse.dir"])
+def test_a_mounted_folder_that_executors_share_is_used(unproven, tmp_path, monkeypatch, key):
+    for folder in (tmp_path.as_uri(), str(tmp_path)):
+        assert session.shared_folder(Cluster(unproven, key, folder + "/")) == folder
+    monkeypatch.setattr(session, "_rows_back", None)  # not asked again
+    assert session.shared_folder(Cluster(unproven, key, str(tmp_path))) == str(tmp_path)
+
+
+def test_a_local_folder_that_loses_rows_is_refused(unproven, tmp_path, monkeypatch):
+    (tmp_path / "file").touch()  # cannot be written to
+    with pytest.raises(RuntimeError, match="local folder"):
+        session.shared_folder(Cluster(unproven, "spark.checkpoint.dir", str(tmp_path / "file")))
+    monkeypatch.setattr(session, "_rows_back", lambda spark, path, rows: rows - 1)
+    with pytest.raises(RuntimeError, match="local folder"):
+        session.shared_folder(Cluster(unproven, "spark.checkpoint.dir", str(tmp_path)))
+
+
+def test_the_folder_of_a_local_session_does_not_go_by_the_default_file_system():
+    assert session.shared_folder(Conf("local[2]")).startswith("file:///")
+
+
 def test_scratch_blocks_delete_their_own_tables(spark, monkeypatch):
     monkeypatch.setattr(session, "_made", [])
     before = session.materialise(spark.range(3), "t")
