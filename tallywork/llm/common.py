@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 from collections.abc import Callable, Iterator
 
@@ -19,6 +20,7 @@ __all__ = [
     "drop",
     "forget",
     "held_out",
+    "kept_rows",
     "label_sample",
     "materialise",
     "mix",
@@ -55,6 +57,13 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``SLICE`` rows."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.slice(at, SLICE)
+
+
 def arrow_rows(
     df: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str
 ) -> DataFrame:
@@ -65,11 +74,6 @@ def arrow_rows(
     struct = T._parse_datatype_string(schema)
     arrow = to_arrow_schema(struct)
 
-    def sliced(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, SLICE):
-                yield batch.slice(at, SLICE)
-
     def run(batches):
         for columns in rows(sliced(batches)):
             arrays = [
@@ -80,6 +84,20 @@ def arrow_rows(
     return df.mapInArrow(run, struct)
 
 
+def kept_rows(df: DataFrame, kept: Callable[[pa.RecordBatch], list[bool]]) -> DataFrame:
+    """The rows of ``df`` of which ``kept`` says so, with all their columns as they are.
+
+    It gets slices, as with ``arrow_rows``. What the worker held is given back at the end of a task.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches):
+            yield batch.filter(pa.array(kept(batch), pa.bool_()))
+        forget()
+
+    return df.mapInArrow(run, df.schema)
+
+
 #: Most bits of the filter in ``thinned``: two million rows of 64 bits are broadcast at most.
 FILTER_BITS = 1 << 27
 
@@ -156,10 +174,16 @@ class _Hashes(dict):
 _hashes = _Hashes()
 
 
+#: Gives freed memory back to the system; the C library of Linux has it.
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
 def forget() -> None:
-    """Give back what a worker holds between tasks: hashes of words, and memory that Arrow keeps for later."""
+    """Give back what a worker holds between tasks: hashes of words, and memory that Arrow and the C library keep for later."""
     _hashes.clear()
     pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
 
 
 def mix(values: np.ndarray) -> np.ndarray:

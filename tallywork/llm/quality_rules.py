@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tallywork.llm.common import WORDS, arrow_rows
+from tallywork.llm.common import WORDS, arrow_rows, kept_rows
 
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\v\f\r"
@@ -187,8 +187,4 @@ def keep_good(docs: DataFrame, text: str = "text", limits: Limits = Limits()) ->
     """The rows whose text is kept, with all their columns as they are (whatever they are called)."""
     at = docs.columns.index(text)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(measure(batch.column(at).to_pylist(), limits)["kept"], pa.bool_()))
-
-    return docs.mapInArrow(run, docs.schema)
+    return kept_rows(docs, lambda batch: measure(batch.column(at).to_pylist(), limits)["kept"])

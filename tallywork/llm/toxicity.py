@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tallywork.llm.common import arrow_rows, mix, word_hashes
+from tallywork.llm.common import arrow_rows, forget, kept_rows, mix, word_hashes
 
 TOKENS = re.compile(r"\w+")
 
@@ -91,6 +91,7 @@ def learn(labelled: DataFrame, settings: Settings = Settings()) -> tuple[np.ndar
             ids, texts, labels = (batch.column(i).to_pylist() for i in range(3))
             at = [np.append(BIAS, np.unique(hashed(t, settings.bits))).astype(np.int32).tobytes() for t in texts]
             yield {"id": ids, "label": labels, "features": at}
+        forget()
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         rows, labels = [], []
@@ -100,6 +101,7 @@ def learn(labelled: DataFrame, settings: Settings = Settings()) -> tuple[np.ndar
         if rows:
             at, w = ftrl(rows, np.array(labels, np.float64), settings)
             yield {"feature": at.tolist(), "weight": w.tolist()}
+        forget()
 
     prepared = arrow_rows(labelled.select("id", "text", "label"), sets, "id long, label int, features binary")
     one = prepared.repartition(1).sortWithinPartitions("id", "features")
@@ -150,13 +152,12 @@ class Model:
         """The rows that score below the threshold, with all their columns as they are."""
         model, at = docs.sparkSession.sparkContext.broadcast(self), docs.columns.index(text)
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def clean(batch: pa.RecordBatch) -> list[bool]:
             own = model.value
-            for batch in batches:
-                found = scores(batch.column(at).to_pylist(), own.features, own.weights, own.bits)
-                yield batch.filter(pa.array([p < own.threshold for p in found], pa.bool_()))
+            found = scores(batch.column(at).to_pylist(), own.features, own.weights, own.bits)
+            return [p < own.threshold for p in found]
 
-        return docs.mapInArrow(run, docs.schema)
+        return kept_rows(docs, clean)
 
 
 def train(labelled: DataFrame, settings: Settings = Settings(), threshold: float = 0.3) -> Model:
