@@ -39,18 +39,19 @@ def build_session(app: str = "tallywork", master: str | None = None, **conf: obj
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``, or what ``setCheckpointDir`` was given, or the warehouse.
 
-    Only a local-mode session may go without; it then gets a temporary folder. Where executors run on other hosts, a
-    folder of a local file system may be a mounted one that all share, or each host's own disk, of which reads would miss
-    rows. Tasks write rows to it once; it is refused unless all of them come back.
+    Only a session without executors of its own (``local``) may go without; it then gets a temporary folder, which executors
+    need not see even on the driver's host. Where executors run on other hosts, a folder of a local file system may be a
+    mounted one that all share, or each host's own disk, of which reads would miss rows. Tasks write rows to it once; it is
+    refused unless all of them come back.
     """
     global _local_folder
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    local = spark.sparkContext.master.startswith("local")
-    if not local:
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         named = named or spark.conf.get("spark.sql.warehouse.dir", None)
         if not named:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        if _scheme(spark, named) == "file":
+        if not master.startswith("local-cluster") and _scheme(spark, named) == "file":
             _prove(spark, named.rstrip("/"))
     if named:
         return named.rstrip("/")

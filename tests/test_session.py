@@ -60,6 +60,14 @@ def test_a_local_folder_that_loses_rows_is_refused(unproven, tmp_path, monkeypat
         session.shared_folder(Cluster(unproven, "spark.checkpoint.dir", str(tmp_path)))
 
 
+def test_executors_on_the_drivers_host_get_the_warehouse_and_no_temporary_folder():
+    conf = Conf("local-cluster[2,1,1024]")
+    conf.conf = type("Settings", (), {"get": staticmethod(lambda k, default=None: {"spark.sql.warehouse.dir": "file:/w/"}.get(k, default))})
+    assert session.shared_folder(conf) == "file:/w"
+    with pytest.raises(RuntimeError, match="executors share"):
+        session.shared_folder(Conf("local-cluster[2,1,1024]"))
+
+
 def test_the_folder_of_a_local_session_does_not_go_by_the_default_file_system():
     assert session.shared_folder(Conf("local[2]")).startswith("file:///")
 
