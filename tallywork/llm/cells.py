@@ -77,5 +77,8 @@ class Groups:
             x = self.parent[x]
         return x
 
-    def join(self, x: int, y: int) -> None:
-        self.parent[self.root(x)] = self.root(y)
+    def join(self, x: int, y: int) -> bool:
+        """Link two items; false if they were linked already."""
+        x, y = self.root(x), self.root(y)
+        self.parent[x] = y
+        return x != y

@@ -263,6 +263,23 @@ def divide_skip(join: Join, names: list[bytes], sides: list[int], sets: list[np.
                 yield names[q], names[r]
 
 
+def cell_links(join: Join, names: list[bytes], sides: list[int], sets: list[np.ndarray]) -> list[tuple[bytes, bytes]]:
+    """Links of a cell that join groups; of two blocks, only those between what neither of them links by itself.
+
+    A block's own links come from the cell where it meets itself. So two blocks of one large group of near copies give one link.
+    """
+    found = list(divide_skip(join, names, sides, sets))
+    if not any(sides) or len(found) < 2:
+        return found
+    groups = Groups(len(names))
+    for own in (0, 1):
+        block = [k for k, side in enumerate(sides) if side == own]
+        for a, b in divide_skip(join, block, [0] * len(block), [sets[k] for k in block]):
+            groups.join(a, b)
+    place = {name: k for k, name in enumerate(names)}
+    return [(a, b) for a, b in found if groups.join(place[a], place[b])]
+
+
 @dataclass
 class Found:
     """``rows``: (doc_id, n, sig, ...) per row of the documents; ``linked``: (sig, root) of the sets that have links."""
@@ -286,26 +303,38 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", join: Join
     carried = ["doc_id", "hash", *own]
     fields = {f.name: f.dataType.simpleString() for f in named.schema.fields}
 
+    def keyed(sets: list[np.ndarray]) -> list[np.ndarray]:
+        return [keys(members, frequent.value, join).view(np.int64) for members in sets]
+
     def sized(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in parted(batches):
             sets = shingle_sets(batch.column(0).to_pylist(), join.width)
             sigs = [signature(members) if len(members) else None for members in sets]
-            yield {c: batch.column(i + 1) for i, c in enumerate(carried)} | {
+            out = {c: batch.column(i + 1) for i, c in enumerate(carried)} | {
                 "n": [len(members) for members in sets],
                 "sig": sigs,
                 "item": [int.from_bytes(sig[:8], "little", signed=True) if sig else None for sig in sigs],
-                "keys": [keys(members, frequent.value, join).view(np.int64) for members in sets],
             }
+            yield out if keep else out | {"keys": keyed(sets)}
+        forget()
+
+    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in parted(batches):
+            yield {"item": batch.column(1), "keys": keyed(shingle_sets(batch.column(0).to_pylist(), join.width))}
         forget()
 
-    schema = ", ".join(f"{c} {fields[c]}" for c in carried) + ", n long, sig binary, item long, keys array<long>"
-    rows = arrow_rows(named.select("text", *carried), sized, schema)
+    schema = ", ".join(f"{c} {fields[c]}" for c in carried) + ", n long, sig binary, item long"
+    rows = arrow_rows(named.select("text", *carried), sized, schema if keep else f"{schema}, keys array<long>")
     # Written once, so that row numbers stay what they are.
     rows = materialise(rows.withColumn("row", F.monotonically_increasing_id()) if keep else rows, "sets")
-    # Of written rows the text is read again, else of the documents.
+    # Of written rows the text is read again, else of the documents. Keys take more room than texts, so they are not written
+    # beside them but made from them where they are asked for.
     hashed = rows.select("doc_id", "hash", F.col(f"c{names.index(text)}").alias("text")) if keep else named
+    sources = rows.where("n > 0")
+    if keep:
+        sources = arrow_rows(sources.select(f"c{names.index(text)}", "item"), again, "item long, keys array<long>")
     # Items that share a key are in one cluster: all point at the smallest of the key.
-    pairs = rows.where("n > 0").select(F.explode("keys").alias("key"), "item")
+    pairs = sources.select(F.explode("keys").alias("key"), "item")
     shared = pairs.groupBy("key").agg(F.min("item").alias("low"), F.max("item").alias("high")).where("low < high")
     shared = materialise(shared.select("key", "low"), "shared")
     near = thinned(pairs, "key", shared, "key").join(shared, "key").where("item != low").select(F.col("item").alias("a"), F.col("low").alias("b"))
@@ -332,7 +361,7 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", join: Join
             yield out
 
     members = arrow_rows(texts.select("cluster", "sig", "text"), sets, "cluster long, item binary, set binary")
-    links = search_cells(members, lambda *cell: divide_skip(join, *cell), sizes=sizes)
+    links = search_cells(members, lambda *cell: cell_links(join, *cell), sizes=sizes)
     roots = connected_components(links).select(F.col("node").alias("sig"), F.col("component").alias("root"))
     return Found(rows, materialise(roots, "roots"))
 

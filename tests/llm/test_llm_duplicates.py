@@ -88,6 +88,23 @@ def test_divide_skip_equals_brute_force():
         assert components(names, links) == components(names, real)
 
 
+def test_blocks_of_one_group_give_one_link():
+    """Links of all cells of a large group are about as many as its items and cells, and reach what all links reach."""
+    join, rng = jaccard_join.Join(), random.Random(4)
+    sets = [np.array(sorted(set(range(200 * (k % 2), 200 * (k % 2) + 99)) | {1000 + k}), np.uint64) for k in range(60)]
+    names, links = list(range(60)), []
+    blocks = [names[at : at + 10] for at in range(0, 60, 10)]
+    for i, own in enumerate(blocks):
+        for j, other in enumerate(blocks[: i + 1]):
+            cell = own if i == j else [*own, *other]
+            rng.shuffle(cell)
+            sides = [int(i != j and k in other) for k in cell]
+            got = list(jaccard_join.cell_links(join, cell, sides, [sets[k] for k in cell]))
+            assert i == j or len(got) == 2
+            links += got
+    assert len(set(components(names, links).values())) == 2
+
+
 @pytest.mark.parametrize("two", [False, True])
 def test_exact_jaccard_equals_brute_force(two):
     rng = np.random.default_rng(12)
@@ -154,6 +171,16 @@ def test_ngram_join_keeps_one_of_each(spark):
     assert got == sorted([(d, texts[d]) for d in want] + extra, key=repr)
 
 
+def test_ngram_join_writes_no_keys_beside_the_texts(spark, monkeypatch):
+    """Keys take more room than the texts and would stay until the result has been read."""
+    written = []
+    monkeypatch.setattr(jaccard_join, "materialise", lambda df, label: written.append(df) or common.materialise(df, label))
+    rows = near_texts(5)[:25]
+    kept = jaccard_join.keep_one(docs_of(spark, rows), join=jaccard_join.Join(seen=3, frequent=50))
+    assert not any(kind.startswith("array") for df in written for _, kind in df.dtypes)
+    assert {r.doc_id for r in kept.collect()} == {d for d, (_, c) in jaccard_components(rows).items() if d == c}
+
+
 def test_ngram_join_odd_and_no_rows(odd_docs, no_docs):
     assert jaccard_join.components(odd_docs).count() == odd_docs.count()
     assert jaccard_join.components(no_docs).collect() == []
