@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tallywork.llm.common import arrow_rows, materialise, partitions
+from tallywork.llm.common import arrow_rows, forget, materialise, partitions
 
 #: Items of one cell: ids, which block each is from (0 or 1; all 0 where a block meets itself), sorted sets.
 Search = Callable[[list[bytes], list[int], list[np.ndarray]], Iterator[tuple[bytes, bytes]]]
@@ -51,7 +51,8 @@ def search_cells(
 
     def rows(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            yield from zip(*(batch.column(k).to_pylist() for k in range(6)))
+            for at in range(0, batch.num_rows, 64):  # few sets at a time, as they may be large
+                yield from zip(*(column.to_pylist() for column in batch.slice(at, 64).columns))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for _, group in groupby(rows(batches), key=lambda r: r[:3]):
@@ -61,6 +62,7 @@ def search_cells(
             links = list(search([r[4] for r in cell], [r[3] for r in cell], sets))
             if links:
                 yield {"a": [a for a, _ in links], "b": [b for _, b in links]}
+        forget()
 
     return arrow_rows(dealt, run, "a binary, b binary")
 

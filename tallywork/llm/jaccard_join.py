@@ -7,7 +7,8 @@ aside, the short ones merged and counted, and what could still reach T is looked
 Lists of a whole corpus have no bound, so the search runs inside clusters that no link leaves. Documents of equal sets are
 one item. A pair of similarity t differs in at most H = (1 - t) / (1 + t) of the summed sizes; cut into more than H parts by
 hash, two such sets agree in at least one part entirely. Items that agree in a part (of the same range of sizes) are
-in one cluster. The corpus' most frequent shingles, whose lists are the longest, are left out of the parts: this loses no
+in one cluster, unless only few do and a sketch of both sets shows that they cannot reach the threshold, so that parts
+that agree by chance do not glue clusters together. The corpus' most frequent shingles, whose lists are the longest, are left out of the parts: this loses no
 pair, and keeps common phrases from gluing clusters together. Where frequent shingles are nearly all of a set, the
 parts are of the whole set. Clusters are cut into cells of bounded size, see ``cells``.
 """
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tallywork.llm.cells import Groups, search_cells
-from tallywork.llm.common import arrow_rows, drop, forget, materialise, mix, shingle_hashes, thinned, word_hashes
+from tallywork.llm.common import arrow_rows, drop, forget, kept_rows, materialise, mix, shingle_hashes, thinned, word_hashes
 from tallywork.llm.components import connected_components
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -142,6 +143,29 @@ def keys(members: np.ndarray, frequent: np.ndarray, join: Join) -> np.ndarray:
     return np.concatenate(out)
 
 
+def parity_bits(members: np.ndarray) -> bytes:
+    """Of each of 2n or more bits (a power of two), whether an odd number of a set's members falls on it.
+
+    Bits in which two sets differ are at most the members that only one of them has. Halves of a sketch, added
+    up without carry, are the sketch of half the bits.
+    """
+    bits = max(64, 1 << (2 * len(members) - 1).bit_length())
+    odd = np.bincount((mix(members) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def may_link(join: Join, n: int, own: bytes, m: int, other: bytes) -> bool:
+    """False only if sets of these sizes and sketches cannot reach the threshold."""
+    if min(n, m) * join.under < join.over * max(n, m):
+        return False
+    x, y = np.frombuffer(own, np.uint64), np.frombuffer(other, np.uint64)
+    if len(x) < len(y):
+        x, y = y, x
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum()) * (join.under + join.over) <= (n + m) * (join.under - join.over)
+
+
 def parted(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """Batches of fewer rows, whose words are held as objects at a time."""
     for batch in batches:
@@ -288,6 +312,36 @@ class Found:
     linked: DataFrame
 
 
+def clustered(pairs: DataFrame, rows: DataFrame, join: Join, few: int = 32) -> DataFrame:
+    """Written (node, component) of items that may be linked, from their (key, item) and (item, sig, n, bits) of all rows.
+
+    Of a key that many rows have, all items point at the smallest. Of one that at most ``few`` have, each two items do, and
+    pairs whose sketches rule a link out are left out; so every two sets that reach the threshold stay connected.
+    """
+    met = pairs.groupBy("key").agg(F.min("item").alias("low"), F.max("item").alias("high"), F.count("*").alias("held"))
+    shared = materialise(met.where("low < high").select("key", "low", "held"), "shared")
+    hits = thinned(pairs, "key", shared, "key").join(shared, "key")
+    many = hits.where((F.col("held") > few) & (F.col("item") != F.col("low"))).select(F.col("item").alias("a"), F.col("low").alias("b"))
+    groups = hits.where(F.col("held") <= few).groupBy("key").agg(F.collect_set("item").alias("items"))
+    each = groups.select(F.explode("items").alias("a"), "items").select("a", F.explode("items").alias("b"))
+    edges = each.where("a < b").withColumn("tested", F.lit(True)).union(many.withColumn("tested", F.lit(False)))
+    edges = materialise(edges.distinct(), "edges")
+    tested = edges.where("tested").select("a", "b")
+    ends = materialise(tested.select(F.explode(F.array("a", "b")).alias("item")).distinct(), "ends")
+    # Of one item there may be several sets, though hardly ever.
+    sketches = thinned(rows.select("item", "sig", "n", "bits"), "item", ends, "item").dropDuplicates(["sig"]).drop("sig")
+    sketches = materialise(sketches, "sketches")
+    full = tested.join(sketches.toDF("a", "n", "own"), "a").join(sketches.toDF("b", "m", "other"), "b")
+
+    def able(batch: pa.RecordBatch) -> list[bool]:
+        return [may_link(join, *row) for row in zip(*(batch.column(k).to_pylist() for k in range(2, 6)))]
+
+    kept = kept_rows(full.select("a", "b", "n", "own", "m", "other"), able).select("a", "b")
+    found = materialise(connected_components(kept.union(edges.where("NOT tested").select("a", "b"))), "clusters")
+    drop(shared, edges, ends, sketches)
+    return found
+
+
 def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", join: Join = Join(), keep: bool = False) -> Found:
     """Sizes and signatures of all rows, and the components of linked sets.
 
@@ -314,6 +368,7 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", join: Join
                 "n": [len(members) for members in sets],
                 "sig": sigs,
                 "item": [int.from_bytes(sig[:8], "little", signed=True) if sig else None for sig in sigs],
+                "bits": [parity_bits(members) if len(members) else None for members in sets],
             }
             yield out if keep else out | {"keys": keyed(sets)}
         forget()
@@ -323,7 +378,7 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", join: Join
             yield {"item": batch.column(1), "keys": keyed(shingle_sets(batch.column(0).to_pylist(), join.width))}
         forget()
 
-    schema = ", ".join(f"{c} {fields[c]}" for c in carried) + ", n long, sig binary, item long"
+    schema = ", ".join(f"{c} {fields[c]}" for c in carried) + ", n long, sig binary, item long, bits binary"
     rows = arrow_rows(named.select("text", *carried), sized, schema if keep else f"{schema}, keys array<long>")
     # Written once, so that row numbers stay what they are.
     rows = materialise(rows.withColumn("row", F.monotonically_increasing_id()) if keep else rows, "sets")
@@ -333,19 +388,14 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", join: Join
     sources = rows.where("n > 0")
     if keep:
         sources = arrow_rows(sources.select(f"c{names.index(text)}", "item"), again, "item long, keys array<long>")
-    # Items that share a key are in one cluster: all point at the smallest of the key.
-    pairs = sources.select(F.explode("keys").alias("key"), "item")
-    shared = pairs.groupBy("key").agg(F.min("item").alias("low"), F.max("item").alias("high")).where("low < high")
-    shared = materialise(shared.select("key", "low"), "shared")
-    near = thinned(pairs, "key", shared, "key").join(shared, "key").where("item != low").select(F.col("item").alias("a"), F.col("low").alias("b"))
-    clusters = materialise(connected_components(near.distinct()), "clusters")
+    clusters = clustered(sources.select(F.explode("keys").alias("key"), "item"), rows, join)
     # One row of the documents stands for all that have its set.
     first = rows.where("n > 0").groupBy("sig").agg(
         F.min_by(F.struct("doc_id", "hash", "item", "n"), F.struct("doc_id", "hash")).alias("r")
     )
     chosen = first.select("sig", "r.n", F.col("r.doc_id").alias("id"), F.col("r.hash").alias("own"), F.col("r.item").alias("node"))
     chosen = materialise(chosen.join(clusters, "node").select("sig", "id", "own", "n", F.col("component").alias("cluster")), "chosen")
-    drop(shared, clusters)
+    drop(clusters)
     sizes = chosen.groupBy("cluster").agg(F.sum("n").alias("w"), F.count("*").alias("n"))
     texts = thinned(hashed, "hash", chosen, "own").join(chosen, (F.col("hash") == F.col("own")) & F.col("doc_id").eqNullSafe(F.col("id")))
 

@@ -181,6 +181,38 @@ def test_ngram_join_writes_no_keys_beside_the_texts(spark, monkeypatch):
     assert {r.doc_id for r in kept.collect()} == {d for d, (_, c) in jaccard_components(rows).items() if d == c}
 
 
+def test_sketches_rule_out_no_link():
+    rng = np.random.default_rng(5)
+    for join in (jaccard_join.Join(), jaccard_join.Join(width=5, over=80)):
+        for _ in range(300):
+            n, drop, more = int(rng.integers(1, 400)), int(rng.integers(0, 60)), int(rng.integers(0, 60))
+            both = rng.integers(0, 1 << 62, n + more, dtype=np.uint64)
+            x, y = both[: max(1, n)], both[min(drop, n - 1) :]
+            same = len(np.intersect1d(x, y))
+            if join.under * same >= join.over * (len(x) + len(y) - same):
+                assert jaccard_join.may_link(join, len(x), jaccard_join.parity_bits(x), len(y), jaccard_join.parity_bits(y))
+    x, y = (rng.integers(0, 1 << 62, n, dtype=np.uint64) for n in (200, 210))
+    assert not jaccard_join.may_link(join, 200, jaccard_join.parity_bits(x), 210, jaccard_join.parity_bits(y))
+
+
+@pytest.mark.parametrize("few", [1, 32])
+def test_keys_shared_by_chance_do_not_glue_clusters(spark, few):
+    rng = np.random.default_rng(6)
+    own = rng.integers(0, 1 << 62, (30, 200), dtype=np.uint64)
+    sets = [*own, own[0][:190]]  # the last is near the first
+    rows = [(k, bytes([k]), len(s), jaccard_join.parity_bits(s)) for k, s in enumerate(sets)]
+    # Each meets the next by a key, the last one the first.
+    pairs = [(100 + k, k) for k in range(30)] + [(100 + k, k + 1) for k in range(29)] + [(7, 0), (7, 30)]
+    found = jaccard_join.clustered(
+        spark.createDataFrame(pairs, "key long, item long"),
+        spark.createDataFrame(rows, "item long, sig binary, n long, bits binary"),
+        jaccard_join.Join(width=5, over=80),
+        few=few,
+    )
+    clusters = {r.node: r.component for r in found.collect()}
+    assert clusters == ({0: 0, 30: 0} if few > 1 else {k: 0 for k in range(31)})
+
+
 def test_ngram_join_odd_and_no_rows(odd_docs, no_docs):
     assert jaccard_join.components(odd_docs).count() == odd_docs.count()
     assert jaccard_join.components(no_docs).collect() == []
