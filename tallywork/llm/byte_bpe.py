@@ -127,7 +127,7 @@ def _blocks(docs: DataFrame, bundles: int, block: int, words: bool) -> DataFrame
         if chosen:
             yield from close()
 
-    return arrow_rows(docs, run, _ROW.format(kind))
+    return arrow_rows(docs, run, _ROW.format(kind), holds=True)
 
 
 def _encoder(ranks: dict[bytes, int], pattern: str):
@@ -161,7 +161,7 @@ def _encoded(bundles: DataFrame, ranks, pattern: str, cached: int) -> DataFrame:
             same = {n: batch.column(i) for i, n in enumerate(("block", "kind", "first", "keys", "sizes"))}
             yield same | {"payload": ids, "counts": counts, "check": batch.column(7)}
 
-    return arrow_rows(bundles, run, _ROW.format(key))
+    return arrow_rows(bundles, run, _ROW.format(key), holds=True)
 
 
 def encode(
@@ -212,7 +212,7 @@ def encode(
                 else:
                     yield from _assembled(keys, _from_numbers(sizes), _from_numbers(payload), *table)
 
-    return arrow_rows(together, run, f"doc_id {kind}, ids array<int>")
+    return arrow_rows(together, run, f"doc_id {kind}, ids array<int>", holds=True)
 
 
 def _table(parts: list[tuple[bytes, bytes]], bundles: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -292,4 +292,4 @@ def decode(encoded: DataFrame, vocabulary: str, ids: str = "ids", out: str = "by
                 found.append(flat[place].tobytes())
             yield {name: batch.column(i) for i, name in enumerate(names)} | {out: found}
 
-    return arrow_rows(encoded.select(*[f"`{n}`" for n in names]), run, f"{schema}, `{out}` binary")
+    return arrow_rows(encoded.select(*[f"`{n}`" for n in names]), run, f"{schema}, `{out}` binary", holds=True)

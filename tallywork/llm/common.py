@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 from xxhash import xxh3_64_intdigest
 
+from tallywork.llm import vocabularies
 from tallywork.session import materialise
 
 __all__ = [
@@ -65,16 +66,19 @@ def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def arrow_rows(
-    df: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str
+    df: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str, holds: bool = False
 ) -> DataFrame:
     """``mapInArrow`` for a function that yields a dict of column lists per batch.
 
-    Batches are handed on in slices, so that a worker holds few rows as Python objects at a time.
+    Batches are handed on in slices, so that a worker holds few rows as Python objects at a time. Workers live on between
+    tasks: what earlier ones left, such as another operator's pieces, is given back first unless the function ``holds`` it.
     """
     struct = T._parse_datatype_string(schema)
     arrow = to_arrow_schema(struct)
 
     def run(batches):
+        if not holds:
+            forget()
         for columns in rows(sliced(batches)):
             arrays = [
                 c if isinstance(c := columns[f.name], pa.Array) else pa.array(c, f.type) for f in arrow
@@ -87,10 +91,11 @@ def arrow_rows(
 def kept_rows(df: DataFrame, kept: Callable[[pa.RecordBatch], list[bool]]) -> DataFrame:
     """The rows of ``df`` of which ``kept`` says so, with all their columns as they are.
 
-    It gets slices, as with ``arrow_rows``. What the worker held is given back at the end of a task.
+    It gets slices, as with ``arrow_rows``. What the worker held is given back at the beginning and the end of a task.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in sliced(batches):
             yield batch.filter(pa.array(kept(batch), pa.bool_()))
         forget()
@@ -179,8 +184,10 @@ _trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 
 def forget() -> None:
-    """Give back what a worker holds between tasks: hashes of words, and memory that Arrow and the C library keep for later."""
+    """Give back what a worker holds between tasks: hashes of words, vocabularies with their pieces, and memory that Arrow and
+    the C library keep for later."""
     _hashes.clear()
+    vocabularies.dismiss()
     pa.default_memory_pool().release_unused()
     if _trim:
         _trim(0)

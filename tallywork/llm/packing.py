@@ -73,7 +73,7 @@ def cut(
 
     kind = docs.schema[doc_id].dataType.simpleString()
     columns = docs.select(F.col(doc_id), F.col(text))
-    return arrow_rows(columns, run, f"doc_id {kind}, piece int, start long, length long, ids binary")
+    return arrow_rows(columns, run, f"doc_id {kind}, piece int, start long, length long, ids binary", holds=True)
 
 
 #: A step of a plan: pieces [rank, rank + count) of a length go to bins from ``bin`` on, ``each`` to a bin, from ``offset``.
@@ -149,7 +149,7 @@ def pack(pieces: DataFrame, size: int = 4096) -> DataFrame:
                 "__rank": own,
             }
 
-    rows = materialise(arrow_rows(pieces, ranked, f"{schema}, __task int, __rank long"), "pieces")
+    rows = materialise(arrow_rows(pieces, ranked, f"{schema}, __task int, __rank long", holds=True), "pieces")
     per_task = rows.groupBy("length", "__task").agg(F.count("*").alias("__n"))
     before = Window.partitionBy("length").orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
     bases = per_task.select("length", "__task", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__base"))
@@ -176,7 +176,7 @@ def pack(pieces: DataFrame, size: int = 4096) -> DataFrame:
     numbered = rows.join(bases, ["length", "__task"]).select(
         *[F.col(f"`{n}`") for n in names], (F.col("__rank") + F.col("__base")).alias("__global")
     )
-    return arrow_rows(numbered, placed, f"{schema}, sequence_id long, offset long")
+    return arrow_rows(numbered, placed, f"{schema}, sequence_id long, offset long", holds=True)
 
 
 def pack_documents(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text", size: int = 4096) -> DataFrame:

@@ -104,7 +104,7 @@ def cut(
 
     kind = docs.schema[doc_id].dataType.simpleString()
     schema = f"doc_id {kind}, start long, length long, doc_tokens long, ids binary, task int, rank long"
-    return arrow_rows(docs.select(F.col(doc_id), F.col(text)), run, schema)
+    return arrow_rows(docs.select(F.col(doc_id), F.col(text)), run, schema, holds=True)
 
 
 @dataclass
@@ -319,4 +319,4 @@ def _placed(rows: DataFrame, own: Plan, counts: dict[int, int], groups: dict[int
         f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, `offset` long, "
         "`window` int, step_group long, step_at double"
     )
-    return arrow_rows(rows, run, schema)
+    return arrow_rows(rows, run, schema, holds=True)

@@ -45,7 +45,7 @@ def frequent_pieces(docs: DataFrame, text: str = "text", frequent: int = 32_768,
         top = seen.most_common(per_task)
         yield {"piece": [k for k, _ in top], "n": [n for _, n in top]}
 
-    counted = arrow_rows(docs.select(F.col(text)), count, "piece string, n long")
+    counted = arrow_rows(docs.select(F.col(text)), count, "piece string, n long", holds=True)
     best = counted.groupBy("piece").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "piece").limit(frequent)
     return [row.piece for row in best.collect()]
 
@@ -104,4 +104,4 @@ def count_tokens(
                 "over_limit": [n > limit for n in tokens],
             }
 
-    return arrow_rows(rows, count, f"{schema}, n_bytes long, n_tokens long, over_limit boolean")
+    return arrow_rows(rows, count, f"{schema}, n_bytes long, n_tokens long, over_limit boolean", holds=True)

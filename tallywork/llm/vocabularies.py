@@ -30,6 +30,11 @@ def once(key: tuple, build):
     return _built[key]
 
 
+def dismiss() -> None:
+    """Forget the values of ``once``; the next task that asks builds them again."""
+    _built.clear()
+
+
 #: Pieces longer than this are encoded each time; caches of pieces are bounded in bytes by it.
 LONG = 64
 

@@ -12,7 +12,7 @@ from brute import best_fit
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tallywork.llm import byte_bpe, packing, token_counts
+from tallywork.llm import byte_bpe, common, packing, token_counts, vocabularies
 from tallywork.llm.vocabularies import LONG, Recent, Vocabulary, spaced_pieces
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -166,3 +166,25 @@ def test_packing_ranks_over_many_tasks(spark):
     rows = packing.pack(pieces, 8).collect()
     places = {(r.sequence_id, r.offset + k) for r in rows for k in range(r.length)}
     assert len(rows) == 5000 and len(places) == sum(r.length for r in rows)
+
+
+class Plain:
+    """Stands for a table; gives the function of its tasks."""
+
+    schema = None
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def test_tasks_give_back_what_other_operators_left(spark, monkeypatch):
+    monkeypatch.setattr(vocabularies, "_built", {})
+    tasks = [
+        common.arrow_rows(Plain(), lambda batches: batches, "n long"),
+        common.kept_rows(Plain(), lambda batch: []),
+    ]
+    for run in tasks:
+        vocabularies.once(("pieces",), dict)
+        assert list(run(iter([]))) == [] and not vocabularies._built
+    vocabularies.once(("pieces",), dict)
+    assert list(common.arrow_rows(Plain(), lambda batches: batches, "n long", holds=True)(iter([]))) == [] and vocabularies._built
