@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import re
 from collections.abc import Callable, Iterator
 
@@ -162,32 +163,15 @@ def label_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int) ->
     )
 
 
-class _Hashes(dict):
-    """Word to a 64-bit hash; forgets everything when it has grown to its limit, and does not remember long words."""
-
-    LIMIT, LETTERS = 100_000, 64
-
-    def __missing__(self, word: str | bytes) -> int:
-        value = xxh3_64_intdigest(word)
-        if len(word) <= self.LETTERS:
-            if len(self) >= self.LIMIT:
-                self.clear()
-            self[word] = value
-        return value
-
-
-_hashes = _Hashes()
-
-
 #: Gives freed memory back to the system; the C library of Linux has it.
 _trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 
 def forget() -> None:
-    """Give back what a worker holds between tasks: hashes of words, vocabularies with their pieces, and memory that Arrow and
-    the C library keep for later."""
-    _hashes.clear()
-    vocabularies.dismiss()
+    """Give back what a worker holds between tasks: vocabularies with their pieces, and memory that Arrow and the C library keep
+    for later."""
+    if vocabularies.dismiss():
+        gc.collect()  # a vocabulary and its cache refer to each other
     pa.default_memory_pool().release_unused()
     if _trim:
         _trim(0)
@@ -196,15 +180,16 @@ def forget() -> None:
 def mix(values: np.ndarray) -> np.ndarray:
     """Spread the bits of unsigned 64-bit values (a bijection)."""
     values = values ^ (values >> np.uint64(30))
-    values = values * np.uint64(0xBF58476D1CE4E5B9)
-    values = values ^ (values >> np.uint64(27))
-    values = values * np.uint64(0x94D049BB133111EB)
-    return values ^ (values >> np.uint64(31))
+    values *= np.uint64(0xBF58476D1CE4E5B9)
+    values ^= values >> np.uint64(27)
+    values *= np.uint64(0x94D049BB133111EB)
+    values ^= values >> np.uint64(31)
+    return values
 
 
 def word_hashes(words: list[str] | list[bytes]) -> np.ndarray:
     """A 64-bit hash per word; that of a text is the one of its UTF-8 bytes."""
-    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    return np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:

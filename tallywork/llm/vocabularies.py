@@ -30,9 +30,11 @@ def once(key: tuple, build):
     return _built[key]
 
 
-def dismiss() -> None:
-    """Forget the values of ``once``; the next task that asks builds them again."""
+def dismiss() -> bool:
+    """Forget the values of ``once``, and say whether there were any; the next task that asks builds them again."""
+    held = bool(_built)
     _built.clear()
+    return held
 
 
 #: Pieces longer than this are encoded each time; caches of pieces are bounded in bytes by it.

@@ -1,7 +1,9 @@
 """Byte-level encoding and decoding, token counts and packing against the libraries."""
 
 import base64
+import gc
 import random
+import weakref
 import zlib
 from array import array
 
@@ -188,3 +190,17 @@ def test_tasks_give_back_what_other_operators_left(spark, monkeypatch):
         assert list(run(iter([]))) == [] and not vocabularies._built
     vocabularies.once(("pieces",), dict)
     assert list(common.arrow_rows(Plain(), lambda batches: batches, "n long", holds=True)(iter([]))) == [] and vocabularies._built
+
+
+def test_a_forgotten_vocabulary_gives_its_memory_back():
+    """A vocabulary and its cache refer to each other, so counting references does not free them."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    ids = vocabularies.once((path, "forgotten"), lambda: packing._Ids(Vocabulary(open(path, "rb").read(), 100), 100))
+    held = weakref.ref(ids.vocabulary)
+    del ids
+    gc.disable()
+    try:
+        common.forget()
+        assert held() is None
+    finally:
+        gc.enable()
