@@ -320,12 +320,15 @@ def clustered(pairs: DataFrame, rows: DataFrame, join: Join, few: int = 32) -> D
     """
     met = pairs.groupBy("key").agg(F.min("item").alias("low"), F.max("item").alias("high"), F.count("*").alias("held"))
     shared = materialise(met.where("low < high").select("key", "low", "held"), "shared")
-    hits = thinned(pairs, "key", shared, "key").join(shared, "key")
+    # Written, as both kinds of edges read them and the keys behind them are costly.
+    hits = materialise(thinned(pairs, "key", shared, "key").join(shared, "key"), "hits")
+    drop(shared)
     many = hits.where((F.col("held") > few) & (F.col("item") != F.col("low"))).select(F.col("item").alias("a"), F.col("low").alias("b"))
     groups = hits.where(F.col("held") <= few).groupBy("key").agg(F.collect_set("item").alias("items"))
     each = groups.select(F.explode("items").alias("a"), "items").select("a", F.explode("items").alias("b"))
     edges = each.where("a < b").withColumn("tested", F.lit(True)).union(many.withColumn("tested", F.lit(False)))
     edges = materialise(edges.distinct(), "edges")
+    drop(hits)
     tested = edges.where("tested").select("a", "b")
     ends = materialise(tested.select(F.explode(F.array("a", "b")).alias("item")).distinct(), "ends")
     # Of one item there may be several sets, though hardly ever.
@@ -338,7 +341,7 @@ def clustered(pairs: DataFrame, rows: DataFrame, join: Join, few: int = 32) -> D
 
     kept = kept_rows(full.select("a", "b", "n", "own", "m", "other"), able).select("a", "b")
     found = materialise(connected_components(kept.union(edges.where("NOT tested").select("a", "b"))), "clusters")
-    drop(shared, edges, ends, sketches)
+    drop(edges, ends, sketches)
     return found
 
 

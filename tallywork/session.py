@@ -11,6 +11,9 @@ from urllib.parse import urlsplit
 
 from pyspark.sql import SparkSession
 
+#: Whether Spark deletes the shuffle files of a query at its end.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _made: list[str] = []
 _proven: set[tuple[str, str]] = set()
 _local_folder: tempfile.TemporaryDirectory | None = None
@@ -125,8 +128,14 @@ def materialise(df, label: str):
     """Write ``df`` once and read it back.
 
     Cuts lineage without tying the rows to any executor, and gives later joins the real
-    size in bytes, so Spark's own threshold decides whether a side is broadcast.
+    size in bytes, so Spark's own threshold decides whether a side is broadcast. The shuffle files
+    of the writing are deleted as soon as the rows are written.
     """
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    path, conf = scratch_path(df.sparkSession, label), df.sparkSession.conf
+    before = conf.get(_CLEANUP, None)
+    conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.unset(_CLEANUP) if before is None else conf.set(_CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -577,3 +577,24 @@ def test_no_shared_window_stays_and_none_is_lost(spark):
     inside |= set().union(*(ws for d, ws in own.items() if all(shared[w] == {d, 100 + d} for w in ws)))
     assert len(inside & set(shared)) > 500 and not [w for w in inside & set(shared) if w not in held]
     assert all(after[d] == before[d] for d in before if not any(d in ds for ds in shared.values()))
+
+
+def test_keys_are_made_twice(spark):
+    """Once to find those that several sets have, once for the sets that have them."""
+    join = jaccard_join.Join(width=1)
+    sets = [np.arange(k, k + 40, dtype=np.uint64) for k in (0, 0, 1, 500, 900)]
+    sigs = [jaccard_join.signature(s) for s in sets]
+    items = [int.from_bytes(sig[:8], "little", signed=True) for sig in sigs]
+    met = spark.sparkContext.accumulator(0)
+    given = [(k, item) for s, item in zip(sets, items) for k in jaccard_join.keys(s, np.zeros(0, np.uint64), join).view(np.int64).tolist()]
+
+    def passed(batches):
+        for batch in batches:
+            met.add(batch.num_rows)
+            yield batch
+
+    pairs = spark.createDataFrame(given, "key long, item long").mapInArrow(passed, "key long, item long")
+    rows = [(i, bytearray(sig), len(s), bytearray(jaccard_join.parity_bits(s))) for i, sig, s in zip(items, sigs, sets)]
+    clusters = jaccard_join.clustered(pairs, spark.createDataFrame(rows, "item long, sig binary, n long, bits binary"), join)
+    assert {r.node for r in clusters.collect()} == {items[0], items[2]}
+    assert met.value == 2 * len(given)

@@ -100,3 +100,21 @@ def test_scratch_can_be_dropped(spark, monkeypatch):
     assert table.count() == 5
     assert session.drop_scratch(spark) == 1
     assert session._made == []
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+    return {line for line in files.split("\n") if "/shuffle_" in line}
+
+
+def test_shuffle_files_of_written_tables_go(spark):
+    from tallywork.session import materialise
+
+    before = shuffle_files(spark)
+    counted = spark.range(1000).repartition(3).selectExpr("id % 7 AS k").groupBy("k").count()
+    assert materialise(counted, "counted").count() == 7
+    assert materialise(counted, "again").groupBy().sum("count").first()[0] == 1000
+    written = {line.rsplit("/", 1)[1].split("_")[1] for line in shuffle_files(spark) - before}
+    # Only the two readings above leave any.
+    assert len(written) <= 2
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
