@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import components, jaccard_components, shingle_set
 from pyspark.sql import functions as F
@@ -598,3 +599,13 @@ def test_keys_are_made_twice(spark):
     clusters = jaccard_join.clustered(pairs, spark.createDataFrame(rows, "item long, sig binary, n long, bits binary"), join)
     assert {r.node for r in clusters.collect()} == {items[0], items[2]}
     assert met.value == 2 * len(given)
+
+
+def test_flat_columns_give_the_same_lists():
+    marks = [{"start": 3, "removed": True, "id": "x", "before": [1, -2]}, {"start": 5, "removed": False, "id": None, "before": []}]
+    fields = [("start", pa.int32()), ("removed", pa.bool_()), ("id", pa.string()), ("before", pa.list_(pa.int64()))]
+    kind = pa.list_(pa.struct(fields))
+    column = pa.array([marks, [], marks[1:], None, marks[:1]], kind)
+    for own in (column, column[:3], column[1:3], column[2:], column[:0], column[3:4]):
+        assert substring_dedup._plain(own) == own.to_pylist()
+    assert substring_dedup._plain(pa.array([1, None, 3])) == [1, None, 3]
