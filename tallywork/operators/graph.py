@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from itertools import chain
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywork.functions.text import blank_fields
 from tallywork.operators.aggregates import with_names
-from tallywork.session import materialise, scratch_path
+from tallywork.session import materialise, scratch_path, write_rows
+
+#: So many tables of found ids a search reads one by one; when there are more of a size, they are written as one.
+SINGLY = 16
 
 
 def degrees(lines: DataFrame, value: str = "value", count_trailing: bool = False) -> DataFrame:
@@ -74,7 +79,8 @@ def breadth_first(
     Each round is one job that writes its new nodes to the shared folder; nothing is kept in
     executors. The next round joins that table with the edges: its size on disk decides between
     a broadcast and a shuffle, and a hub that makes a shuffle partition large is split by the
-    adaptive skew join. Counts per reached node are added up before they are shuffled.
+    adaptive skew join. Counts per reached node are added up before they are shuffled. The ids of
+    earlier rounds are put together now and then, so that a deep search does not read a table per round in every round.
     """
     return _search(edges, source, target, max_rounds)[0]
 
@@ -92,6 +98,7 @@ def _search(
 
     rounds = [f"{root}/distance=0"]
     spark.createDataFrame([(source, 0)], "id long, hits long").write.parquet(rounds[0])
+    seen = [rounds[:]]
     distance, open_ = 0, True
     while open_ and (max_rounds is None or distance < max_rounds) and not (target == source and distance == 0):
         distance += 1
@@ -101,9 +108,10 @@ def _search(
             .groupBy(F.col("dst").alias("id"))
             .agg(F.sum("edges").alias("hits"))
         )
-        fresh = reached.join(reader.parquet(*rounds).select("id"), "id", "left_anti")
+        fresh = reached.join(_ids(spark, *chain(*seen)), "id", "left_anti")
         rounds.append(f"{root}/distance={distance}")
-        fresh.select("id", "hits").write.parquet(rounds[-1])
+        write_rows(fresh.select("id", "hits"), rounds[-1])
+        _note(spark, seen, rounds[-1])
 
         found = (
             reader.parquet(rounds[-1])
@@ -116,13 +124,32 @@ def _search(
     return reader.parquet(*rounds).select("id", "distance", "hits"), graph, open_
 
 
+def _ids(spark: SparkSession, *paths: str) -> DataFrame:
+    return spark.read.schema("id long").parquet(*paths)
+
+
+def _note(spark: SparkSession, seen: list[list[str]], path: str) -> None:
+    """Add a written round to the paths of found ids, which go by size: a table of one size takes in ``SINGLY`` + 1 of the size below.
+
+    So an id is written again as often as the logarithm of the rounds says, and as few paths are read.
+    """
+    for paths in seen:
+        paths.append(path)
+        if len(paths) <= SINGLY:
+            return
+        path = scratch_path(spark, "seen")
+        write_rows(_ids(spark, *paths), path)
+        paths.clear()
+    seen.append([path])
+
+
 def distances(
-    nodes: DataFrame, edges: DataFrame, source: int, max_rounds: int | None = 10
+    nodes: DataFrame, edges: DataFrame, source: int, max_rounds: int | None = None
 ) -> DataFrame:
     """(id, distance, open) of every node.
 
-    The distance is NULL where the search does not come. ``open`` is true where that may be for want of rounds only:
-    the last one allowed still found new nodes. With ``max_rounds=None`` NULL means that no path leads there.
+    The search goes on to its end, so a NULL distance means that no path leads there. Where ``max_rounds`` ends it
+    before, ``open`` is true where NULL may be for want of rounds only: the last one allowed still found new nodes.
     """
     reached, _, open_ = _search(edges, source, None, max_rounds)
     joined = nodes.select("id").join(reached.select("id", "distance"), "id", "left")

@@ -77,6 +77,17 @@ _SEARCH = f"""
     ),
     found AS (SELECT id, min(distance) AS distance FROM walk GROUP BY id)
 """
+# To the end: a user's row is written once, in the step that first comes to them, so the walk ends by itself.
+_SEARCH_ALL = f"""
+    WITH RECURSIVE follows AS ({_FOLLOWS}),
+    found(id, distance) USING KEY (id) AS (
+        SELECT CAST({SOURCE} AS BIGINT), 0
+        UNION
+        SELECT dst, min(distance) + 1 FROM found JOIN follows ON src = id
+        WHERE dst IS NOT NULL AND dst NOT IN (SELECT id FROM recurring.found)
+        GROUP BY dst
+    )
+"""
 
 
 @query(
@@ -160,14 +171,15 @@ def least_connected_min(spark, folder):
 @query(
     "bfs_distances",
     f"""
-    {_SEARCH}
+    {_SEARCH_ALL}
     SELECT users.user_id AS id, found.distance
     FROM (SELECT DISTINCT user_id FROM events) users LEFT JOIN found ON found.id = users.user_id
     """,
 )
 def bfs_distances(spark, folder):
+    """The search to its end, so that nothing is open."""
     adjacency = materialise(parse_adjacency(follow_lines(spark, folder)), "adjacency")
-    return graph.distances(nodes_of(adjacency), edges_of(adjacency), SOURCE).drop("open")
+    return graph.distances(nodes_of(adjacency), edges_of(adjacency), SOURCE, max_rounds=None).drop("open")
 
 
 @query(

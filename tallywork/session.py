@@ -124,18 +124,23 @@ def drop_scratch(spark: SparkSession) -> int:
     return dropped
 
 
-def materialise(df, label: str):
-    """Write ``df`` once and read it back.
-
-    Cuts lineage without tying the rows to any executor, and gives later joins the real
-    size in bytes, so Spark's own threshold decides whether a side is broadcast. The shuffle files
-    of the writing are deleted as soon as the rows are written.
-    """
-    path, conf = scratch_path(df.sparkSession, label), df.sparkSession.conf
+def write_rows(df, path: str) -> None:
+    """Write ``df`` to ``path``; the shuffle files of the writing are deleted as soon as the rows are written."""
+    conf = df.sparkSession.conf
     before = conf.get(_CLEANUP, None)
     conf.set(_CLEANUP, "true")
     try:
         df.write.parquet(path)
     finally:
         conf.unset(_CLEANUP) if before is None else conf.set(_CLEANUP, before)
+
+
+def materialise(df, label: str):
+    """Write ``df`` once and read it back.
+
+    Cuts lineage without tying the rows to any executor, and gives later joins the real
+    size in bytes, so Spark's own threshold decides whether a side is broadcast. No shuffle files stay.
+    """
+    path = scratch_path(df.sparkSession, label)
+    write_rows(df, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

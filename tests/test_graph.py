@@ -1,9 +1,11 @@
 import random
 
+import duckdb
 import pytest
 
 from helpers import rows
 from tallywork.operators import graph
+from tallywork.plans.contract import ORACLES, QUERIES
 from tallywork.sources.adjacency import edges_of, nodes_of, parse_adjacency
 
 
@@ -108,3 +110,45 @@ def test_search_from_both_ends_joins_fewer_edges(spark):
     assert rows(found) == [] and joined == 0
     assert rows(graph.separation(spark.createDataFrame(edges, ["src", "dst"]), 0, 4, max_rounds=5)) == []
     assert rows(graph.separation(spark.createDataFrame(edges, ["src", "dst"]), 0, 4, max_rounds=None)) == [(4, 6, 1)]
+
+
+def whole_search(edges, source):
+    found, front, distance = {source: (0, 0)}, {source}, 0
+    while front:
+        distance, hits = distance + 1, {}
+        for a, b in edges:
+            if a in front and b not in found:
+                hits[b] = hits.get(b, 0) + 1
+        found.update({node: (distance, n) for node, n in hits.items()})
+        front = set(hits)
+    return found
+
+
+def test_distances_go_to_the_end_unless_told_otherwise(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(14)], ["src", "dst"])
+    assert rows(graph.distances(spark.range(16), edges, 0)) == sorted(
+        [(i, i, False) for i in range(15)] + [(15, None, False)], key=repr
+    )
+
+
+def test_deep_search_equals_plain_search(spark, monkeypatch):
+    """Ids of earlier rounds put together twice over; edges lead back to rounds of every such table."""
+    monkeypatch.setattr(graph, "SINGLY", 2)
+    draw = random.Random(5)
+    edges = [(i, i + 1) for i in range(24)] + [(i, draw.randrange(i + 1)) for i in range(25) for _ in range(2)]
+    edges += [(i, 100 + i) for i in range(0, 25, 2)] + [(100 + i, i + 1) for i in range(0, 24, 2)] + [(24, 0), (3, 4), (50, 0)]
+    got = graph.breadth_first(spark.createDataFrame(edges, ["src", "dst"]), 0, max_rounds=None)
+    assert {r.id: (r.distance, r.hits) for r in got.collect()} == whole_search(edges, 0)
+
+
+def test_bfs_distances_goes_beyond_ten_rounds(spark, tmp_path):
+    """Users one after the other, a way back, one user far off, and one whom no event leads to."""
+    users = [*range(8, 23), 12, 40, 8, 60]
+    types = ["a"] * 17 + ["b", "c"]
+    events = spark.createDataFrame([(i, u, t) for i, (u, t) in enumerate(zip(users, types))], "event_id long, user_id long, event_type string")
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    got = rows(QUERIES["bfs_distances"](spark, str(tmp_path)))
+    assert got == sorted([(u, u - 8) for u in range(8, 23)] + [(40, 5), (60, None)], key=repr)
+    tables = duckdb.connect()
+    tables.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    assert sorted(tables.execute(ORACLES["bfs_distances"]).fetchall(), key=repr) == got
